@@ -33,14 +33,15 @@ def asof_levels(df: DataFrame, keys: list[str], day: str, targets: list[date], p
     return newest.groupBy(*keys).agg(F.array_sort(F.collect_list(F.struct("_i", day, *payload))).alias("_levels"))
 
 
-def level_at(index: int) -> Column:
+def level_at(index) -> Column:
     """The level in force at the target with this position, NULL if none."""
     return F.try_element_at(F.filter("_levels", lambda level: level["_i"] <= index), F.lit(-1))
 
 
 def asof_latest_record(df: DataFrame, keys: list[str], day: str, cutoffs: list[date], payload: list[str]) -> DataFrame:
     """The newest row per key at or before each cut-off. A NULL in that row stays NULL."""
-    found = F.array(*[F.struct(F.lit(c).alias("cutoff"), level_at(i).alias("_r")) for i, c in enumerate(cutoffs)])
+    cutoff_list = F.array(*[F.struct(F.lit(c).alias("cutoff"), F.lit(i).alias("at")) for i, c in enumerate(cutoffs)])
+    found = F.transform(cutoff_list, lambda c: F.struct(c["cutoff"].alias("cutoff"), level_at(c["at"]).alias("_r")))
     return (
         asof_levels(df, keys, day, cutoffs, payload)
         .select(*keys, F.inline(found))
@@ -57,20 +58,24 @@ def asof_prices(df: DataFrame, price: str, cutoffs: dict[date, dict[str, date]],
     keys = keys or ["symbol"]
     targets = sorted(set(cutoffs) | {t for bases in cutoffs.values() for t in bases.values()})
     position = {t: i for i, t in enumerate(targets)}
-
-    def price_at(target: date) -> Column:
-        return level_at(position[target])[price]
-
-    rows = F.array(
+    names = list(next(iter(cutoffs.values())))
+    # one small literal table (cut-off, position of each target), mapped in a single expression
+    wanted = F.array(
         *[
             F.struct(
                 F.lit(c).alias("cutoff"),
-                price_at(c).alias("current_price"),
-                *[price_at(t).alias(name) for name, t in bases.items()],
+                F.lit(position[c]).alias("current_price"),
+                *[F.lit(position[bases[n]]).alias(n) for n in names],
             )
             for c, bases in cutoffs.items()
         ]
     )
+    rows = F.transform(
+        wanted,
+        lambda w: F.struct(
+            w["cutoff"].alias("cutoff"), *[level_at(w[n])[price].alias(n) for n in ["current_price", *names]]
+        ),
+    )
     return (
         asof_levels(df, keys, "date", targets, [price])
         .select(*keys, F.inline(rows))

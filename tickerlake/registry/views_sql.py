@@ -22,9 +22,9 @@ VIEWS: dict[str, tuple[list[str], str]] = {
         CASE WHEN c_custkey % 50 <> 0 THEN c_acctbal END AS mkt_cap
         FROM customer JOIN nation ON c_nationkey = n_nationkey"""),
     "etf_profile": ([], """SELECT p_partkey AS symbol, p_name AS name,
-        CASE WHEN p_partkey % 2 = 0 THEN 'USD' ELSE 'CAD' END AS currency, p_brand AS domicile,
+        CASE WHEN p_partkey % 2 = 0 THEN 'USD' ELSE 'CAD' END AS currency, substr(p_brand, 1, 7) AS domicile,
         substr(p_type, 1, 1) AS asset_class, CASE WHEN p_partkey % 11 <> 0 THEN p_size / 100.0e0 END AS expense_ratio,
-        CASE WHEN p_partkey % 13 <> 0 THEN p_retailprice END AS aum, p_retailprice AS price FROM part"""),
+        CASE WHEN p_partkey % 13 <> 0 THEN p_retailprice * (1 + p_partkey % 7) END AS aum, p_retailprice AS price FROM part"""),
     "peers": (["profile"], _neighbours("profile", "sector")),
     "company_peers": (["company"], _neighbours("company", "sector")),
     "etf_peers": (["etf_profile"], _neighbours("etf_profile", "domicile")),
@@ -56,6 +56,25 @@ VIEWS: dict[str, tuple[list[str], str]] = {
              WHEN l_orderkey % 5 = 2 THEN CAST(l_partkey AS VARCHAR)
              WHEN l_orderkey % 5 = 3 THEN concat(' null , None,', CAST(l_partkey AS VARCHAR))
              ELSE concat('a,b,', CAST(l_partkey AS VARCHAR), ',extra') END AS line FROM lineitem"""),
+    "messy": ([], """SELECT l_orderkey, l_linenumber, l_partkey,
+        CASE l_partkey % 6 WHEN 0 THEN p WHEN 1 THEN ' ' || p || ' ' WHEN 2 THEN '' WHEN 3 THEN 'abc' WHEN 5 THEN '-7' END AS int_text,
+        CASE l_partkey % 6 WHEN 0 THEN p || '.25' WHEN 1 THEN ' -' || p || '.5 ' WHEN 2 THEN ' ' WHEN 3 THEN 'NaN?'
+            WHEN 5 THEN '1e3' END AS float_text,
+        CASE l_partkey % 6 WHEN 0 THEN 'true' WHEN 1 THEN ' FALSE ' WHEN 2 THEN '' WHEN 3 THEN 'maybe' WHEN 5 THEN '1' END AS bool_text,
+        CASE l_partkey % 6 WHEN 0 THEN strftime(l_shipdate, '%Y-%m-%d') WHEN 1 THEN strftime(l_shipdate, '%m/%d/%Y')
+            WHEN 2 THEN strftime(l_shipdate, '%d/%m/%Y') WHEN 3 THEN ' ' WHEN 4 THEN 'soon' END AS date_text,
+        CASE l_partkey % 6 WHEN 0 THEN p || '.5' WHEN 1 THEN p || '.0' WHEN 2 THEN p WHEN 3 THEN 'x' WHEN 4 THEN '' END AS volume_text,
+        CASE l_partkey % 6 WHEN 0 THEN p || '.5%' WHEN 1 THEN p || '%' WHEN 2 THEN p WHEN 3 THEN '%' WHEN 4 THEN 'n%a' END AS percent_text,
+        CASE l_partkey % 6 WHEN 0 THEN '$1,' || lpad(CAST(l_partkey % 1000 AS VARCHAR), 3, '0') || '.75' WHEN 1 THEN ' $' || p
+            WHEN 2 THEN p WHEN 3 THEN 'free' WHEN 4 THEN '$' END AS money_text,
+        CASE l_partkey % 6 WHEN 0 THEN p || '.455' WHEN 1 THEN '0.' || lpad(CAST(l_partkey % 1000 AS VARCHAR), 3, '0')
+            WHEN 2 THEN 'N/A' WHEN 3 THEN 'none' WHEN 4 THEN 'invalid' WHEN 5 THEN '999999999999.99' END AS decimal_text,
+        CASE l_partkey % 6 WHEN 0 THEN '  ' || p || ' Growth Fund of the Month  ' WHEN 1 THEN p WHEN 2 THEN '  ' WHEN 3 THEN ''
+            WHEN 5 THEN 'x' END AS name_text,
+        CASE l_partkey % 6 WHEN 0 THEN 'NYSE' WHEN 1 THEN ' nasdaq' WHEN 2 THEN 'TSX' WHEN 3 THEN 'LSE' WHEN 5 THEN 'AMEX' END AS exchange,
+        l_extendedprice - CASE WHEN l_partkey % 6 = 5 THEN 1000000 ELSE 0 END AS mkt_cap,
+        l_quantity AS price, l_tax AS split, l_extendedprice, l_discount
+        FROM (SELECT *, CAST(l_partkey AS VARCHAR) AS p FROM lineitem)"""),
 }
 
 

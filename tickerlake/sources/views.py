@@ -76,10 +76,10 @@ def etf_profile(spark: SparkSession, sf: str) -> DataFrame:
         key.alias("symbol"),
         F.col("p_name").alias("name"),
         F.when(key % 2 == 0, "USD").otherwise("CAD").alias("currency"),
-        F.col("p_brand").alias("domicile"),
+        F.substring("p_brand", 1, 7).alias("domicile"),
         F.substring("p_type", 1, 1).alias("asset_class"),
         F.when(key % 11 != 0, F.col("p_size") / 100.0).alias("expense_ratio"),
-        F.when(key % 13 != 0, F.col("p_retailprice")).alias("aum"),
+        F.when(key % 13 != 0, F.col("p_retailprice") * (1 + key % 7)).alias("aum"),
         F.col("p_retailprice").alias("price"),
     )
 
@@ -225,3 +225,49 @@ def dirty_lines(spark: SparkSession, sf: str) -> DataFrame:
         .otherwise(F.concat(F.lit("a,b,"), part, F.lit(",extra")))
         .alias("line"),
     )
+
+
+def messy(spark: SparkSession, sf: str) -> DataFrame:
+    """Text columns as vendors send them: blanks, spellings of NULL, bad values, several date formats."""
+    kind = F.col("l_partkey") % 6
+    part = F.col("l_partkey").cast("string")
+    day = F.col("l_shipdate")
+
+    def by_kind(*values):
+        c = F.when(kind == 0, values[0])
+        for i, value in enumerate(values[1:], 1):
+            c = c.when(kind == i, value)
+        return c
+
+    lit, text = F.lit, lambda: F.lit(None).cast("string")
+    return table(spark, sf, "lineitem").select(
+        "l_orderkey",
+        "l_linenumber",
+        "l_partkey",
+        by_kind(part, F.concat(lit(" "), part, lit(" ")), lit(""), lit("abc"), text(), lit("-7")).alias("int_text"),
+        by_kind(
+            F.concat(part, lit(".25")), F.concat(lit(" -"), part, lit(".5 ")), lit(" "), lit("NaN?"), text(), lit("1e3")
+        ).alias("float_text"),
+        by_kind(lit("true"), lit(" FALSE "), lit(""), lit("maybe"), text(), lit("1")).alias("bool_text"),
+        by_kind(
+            F.date_format(day, "yyyy-MM-dd"), F.date_format(day, "MM/dd/yyyy"), F.date_format(day, "dd/MM/yyyy"),
+            lit(" "), lit("soon"), text(),
+        ).alias("date_text"),
+        by_kind(F.concat(part, lit(".5")), F.concat(part, lit(".0")), part, lit("x"), lit(""), text()).alias("volume_text"),
+        by_kind(F.concat(part, lit(".5%")), F.concat(part, lit("%")), part, lit("%"), lit("n%a"), text()).alias("percent_text"),
+        by_kind(
+            F.concat(lit("$1,"), F.lpad((F.col("l_partkey") % 1000).cast("string"), 3, "0"), lit(".75")),
+            F.concat(lit(" $"), part), part, lit("free"), lit("$"), text(),
+        ).alias("money_text"),
+        by_kind(
+            F.concat(part, lit(".455")), F.concat(lit("0."), F.lpad((F.col("l_partkey") % 1000).cast("string"), 3, "0")),
+            lit("N/A"), lit("none"), lit("invalid"), lit("999999999999.99"),
+        ).alias("decimal_text"),
+        by_kind(F.concat(lit("  "), part, lit(" Growth Fund of the Month  ")), part, lit("  "), lit(""), text(), lit("x")).alias("name_text"),
+        by_kind(lit("NYSE"), lit(" nasdaq"), lit("TSX"), lit("LSE"), text(), lit("AMEX")).alias("exchange"),
+        (F.col("l_extendedprice") - 1000 * (kind == 5).cast("int") * 1000).alias("mkt_cap"),
+        F.col("l_quantity").alias("price"),
+        F.col("l_tax").alias("split"),
+        "l_extendedprice",
+        "l_discount",
+    )
