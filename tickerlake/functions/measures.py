@@ -26,7 +26,8 @@ def min_max_scale(value: Column, low: Column, high: Column) -> Column:
 
 
 def clip_0_100(value: Column) -> Column:
-    return F.least(F.greatest(value, F.lit(0.0)), F.lit(100.0))
+    # least and greatest skip NULLs, so a missing value has to be kept out
+    return F.when(value.isNotNull(), F.least(F.greatest(value, F.lit(0.0)), F.lit(100.0)))
 
 
 def cagr(last: Column, first: Column, days: Column) -> Column:

@@ -20,12 +20,15 @@ def latest_rows_per_type(scores: DataFrame, kind: str = "score_type", day: str =
 
 
 def avg_score_by_group(scores: DataFrame, profile: DataFrame) -> DataFrame:
-    """Mean score at the newest date per type, by sector and by industry: one pass over both groupings."""
+    """Mean score at the newest date per type, by sector and by industry: one pass over both groupings.
+
+    Averaged as decimals, so the rounding does not depend on the order of the rows.
+    """
     latest = latest_rows_per_type(scores).filter("score IS NOT NULL")
     named = latest.join(profile.select("symbol", "sector", "industry"), "symbol")
     return (
         named.groupingSets([["score_type", "sector"], ["score_type", "industry"]], "score_type", "sector", "industry")
-        .agg(F.round(F.avg("score"), 2).alias("avg_score"), F.grouping("sector").alias("_by_industry"))
+        .agg(F.round(F.avg(F.col("score").cast("decimal(18,6)")), 2).alias("avg_score"), F.grouping("sector").alias("_by_industry"))
         .select(
             F.when(F.col("_by_industry") == 1, "industry").otherwise("sector").alias("group_type"),
             F.when(F.col("_by_industry") == 1, F.col("industry")).otherwise(F.col("sector")).alias("group_name"),

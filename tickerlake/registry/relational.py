@@ -120,10 +120,16 @@ RATIO_SCORES = "scores AS (" + " UNION ALL ".join(
     f"SELECT symbol, date, '{c}' AS score_type, {c} AS score FROM ratios" for c in RATIO_TYPES) + ")"
 
 
+def mean_2(value: str) -> str:
+    """Mean of non-negative values, half up at two places, in integer arithmetic."""
+    total = f"sum(CAST(round({value} * 1000000) AS BIGINT))"
+    return f"((2 * {total} + 10000 * count(*)) // (20000 * count(*))) / 100.0"
+
+
 @query("avg_score_by_group", "group_type group_name score_type avg_score:2", "ratios profile",
-       """SELECT 'sector' AS group_type, sector AS group_name, score_type, round(avg(score), 2) AS avg_score FROM latest JOIN profile
-       USING (symbol) WHERE sector IS NOT NULL GROUP BY ALL UNION ALL SELECT 'industry', industry, score_type, round(avg(score), 2)
-       FROM latest JOIN profile USING (symbol) WHERE industry IS NOT NULL GROUP BY ALL""",
+       f"""SELECT 'sector' AS group_type, sector AS group_name, score_type, {mean_2('score')} AS avg_score FROM latest JOIN profile
+       USING (symbol) WHERE sector IS NOT NULL GROUP BY sector, score_type UNION ALL SELECT 'industry', industry, score_type,
+       {mean_2('score')} FROM latest JOIN profile USING (symbol) WHERE industry IS NOT NULL GROUP BY industry, score_type""",
        f"{RATIO_SCORES}, latest AS (SELECT * FROM scores s WHERE date = (SELECT max(date) FROM scores t "
        "WHERE t.score_type = s.score_type) AND score IS NOT NULL)")
 def _(spark, sf):
@@ -237,10 +243,10 @@ def _(spark, sf):
     return agg.usage_by_minute(v.api_calls(spark, sf), remaining="user_id")
 
 
-@query("daily_market_summary", "date:d total_symbols:i avg_navps:4", "quotes",
-       "SELECT date, count(*) AS total_symbols, avg(adj_close) AS avg_navps FROM quotes GROUP BY 1")
+@query("daily_market_summary", "date:d total_symbols:i avg_navps:6", "quotes",
+       "SELECT date, count(*) AS total_symbols, avg(volume) AS avg_navps FROM quotes GROUP BY 1")
 def _(spark, sf):
-    return agg.daily_market_summary(v.quotes(spark, sf), "adj_close")
+    return agg.daily_market_summary(v.quotes(spark, sf), "volume")
 
 
 @query("category_average", "symbol sector ytd_change:6 ytd_change_category:6", "quotes profile",
