@@ -129,9 +129,11 @@ def pct_change(df: DataFrame, value: str, out: str = "ret") -> DataFrame:
 
 
 def month_last(df: DataFrame, value: str) -> DataFrame:
-    """Last value of each month from a symbol's first month to its last; empty months repeat the one before."""
-    month = F.last_day("date").alias("month")
-    found = df.groupBy("symbol", month).agg(F.max_by(value, "date").alias(value))
+    """Last value of each month from a symbol's first month to its last; empty months repeat the one before.
+
+    ``known_by`` is the first month at or after with own rows: a slice that ends earlier does not hold the row.
+    """
+    found = df.groupBy("symbol", F.last_day("date").alias("month")).agg(F.max_by(value, "date").alias(value))
     span = F.sequence(F.trunc("first", "month"), F.trunc("final", "month"), F.expr("interval 1 month"))
     spine = (
         found.groupBy("symbol")
@@ -139,9 +141,16 @@ def month_last(df: DataFrame, value: str) -> DataFrame:
         .select("symbol", F.explode(span).alias("_m"))
         .select("symbol", F.last_day("_m").alias("month"))
     )
-    # one row per calendar month in this window
-    carried = F.last(value, ignorenulls=True).over(Window.partitionBy("symbol").orderBy("month"))
-    return spine.join(found, ["symbol", "month"], "left").withColumn(value, carried)
+    own = found.withColumn("_own", F.col("month"))
+    # one row per calendar month in these windows
+    by_month = Window.partitionBy("symbol").orderBy("month")
+    following = by_month.rowsBetween(0, Window.unboundedFollowing)
+    return (
+        spine.join(own, ["symbol", "month"], "left")
+        .withColumn(value, F.last(value, ignorenulls=True).over(by_month))
+        .withColumn("known_by", F.first("_own", ignorenulls=True).over(following))
+        .drop("_own")
+    )
 
 
 def trailing_slice(df: DataFrame, cutoff: date, years: int) -> DataFrame:

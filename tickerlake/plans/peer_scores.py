@@ -2,9 +2,70 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from dataclasses import dataclass
+from datetime import date
+from functools import reduce
+
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from tickerlake.functions.measures import min_max_scale
+from tickerlake.operators.asof import asof_latest_record, period_returns
+from tickerlake.operators.calendar import day_horizons
+from tickerlake.operators.joins import peer_group_expand
+from tickerlake.operators.ranking import rank_across, value_positions
+from tickerlake.session import materialise
+
+RATIO_METRICS = [
+    "return_on_equity", "net_profit_margin", "operating_profit_margin", "debt_equity_ratio", "current_ratio",
+    "interest_coverage", "price_earnings_ratio", "price_to_book_ratio", "price_earnings_to_growth_ratio",
+]
+GROWTH_METRICS = ["three_y_revenue_growth_per_share", "three_y_net_income_growth_per_share"]
+RETURN_METRICS = ["return_1m", "return_ytd", "return_1y", "return_3y", "return_5y"]
+METRICS = RATIO_METRICS + GROWTH_METRICS + RETURN_METRICS
+LOWER_BETTER = {"debt_equity_ratio", "price_earnings_ratio", "price_to_book_ratio", "price_earnings_to_growth_ratio"}
+HIGHER_BETTER = {m: m not in LOWER_BETTER for m in METRICS}
+
+
+@dataclass(frozen=True)
+class ScoreModel:
+    """Weights per category and metric, and each category's share of the overall score."""
+
+    categories: dict[str, dict[str, float]]
+    category_max: dict[str, float]
+
+
+def _model(profitability: tuple, growth: tuple, maxima: tuple) -> ScoreModel:
+    categories = {
+        "Profitability": dict(zip(RATIO_METRICS[:3], profitability)),
+        "Price Performance": dict(zip(RETURN_METRICS, (1, 2, 5, 10, 7))),
+        "Growth": dict(zip(GROWTH_METRICS, growth)),
+        "Financial Strength": dict(zip(RATIO_METRICS[3:6], (10, 5, 5))),
+        "Valuation": dict(zip(RATIO_METRICS[6:], (8, 6, 6))),
+    }
+    return ScoreModel(categories, dict(zip(categories, maxima)))
+
+
+# The weights of the two score models.
+MINMAX_MODEL = _model((6, 5, 4), (10, 10), (15, 25, 20, 20, 20))
+PERCENTILE_MODEL = _model((12, 10, 8), (15, 15), (30, 25, 30, 20, 20))
+
+
+def metric_frame(quotes: DataFrame, ratios: DataFrame, growth: DataFrame, cutoffs: list[date]) -> DataFrame:
+    """All metrics per symbol and cut-off, computed once however many groups a symbol belongs to."""
+    key = ["symbol", "cutoff"]
+    r = asof_latest_record(ratios, ["symbol"], "date", cutoffs, RATIO_METRICS).drop("record_date")
+    g = asof_latest_record(growth, ["symbol"], "date", cutoffs, GROWTH_METRICS).drop("record_date")
+    p = period_returns(quotes, "adj_close", {c: day_horizons(c) for c in cutoffs}).drop("current_price")
+    return r.join(g, key, "full").join(p, key, "full")
+
+
+def group_metrics(members: DataFrame, metrics: DataFrame, cutoffs: list[date]) -> DataFrame:
+    """(ref, symbol, cutoff, metrics) for every member and cut-off, also those without any metric."""
+    dated = members.withColumn("cutoff", F.explode(F.array(*[F.lit(c) for c in cutoffs])))
+    # read by the extremes and again by the scores: written once instead of computed twice
+    return materialise(dated.join(metrics, ["symbol", "cutoff"], "left"), "group-metrics")
+
 
 def subscores_minmax(rows: DataFrame, group: list[str], higher_better: dict[str, bool]) -> DataFrame:
     """Directional 0..100 position of each metric in its group.
@@ -26,3 +87,67 @@ def subscores_minmax(rows: DataFrame, group: list[str], higher_better: dict[str,
         )
 
     return rows.join(stats, group).withColumns({m: score(m) for m in metrics}).select(*rows.columns)
+
+
+def subscores_percentile(rows: DataFrame, group: list[str], key: str, higher_better: dict[str, bool]) -> DataFrame:
+    """Share of the group's values that a value equals or beats, times 100; a missing value scores 0."""
+    metrics = list(higher_better)
+    directed = [
+        F.struct(F.lit(m).alias("metric"), (F.col(m) if higher_better[m] else -F.col(m)).alias("value")) for m in metrics
+    ]
+    long = rows.select(*group, key, F.inline(F.array(*directed))).filter("value IS NOT NULL")
+    share = value_positions(long, [*group, "metric"], "value").withColumn("_s", F.col("n_up_to") / F.col("n_all") * 100)
+    scored = long.join(share.select(*group, "metric", "value", "_s"), [*group, "metric", "value"])
+    wide = scored.groupBy(*group, key).agg(*[F.max(F.when(F.col("metric") == m, F.col("_s"))).alias(m) for m in metrics])
+    filled = {m: F.coalesce(F.col(m), F.lit(0.0)) for m in metrics}
+    return rows.select(*group, key).join(wide, [*group, key], "left").withColumns(filled)
+
+
+def _sum(terms: list[Column]) -> Column:
+    return reduce(lambda a, b: a + b, terms)
+
+
+def category_scores(sub: DataFrame, model: ScoreModel) -> DataFrame:
+    """Weighted mean per category, and the overall score from the categories."""
+    cats = {
+        c: _sum([F.col(m) * float(w) for m, w in weights.items()]) / float(sum(weights.values()))
+        for c, weights in model.categories.items()
+    }
+    with_cats = sub.withColumns(cats)
+    total = float(sum(model.category_max.values()))
+    overall = _sum([F.col(c) / 100 * float(top) for c, top in model.category_max.items()]) / total * 100
+    return with_cats.withColumn("Overall", overall).select("ref", "symbol", "cutoff", *cats, "Overall")
+
+
+def _ranked(scores: DataFrame, categories: list[str]) -> DataFrame:
+    entries = F.array(*[F.struct(F.lit(c).alias("category"), F.col(c).alias("score")) for c in categories])
+    long = scores.select("ref", "symbol", "cutoff", F.inline(entries))
+    order = [F.col("score").desc(), F.col("symbol")]
+    return rank_across(long, ["ref", "cutoff", "category"], order, "rank")
+
+
+def peer_scores_minmax(
+    quotes: DataFrame, ratios: DataFrame, growth: DataFrame, peers: DataFrame, profile: DataFrame, cutoffs: list[date],
+    model: ScoreModel = MINMAX_MODEL,
+) -> DataFrame:
+    """(ref, symbol, cutoff, category, score, rank): min-max scores, normalised again inside each group."""
+    members = peer_group_expand(peers, profile)
+    rows = group_metrics(members, metric_frame(quotes, ratios, growth, cutoffs), cutoffs)
+    raw = category_scores(subscores_minmax(rows, ["ref", "cutoff"], HIGHER_BETTER), model)
+    names = [*model.categories, "Overall"]
+    extremes = raw.groupBy("ref", "cutoff").agg(
+        *[F.min(c).alias(f"_lo_{c}") for c in names], *[F.max(c).alias(f"_hi_{c}") for c in names]
+    )
+    scaled = {c: min_max_scale(F.col(c), F.col(f"_lo_{c}"), F.col(f"_hi_{c}")) for c in names}
+    return _ranked(raw.join(extremes, ["ref", "cutoff"]).withColumns(scaled), names)
+
+
+def peer_scores_percentile(
+    quotes: DataFrame, ratios: DataFrame, growth: DataFrame, peers: DataFrame, profile: DataFrame, cutoffs: list[date],
+    model: ScoreModel = PERCENTILE_MODEL,
+) -> DataFrame:
+    """Same shape from percentile subscores, without the final normalisation."""
+    members = peer_group_expand(peers, profile)
+    rows = group_metrics(members, metric_frame(quotes, ratios, growth, cutoffs), cutoffs)
+    sub = subscores_percentile(rows, ["ref", "cutoff"], "symbol", HIGHER_BETTER)
+    return _ranked(category_scores(sub, model), [*model.categories, "Overall"])
