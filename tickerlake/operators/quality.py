@@ -2,9 +2,10 @@
 
 from __future__ import annotations
 
+import time
 from datetime import date
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from tickerlake.functions.cleaning import violations
@@ -107,8 +108,28 @@ def history_coverage(df: DataFrame, metrics: dict[str, int], as_of: date) -> Dat
     )
 
 
-def run_log(results: list[tuple[str, str, int, int, float]], df: DataFrame) -> DataFrame:
-    """Log rows (task, status, records, errors, seconds) gathered from observed metrics of finished writes."""
-    return df.sparkSession.createDataFrame(
-        results, "task string, status string, records_processed bigint, errors bigint, seconds double"
-    )
+class RunLog:
+    """Log of finished writes: task, status, records, errors, seconds. Counts are observed while writing."""
+
+    def __init__(self, spark: SparkSession) -> None:
+        self._spark = spark
+        self._rows: list[tuple] = []
+
+    def write(self, task: str, df: DataFrame, path: str, rules: dict[str, Column] | None = None) -> None:
+        """Write the rows that keep the rules; the rest count as errors. A failed write is logged and raised."""
+        checked = with_violations(df, rules or {"row": F.lit(True)})
+        seen, start = Observation(), time.monotonic()
+        broken = F.sum((F.size("violations") > 0).cast("bigint"))
+        counted = checked.observe(seen, F.count(F.lit(1)).alias("rows"), F.coalesce(broken, F.lit(0)).alias("errors"))
+        try:
+            counted.filter(F.size("violations") == 0).drop("violations").write.parquet(path)
+        except Exception:
+            self._rows.append((task, "failed", 0, 0, time.monotonic() - start))
+            raise
+        found = seen.get
+        done = found["rows"] - found["errors"]
+        self._rows.append((task, "completed", done, found["errors"], time.monotonic() - start))
+
+    def rows(self) -> DataFrame:
+        schema = "task string, status string, records_processed bigint, errors bigint, seconds double"
+        return self._spark.createDataFrame(self._rows, schema)

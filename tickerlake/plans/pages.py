@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tickerlake.functions.measures import score_band
@@ -28,7 +28,7 @@ def charts(quotes: DataFrame, statements: DataFrame, values: dict[str, str]) ->
         return F.sort_array(F.collect_list(F.struct(F.col("date"), F.col(value).alias("value"))))
 
     prices = quotes.groupBy("symbol").agg(chart("adj_close").alias("price_chart"))
-    others = statements.groupBy("symbol").agg(*[chart(c).alias(name) for name, c in values.items()])
+    others = statements.groupBy("symbol").agg(*[chart(c).alias(name) for c, name in values.items()])
     return prices.join(others, "symbol", "left")
 
 

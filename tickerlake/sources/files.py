@@ -73,11 +73,14 @@ def scan_partition_files(
 ) -> DataFrame:
     """All files of a folder, line-repaired and typed; unreadable files are passed over and the first
     file (by name) wins a key clash. Splits by line, so large files are read by many tasks."""
+    header = ",".join(columns).replace("_", "").lower()
+    # a header may be quoted, camelCase or snake_case
+    is_header = F.lower(F.regexp_replace("_line", '[" _]', "")) == header
     lines = (
         spark.read.option("ignoreCorruptFiles", True)
         .text(path)
         .select(F.col("value").alias("_line"), F.col("_metadata.file_name").alias("source_file"))
-        .filter((F.trim("_line") != "") & ~F.lower("_line").startswith(columns[0].lower() + ","))
+        .filter((F.trim("_line") != "") & ~is_header)
     )
     rows = parse_lines(lines, "_line", columns)
     typed = cast_staged(rows, {**types, "source_file": "string"})

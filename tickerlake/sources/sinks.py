@@ -61,8 +61,12 @@ def sink_truncate_selective(spark: SparkSession, tables: list[str], selected: li
 
 
 def replace_partitions(df: DataFrame, path: str, by: str = "date") -> None:
-    """Overwrite only the partitions present in ``df``."""
-    df.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(by).parquet(path)
+    """Overwrite only the partitions present in ``df``.
+
+    Rows are ranged first: a partition is written by one task, or by a few when it is large.
+    """
+    rest = [c for c in df.columns if c != by][:1]
+    df.repartitionByRange(by, *rest).write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(by).parquet(path)
 
 
 def schema_evolve_widen(df: DataFrame, prefix: str = "growth") -> DataFrame:
