@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
 from functools import reduce
 
 from pyspark.sql import Column
@@ -21,17 +22,24 @@ def _quote() -> Column:
     return F.lit('"')
 
 
+def once(value: Column, body: Callable[[Column], Column]) -> Column:
+    """``body(value)`` with ``value`` computed a single time, however often ``body`` uses it."""
+    return F.element_at(F.transform(F.array(value), body), 1)
+
+
 def strip(c: Column) -> Column:
     return F.trim(c, F.lit(" \t\r\n"))
 
 
 def fix_month_comma(line: Column) -> Column:
     """Drop the comma inside the first quoted ``"Month D, YY"`` and in every copy of it."""
-    found = F.regexp_extract(line, MONTH_COMMA, 0)
-    fixed = F.concat(
-        _quote(), F.regexp_extract(line, MONTH_COMMA, 1), F.lit(" "), F.regexp_extract(line, MONTH_COMMA, 2), _quote()
-    )
-    return F.when(found != "", F.replace(line, found, fixed)).otherwise(line)
+
+    def repair(found: Column) -> Column:
+        return F.replace(line, found, F.regexp_replace(found, MONTH_COMMA, '"$1 $2"'))
+
+    first = F.regexp_extract(line, MONTH_COMMA, 0)
+    # most lines have no quote at all
+    return F.when(line.contains('"'), once(first, lambda f: F.when(f != "", repair(f)).otherwise(line))).otherwise(line)
 
 
 def _quotes(line: Column) -> Column:
@@ -70,9 +78,13 @@ def clean_line(line: Column, expected: int) -> Column:
 
     A line that still ends on its odd quote is passed on unpadded.
     """
-    text = fix_month_comma(strip(line))
-    padded = pad_columns(fix_unterminated_quote(text), expected)
-    return F.when(text == "", text).when(has_open_quote(text) & text.endswith('"'), text).otherwise(padded)
+
+    def finish(text: Column) -> Column:
+        ends_open = has_open_quote(text) & text.endswith('"')
+        closed = once(fix_unterminated_quote(text), lambda c: pad_columns(c, expected))
+        return F.when((text == "") | ends_open, text).otherwise(closed)
+
+    return once(strip(line), lambda stripped: once(fix_month_comma(stripped), finish))
 
 
 def unquote(cell: Column) -> Column:
@@ -83,13 +95,12 @@ def unquote(cell: Column) -> Column:
 
 def normalise_cell(cell: Column) -> Column:
     """Trimmed cell, or NULL when it spells "no value"."""
-    text = strip(cell)
-    return F.when(~text.isin(EMPTY_CELLS), text)
+    return once(strip(cell), lambda text: F.when(~text.isin(EMPTY_CELLS), text))
 
 
 def normalised_cells(line: Column, expected: int) -> Column:
     """Exactly ``expected`` normalised cells: short rows padded with NULL, long rows cut."""
-    cells = F.transform(csv_fields(line), lambda c: normalise_cell(unquote(strip(c))))
+    cells = F.transform(csv_fields(line), lambda c: once(strip(c), lambda t: normalise_cell(unquote(t))))
     nulls = F.array_repeat(F.lit(None).cast("string"), expected)
     return F.slice(F.concat(cells, nulls), 1, expected)
 

@@ -15,19 +15,17 @@ from pyspark.sql import functions as F
 from tickerlake.functions.measures import percent_change
 
 
-def interval_index(day: Column, targets: list[date]) -> Column:
+def interval_index(day: str, targets: list[date]) -> Column:
     """Position of the first target at or after ``day``; NULL beyond the last one."""
-    index = F.when(day <= F.lit(targets[0]), 0)
-    for i, target in enumerate(targets[1:], 1):
-        index = index.when(day <= F.lit(target), i)
-    return index
+    steps = " ".join(f"WHEN {day} <= DATE '{t}' THEN {i}" for i, t in enumerate(targets))
+    return F.expr(f"CASE {steps} END")
 
 
 def asof_levels(df: DataFrame, keys: list[str], day: str, targets: list[date], payload: list[str]) -> DataFrame:
     """Per key ``_levels``: newest row of each interval, at most one entry per target."""
     newest = (
         df.filter(F.col(day) <= F.lit(targets[-1]))
-        .groupBy(*keys, interval_index(F.col(day), targets).alias("_i"))
+        .groupBy(*keys, interval_index(day, targets).alias("_i"))
         .agg(F.max(day).alias(day), *[F.max_by(c, day).alias(c) for c in payload])
     )
     return newest.groupBy(*keys).agg(F.array_sort(F.collect_list(F.struct("_i", day, *payload))).alias("_levels"))
@@ -60,16 +58,13 @@ def asof_prices(df: DataFrame, price: str, cutoffs: dict[date, dict[str, date]],
     position = {t: i for i, t in enumerate(targets)}
     names = list(next(iter(cutoffs.values())))
     # one small literal table (cut-off, position of each target), mapped in a single expression
-    wanted = F.array(
-        *[
-            F.struct(
-                F.lit(c).alias("cutoff"),
-                F.lit(position[c]).alias("current_price"),
-                *[F.lit(position[bases[n]]).alias(n) for n in names],
-            )
-            for c, bases in cutoffs.items()
-        ]
+    places = ", ".join(
+        f"named_struct('cutoff', DATE '{c}', 'current_price', {position[c]}, "
+        + ", ".join(f"'{n}', {position[bases[n]]}" for n in names)
+        + ")"
+        for c, bases in cutoffs.items()
     )
+    wanted = F.expr(f"array({places})")
     rows = F.transform(
         wanted,
         lambda w: F.struct(

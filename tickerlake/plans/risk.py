@@ -44,12 +44,10 @@ def benchmark_returns(bench: DataFrame, price: str = "close") -> DataFrame:
     )
 
 
-def _edges_passed(day: Column, edges: list[date]) -> Column:
+def _edges_passed(day: str, edges: list[date]) -> Column:
     """How many of the ascending edges are at or before ``day``; 0 for NULL."""
-    passed = F.when(day >= F.lit(edges[-1]), len(edges))
-    for i in range(len(edges) - 1, 0, -1):
-        passed = passed.when(day >= F.lit(edges[i - 1]), i)
-    return passed.otherwise(0)
+    steps = " ".join(f"WHEN {day} >= DATE '{e}' THEN {i}" for i, e in reversed(list(enumerate(edges, 1))))
+    return F.expr(f"CASE {steps} ELSE 0 END")
 
 
 def _window_starts(cutoffs: list[date], years: int) -> list[date]:
@@ -77,11 +75,11 @@ def daily_metrics(
     cells = (
         rows.withColumns(
             {
-                "j": interval_index(F.col("date"), cutoffs),
-                "in5": _edges_passed(F.col("date"), starts5),
-                "in3": _edges_passed(F.col("date"), starts3),
+                "j": interval_index("date", cutoffs),
+                "in5": _edges_passed("date", starts5),
+                "in3": _edges_passed("date", starts3),
                 # a return belongs to a window only when its base row does
-                "ret3": _edges_passed(F.col("prev"), starts3),
+                "ret3": _edges_passed("prev", starts3),
             }
         )
         .filter("j IS NOT NULL AND in5 > 0")
@@ -169,7 +167,7 @@ def monthly_metrics(pairs: DataFrame, cutoffs: list[date], months: int = 36) ->
     span = (cutoffs[-1].year - cutoffs[0].year) * 12 + cutoffs[-1].month - cutoffs[0].month
     # no earlier row can be among the last months of any cut-off
     recent = tail_n(pairs.filter(F.col("known_by") <= F.lit(cutoffs[-1])), ["symbol"], "month", months + span)
-    first = interval_index(F.col("known_by"), cutoffs)
+    first = interval_index("known_by", cutoffs)
     dated = recent.withColumn("k", F.explode(F.sequence(first, F.lit(len(cutoffs) - 1))))
     return tail_n(dated, ["symbol", "k"], "month", months).groupBy("symbol", "k").agg(*_captures())
 

@@ -258,8 +258,8 @@ def _(spark, sf):
     quotes.repartition(4, F.year("date")).write.option("header", True).csv(landing)
     schema = "symbol bigint, date date, adj_close double, volume bigint"
     stream = jobs.read_landing(spark, landing, schema, "csv", header=True, maxFilesPerTrigger=2)
-    jobs.stream_quotes_upsert(stream, path, scratch_path(spark, "eod-checkpoint")).awaitTermination()
-    return spark.read.schema(schema).parquet(path)
+    jobs.stream_quotes_upsert(stream, path, scratch_path(spark, "eod-checkpoint"), "month").awaitTermination()
+    return spark.read.parquet(path)
 
 
 @query("stream_usage_tumbling", "minute:t endpoint call_count:i avg_response_time:6", "api_calls",

@@ -49,7 +49,9 @@ def parse_lines(lines: DataFrame, line: str, columns: list[str]) -> DataFrame:
     """Cleaned lines to text columns named ``columns``, other columns kept."""
     cells = cl.normalised_cells(cl.clean_line(F.col(line), len(columns)), len(columns))
     kept = [c for c in lines.columns if c != line]
-    return lines.withColumn("_cells", cells).select(*kept, *[F.col("_cells")[i].alias(c) for i, c in enumerate(columns)])
+    # a one-element explode keeps later filters above the parsing, so a line is parsed once
+    parsed = lines.select(*kept, F.explode(F.array(cells)).alias("_cells"))
+    return parsed.select(*kept, *[F.col("_cells")[i].alias(c) for i, c in enumerate(columns)])
 
 
 def split_parsable(

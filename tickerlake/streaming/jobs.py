@@ -23,12 +23,17 @@ def _append(rows: DataFrame, path: str, checkpoint: str) -> StreamingQuery:
     )
 
 
-def stream_quotes_upsert(quotes: DataFrame, path: str, checkpoint: str) -> StreamingQuery:
-    """Replace by date: every date of a batch overwrites its partition, so a repeated batch changes nothing."""
+def stream_quotes_upsert(quotes: DataFrame, path: str, checkpoint: str, unit: str = "date") -> StreamingQuery:
+    """Replace by date: what a batch brings overwrites its partitions, so a repeated batch changes nothing.
+
+    ``unit`` is the span a landed file is complete for: ``date`` for daily dumps, ``month`` for a backfill
+    of whole months, which keeps the number of partitions small.
+    """
 
     def land(batch: DataFrame, _: int) -> None:
         keyed = dedupe_by_key(batch.filter("symbol IS NOT NULL"), ["symbol", "date"], [])
-        replace_partitions(keyed, path, "date")
+        rows = keyed if unit == "date" else keyed.withColumn(unit, F.trunc("date", unit))
+        replace_partitions(rows, path, unit)
 
     return quotes.writeStream.foreachBatch(land).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
 
