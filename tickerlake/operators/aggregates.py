@@ -7,6 +7,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tickerlake.functions.measures import clip_0_100, min_max_scale
+from tickerlake.operators.skew import join_unique
+from tickerlake.session import materialise
 
 
 def peer_count_having(peers: DataFrame, at_most: int = 3) -> DataFrame:
@@ -60,11 +62,12 @@ def minmax_normalise_universe(df: DataFrame, by: str, columns: list[str]) -> Dat
 
 def minmax_normalise_group(df: DataFrame, by: list[str], columns: list[str]) -> DataFrame:
     """Each column to 0..100 inside its group; flat groups give 50."""
+    df = materialise(df, "groups")
     extremes = df.groupBy(*by).agg(
         *[F.min(c).alias(f"_lo_{c}") for c in columns], *[F.max(c).alias(f"_hi_{c}") for c in columns]
     )
     scaled = {c: min_max_scale(F.col(c), F.col(f"_lo_{c}"), F.col(f"_hi_{c}")) for c in columns}
-    return df.join(extremes, by).withColumns(scaled).select(*df.columns)
+    return join_unique(df, extremes, by, columns[0]).withColumns(scaled).select(*df.columns)
 
 
 def ohlcv_daily(ticks: DataFrame, key: str, ts: str, price: str, volume: str, tie: str) -> DataFrame:
@@ -102,8 +105,9 @@ def daily_market_summary(rows: DataFrame, value: str) -> DataFrame:
 
 def category_average(rows: DataFrame, category: str, value: str) -> DataFrame:
     """Each row with its category's mean."""
+    rows = materialise(rows, "category")
     means = rows.groupBy(category).agg(F.avg(value).alias(f"{value}_category"))
-    return rows.join(means, category)
+    return join_unique(rows, means, [category], value)
 
 
 def exposure_by_dimension(holdings: DataFrame, fund: str, dimension: str, value: str) -> DataFrame:

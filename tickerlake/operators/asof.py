@@ -103,4 +103,5 @@ def asof_backward(days: DataFrame, series: DataFrame, value: str, out: str, keys
         Window.partitionBy(*keys).orderBy("date", "_side").rowsBetween(Window.unboundedPreceding, 0)
     )
     filled = merged.withColumn(out, carried).filter("_side = 1").select(*keys, "date", out)
-    return days.join(filled, [*keys, "date"], "left")
+    # a single series has one row per calendar day
+    return days.join(filled if keys else F.broadcast(filled), [*keys, "date"], "left")

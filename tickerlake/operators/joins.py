@@ -18,7 +18,7 @@ def semi_join_universe(rows: DataFrame, universe: DataFrame, key: str = "symbol"
 
 def filter_in_list(rows: DataFrame, wanted: DataFrame, key: str) -> DataFrame:
     """The ``IN (list)`` filter for lists of any length."""
-    return rows.join(wanted.select(key).distinct(), key, "left_semi")
+    return rows.join(wanted.select(key), key, "left_semi")
 
 
 def anti_join_existing(candidates: DataFrame, existing: DataFrame, keys: list[str]) -> DataFrame:
@@ -54,12 +54,13 @@ def peer_group_expand(peers: DataFrame, references: DataFrame) -> DataFrame:
     def tidy(name: str, df: DataFrame):
         return F.upper(F.trim(name)) if dict(df.dtypes)[name] == "string" else F.col(name)
 
-    refs = references.select(tidy("symbol", references).alias("ref")).filter("ref IS NOT NULL").distinct()
+    refs = references.select(tidy("symbol", references).alias("ref")).filter("ref IS NOT NULL")
+    # both inputs of the semi join come straight from a shuffle, so a hot reference is split adaptively
     edges = (
         peers.select(tidy("symbol", peers).alias("ref"), tidy("peer_symbol", peers).alias("symbol"))
         .filter("symbol IS NOT NULL AND cast(symbol AS string) <> '' AND symbol <> ref")
-        .distinct()
         .join(refs, "ref", "left_semi")
+        .distinct()
     )
     paired = edges.select("ref").distinct().select("ref", F.col("ref").alias("symbol"))
     return edges.unionByName(paired)

@@ -65,6 +65,7 @@ def cume_share(df: DataFrame, group: list[str], value: str, out: str) -> DataFra
 
 def quartile_percentile(df: DataFrame, group: list[str], value: str, key: str) -> DataFrame:
     """``quartile`` (ntile 4) and ``percentile`` (percent_rank) of ``value`` in its group; 1 is best."""
+    df = materialise(df, "ranked")
     ranked = rank_across(df, group, [F.col(value).desc(), F.col(key)], "_rn", total="_all")
     size, spare = F.floor(F.col("_all") / 4), F.col("_all") % 4
     # the first `spare` tiles hold one row more
@@ -72,10 +73,11 @@ def quartile_percentile(df: DataFrame, group: list[str], value: str, key: str) -
     tile = F.when(F.col("_rn") <= large, F.floor((F.col("_rn") - 1) / (size + 1))).otherwise(
         spare + F.floor(F.try_divide(F.col("_rn") - 1 - large, size))
     )
-    first = ranked.groupBy(*group, value).agg(F.min("_rn").alias("_first"))
+    above = F.col("n_all") - F.col("n_up_to")
+    ties = value_positions(df, group, value).select(*group, value, above.alias("_above"))
     return (
-        ranked.join(first, [*group, value])
+        ranked.join(ties, [*group, value])
         .withColumn("quartile", (tile + 1).cast("int"))
-        .withColumn("percentile", F.coalesce(F.try_divide(F.col("_first") - 1, F.col("_all") - 1), F.lit(0.0)))
-        .drop("_rn", "_all", "_first")
+        .withColumn("percentile", F.coalesce(F.try_divide(F.col("_above"), F.col("_all") - 1), F.lit(0.0)))
+        .drop("_rn", "_all", "_above")
     )

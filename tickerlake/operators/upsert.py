@@ -32,7 +32,7 @@ def upsert_update(target: DataFrame, updates: DataFrame, keys: list[str], order:
 
 def delete_then_append(target: DataFrame, updates: DataFrame, key: str = "record_id") -> DataFrame:
     """Drop target rows whose key is in the batch, then add the whole batch."""
-    return target.join(updates.select(key).distinct(), key, "left_anti").unionByName(updates)
+    return target.join(updates.select(key), key, "left_anti").unionByName(updates)
 
 
 def replace_by_date(target: DataFrame, batch: DataFrame, day: str = "date") -> DataFrame:

@@ -8,8 +8,10 @@ from pyspark.sql import functions as F
 from tickerlake.functions.measures import score_band
 from tickerlake.operators.aggregates import category_average, exposure_by_dimension
 from tickerlake.operators.ranking import quartile_percentile
+from tickerlake.operators.skew import join_unique
 from tickerlake.operators.timeseries import last_per_key, max_drawdown, price_performance, range_52_week
 from tickerlake.operators.topk import top_k
+from tickerlake.session import materialise
 
 SLOTS = [f"{c}{r}" for c in ("gainer", "loser") for r in range(1, 11)]
 ATTRIBUTES = ["symbol", "sector", "industry", "name", "price", "day_change", "week_change", "quarter_change", "ytd_change", "trend"]
@@ -56,11 +58,12 @@ def peer_pivot(peers: DataFrame, ranking: DataFrame, details: DataFrame, attribu
 
     ``ranking`` gives (symbol, score); ``details`` one row per symbol with the attributes.
     """
-    scored = peers.join(ranking.select(F.col("symbol").alias("peer_symbol"), "score"), "peer_symbol")
+    # described before the choice, so the edges are joined once
+    described = ranking.select("symbol", "score").join(details.select("symbol", *attributes), "symbol", "left")
+    scored = join_unique(materialise(peers, "edges"), described.withColumnRenamed("symbol", "peer_symbol"), ["peer_symbol"], "symbol")
     best = top_k(scored, ["symbol"], [F.col("score").desc(), F.col("peer_symbol")], n)
-    described = best.join(details.select(F.col("symbol").alias("peer_symbol"), *attributes), "peer_symbol", "left")
     shown = F.struct(F.col("peer_symbol").alias("symbol"), *attributes)
-    wide = described.groupBy("symbol").pivot("rank", list(range(1, n + 1))).agg(F.first(shown))
+    wide = best.groupBy("symbol").pivot("rank", list(range(1, n + 1))).agg(F.first(shown))
     return wide.select(
         "symbol", *[F.col(f"`{i}`.{a}").alias(f"p{i}_{a}") for i in range(1, n + 1) for a in ("symbol", *attributes)]
     )

@@ -14,6 +14,7 @@ from tickerlake.operators.asof import asof_latest_record, period_returns
 from tickerlake.operators.calendar import day_horizons
 from tickerlake.operators.joins import peer_group_expand
 from tickerlake.operators.ranking import rank_across, value_positions
+from tickerlake.operators.skew import join_unique
 from tickerlake.session import materialise
 
 RATIO_METRICS = [
@@ -68,7 +69,7 @@ def group_metrics(members: DataFrame, metrics: DataFrame, cutoffs: list[date]) -
 
 
 def subscores_minmax(rows: DataFrame, group: list[str], higher_better: dict[str, bool]) -> DataFrame:
-    """Directional 0..100 position of each metric in its group.
+    """Directional 0..100 position of each metric in its group; ``rows`` is a stored table.
 
     Fewer than two values: 50 for all. A flat range: 50. A missing value: 0.
     """
@@ -86,7 +87,8 @@ def subscores_minmax(rows: DataFrame, group: list[str], higher_better: dict[str,
             F.when(n < 2, 50.0).when(value.isNull(), 0.0).when(lo == hi, 50.0).otherwise(gap * 100 / (hi - lo))
         )
 
-    return rows.join(stats, group).withColumns({m: score(m) for m in metrics}).select(*rows.columns)
+    joined = join_unique(rows, stats, group, "symbol")
+    return joined.withColumns({m: score(m) for m in metrics}).select(*rows.columns)
 
 
 def subscores_percentile(rows: DataFrame, group: list[str], key: str, higher_better: dict[str, bool]) -> DataFrame:
@@ -133,13 +135,13 @@ def peer_scores_minmax(
     """(ref, symbol, cutoff, category, score, rank): min-max scores, normalised again inside each group."""
     members = peer_group_expand(peers, profile)
     rows = group_metrics(members, metric_frame(quotes, ratios, growth, cutoffs), cutoffs)
-    raw = category_scores(subscores_minmax(rows, ["ref", "cutoff"], HIGHER_BETTER), model)
+    raw = materialise(category_scores(subscores_minmax(rows, ["ref", "cutoff"], HIGHER_BETTER), model), "category-scores")
     names = [*model.categories, "Overall"]
     extremes = raw.groupBy("ref", "cutoff").agg(
         *[F.min(c).alias(f"_lo_{c}") for c in names], *[F.max(c).alias(f"_hi_{c}") for c in names]
     )
     scaled = {c: min_max_scale(F.col(c), F.col(f"_lo_{c}"), F.col(f"_hi_{c}")) for c in names}
-    return _ranked(raw.join(extremes, ["ref", "cutoff"]).withColumns(scaled), names)
+    return _ranked(join_unique(raw, extremes, ["ref", "cutoff"], "symbol").withColumns(scaled), names)
 
 
 def peer_scores_percentile(

@@ -16,6 +16,7 @@ from pyspark.sql import functions as F
 from tickerlake.functions.measures import cagr, daily_rate
 from tickerlake.operators.asof import asof_backward, interval_index
 from tickerlake.operators.joins import peer_group_expand
+from tickerlake.operators.skew import join_unique
 from tickerlake.operators.timeseries import by_date, month_last, tail_n
 from tickerlake.operators.upsert import upsert_update
 from tickerlake.session import materialise
@@ -222,7 +223,7 @@ def etf_group_scores(metrics: DataFrame, peers: DataFrame, profile: DataFrame) -
     def total(columns: list[str]) -> Column:
         return reduce(lambda a, b: a + b, [F.col(c) for c in columns])
 
-    scored = rows.join(stats, group).withColumns({c: points(c) for c in METRICS})
+    scored = join_unique(rows, stats, group, "symbol").withColumns({c: points(c) for c in METRICS})
     areas = {a: total(columns) / top * 100 for a, (columns, top) in AREAS.items()}
     scored = scored.withColumns({**areas, "total_score": total(METRICS)}).select(*group, "symbol", *AREAS, "total_score")
     names = [*AREAS, "total_score"]

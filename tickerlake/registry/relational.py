@@ -8,6 +8,7 @@ from tickerlake.operators import aggregates as agg, joins, nested, timeseries as
 from tickerlake.operators.ranking import cume_share
 from tickerlake.registry.core import query
 from tickerlake.registry.timeseries import LATEST, PERFORMANCE, WEEKLY, month_end_list, trend
+from tickerlake.session import materialise
 from tickerlake.sources import views as v
 
 # ---- joins
@@ -196,8 +197,8 @@ def _(spark, sf):
     from tickerlake.plans.peer_scores import subscores_minmax
 
     members = joins.peer_group_expand(v.peers(spark, sf), v.profile(spark, sf))
-    rows = members.join(
-        v.ratios(spark, sf).select("symbol", "date", "interest_coverage", "price_earnings_ratio"), "symbol")
+    rows = materialise(members.join(
+        v.ratios(spark, sf).select("symbol", "date", "interest_coverage", "price_earnings_ratio"), "symbol"), "members")
     return subscores_minmax(rows, ["ref", "date"], {"interest_coverage": True, "price_earnings_ratio": False})
 
 

@@ -63,10 +63,9 @@ def sink_truncate_selective(spark: SparkSession, tables: list[str], selected: li
 def replace_partitions(df: DataFrame, path: str, by: str = "date") -> None:
     """Overwrite only the partitions present in ``df``.
 
-    Rows are ranged first: a partition is written by one task, or by a few when it is large.
+    Rebalanced first: a partition is written by one task, or by several when it is large.
     """
-    rest = [c for c in df.columns if c != by][:1]
-    df.repartitionByRange(by, *rest).write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(by).parquet(path)
+    df.hint("rebalance", by).write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(by).parquet(path)
 
 
 def schema_evolve_widen(df: DataFrame, prefix: str = "growth") -> DataFrame:
@@ -105,8 +104,8 @@ def export_price_json(quotes: DataFrame, price: str = "adj_close") -> DataFrame:
 def write_time_partitioned(df: DataFrame, path: str, day: str = "date", key: str = "symbol", buckets: int = 16) -> DataFrame:
     """Year folders, each split by a hash of the key: a year and key filter reads one folder and one file group."""
     laid_out = df.withColumn("year", F.year(day)).withColumn("key_bucket", F.pmod(F.hash(key), F.lit(buckets)))
-    # ranges stay balanced when one key is hot: its days are split over several writers
-    spread = laid_out.repartitionByRange("year", "key_bucket", key, day)
+    # adaptive rebalancing splits a folder with a hot key over several writers and merges small ones
+    spread = laid_out.hint("rebalance", "year", "key_bucket")
     spread.sortWithinPartitions("year", "key_bucket", key, day).write.mode("overwrite").partitionBy(
         "year", "key_bucket"
     ).parquet(path)
@@ -116,8 +115,10 @@ def write_time_partitioned(df: DataFrame, path: str, day: str = "date", key: str
 def write_bucketed(df: DataFrame, table: str, key: str = "symbol", buckets: int = 16) -> DataFrame:
     """Bucketed and sorted by key, so joins and aggregates on the key need no shuffle."""
     path = scratch_path(df.sparkSession, table)
+    # rows are brought together by the bucket id Spark will use, a large bucket over several writers
+    placed = df.withColumn("_bucket", F.pmod(F.hash(key), F.lit(buckets))).hint("rebalance", "_bucket").drop("_bucket")
     (
-        df.write.mode("overwrite").option("path", path).format("parquet")
+        placed.write.mode("overwrite").option("path", path).format("parquet")
         .bucketBy(buckets, key).sortBy(key).saveAsTable(table)
     )
     return df.sparkSession.table(table)
