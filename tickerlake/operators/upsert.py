@@ -13,8 +13,8 @@ def dedupe_by_key(df: DataFrame, keys: list[str], order: list[str | Column]) ->
 
     ``row_number = 1`` is pushed below the shuffle: each task sends one row per key at most.
     """
-    rest = [F.col(c) for c in df.columns if c not in keys]
-    first = Window.partitionBy(*keys).orderBy(*[F.col(o) if isinstance(o, str) else o for o in order], *rest, F.lit(0))
+    rest = [F.col(c) for c in df.columns if c not in keys] or [F.col(keys[0])]
+    first = Window.partitionBy(*keys).orderBy(*[F.col(o) if isinstance(o, str) else o for o in order], *rest)
     return df.withColumn("_rn", F.row_number().over(first)).filter("_rn = 1").drop("_rn")
 
 
