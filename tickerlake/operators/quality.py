@@ -47,8 +47,10 @@ def price_rules(prices: list[str], volume: str, split: str | None = None) -> dic
 
 def under_seeded_tables(tables: dict[str, DataFrame], minimums: dict[str, int]) -> DataFrame:
     """Tables whose count is below the minimum; a table that is not there counts 0."""
-    spark = next(iter(tables.values())).sparkSession
+    spark = SparkSession.getActiveSession()
     wanted = spark.createDataFrame(list(minimums.items()), "table string, minimum bigint")
+    if not tables:
+        return wanted.withColumn("rows", F.lit(0).cast("bigint"))
     counts = table_row_counts(tables)
     return (
         wanted.join(counts, "table", "left")

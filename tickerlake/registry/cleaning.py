@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from tickerlake.functions import cleaning as cl
 from tickerlake.functions.naming import lower_columns, snake_columns
-from tickerlake.operators import joins, quality, upsert
+from tickerlake.operators import joins, quality, universe, upsert
 from tickerlake.registry.core import query
 from tickerlake.sources import files, views as v
 
@@ -159,17 +159,18 @@ def _(spark, sf):
 
 @query("screener_filter", "symbol", "company",
        """SELECT DISTINCT symbol FROM company WHERE sector IN ('BUILDING', 'MACHINERY') AND currency = 'USD' AND mkt_cap > 1000
-       ORDER BY symbol LIMIT 500""")
+       AND symbol % 4 <> 0 ORDER BY symbol LIMIT 500""")
 def _(spark, sf):
-    listed = v.company(spark, sf).filter(
-        F.col("sector").isin("BUILDING", "MACHINERY") & (F.col("currency") == "USD") & (F.col("mkt_cap") > 1000)
-    )
-    return listed.select("symbol").distinct().orderBy("symbol").limit(500)
+    cap = F.col("mkt_cap")
+    listed = v.company(spark, sf).select(
+        "symbol", F.col("sector").alias("exchange_short_name"), F.col("currency").alias("country"), cap.alias("price"),
+        cap.alias("vol_avg"), F.lit(False).alias("is_etf"), (F.col("symbol") % 4 != 0).alias("is_actively_trading"))
+    return universe.screener_filter(listed, ["BUILDING", "MACHINERY"], "USD", 1, 1000, limit=500)
 
 
 @query("etf_profile_filter", "symbol name price:6", "etf_profile", "SELECT * FROM etf_profile WHERE price > 1 AND aum > 1000")
 def _(spark, sf):
-    return v.etf_profile(spark, sf).filter("price > 1 AND aum > 1000")
+    return universe.etf_profile_filter(v.etf_profile(spark, sf), "aum", 1, 1000)
 
 
 @query("as_of_date_filter", "symbol date:d adj_close:6", "quotes", "SELECT * FROM quotes WHERE date <= DATE '1998-06-30'")

@@ -91,3 +91,29 @@ FUND_SEED_EXCEPTIONS = {
 
 def struct_of(names: list[str], to: str = "string") -> T.StructType:
     return T.StructType([T.StructField(n, T.StringType() if to == "string" else T.DoubleType()) for n in names])
+
+# Smallest row count of a table that counts as loaded.
+SEED_MINIMUMS = {
+    "equity_profile": 4_000, "equity_income": 270_000, "equity_balance": 260_000, "equity_cashflow": 260_000,
+    "equity_earnings": 250_000, "equity_peers": 25_000, "equity_financial_ratio": 275_000, "equity_key_metrics": 275_000,
+    "equity_financial_scores": 4_000, "etfs_profile": 1_500, "etfs_peers": 5_000, "etfs_data": 700_000,
+    "equity_balance_growth": 200_000, "equity_cashflow_growth": 200_000, "equity_financial_growth": 200_000,
+    "equity_income_growth": 200_000, "equity_quotes": 10_000_000, "etfs_quotes": 500_000, "fund_general": 2_000,
+    "benchmark_general": 100, "fund_daily_nav": 100_000, "instrument_identifier": 5_000, "fund_performance_summary": 10_000,
+    "fund_allocation": 10_000, "fund_expenses": 10_000, "fund_yearly_performance": 10_000, "fund_quotes": 100_000,
+    **{
+        t: 100
+        for t in (
+            "benchmark_yearly_performance fund_advanced_performance fund_assets fund_associate_benchmark fund_distribution "
+            "fund_equity_style fund_fixed_income_style fund_loads fund_other_fees fund_risk_yearly_performance "
+            "fund_top_holdings fund_trailer_schedule fund_yearly_performance_ranking"
+        ).split()
+    },
+}
+CRITICAL_MINIMUMS = {
+    t: SEED_MINIMUMS[t]
+    for t in (
+        "equity_profile equity_quotes equity_balance_growth equity_cashflow_growth equity_financial_growth "
+        "equity_income_growth etfs_quotes"
+    ).split()
+}

@@ -48,6 +48,11 @@ def sink_replace(df: DataFrame, table: str, root: str | None = None) -> DataFram
     spark = df.sparkSession
     path = f"{root.rstrip('/')}/{table}" if root else scratch_path(spark, table)
     df.write.mode("errorifexists").parquet(path)
+    if spark.catalog.tableExists(table) and spark.table(table).dtypes == df.dtypes:
+        # one catalogue change: readers see the old version or the new one
+        spark.sql(f"ALTER TABLE {table} SET LOCATION '{path}'")
+        spark.catalog.refreshTable(table)
+        return spark.table(table)
     spark.sql(f"DROP TABLE IF EXISTS {table}")
     return spark.catalog.createTable(table, path=path, source="parquet", schema=df.schema)
 
