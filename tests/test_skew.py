@@ -27,8 +27,16 @@ def test_rank_across_equals_sort(hot):
         assert [got[r[1]] for r in members] == [(i, len(members)) for i in range(1, len(members) + 1)]
 
 
-def test_rank_across_splits_the_hot_group(hot):
-    ranked = ranking.rank_across(hot[1], ["g"], [F.col("v"), F.col("id")], "rank")
+def test_rank_across_splits_the_hot_group(hot, spark):
+    # small slices are not merged here
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        ranked = ranking.rank_across(hot[1], ["g"], [F.col("v").desc(), F.col("id")], "rank")
+        got = sorted(tuple(r) for r in ranked.collect())
+    finally:
+        spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "true")
+    merged = ranking.rank_across(hot[1], ["g"], [F.col("v").desc(), F.col("id")], "rank")
+    assert got == sorted(tuple(r) for r in merged.collect())
     source = ranked.inputFiles()
     slices = ranked.sparkSession.read.parquet(*source).filter("g = 'hot'").select("_slice").distinct().count()
     assert slices > 1

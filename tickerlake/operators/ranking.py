@@ -20,9 +20,9 @@ def running_total(
 
     ``order`` must be a total order inside a group. ``total`` optionally adds the group's full sum.
     """
-    slices = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     value = F.col(weight) if weight else F.lit(1).cast("bigint")
-    spread = df.repartitionByRange(slices, *group, *order).withColumn("_slice", F.spark_partition_id())
+    # no number is given, so small inputs are merged into few slices; merging keeps their order
+    spread = df.repartitionByRange(*group, *order).withColumn("_slice", F.spark_partition_id())
     # written once: the slice numbers must be the same for both uses below
     spread = materialise(spread, "slices")
     per_slice = spread.groupBy(*group, "_slice").agg(F.sum(value).alias("_sum"))

@@ -34,12 +34,14 @@ def charts(quotes: DataFrame, statements: DataFrame, values: dict[str, str]) ->
     return prices.join(others, "symbol", "left")
 
 
-def equity_page(profile: DataFrame, quotes: DataFrame, ratios: DataFrame, scores: DataFrame) -> DataFrame:
+def equity_page(
+    profile: DataFrame, quotes: DataFrame, ratios: DataFrame, scores: DataFrame, composite: str = "composite"
+) -> DataFrame:
     """Profile, price changes, newest statement and newest scores with their text bands.
 
     ``scores`` is the universe score table (symbol, date, score_type, score).
     """
-    types = ["growth", "valuation", "financial_strength", "profitability", "performance", "buckler"]
+    types = ["growth", "valuation", "financial_strength", "profitability", "performance", composite]
     newest = scores.groupBy("symbol", "score_type").agg(F.max_by("score", "date").cast("double").alias("score"))
     wide = newest.groupBy("symbol").pivot("score_type", types).agg(F.first("score"))
     named = wide.select(

@@ -90,17 +90,20 @@ def raw_scores(
 
 def universe_scores(
     quotes: DataFrame, ratios: DataFrame, growth: DataFrame, key_metrics: DataFrame, peers: DataFrame,
-    profile: DataFrame, cutoffs: list[date],
+    profile: DataFrame, cutoffs: list[date], composite: str = "composite",
 ) -> DataFrame:
-    """(symbol, date, score_type, score, rank) of the profile's symbols, ranked among profile and peers."""
+    """(symbol, date, score_type, score, rank) of the profile's symbols, ranked among profile and peers.
+
+    ``composite`` names the score type of the mean of the five.
+    """
     universe = union_universe(profile, peers).withColumn("cutoff", F.explode(F.array(*[F.lit(c) for c in cutoffs])))
     raw = universe.join(raw_scores(quotes, ratios, growth, key_metrics, cutoffs), KEY, "left")
     # read by two rounds of extremes and the result: written once
     raw = materialise(raw, "raw-scores")
     norms = minmax_normalise_universe(raw, "cutoff", RAW)
-    composite = norms.withColumn("buckler", mean_of(*[F.col(c) for c in RAW]))
-    final = minmax_normalise_universe(composite, "cutoff", ["buckler"])
-    types = F.array(*[F.struct(F.lit(t).alias("score_type"), F.col(t).alias("score")) for t in [*RAW, "buckler"]])
+    averaged = norms.withColumn(composite, mean_of(*[F.col(c) for c in RAW]))
+    final = minmax_normalise_universe(averaged, "cutoff", [composite])
+    types = F.array(*[F.struct(F.lit(t).alias("score_type"), F.col(t).alias("score")) for t in [*RAW, composite]])
     long = final.select("symbol", F.col("cutoff").alias("date"), F.inline(types))
     ranked = rank_across(long, ["date", "score_type"], [F.col("score").desc_nulls_last(), F.col("symbol")], "rank")
     listed = ranked.join(profile.select("symbol"), "symbol", "left_semi")

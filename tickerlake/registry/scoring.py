@@ -202,12 +202,12 @@ def _norm(c: str) -> str:
 
 
 UNIVERSE = f"""{AT}, {RAW_ROWS}, norms AS (SELECT symbol, cutoff, {', '.join(_norm(c) for c in us.RAW)} FROM raw
-    WINDOW d AS (PARTITION BY cutoff)), composite AS (SELECT *, {_mean(*us.RAW)} AS buckler FROM norms),
-    final AS (SELECT symbol, cutoff, {', '.join(us.RAW)}, {_norm('buckler')} FROM composite WINDOW d AS (PARTITION BY cutoff)),
+    WINDOW d AS (PARTITION BY cutoff)), averaged AS (SELECT *, {_mean(*us.RAW)} AS composite FROM norms),
+    final AS (SELECT symbol, cutoff, {', '.join(us.RAW)}, {_norm('composite')} FROM averaged WINDOW d AS (PARTITION BY cutoff)),
     scores AS (SELECT symbol, date, score_type, round(score, 2) AS score, rank FROM (SELECT symbol, cutoff AS date, score_type, score,
     row_number() OVER (PARTITION BY cutoff, score_type ORDER BY score DESC NULLS LAST, symbol) AS rank FROM
     (""" + " UNION ALL ".join(
-    f"SELECT symbol, cutoff, '{c}' AS score_type, {c} AS score FROM final" for c in [*us.RAW, "buckler"]) + """))
+    f"SELECT symbol, cutoff, '{c}' AS score_type, {c} AS score FROM final" for c in [*us.RAW, "composite"]) + """))
     WHERE symbol IN (SELECT symbol FROM profile))"""
 UNIVERSE_VIEWS = "quotes profile peers ratios growth key_metrics"
 

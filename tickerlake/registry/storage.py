@@ -422,15 +422,15 @@ BAND = "CASE WHEN {c} < 20 THEN 'Very weak' WHEN {c} < 40 THEN 'Weak' WHEN {c} <
 
 
 @query("equity_page", "symbol company_name sector price:6 ytd_change:6 low_52_week:6 high_52_week:6 statement_date:d current_ratio:6 "
-       "growth_score:2 buckler_score:2 growth_score_txt buckler_score_txt", UNIVERSE_VIEWS,
+       "growth_score:2 composite_score:2 growth_score_txt composite_score_txt", UNIVERSE_VIEWS,
        f"""SELECT p.symbol, company_name, sector, f.price, f.ytd_change, low_52_week, high_52_week, statement_date, current_ratio,
-       growth_score, buckler_score, {BAND.format(c='growth_score')} AS growth_score_txt, {BAND.format(c='buckler_score')} AS buckler_score_txt
+       growth_score, composite_score, {BAND.format(c='growth_score')} AS growth_score_txt, {BAND.format(c='composite_score')} AS composite_score_txt
        FROM profile p LEFT JOIN perf f ON p.symbol = f.symbol LEFT JOIN (SELECT q.symbol, min(adj_close) AS low_52_week,
        max(adj_close) AS high_52_week FROM quotes q JOIN latest l ON q.symbol = l.symbol WHERE date > latest - INTERVAL 365 DAY GROUP BY 1) w
        ON p.symbol = w.symbol LEFT JOIN (SELECT symbol, date AS statement_date, current_ratio FROM ratios
        QUALIFY row_number() OVER (PARTITION BY symbol ORDER BY date DESC) = 1) r ON p.symbol = r.symbol
        LEFT JOIN (SELECT symbol, arg_max(score, date) FILTER (score_type = 'growth') AS growth_score,
-       arg_max(score, date) FILTER (score_type = 'buckler') AS buckler_score FROM scores GROUP BY 1) s ON p.symbol = s.symbol""",
+       arg_max(score, date) FILTER (score_type = 'composite') AS composite_score FROM scores GROUP BY 1) s ON p.symbol = s.symbol""",
        f"{UNIVERSE}, {LATEST}, perf AS ({PERFORMANCE})")
 def _(spark, sf):
     return pages.equity_page(v.profile(spark, sf), v.quotes(spark, sf), v.ratios(spark, sf), _universe(spark, sf))
