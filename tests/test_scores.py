@@ -107,6 +107,24 @@ def test_fund_metrics_match_the_definition(spark):
     assert got["F", cutoffs[0]]["mer"] == 0.1 and got["G", cutoffs[0]]["ter"] is None
 
 
+def test_benchmark_on_fund_days(spark):
+    fund = _series(6, 1900, gap=set(range(0, 1900, 5)))
+    bench = _series(7, 1900)
+    cutoff = date(2024, 1, 31)
+    quotes = spark.createDataFrame([("F", d.date(), float(p)) for d, p in fund.items()], "symbol string, date date, adj_close double")
+    b = spark.createDataFrame([(d.date(), float(p)) for d, p in bench.items()], "date date, close double")
+    rates = spark.createDataFrame([(date(2019, 1, 1), 2.52)], "date date, month3 double")
+    expenses = spark.createDataFrame([("F", 0.1)], "symbol string, expense_ratio double")
+    [row] = risk.etf_metrics(quotes, b, rates, expenses, [cutoff], fund_days=True).collect()
+    stamp = pd.Timestamp(cutoff)
+    ret = fund[stamp - pd.Timedelta(days=1096):stamp].pct_change().dropna()
+    ret, mkt = ret.align(bench.loc[ret.index].pct_change().dropna(), join="inner")
+    beta = np.polyfit(mkt, ret, 1)[0]
+    assert row.beta == pytest.approx(beta, rel=1e-6)
+    assert row.std_dev == pytest.approx(ret.std() * 252**0.5, rel=1e-6)
+    assert row.alpha == pytest.approx(((ret.mean() - 1e-4) - beta * (mkt.mean() - 1e-4)) * 252, rel=1e-6)
+
+
 def test_too_little_history_gives_no_row(spark):
     fund = _series(4, 300, start=date(2023, 1, 1))
     quotes = spark.createDataFrame([("F", d.date(), float(p)) for d, p in fund.items()], "symbol string, date date, adj_close double")

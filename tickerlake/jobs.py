@@ -84,13 +84,16 @@ def boost_peers(spark: SparkSession) -> None:
 def daily_reports(spark: SparkSession, members: DataFrame | None = None) -> None:
     """Index performance, market pages, sector leaders and the day's top ten.
 
-    ``members`` lists (parent_symbol, symbol) of the broad indexes; sector funds take their sector's companies.
+    ``members`` lists (parent_symbol, symbol) of the broad indexes; sector funds take their sector's companies,
+    the Toronto fund its fixed list.
     """
     quotes, market_quotes = spark.table("equity_quotes"), spark.table("market_sector_quotes")
     profile = spark.table("equity_profile")
     symbols = spark.createDataFrame([(s,) for s in [*market.INDEX_SYMBOLS, *market.SECTOR_FUNDS]], "symbol string")
     sink_replace(market.index_performance(market_quotes, symbols), "index_performance")
-    constituents = constituents_expand(market.SECTOR_FUNDS, profile, members)
+    toronto = market.toronto_members(spark)
+    listed = toronto if members is None else toronto.unionByName(members.select("parent_symbol", "symbol"))
+    constituents = constituents_expand(market.SECTOR_FUNDS, profile, listed)
     pages = market.market_pages(quotes, market_quotes, profile, constituents, market.SECTOR_FUNDS)
     sink_replace(pages, "market_sector_pages_performance")
     sink_replace(market.sector_top_holdings(profile, quotes), "sector_top_holdings")

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tickerlake.operators.timeseries import latest_trend, price_performance
@@ -15,11 +15,22 @@ SECTOR_FUNDS = {
     "XLC": "Communication Services", "XLP": "Consumer Defensive",
 }
 INDEX_SYMBOLS = ["XIU.TO", "^GSPC", "QQQ", "DIA", "SPY"]
+# Members of the Toronto index fund, without the exchange suffix.
+TORONTO_MEMBERS = (
+    "AEM AQN ATD BMO BNS ABX BCE BAM BN BIP-UN CAE CCO CAR-UN CM CNR CNQ CP CTC-A CCL-B CVE GIB-A CSU DOL EMA ENB FM "
+    "FSV FTS FNV WPM GIL H IMO IFC K L MG MFC MRU NA NTR OTEX PPL POW QSR RCI-B RY SAP SHOP SLF SU TRP TECK-B T TRI TD "
+    "TOU WCN WSP"
+).split()
 
 CHANGES = ["price", "day_change", "week_change", "quarter_change", "ytd_change"]
 PAGE = ["parent_symbol", "symbol", "type", "category", "rank", "sector", "industry", "name", *CHANGES, "trend"]
 
 
+def toronto_members(spark: SparkSession) -> DataFrame:
+    """(parent_symbol, symbol) of the Toronto index fund."""
+    return spark.createDataFrame([("XIU.TO", f"{s}.TO") for s in TORONTO_MEMBERS], "parent_symbol string, symbol string")
+
+
 def performance_with_trend(quotes: DataFrame, basis: str) -> DataFrame:
     trend = latest_trend(quotes, basis=basis).select("symbol", "trend")
     return price_performance(quotes).join(trend, "symbol").select("symbol", *CHANGES, "trend")

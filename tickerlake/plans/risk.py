@@ -37,12 +37,11 @@ AREAS = {
 
 def benchmark_returns(bench: DataFrame, price: str = "close") -> DataFrame:
     """Daily relative change of the one benchmark series (a row per calendar day, so one small window)."""
-    days = Window.orderBy("date")
-    return (
-        bench.withColumn("bench_ret", F.try_divide(F.col(price), F.lag(price).over(days)) - 1)
-        .filter(F.col("bench_ret").isNotNull())
-        .select("date", "bench_ret")
-    )
+    return _with_change(bench, price).filter(F.col("bench_ret").isNotNull()).select("date", "bench_ret")
+
+
+def _with_change(bench: DataFrame, price: str) -> DataFrame:
+    return bench.withColumn("bench_ret", F.try_divide(F.col(price), F.lag(price).over(Window.orderBy("date"))) - 1)
 
 
 def _edges_passed(day: str, edges: list[date]) -> Column:
@@ -55,12 +54,27 @@ def _window_starts(cutoffs: list[date], years: int) -> list[date]:
     return [c - timedelta(days=365 * years + 1) for c in cutoffs]
 
 
+def _on_fund_days(rows: DataFrame) -> DataFrame:
+    """The benchmark's change between the fund's own return days instead of between its own days."""
+    valid = F.col("ret").isNotNull() & F.col("close").isNotNull()
+    earlier = by_date().rowsBetween(Window.unboundedPreceding, -1)
+    close = F.last(F.when(valid, F.col("close")), ignorenulls=True).over(earlier)
+    base = F.last(F.when(valid, F.col("prev")), ignorenulls=True).over(earlier)
+    change = F.when(valid, F.try_divide(F.col("close"), close) - 1)
+    return rows.withColumns({"bench_ret": change, "base": base})
+
+
 def daily_metrics(
-    quotes: DataFrame, bench: DataFrame, rates: DataFrame, cutoffs: list[date], price: str = "adj_close", rate: str = "month3"
+    quotes: DataFrame, bench: DataFrame, rates: DataFrame, cutoffs: list[date], price: str = "adj_close", rate: str = "month3",
+    fund_days: bool = False,
 ) -> DataFrame:
-    """Per fund and cut-off position: growth over 5 and 3 years, and the daily figures against the benchmark."""
+    """Per fund and cut-off position: growth over 5 and 3 years, and the daily figures against the benchmark.
+
+    ``fund_days`` takes the benchmark's changes between the days the fund has returns on.
+    """
     market = asof_backward(
-        benchmark_returns(bench), rates.select("date", daily_rate(F.col(rate)).alias("_rate")), "_rate", "rf"
+        _with_change(bench.select("date", "close"), "close"),
+        rates.select("date", daily_rate(F.col(rate)).alias("_rate")), "_rate", "rf",
     )
     before = F.lag("date").over(by_date())
     rows = (
@@ -69,6 +83,7 @@ def daily_metrics(
         # the benchmark and its rates have one row per calendar day
         .join(F.broadcast(market), "date", "left")
     )
+    rows = _on_fund_days(rows) if fund_days else rows.withColumn("base", F.col("prev"))
     starts5, starts3 = _window_starts(cutoffs, 5), _window_starts(cutoffs, 3)
     x = F.when(F.col("ret").isNotNull(), F.col("bench_ret"))
     y = F.when(F.col("bench_ret").isNotNull(), F.col("ret"))
@@ -80,7 +95,7 @@ def daily_metrics(
                 "in5": _edges_passed("date", starts5),
                 "in3": _edges_passed("date", starts3),
                 # a return belongs to a window only when its base row does
-                "ret3": _edges_passed("prev", starts3),
+                "ret3": _edges_passed("base", starts3),
             }
         )
         .filter("j IS NOT NULL AND in5 > 0")
@@ -142,8 +157,11 @@ def monthly_pairs(quotes: DataFrame, bench: DataFrame, price: str = "adj_close")
     )
 
 
-def _captures(inside: Column | None = None, suffix: str = "") -> list[Column]:
-    """Months, batting average and capture ratios over the rows where ``inside`` holds."""
+def _captures(inside: Column | None = None, suffix: str = "", empty: float = 50.0) -> list[Column]:
+    """Months, batting average and capture ratios over the rows where ``inside`` holds.
+
+    ``empty`` is the capture ratio when the market had no month of that side.
+    """
 
     def when(condition: Column, value: Column) -> Column:
         return F.when(condition if inside is None else condition & inside, value)
@@ -152,7 +170,7 @@ def _captures(inside: Column | None = None, suffix: str = "") -> list[Column]:
 
     def capture(side: Column) -> Column:
         ratio = F.try_divide(F.avg(when(side, fund)), F.avg(when(side, market))) * 100
-        return F.coalesce(ratio, F.lit(50.0))
+        return F.coalesce(ratio, F.lit(empty))
 
     every = F.lit(True)
     return [
@@ -163,14 +181,14 @@ def _captures(inside: Column | None = None, suffix: str = "") -> list[Column]:
     ]
 
 
-def monthly_metrics(pairs: DataFrame, cutoffs: list[date], months: int = 36) -> DataFrame:
+def monthly_metrics(pairs: DataFrame, cutoffs: list[date], months: int = 36, empty: float = 50.0) -> DataFrame:
     """Batting average and capture ratios over the last ``months`` months at each cut-off position (month ends)."""
     span = (cutoffs[-1].year - cutoffs[0].year) * 12 + cutoffs[-1].month - cutoffs[0].month
     # no earlier row can be among the last months of any cut-off
     recent = tail_n(pairs.filter(F.col("known_by") <= F.lit(cutoffs[-1])), ["symbol"], "month", months + span)
     first = interval_index("known_by", cutoffs)
     dated = recent.withColumn("k", F.explode(F.sequence(first, F.lit(len(cutoffs) - 1))))
-    return tail_n(dated, ["symbol", "k"], "month", months).groupBy("symbol", "k").agg(*_captures())
+    return tail_n(dated, ["symbol", "k"], "month", months).groupBy("symbol", "k").agg(*_captures(empty=empty))
 
 
 def capture_by_horizon(pairs: DataFrame, years: tuple[int, ...] = (1, 3, 5, 10)) -> DataFrame:
@@ -183,12 +201,12 @@ def capture_by_horizon(pairs: DataFrame, years: tuple[int, ...] = (1, 3, 5, 10))
 
 def etf_metrics(
     quotes: DataFrame, bench: DataFrame, rates: DataFrame, expenses: DataFrame, cutoffs: list[date],
-    min_rows_5y: int = 900, min_rows_3y: int = 252, min_months: int = 12,
+    min_rows_5y: int = 900, min_rows_3y: int = 252, min_months: int = 12, fund_days: bool = False, empty_capture: float = 50.0,
 ) -> DataFrame:
     """All metrics per fund and cut-off with enough history; computed once per fund, not once per group."""
-    daily = daily_metrics(quotes, bench, rates, cutoffs)
+    daily = daily_metrics(quotes, bench, rates, cutoffs, fund_days=fund_days)
     enough = daily.filter((F.col("n5") >= min_rows_5y) & (F.col("n3") >= min_rows_3y) & (F.col("m") >= 2))
-    monthly = monthly_metrics(monthly_pairs(quotes, bench), cutoffs).filter(F.col("months") >= min_months)
+    monthly = monthly_metrics(monthly_pairs(quotes, bench), cutoffs, empty=empty_capture).filter(F.col("months") >= min_months)
     labels = F.array(*[F.lit(c) for c in cutoffs])
     return (
         enough.join(monthly, ["symbol", "k"])

@@ -479,8 +479,8 @@ def _(spark, sf):
 
 
 @query("explode_array_index", "identifier label:2 array_source_field array_element_index:i value:5",
-       sql="""SELECT vec_id AS identifier, label, 'embedding' AS array_source_field, i - 1 AS array_element_index,
-       CAST(embedding[i] AS DOUBLE) AS value FROM embeddings, range(1, 1025) AS r(i) WHERE i <= len(embedding)""")
+       sql="""SELECT vec_id AS identifier, label, 'embedding' AS array_source_field,
+       generate_subscripts(embedding, 1) - 1 AS array_element_index, CAST(unnest(embedding) AS DOUBLE) AS value FROM embeddings""")
 def _(spark, sf):
     rows = nested.explode_array_index(v.table(spark, sf, "embeddings"), "vec_id", numeric=["label"])
     return rows.withColumn("value", F.col("array_element_value").try_cast("float"))

@@ -146,6 +146,20 @@ def _(spark, sf):
     return _metrics(spark, sf)
 
 
+# the benchmark's changes between the fund's own return days
+FUND_DAYS = METRICS_AT.replace(
+    "FROM slice JOIN bench_rf USING (date) WHERE ret IS NOT NULL GROUP BY 1, 2",
+    """FROM (SELECT s.symbol, s.cutoff, s.date, ret, rf, b.close / lag(b.close) OVER (PARTITION BY s.symbol, s.cutoff ORDER BY s.date) - 1
+        AS bench_ret FROM slice s JOIN bench b USING (date) ASOF LEFT JOIN (SELECT date AS rate_date, month3 / 100 / 252 AS rf FROM treasury)
+        t ON s.date >= t.rate_date WHERE ret IS NOT NULL) WHERE bench_ret IS NOT NULL GROUP BY 1, 2""")
+
+
+@query("etf_metrics_fund_days", METRICS_OUT, RISK_VIEWS, "SELECT * FROM metrics", FUND_DAYS)
+def _(spark, sf):
+    dates = month_end_list(spark, sf, cal.month_ends_up_to)
+    return risk.etf_metrics(*_risk_inputs(spark, sf), dates, MIN_5Y, MIN_3Y, MIN_MONTHS, fund_days=True)
+
+
 def _points(c: str) -> str:
     position = f"({c} - min({c}) OVER g) / (max({c}) OVER g - min({c}) OVER g)"
     directed = f"1 - {position}" if c in risk.LOWER_BETTER else position
