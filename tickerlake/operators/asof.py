@@ -13,6 +13,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tickerlake.functions.measures import percent_change
+from tickerlake.operators.calendar import date_array
 
 
 def interval_index(day: str, targets: list[date]) -> Column:
@@ -38,8 +39,8 @@ def level_at(index) -> Column:
 
 def asof_latest_record(df: DataFrame, keys: list[str], day: str, cutoffs: list[date], payload: list[str]) -> DataFrame:
     """The newest row per key at or before each cut-off. A NULL in that row stays NULL."""
-    cutoff_list = F.array(*[F.struct(F.lit(c).alias("cutoff"), F.lit(i).alias("at")) for i, c in enumerate(cutoffs)])
-    found = F.transform(cutoff_list, lambda c: F.struct(c["cutoff"].alias("cutoff"), level_at(c["at"]).alias("_r")))
+    # transform hands the position along with the cut-off
+    found = F.transform(date_array(cutoffs), lambda c, i: F.struct(c.alias("cutoff"), level_at(i).alias("_r")))
     return (
         asof_levels(df, keys, day, cutoffs, payload)
         .select(*keys, F.inline(found))

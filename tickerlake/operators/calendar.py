@@ -34,6 +34,11 @@ def month_ends_up_to(as_of: Column, n: int = 12) -> Column:
     )
 
 
+def date_array(days: list[date]) -> Column:
+    """The dates as one literal array, parsed in a single call."""
+    return F.expr("array(" + ", ".join(f"DATE '{d}'" for d in days) + ")")
+
+
 def latest_date(df: DataFrame, column: str = "date") -> date:
     """One scalar on the driver: the default "today" of every job."""
     return df.agg(F.max(column)).first()[0]

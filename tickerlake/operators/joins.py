@@ -26,6 +26,17 @@ def anti_join_existing(candidates: DataFrame, existing: DataFrame, keys: list[st
     return candidates.join(existing.select(*keys), keys, "left_anti")
 
 
+def merge_frames(frames: list[DataFrame], keys: list[str]) -> DataFrame:
+    """Full outer join of frames with one row per key and distinct other columns.
+
+    A union and one aggregate: a single shuffle, where a chain of full joins would shuffle again at every step.
+    """
+    stacked = frames[0]
+    for frame in frames[1:]:
+        stacked = stacked.unionByName(frame, allowMissingColumns=True)
+    return stacked.groupBy(*keys).agg(*[F.max(c).alias(c) for c in stacked.columns if c not in keys])
+
+
 def merge_right_biased(left: DataFrame, right: DataFrame, key: str = "symbol") -> DataFrame:
     """Columns of both sides for keys present in both; the right side wins on shared names."""
     own = [c for c in left.columns if c == key or c not in right.columns]

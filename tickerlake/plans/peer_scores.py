@@ -11,8 +11,8 @@ from pyspark.sql import functions as F
 
 from tickerlake.functions.measures import min_max_scale
 from tickerlake.operators.asof import asof_latest_record, period_returns
-from tickerlake.operators.calendar import day_horizons
-from tickerlake.operators.joins import peer_group_expand
+from tickerlake.operators.calendar import date_array, day_horizons
+from tickerlake.operators.joins import merge_frames, peer_group_expand
 from tickerlake.operators.ranking import rank_across, value_positions
 from tickerlake.operators.skew import join_unique
 from tickerlake.session import materialise
@@ -54,16 +54,15 @@ PERCENTILE_MODEL = _model((12, 10, 8), (15, 15), (30, 25, 30, 20, 20))
 
 def metric_frame(quotes: DataFrame, ratios: DataFrame, growth: DataFrame, cutoffs: list[date]) -> DataFrame:
     """All metrics per symbol and cut-off, computed once however many groups a symbol belongs to."""
-    key = ["symbol", "cutoff"]
     r = asof_latest_record(ratios, ["symbol"], "date", cutoffs, RATIO_METRICS).drop("record_date")
     g = asof_latest_record(growth, ["symbol"], "date", cutoffs, GROWTH_METRICS).drop("record_date")
     p = period_returns(quotes, "adj_close", {c: day_horizons(c) for c in cutoffs}).drop("current_price")
-    return r.join(g, key, "full").join(p, key, "full")
+    return merge_frames([r, g, p], ["symbol", "cutoff"])
 
 
 def group_metrics(members: DataFrame, metrics: DataFrame, cutoffs: list[date]) -> DataFrame:
     """(ref, symbol, cutoff, metrics) for every member and cut-off, also those without any metric."""
-    dated = members.withColumn("cutoff", F.explode(F.array(*[F.lit(c) for c in cutoffs])))
+    dated = members.withColumn("cutoff", F.explode(date_array(cutoffs)))
     # read by the extremes and again by the scores: written once instead of computed twice
     return materialise(dated.join(metrics, ["symbol", "cutoff"], "left"), "group-metrics")
 

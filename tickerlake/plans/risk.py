@@ -15,6 +15,7 @@ from pyspark.sql import functions as F
 
 from tickerlake.functions.measures import cagr, daily_rate
 from tickerlake.operators.asof import asof_backward, interval_index
+from tickerlake.operators.calendar import date_array
 from tickerlake.operators.joins import peer_group_expand
 from tickerlake.operators.skew import join_unique
 from tickerlake.operators.timeseries import by_date, month_last, tail_n
@@ -207,7 +208,7 @@ def etf_metrics(
     daily = daily_metrics(quotes, bench, rates, cutoffs, fund_days=fund_days)
     enough = daily.filter((F.col("n5") >= min_rows_5y) & (F.col("n3") >= min_rows_3y) & (F.col("m") >= 2))
     monthly = monthly_metrics(monthly_pairs(quotes, bench), cutoffs, empty=empty_capture).filter(F.col("months") >= min_months)
-    labels = F.array(*[F.lit(c) for c in cutoffs])
+    labels = date_array(cutoffs)
     return (
         enough.join(monthly, ["symbol", "k"])
         .join(expenses.select("symbol", F.col("expense_ratio").alias("mer")), "symbol", "left")

@@ -10,7 +10,8 @@ from pyspark.sql import functions as F
 from tickerlake.functions.measures import mean_of
 from tickerlake.operators.aggregates import avg_score_by_group, minmax_normalise_universe
 from tickerlake.operators.asof import asof_latest_record, period_returns
-from tickerlake.operators.calendar import calendar_horizons
+from tickerlake.operators.calendar import calendar_horizons, date_array
+from tickerlake.operators.joins import merge_frames
 from tickerlake.operators.ranking import rank_across
 from tickerlake.operators.upsert import union_universe
 from tickerlake.session import materialise
@@ -71,21 +72,30 @@ def raw_performance(quotes: DataFrame, cutoffs: list[date]) -> DataFrame:
 
 
 def raw_scores(
-    quotes: DataFrame, ratios: DataFrame, growth: DataFrame, key_metrics: DataFrame, cutoffs: list[date]
+    quotes: DataFrame, ratios: DataFrame, growth: DataFrame, key_metrics: DataFrame, cutoffs: list[date],
+    universe: DataFrame | None = None,
 ) -> DataFrame:
-    """All five raw scores per symbol and cut-off; the ratios are looked up once for four of them."""
+    """All five raw scores per symbol and cut-off; the ratios are looked up once for four of them.
+
+    With ``universe`` (symbol, cutoff) the result has exactly its rows.
+    """
     r = _ratios(ratios, cutoffs).withColumn("_has_ratio", F.lit(True))
     g = asof_latest_record(growth, ["symbol"], "date", cutoffs, ["revenue_growth"]).drop("record_date")
     k = asof_latest_record(key_metrics, ["symbol"], "date", cutoffs, ["roe"]).drop("record_date")
-    both = r.join(g, KEY, "full").join(k.withColumn("_has_key", F.lit(True)), KEY, "full")
-    fundamental = both.select(
+    frames = [r, g, k.withColumn("_has_key", F.lit(True)), raw_performance(quotes, cutoffs)]
+    if universe is not None:
+        frames.append(universe.select(*KEY, F.lit(True).alias("_listed")))
+    merged = merge_frames(frames, KEY)
+    if universe is not None:
+        merged = merged.filter("_listed")
+    return merged.select(
         *KEY,
         growth_score().alias("growth"),
         valuation_score().alias("valuation"),
         strength_score().alias("financial_strength"),
         F.when(F.col("_has_ratio") & F.col("_has_key"), profitability_score()).alias("profitability"),
+        "performance",
     )
-    return fundamental.join(raw_performance(quotes, cutoffs), KEY, "full")
 
 
 def universe_scores(
@@ -96,8 +106,8 @@ def universe_scores(
 
     ``composite`` names the score type of the mean of the five.
     """
-    universe = union_universe(profile, peers).withColumn("cutoff", F.explode(F.array(*[F.lit(c) for c in cutoffs])))
-    raw = universe.join(raw_scores(quotes, ratios, growth, key_metrics, cutoffs), KEY, "left")
+    universe = union_universe(profile, peers).withColumn("cutoff", F.explode(date_array(cutoffs)))
+    raw = raw_scores(quotes, ratios, growth, key_metrics, cutoffs, universe)
     # read by two rounds of extremes and the result: written once
     raw = materialise(raw, "raw-scores")
     norms = minmax_normalise_universe(raw, "cutoff", RAW)
