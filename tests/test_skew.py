@@ -15,6 +15,8 @@ from tickerlake.session import materialise
 def hot(spark):
     rng = random.Random(5)
     rows = [("hot" if i % 2 else f"g{i % 7}", i, float(rng.randint(0, 40))) for i in range(3000)]
+    # a group without a name is a group too
+    rows += [(None, 5000 + i, float(i % 3)) for i in range(25)]
     return rows, materialise(spark.createDataFrame(rows, "g string, id int, v double"), "hot")
 
 
@@ -32,11 +34,11 @@ def test_rank_across_splits_the_hot_group(hot, spark):
     spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
     try:
         ranked = ranking.rank_across(hot[1], ["g"], [F.col("v").desc(), F.col("id")], "rank")
-        got = sorted(tuple(r) for r in ranked.collect())
+        got = sorted((tuple(r) for r in ranked.collect()), key=str)
     finally:
         spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "true")
     merged = ranking.rank_across(hot[1], ["g"], [F.col("v").desc(), F.col("id")], "rank")
-    assert got == sorted(tuple(r) for r in merged.collect())
+    assert got == sorted((tuple(r) for r in merged.collect()), key=str)
     source = ranked.inputFiles()
     slices = ranked.sparkSession.read.parquet(*source).filter("g = 'hot'").select("_slice").distinct().count()
     assert slices > 1
@@ -59,9 +61,20 @@ def test_cume_share_and_quartiles(hot):
 def test_join_unique_same_rows_when_split(hot):
     _, df = hot
     stats = df.groupBy("g").agg(F.max("v").alias("top"), F.count("*").alias("n"))
-    plain = sorted(tuple(r) for r in df.join(stats, ["g"]).collect())
-    cut = skew.join_unique(df, stats, ["g"], "id", small=0)
-    assert sorted(tuple(r) for r in cut.collect()) == plain
+    cut = skew.join_unique(df, stats, ["g"], "id", small=0).select("g", "id", "v", "top", "n")
+    rows, want = hot[0], []
+    for g, i, v in rows:
+        members = [r[2] for r in rows if r[0] == g]
+        want.append((g, i, v, max(members), len(members)))
+    assert sorted((tuple(r) for r in cut.collect()), key=lambda r: r[1]) == sorted(want, key=lambda r: r[1])
+    whole = skew.join_unique(df, stats, ["g"], "id").select("g", "id", "v", "top", "n")
+    assert whole.exceptAll(cut).count() == 0 and cut.exceptAll(whole).count() == 0
+
+
+def test_missing_values_rank_last(spark):
+    df = spark.createDataFrame([("a", 1, 5.0), ("a", 2, None), ("a", 3, 7.0), ("a", 4, None)], "g string, id int, v double")
+    got = {r.id: (r.quartile, r.percentile) for r in ranking.quartile_percentile(df, ["g"], "v", "id").collect()}
+    assert got == {3: (1, 0.0), 1: (2, pytest.approx(1 / 3)), 2: (3, pytest.approx(2 / 3)), 4: (4, pytest.approx(2 / 3))}
 
 
 def test_dedupe_and_topk_limit_before_the_shuffle(hot, spark):

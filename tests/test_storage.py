@@ -65,6 +65,29 @@ def test_replace_reads_its_own_table(spark):
     spark.sql("DROP TABLE numbers_replaced")
 
 
+def test_bucketed_tables_join_without_a_shuffle(spark):
+    rows = spark.range(200).selectExpr("id % 20 AS symbol", "id AS v")
+    left, right = sinks.write_bucketed(rows, "bucketed_left"), sinks.write_bucketed(rows, "bucketed_right")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", -1)
+    try:
+        joined = left.groupBy("symbol").agg(F.sum("v").alias("a")).join(right.groupBy("symbol").agg(F.max("v").alias("b")), "symbol")
+        plan = joined._jdf.queryExecution().executedPlan().toString()
+        assert joined.count() == 20
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    assert "Exchange" not in plan
+    spark.sql("DROP TABLE bucketed_left")
+    spark.sql("DROP TABLE bucketed_right")
+
+
+def test_time_partitions_are_pruned(spark):
+    rows = spark.range(800).selectExpr("id % 8 AS symbol", "date_add(DATE '2020-01-01', CAST(id AS int)) AS date", "1.0D AS p")
+    table = sinks.write_time_partitioned(rows, scratch_path(spark, "pruned"))
+    one = table.filter("year = 2021 AND symbol = 3")
+    assert "PartitionFilters: [isnotnull(year" in one._jdf.queryExecution().toString()
+    assert one.count() == rows.filter("year(date) = 2021 AND symbol = 3").count()
+
+
 def test_partition_replace_keeps_other_dates(spark, values):
     path = scratch_path(spark, "t")
     old = spark.createDataFrame([("A", date(2024, 1, 1), 1.0), ("A", date(2024, 1, 2), 1.0)], "symbol string, date date, p double")

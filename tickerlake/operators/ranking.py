@@ -10,6 +10,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from tickerlake.operators.skew import join_groups
 from tickerlake.session import materialise
 
 
@@ -32,9 +33,9 @@ def running_total(
     if total:
         offsets = offsets.withColumn(total, F.sum("_sum").over(Window.partitionBy(*group)))
     inside = Window.partitionBy(*group, "_slice").orderBy(*order).rowsBetween(Window.unboundedPreceding, 0)
+    numbered = spread.withColumn("_local", F.sum(value).over(inside))
     return (
-        spread.withColumn("_local", F.sum(value).over(inside))
-        .join(offsets.drop("_sum"), [*group, "_slice"])
+        join_groups(numbered, offsets.drop("_sum"), [*group, "_slice"])
         .withColumn(out, F.col("_local") + F.col("_before"))
         .drop("_slice", "_local", "_before")
     )
@@ -60,13 +61,13 @@ def cume_share(df: DataFrame, group: list[str], value: str, out: str) -> DataFra
     positions = value_positions(df, group, value).select(
         *group, value, (F.col("n_up_to") / F.col("n_all")).alias(out)
     )
-    return df.join(positions, [*group, value])
+    return join_groups(df, positions, [*group, value])
 
 
 def quartile_percentile(df: DataFrame, group: list[str], value: str, key: str) -> DataFrame:
     """``quartile`` (ntile 4) and ``percentile`` (percent_rank) of ``value`` in its group; 1 is best."""
     df = materialise(df, "ranked")
-    ranked = rank_across(df, group, [F.col(value).desc(), F.col(key)], "_rn", total="_all")
+    ranked = rank_across(df, group, [F.col(value).desc_nulls_last(), F.col(key)], "_rn", total="_all")
     size, spare = F.floor(F.col("_all") / 4), F.col("_all") % 4
     # the first `spare` tiles hold one row more
     large = spare * (size + 1)
@@ -76,7 +77,7 @@ def quartile_percentile(df: DataFrame, group: list[str], value: str, key: str) -
     above = F.col("n_all") - F.col("n_up_to")
     ties = value_positions(df, group, value).select(*group, value, above.alias("_above"))
     return (
-        ranked.join(ties, [*group, value])
+        join_groups(ranked, ties, [*group, value])
         .withColumn("quartile", (tile + 1).cast("int"))
         .withColumn("percentile", F.coalesce(F.try_divide(F.col("_above"), F.col("_all") - 1), F.lit(0.0)))
         .drop("_rn", "_all", "_above")

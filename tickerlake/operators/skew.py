@@ -9,9 +9,19 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from tickerlake.functions.cleaning import all_true
+
 SMALL = 1_000_000
 
 
+def join_groups(rows: DataFrame, groups: DataFrame, keys: list[str], how: str = "inner") -> DataFrame:
+    """Equi-join on ``keys`` in which a NULL key is a group like any other, as in a window."""
+    names = {k: f"_key_{i}" for i, k in enumerate(keys)}
+    other = groups.withColumnsRenamed(names)
+    same = all_true([F.col(k).eqNullSafe(F.col(n)) for k, n in names.items()])
+    return rows.join(other, same, how).drop(*names.values())
+
+
 def join_unique(rows: DataFrame, lookup: DataFrame, keys: list[str], spread: str, small: int = SMALL) -> DataFrame:
     """Inner join of ``rows`` (a stored table: it is counted first) with ``lookup``, one row per key.
 
@@ -20,7 +30,7 @@ def join_unique(rows: DataFrame, lookup: DataFrame, keys: list[str], spread: str
     """
     total = rows.count()
     if total <= small:
-        return rows.join(lookup, keys)
+        return join_groups(rows, lookup, keys)
     slices = int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     share = max(total // slices, 1)
     hot = (
@@ -31,10 +41,10 @@ def join_unique(rows: DataFrame, lookup: DataFrame, keys: list[str], spread: str
     )
     hot = F.broadcast(hot)
     pieces = F.coalesce(F.col("_pieces"), F.lit(1))
-    cut = rows.join(hot, keys, "left").withColumn("_piece", F.pmod(F.xxhash64(spread), pieces).cast("int")).drop("_pieces")
+    cut = join_groups(rows, hot, keys, "left").withColumn("_piece", F.pmod(F.xxhash64(spread), pieces).cast("int")).drop("_pieces")
     copies = (
-        lookup.join(hot, keys, "left")
+        join_groups(lookup, hot, keys, "left")
         .withColumn("_piece", F.explode(F.sequence(F.lit(0), pieces - 1)))
         .drop("_pieces")
     )
-    return cut.join(copies, [*keys, "_piece"]).drop("_piece")
+    return join_groups(cut, copies, [*keys, "_piece"]).drop("_piece")
