@@ -8,6 +8,8 @@ from functools import reduce
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+from tickerlake.functions.naming import WORD_BREAKS
+
 # The month pattern and the spellings vendors use for "no value".
 MONTH_COMMA = r'"([A-Za-z]+ \d+), (\d+)"'
 EMPTY_CELLS = ["", "null", "NULL", "None", '""']
@@ -172,8 +174,9 @@ def clip_text(c: Column, width: int, default: str | None = None) -> Column:
 
 def snake_case(c: Column) -> Column:
     """camelCase value to snake_case."""
-    words = F.regexp_replace(c, "(.)([A-Z][a-z]+)", "$1_$2")
-    return F.lower(F.regexp_replace(words, "([a-z0-9])([A-Z])", "$1_$2"))
+    for break_at in WORD_BREAKS:
+        c = F.regexp_replace(c, break_at, "$1_$2")
+    return F.lower(c)
 
 
 def violations(rules: dict[str, Column]) -> Column:

@@ -6,10 +6,14 @@ import re
 
 from pyspark.sql import DataFrame
 
+# Where a camel-case name gets an underscore, applied in this order.
+WORD_BREAKS = ["(.)([A-Z][a-z]+)", "([a-z0-9])([A-Z])"]
+
 
 def camel_to_snake(name: str) -> str:
-    words = re.sub(r"(.)([A-Z][a-z]+)", r"\1_\2", name)
-    return re.sub(r"([a-z0-9])([A-Z])", r"\1_\2", words).lower()
+    for break_at in WORD_BREAKS:
+        name = re.sub(break_at, r"\1_\2", name)
+    return name.lower()
 
 
 def snake_columns(df: DataFrame) -> DataFrame:
