@@ -1,12 +1,11 @@
 """Hot groups: a third or more of all rows share one key."""
 
 import random
-from datetime import date, timedelta
 
 import pytest
 from pyspark.sql import functions as F
 
-from tickerlake.operators import ranking, skew, similarity, timeseries as ts, topk, upsert
+from tickerlake.operators import ranking, similarity, skew, timeseries as ts, topk, upsert
 from tickerlake.plans import peers as peer_plans
 from tickerlake.session import materialise
 

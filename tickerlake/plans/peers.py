@@ -3,7 +3,6 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame
-from pyspark.sql import functions as F
 
 from tickerlake.operators.aggregates import peer_count_having
 from tickerlake.operators.nested import split_trim_explode

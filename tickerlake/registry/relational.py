@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from tickerlake.operators import aggregates as agg, joins, nested, timeseries as ts, topk, upsert
 from tickerlake.operators.ranking import cume_share
 from tickerlake.registry.core import query
-from tickerlake.registry.timeseries import LATEST, PERFORMANCE, WEEKLY, month_end_list, trend
+from tickerlake.registry.timeseries import LATEST, PERFORMANCE, month_end_list, trend
 from tickerlake.session import materialise
 from tickerlake.sources import views as v
 

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from tickerlake.operators import calendar as cal, topk
+from tickerlake.operators import calendar as cal
 from tickerlake.plans import market, pages, risk
 from tickerlake.registry.core import query
 from tickerlake.registry.relational import CONSTITUENTS, PARENTS_SQL, SECTOR_PARENTS, constituents
