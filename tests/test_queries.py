@@ -4,9 +4,10 @@ import pytest
 
 import __spark_entry__ as entry
 from compare import connect, difference
+from tickerlake import registry
 
 SF = "/root/testdata/sf0.001"
-QUERIES, ORACLE = entry.queries(), entry.oracle_sql()
+QUERIES, ORACLE = registry.QUERIES, registry.ORACLE
 
 
 @pytest.fixture(scope="module")

@@ -5,6 +5,7 @@ from __future__ import annotations
 import tempfile
 import uuid
 
+from pyspark import SparkConf
 from pyspark.sql import DataFrame, SparkSession
 
 
@@ -19,20 +20,18 @@ def build_session(app: str = "tickerlake", cpus: int | str = "*", partitions: in
         .config("spark.sql.adaptive.enabled", "true")
         .config("spark.driver.memory", "8g")
     )
+    if not SparkSession.getActiveSession() and not SparkConf().contains("spark.checkpoint.dir"):
+        builder = builder.config("spark.checkpoint.dir", tempfile.mkdtemp(prefix="tickerlake-"))
     if partitions:
         builder = builder.config("spark.sql.shuffle.partitions", str(partitions))
     return builder.getOrCreate()
 
 
 def shared_folder(spark: SparkSession) -> str:
-    """Folder every executor can reach: ``spark.checkpoint.dir``, or a temporary one in local mode."""
+    """Folder every executor can reach, as ``spark.checkpoint.dir`` names it."""
     folder = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
-    if folder:
-        return folder
-    if not spark.sparkContext.master.startswith("local"):
+    if not folder:
         raise ValueError("set spark.checkpoint.dir to a folder all executors share")
-    folder = tempfile.mkdtemp(prefix="tickerlake-")
-    spark.conf.set("spark.checkpoint.dir", folder)
     return folder
 
 
