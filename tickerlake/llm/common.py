@@ -2,10 +2,8 @@
 
 from __future__ import annotations
 
-import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import StructType
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -22,9 +20,10 @@ def id_remainder(key: str, divisor: int) -> Column:
     return F.crc32(F.col(key).cast("string")) % F.lit(divisor)
 
 
-def batch(columns: dict, schema: StructType) -> pa.RecordBatch:
-    """A record batch in the order and the types of a Spark schema of longs, ints, doubles, booleans, strings and arrays."""
-    from pyspark.sql.pandas.types import to_arrow_schema
+def key_sample(df: DataFrame, rows: int, key: str = "doc_id") -> DataFrame:
+    """About ``rows`` rows with keys chosen by hash, ``2 * rows`` at most; all of a smaller table.
 
-    arrow = to_arrow_schema(schema)
-    return pa.RecordBatch.from_arrays([pa.array(columns[f.name], f.type) for f in arrow], schema=arrow)
+    The share is set from the row count, so no task passes on more than its share of the sample.
+    """
+    share = max(1, df.count() // max(1, rows))
+    return df.where(F.pmod(F.xxhash64(F.lit("sample"), key), F.lit(share)) == 0).limit(2 * rows)

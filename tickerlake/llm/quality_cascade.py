@@ -19,7 +19,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tickerlake.llm.common import table, texts
+from tickerlake.llm.common import key_sample, table, texts
 from tickerlake.llm.words import Words, mix, slices, window_hashes
 
 #: Fixed values of the base measures.
@@ -158,7 +158,7 @@ class _Measured:
 
 
 def rule_profile(docs: DataFrame, rules: tuple[Rule, ...] = RULES, sample_rows: int = SAMPLE_ROWS) -> DataFrame:
-    """(rule, seconds, rejected, seen) of every rule alone on a sample of at most ``sample_rows`` rows."""
+    """(rule, seconds, rejected, seen) of every rule alone on a sample of about ``sample_rows`` rows."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
@@ -171,8 +171,7 @@ def rule_profile(docs: DataFrame, rules: tuple[Rule, ...] = RULES, sample_rows:
                     rows.append((rule.name, time.perf_counter() - began, int(out.sum()), alone.n))
                 yield pa.RecordBatch.from_arrays([pa.array(x) for x in zip(*rows)], ["rule", "seconds", "rejected", "seen"])
 
-    sample = texts(docs).where(F.pmod(F.xxhash64("doc_id"), F.lit(8)) == 0).limit(sample_rows)
-    each = sample.select("text").mapInArrow(run, "rule string, seconds double, rejected bigint, seen bigint")
+    each = key_sample(texts(docs), sample_rows).select("text").mapInArrow(run, "rule string, seconds double, rejected bigint, seen bigint")
     return each.groupBy("rule").agg(F.sum("seconds").alias("seconds"), F.sum("rejected").alias("rejected"), F.sum("seen").alias("seen"))
 
 

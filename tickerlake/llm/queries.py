@@ -6,10 +6,13 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tickerlake.llm import quality_cascade
+from tickerlake.llm import html_extract, quality_cascade, quality_nbsvm, toxicity_fm
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_html_extraction": html_extract.op1,
+    "op3_toxicity": toxicity_fm.op3,
     "op9_quality_rules": quality_cascade.op9,
+    "op10_quality_classifier": quality_nbsvm.op10,
 }
 ORACLE: dict[str, str] = {
     "op9_quality_rules": quality_cascade.OP9_SQL,
