@@ -6,11 +6,12 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tickerlake.llm import bpe_duckdb, chat_format, html_extract, quality_cascade, quality_nbsvm, secret_scan, toxicity_fm
+from tickerlake.llm import bpe_duckdb, chat_format, html_extract, quality_cascade, quality_nbsvm, secret_scan, template_decontam, toxicity_fm
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_html_extraction": html_extract.op1,
     "op3_toxicity": toxicity_fm.op3,
+    "op4_benchmark_decontamination": template_decontam.op4,
     "op5_byte_bpe": bpe_duckdb.op5,
     "op6_chat_formatting": chat_format.op6,
     "op7_secret_scan": secret_scan.op7,
@@ -18,6 +19,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op10_quality_classifier": quality_nbsvm.op10,
 }
 ORACLE: dict[str, str] = {
+    "op4_benchmark_decontamination": template_decontam.OP4_SQL,
     "op6_chat_formatting": chat_format.OP6_SQL,
     "op9_quality_rules": quality_cascade.OP9_SQL,
 }
