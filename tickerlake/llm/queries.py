@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tickerlake.llm import bpe_duckdb, chat_format, html_extract, quality_cascade, quality_nbsvm, secret_scan, template_decontam, toxicity_fm
+from tickerlake.llm import bpe_duckdb, chat_format, html_extract, ngram_join, quality_cascade, quality_nbsvm, secret_scan, template_decontam, toxicity_fm
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_html_extraction": html_extract.op1,
@@ -15,6 +15,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op5_byte_bpe": bpe_duckdb.op5,
     "op6_chat_formatting": chat_format.op6,
     "op7_secret_scan": secret_scan.op7,
+    "op8_ngram_jaccard_join": ngram_join.op8,
     "op9_quality_rules": quality_cascade.op9,
     "op10_quality_classifier": quality_nbsvm.op10,
 }
