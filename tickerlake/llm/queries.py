@@ -6,10 +6,11 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tickerlake.llm import bpe_duckdb, chat_format, html_extract, ngram_join, quality_cascade, quality_nbsvm, secret_scan, template_decontam, toxicity_fm
+from tickerlake.llm import bpe_duckdb, chat_format, html_extract, ngram_join, quality_cascade, quality_nbsvm, secret_scan, substring_dedup, template_decontam, toxicity_fm
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_html_extraction": html_extract.op1,
+    "op2_substring_dedup": substring_dedup.op2,
     "op3_toxicity": toxicity_fm.op3,
     "op4_benchmark_decontamination": template_decontam.op4,
     "op5_byte_bpe": bpe_duckdb.op5,
@@ -20,6 +21,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op10_quality_classifier": quality_nbsvm.op10,
 }
 ORACLE: dict[str, str] = {
+    "op2_substring_dedup": substring_dedup.OP2_SQL,
     "op4_benchmark_decontamination": template_decontam.OP4_SQL,
     "op6_chat_formatting": chat_format.OP6_SQL,
     "op9_quality_rules": quality_cascade.OP9_SQL,
