@@ -1,15 +1,68 @@
-"""From raw documents to token ids: rules, near copies, benchmark passages, secrets, encoding."""
+"""From raw documents to token ids: rules, near copies, benchmark passages, secrets, encoding.
+
+Every stage takes (spark, docs, sf_dir), works on all rows of ``docs`` and returns a DataFrame; ``run`` writes each stage's rows to the shared folder and reads
+them again for the next one, so a lost executor costs no more than the stage that runs. All stages but the last return the columns of ``docs`` as they
+came, extra ones included.
+
+Rows with a NULL doc_id are judged by the rules, scanned and encoded like others; they cannot be named in a benchmark pair, and near copies
+without a doc_id all count as one id, so those stages keep them.
+"""
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from tickerlake.llm import bpe_duckdb, ngram_join, quality_cascade, secret_scan, template_decontam
+from tickerlake.llm.common import table
+from tickerlake.session import materialise
+
+#: Near copies: shingles of five words and a Jaccard similarity of 0.8.
+SHINGLE, NUM, DEN = 5, 80, 100
+
+
+def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that no rule rejects."""
+    return quality_cascade.kept_rows(docs)
+
+
+def near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """The document with the smallest doc_id of each group linked by similarity."""
+    found = ngram_join.similar_sets(docs.select("doc_id", "text"), SHINGLE, NUM, DEN)
+    copies = found.where("component_id < doc_id").select(F.col("doc_id").alias("#copy")).distinct()
+    copies = materialise(copies, "near-copies")
+    return docs.join(copies, docs["doc_id"] == copies["#copy"], "left_anti")
+
+
+def benchmark_decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents without benchmark items."""
+    return template_decontam.decontaminated(docs, table(spark, sf_dir, "benchmark"))
+
+
+def secret_scans(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """All documents, with secrets in their texts replaced."""
+    return secret_scan.redacted(docs)
+
+
+def byte_bpe(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """doc_id, token ids and the digest of the decoded bytes, which is that of the text."""
+    coded = bpe_duckdb.encode_decode(docs)
+    return coded.select("doc_id", "ids", F.size("ids").cast("bigint").alias("n_tokens"), F.sha2("decoded", 256).alias("decoded_sha256"))
+
 
-STAGES: list = []
+STAGES = [
+    ("quality rules", quality_rules),
+    ("n-gram Jaccard join", near_copies),
+    ("benchmark decontamination", benchmark_decontamination),
+    ("secret scans", secret_scans),
+    ("byte-level BPE encoding and decoding", byte_bpe),
+]
+#: DuckDB has neither the tokenizer's pattern nor its merges; tests/llm compares the rows with a brute-force version.
 ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
-    for _, stage in STAGES:
-        docs = stage(spark, docs, sf_dir)
+    docs = table(spark, sf_dir, "documents")
+    for name, stage in STAGES:
+        docs = materialise(stage(spark, docs, sf_dir), name.replace(" ", "-"))
     return docs

@@ -157,6 +157,20 @@ class _Measured:
         return active & rule.test(*[self.get(m, active) for m in rule.measures])
 
 
+def _survivors(words: Words, ordered: list[Rule]) -> tuple[np.ndarray, np.ndarray, _Measured]:
+    """Which texts pass all rules, the first rule that rejects each other one, and what was measured."""
+    measured = _Measured(words)
+    active = np.ones(measured.n, bool)
+    by = np.full(measured.n, None, object)
+    for rule in ordered:
+        if not active.any():
+            break
+        out = measured.rejects(rule, active)
+        by[out] = rule.name
+        active &= ~out
+    return active, by, measured
+
+
 def rule_profile(docs: DataFrame, rules: tuple[Rule, ...] = RULES, sample_rows: int = SAMPLE_ROWS) -> DataFrame:
     """(rule, seconds, rejected, seen) of every rule alone on a sample of about ``sample_rows`` rows."""
 
@@ -190,15 +204,7 @@ def cascade(docs: DataFrame, rules: tuple[Rule, ...] = RULES, order: list[str] |
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             for low, high, words in slices(b.column("text")):
-                measured = _Measured(words)
-                active = np.ones(measured.n, bool)
-                by = np.full(measured.n, None, object)
-                for rule in ordered:
-                    if not active.any():
-                        break
-                    out = measured.rejects(rule, active)
-                    by[out] = rule.name
-                    active &= ~out
+                active, by, measured = _survivors(words, ordered)
                 more = [pa.array(measured.get(c, np.ones(measured.n, bool))) for c in counts]
                 yield pa.RecordBatch.from_arrays(
                     [b.column("doc_id").slice(low, high - low), pa.array(active), pa.array(by, pa.string()), *more],
@@ -209,6 +215,19 @@ def cascade(docs: DataFrame, rules: tuple[Rule, ...] = RULES, order: list[str] |
     return texts(docs).mapInArrow(run, schema)
 
 
+def kept_rows(docs: DataFrame, rules: tuple[Rule, ...] = RULES, order: list[str] | None = None) -> DataFrame:
+    """The rows of ``docs`` that no rule rejects, with all their columns, whatever these are called."""
+    by_name = {r.name: r for r in rules}
+    ordered = [by_name[name] for name in (order or cascade_order(docs, rules))]
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            for low, high, words in slices(b.column(b.schema.names.index("text"))):
+                yield b.slice(low, high - low).filter(pa.array(_survivors(words, ordered)[0]))
+
+    return docs.mapInArrow(run, docs.schema)
+
+
 def op9(spark: SparkSession, sf_dir: str) -> DataFrame:
     measured = cascade(table(spark, sf_dir, "documents"), counts=COUNTS)
     return measured.select(
