@@ -162,7 +162,7 @@ def standard_decimal(c: Column) -> Column:
     """Two places, half up, computed on the decimal text so 0.045 becomes 0.05."""
     text = F.trim(c.cast("string"))
     return F.when(~F.lower(text).isin(DECIMAL_BLANKS), F.round(text.try_cast("decimal(38,10)"), 2)).try_cast(
-        "decimal(14,2)"
+        "decimal(38,2)"
     )
 
 

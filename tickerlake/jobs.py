@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 from tickerlake.operators import calendar as cal, quality, topk
 from tickerlake.operators.joins import constituents_expand
 from tickerlake.operators.timeseries import rolling_stddev
-from tickerlake.operators.upsert import delta_after_watermark, insert_if_absent, upsert_update
+from tickerlake.operators.upsert import dedupe_by_key, delta_after_watermark, insert_if_absent, upsert_update
 from tickerlake.plans import market, peer_scores, peers, risk, universe_scores
 from tickerlake.sources import files, schemas
 from tickerlake.sources.sinks import sink_append, sink_replace
@@ -23,8 +23,10 @@ def has_table(spark: SparkSession, name: str) -> bool:
     return spark.catalog.tableExists(name)
 
 
-def _merged(spark: SparkSession, name: str, rows: DataFrame, merge) -> DataFrame:
-    """The stored table merged with new rows, or just the rows when there is no table yet."""
+def _merged(spark: SparkSession, name: str, rows: DataFrame, merge, keys: list[str] | None = None) -> DataFrame:
+    """The stored table merged with new rows, or the rows alone when there is no table yet; rows with a blank key are left out, one stays per key."""
+    if keys:
+        rows = dedupe_by_key(rows.dropna(subset=keys), keys, [])
     return merge(spark.table(name), rows) if has_table(spark, name) else rows
 
 
@@ -33,7 +35,7 @@ def load_quotes(spark: SparkSession, folder: str, table: str = "equity_quotes")
     columns = [c.split()[0] for c in schemas.QUOTE_SCHEMA.split(", ")]
     types = dict(c.split() for c in schemas.QUOTE_SCHEMA.split(", "))
     rows = files.scan_partition_files(spark, folder, columns, types, schemas.SYMBOL_DATE).drop("source_file")
-    return sink_replace(_merged(spark, table, rows, lambda t, r: insert_if_absent(t, r, schemas.SYMBOL_DATE)), table)
+    return sink_replace(_merged(spark, table, rows, lambda t, r: insert_if_absent(t, r, schemas.SYMBOL_DATE), schemas.SYMBOL_DATE), table)
 
 
 def load_statement(spark: SparkSession, path: str, table: str) -> DataFrame:
@@ -42,13 +44,13 @@ def load_statement(spark: SparkSession, path: str, table: str) -> DataFrame:
     named = files.snake_columns(text)
     rows = files.cast_staged(named, {c: schemas.statement_type(c) for c in named.columns})
     keys = schemas.KEYS.get(table, schemas.SYMBOL_DATE)
-    return sink_replace(_merged(spark, table, rows, lambda t, r: insert_if_absent(t, r, keys)), table)
+    return sink_replace(_merged(spark, table, rows, lambda t, r: insert_if_absent(t, r, keys), keys), table)
 
 
 def load_profiles(spark: SparkSession, path: str, table: str = "equity_profile") -> DataFrame:
     """Profile objects; newer values win."""
     rows = files.ingest_profile_json(spark, path)
-    return sink_replace(_merged(spark, table, rows, lambda t, r: upsert_update(t, r, ["symbol"])), table)
+    return sink_replace(_merged(spark, table, rows, lambda t, r: upsert_update(t, r, ["symbol"]), ["symbol"]), table)
 
 
 def load_fund_quotes(spark: SparkSession, path: str, table: str = "fund_quotes") -> DataFrame:
@@ -59,7 +61,7 @@ def load_fund_quotes(spark: SparkSession, path: str, table: str = "fund_quotes")
 
 def load_treasury(spark: SparkSession, path: str, table: str = "treasury") -> DataFrame:
     rows = files.ingest_treasury(spark, path).filter("date IS NOT NULL")
-    return sink_replace(_merged(spark, table, rows, lambda t, r: upsert_update(t, r, ["date"])), table)
+    return sink_replace(_merged(spark, table, rows, lambda t, r: upsert_update(t, r, ["date"]), ["date"]), table)
 
 
 def load_peers(spark: SparkSession, path: str, table: str = "equity_peers", profile: str = "equity_profile") -> DataFrame:

@@ -60,14 +60,14 @@ def minmax_normalise_universe(df: DataFrame, by: str, columns: list[str]) -> Dat
     return df.join(F.broadcast(extremes), by).withColumns(scaled).select(*df.columns)
 
 
-def minmax_normalise_group(df: DataFrame, by: list[str], columns: list[str]) -> DataFrame:
-    """Each column to 0..100 inside its group; flat groups give 50."""
+def minmax_normalise_group(df: DataFrame, by: list[str], columns: list[str], key: str = "symbol") -> DataFrame:
+    """Each column to 0..100 inside its group; flat groups give 50. ``key`` tells the rows of a group apart."""
     df = materialise(df, "groups")
     extremes = df.groupBy(*by).agg(
         *[F.min(c).alias(f"_lo_{c}") for c in columns], *[F.max(c).alias(f"_hi_{c}") for c in columns]
     )
     scaled = {c: min_max_scale(F.col(c), F.col(f"_lo_{c}"), F.col(f"_hi_{c}")) for c in columns}
-    return join_unique(df, extremes, by, columns[0]).withColumns(scaled).select(*df.columns)
+    return join_unique(df, extremes, by, key).withColumns(scaled).select(*df.columns)
 
 
 def ohlcv_daily(ticks: DataFrame, key: str, ts: str, price: str, volume: str, tie: str) -> DataFrame:
@@ -103,11 +103,11 @@ def daily_market_summary(rows: DataFrame, value: str) -> DataFrame:
     return rows.groupBy("date").agg(F.count("*").alias("total_symbols"), F.avg(value).alias("avg_navps"))
 
 
-def category_average(rows: DataFrame, category: str, value: str) -> DataFrame:
-    """Each row with its category's mean."""
+def category_average(rows: DataFrame, category: str, value: str, key: str = "symbol") -> DataFrame:
+    """Each row with its category's mean. ``key`` tells the rows of a category apart."""
     rows = materialise(rows, "category")
     means = rows.groupBy(category).agg(F.avg(value).alias(f"{value}_category"))
-    return join_unique(rows, means, [category], value)
+    return join_unique(rows, means, [category], key)
 
 
 def exposure_by_dimension(holdings: DataFrame, fund: str, dimension: str, value: str) -> DataFrame:

@@ -11,8 +11,6 @@ from pyspark.sql import functions as F
 
 from tickerlake.functions.cleaning import all_true
 
-SMALL = 1_000_000
-
 
 def join_groups(rows: DataFrame, groups: DataFrame, keys: list[str], how: str = "inner") -> DataFrame:
     """Equi-join on ``keys`` in which a NULL key is a group like any other, as in a window."""
@@ -22,17 +20,14 @@ def join_groups(rows: DataFrame, groups: DataFrame, keys: list[str], how: str =
     return rows.join(other, same, how).drop(*names.values())
 
 
-def join_unique(rows: DataFrame, lookup: DataFrame, keys: list[str], spread: str, small: int = SMALL) -> DataFrame:
+def join_unique(rows: DataFrame, lookup: DataFrame, keys: list[str], spread: str) -> DataFrame:
     """Inner join of ``rows`` (a stored table: it is counted first) with ``lookup``, one row per key.
 
-    A key with more rows than a task's fair share is cut into pieces by the hash of ``spread``, and its lookup row
-    is copied once per piece. There are at most as many such keys as shuffle partitions, which bounds the broadcast.
+    A key with more rows than a task's fair share is cut into pieces by the hash of ``spread``, a column that tells the key's rows
+    apart, and its lookup row is copied once per piece. There are at most as many such keys as shuffle partitions, which bounds the broadcast.
     """
-    total = rows.count()
-    if total <= small:
-        return join_groups(rows, lookup, keys)
     slices = int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    share = max(total // slices, 1)
+    share = max(rows.count() // slices, 1)
     hot = (
         rows.groupBy(*keys)
         .agg(F.count("*").alias("_rows"))

@@ -129,11 +129,13 @@ def pct_change(df: DataFrame, value: str, out: str = "ret") -> DataFrame:
 
 
 def month_last(df: DataFrame, value: str) -> DataFrame:
-    """Last value of each month from a symbol's first month to its last; empty months repeat the one before.
+    """Last known value of each month from a symbol's first month to its last; months without one repeat the one before.
 
     ``known_by`` is the first month at or after with own rows: a slice that ends earlier does not hold the row.
     """
-    found = df.groupBy("symbol", F.last_day("date").alias("month")).agg(F.max_by(value, "date").alias(value))
+    found = df.groupBy("symbol", F.last_day("date").alias("month")).agg(
+        F.max_by(value, F.when(F.col(value).isNotNull(), F.col("date"))).alias(value)
+    )
     span = F.sequence(F.trunc("first", "month"), F.trunc("final", "month"), F.expr("interval 1 month"))
     spine = (
         found.groupBy("symbol")
@@ -166,11 +168,12 @@ def tail_n(df: DataFrame, keys: list[str], day: str, n: int) -> DataFrame:
 
 
 def rolling_stddev(df: DataFrame, value: str, rows: int = 756) -> DataFrame:
-    """Sample deviation of the newest ``rows`` values per symbol."""
+    """Sample deviation of the newest ``rows`` values per symbol; of all values where there are fewer, with ``complete`` false."""
     return (
         tail_n(df.select("symbol", "date", value), ["symbol"], "date", rows)
         .groupBy("symbol")
         .agg(F.max("date").alias("date"), F.count(value).alias("n"), F.stddev_samp(value).alias("std_dev"))
+        .withColumn("complete", F.col("n") >= rows)
     )
 
 
@@ -198,14 +201,14 @@ def max_drawdown(df: DataFrame, price: str = "adj_close", years: tuple[int, ...]
 def trailing_window_count(df: DataFrame, key: str, ts: str, seconds: int, limit: int, block: int = 3600) -> DataFrame:
     """Calls per key in the ``seconds`` before each second that has one, flagged at ``limit``.
 
-    Calls are counted per second before the shuffle. Windows run inside blocks of an hour; the last
-    ``seconds`` of a block are copied into the next, so a hot key is split along time.
+    Calls are counted per second before the shuffle. Windows run inside blocks of ``block`` seconds; a second is copied into
+    every later block whose windows reach back to it, so a hot key is split along time.
     """
     per_second = (
         df.groupBy(key, F.unix_timestamp(ts).alias("second")).agg(F.count("*").alias("calls"))
     )
     home = F.floor(F.col("second") / block)
-    blocks = F.array_distinct(F.array(home, F.floor((F.col("second") + seconds) / block)))
+    blocks = F.sequence(home, F.floor((F.col("second") + seconds) / block))
     spread = per_second.select(key, "second", "calls", home.alias("_home"), F.explode(blocks).alias("_block"))
     recent = Window.partitionBy(key, "_block").orderBy("second").rangeBetween(-seconds, 0)
     return (

@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tickerlake.functions.measures import percent_change
+from tickerlake.operators.ranking import rank_across
 
 
 def top_k(df: DataFrame, by: list[str], order: list[Column], k: int, rank: str = "rank") -> DataFrame:
@@ -19,6 +20,12 @@ def topk_per_sector(profile: DataFrame, k: int = 10) -> DataFrame:
     return top_k(sized, ["sector"], [F.col("mkt_cap").desc(), F.col("symbol")], k)
 
 
+def rank_in_sector(profile: DataFrame) -> DataFrame:
+    """Every company's rank by size in its sector, however large the sector."""
+    sized = profile.filter("mkt_cap > 0 AND sector IS NOT NULL")
+    return rank_across(sized, ["sector"], [F.col("mkt_cap").desc(), F.col("symbol")], "rank")
+
+
 def gainers_losers(df: DataFrame, by: list[str], change: str = "day_change", k: int = 10) -> DataFrame:
     """Best and worst ``k`` per group; the two lists overlap in small groups, as in the source reports."""
     known = df.filter(F.col(change).isNotNull())

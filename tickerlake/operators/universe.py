@@ -17,11 +17,11 @@ def screener_filter(
     min_price: float,
     min_volume: float,
     is_etf: bool = False,
-    limit: int = 10_000,
+    limit: int | None = None,
     exchange: str = "exchange_short_name",
     volume: str = "vol_avg",
 ) -> DataFrame:
-    """Symbols of active listings above the price and volume floors, once each, in order, at most ``limit``."""
+    """Symbols of active listings above the price and volume floors, once each, in order; ``limit`` is for pages of a report."""
     listed = profile.filter(
         F.upper(exchange).isin(exchanges)
         & (F.col("country") == country)
@@ -30,7 +30,8 @@ def screener_filter(
         & (F.col("is_etf") == is_etf)
         & F.col("is_actively_trading")
     )
-    return listed.select("symbol").distinct().orderBy("symbol").limit(limit)
+    symbols = listed.select("symbol").distinct().orderBy("symbol")
+    return symbols if limit is None else symbols.limit(limit)
 
 
 def etf_profile_filter(profile: DataFrame, size: str = "mkt_cap", min_price: float = 1, min_size: float = 1_000_000) -> DataFrame:

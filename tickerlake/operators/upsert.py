@@ -51,12 +51,15 @@ def max_watermark(df: DataFrame, column: str) -> DataFrame:
 
 
 def delta_after_watermark(target: DataFrame, batch: DataFrame, day: str = "date") -> DataFrame:
-    """Batch rows newer than everything in the target; dates are compared as dates.
+    """Batch rows newer than everything in the target; dates are compared as dates, and rows without a valid one are left out.
 
     The watermark is one scalar read first, so the filter is a literal and reaches the batch's scan.
     """
-    newest = target.agg(F.max(F.col(day).cast("date"))).first()[0]
-    return batch if newest is None else batch.filter(F.col(day).cast("date") > F.lit(newest))
+    def as_date(c: Column) -> Column:
+        return c.try_cast("date")
+
+    newest = target.agg(F.max(as_date(F.col(day)))).first()[0]
+    return batch if newest is None else batch.filter(as_date(F.col(day)) > F.lit(newest))
 
 
 def union_universe(profile: DataFrame, peers: DataFrame) -> DataFrame:

@@ -159,13 +159,13 @@ def _(spark, sf):
 
 @query("screener_filter", "symbol", "company",
        """SELECT DISTINCT symbol FROM company WHERE sector IN ('BUILDING', 'MACHINERY') AND currency = 'USD' AND mkt_cap > 1000
-       AND symbol % 4 <> 0 ORDER BY symbol LIMIT 500""")
+       AND symbol % 4 <> 0""")
 def _(spark, sf):
     cap = F.col("mkt_cap")
     listed = v.company(spark, sf).select(
         "symbol", F.col("sector").alias("exchange_short_name"), F.col("currency").alias("country"), cap.alias("price"),
         cap.alias("vol_avg"), F.lit(False).alias("is_etf"), (F.col("symbol") % 4 != 0).alias("is_actively_trading"))
-    return universe.screener_filter(listed, ["BUILDING", "MACHINERY"], "USD", 1, 1000, limit=500)
+    return universe.screener_filter(listed, ["BUILDING", "MACHINERY"], "USD", 1, 1000)
 
 
 @query("etf_profile_filter", "symbol name price:6", "etf_profile", "SELECT * FROM etf_profile WHERE price > 1 AND aum > 1000")

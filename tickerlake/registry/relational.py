@@ -36,10 +36,10 @@ def _(spark, sf):
 
 @query("left_join_by_symbol", "sector rank:i symbol company_name price:6 day_change:6 trend", "quotes profile",
        f"""SELECT sector, rank, t.symbol, company_name, p.price, day_change, trend FROM
-       (SELECT *, row_number() OVER (PARTITION BY sector ORDER BY mkt_cap DESC, symbol) AS rank FROM profile WHERE mkt_cap > 0) t
+       (SELECT *, row_number() OVER (PARTITION BY sector ORDER BY mkt_cap DESC, symbol) AS rank FROM profile WHERE mkt_cap > 0 AND sector IS NOT NULL) t
        LEFT JOIN ({PERFORMANCE}) p ON t.symbol = p.symbol LEFT JOIN ({trend('quotes')}) d ON t.symbol = d.symbol""", LATEST)
 def _(spark, sf):
-    ranked = topk.topk_per_sector(v.profile(spark, sf), k=1000)
+    ranked = topk.rank_in_sector(v.profile(spark, sf))
     perf = ts.price_performance(v.quotes(spark, sf))
     trends = ts.latest_trend(v.quotes(spark, sf), basis="daily").select("symbol", "trend")
     return ranked.join(perf, "symbol", "left").join(trends, "symbol", "left")

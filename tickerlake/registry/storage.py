@@ -211,9 +211,9 @@ def _(spark, sf):
     return table.groupBy("symbol").agg(F.count("*").alias("n"))
 
 
-@query("write_clustered", "symbol sector mkt_cap:6", "company", "SELECT symbol, sector, mkt_cap FROM company WHERE sector = 'BUILDING'")
+@query("write_clustered", "symbol sector mkt_cap:6", "company", "SELECT symbol, sector, mkt_cap FROM company")
 def _(spark, sf):
-    return sinks.write_clustered(v.company(spark, sf), scratch_path(spark, "clustered"), ["sector", "symbol"]).filter("sector = 'BUILDING'")
+    return sinks.write_clustered(v.company(spark, sf), scratch_path(spark, "clustered"), ["sector", "symbol"])
 
 
 @query("refresh_aggregates", "identifier month:d opening_nav:6 closing_nav:6 trading_days:i", "quotes",
@@ -436,13 +436,12 @@ def _(spark, sf):
     return pages.equity_page(v.profile(spark, sf), v.quotes(spark, sf), v.ratios(spark, sf), _universe(spark, sf))
 
 
-@query("score_text_band", "symbol date:d score:2 score_txt", UNIVERSE_VIEWS,
-       f"SELECT symbol, date, score, {BAND.format(c='score')} AS score_txt FROM scores WHERE score_type = 'valuation'", UNIVERSE)
+@query("score_text_band", "symbol date:d score_type score:2 score_txt", UNIVERSE_VIEWS,
+       f"SELECT symbol, date, score_type, score, {BAND.format(c='score')} AS score_txt FROM scores", UNIVERSE)
 def _(spark, sf):
     from tickerlake.functions.measures import score_band
 
-    rows = _universe(spark, sf).filter("score_type = 'valuation'")
-    return rows.withColumn("score_txt", score_band(F.col("score").cast("double")))
+    return _universe(spark, sf).withColumn("score_txt", score_band(F.col("score").cast("double")))
 
 
 @query("fund_page", "symbol sector ytd_change:6 ytd_change_category:6 quartile:i percentile:6 max_drawdown_5y:6 upside_3y:6 downside_3y:6 "

@@ -22,6 +22,8 @@ def build_session(app: str = "tickerlake", cpus: int | str = "*", partitions: in
     )
     if not SparkSession.getActiveSession() and not SparkConf().contains("spark.checkpoint.dir"):
         builder = builder.config("spark.checkpoint.dir", tempfile.mkdtemp(prefix="tickerlake-"))
+    if not SparkSession.getActiveSession() and not SparkConf().contains("spark.sql.warehouse.dir"):
+        builder = builder.config("spark.sql.warehouse.dir", tempfile.mkdtemp(prefix="tickerlake-tables-"))
     if partitions:
         builder = builder.config("spark.sql.shuffle.partitions", str(partitions))
     return builder.getOrCreate()
@@ -40,6 +42,12 @@ def scratch_path(spark: SparkSession, label: str) -> str:
     return f"{shared_folder(spark).rstrip('/')}/{label}-{uuid.uuid4().hex}"
 
 
+def table_path(spark: SparkSession, table: str, root: str | None = None) -> str:
+    """A fresh version folder of a stored table, under ``root`` or the warehouse folder; unlike scratch, it outlives a job."""
+    root = root or spark.conf.get("spark.sql.warehouse.dir")
+    return f"{root.rstrip('/')}/{table}/version-{uuid.uuid4().hex}"
+
+
 def materialise(df: DataFrame, label: str) -> DataFrame:
     """Write ``df`` once to the shared folder and read it back.
 

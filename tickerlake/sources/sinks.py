@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from tickerlake.functions.naming import camel_to_snake
-from tickerlake.session import scratch_path
+from tickerlake.session import table_path
 
 
 def _counted(df: DataFrame) -> tuple[DataFrame, Observation]:
@@ -43,18 +43,42 @@ def sink_append(df: DataFrame, path: str) -> int:
 def sink_replace(df: DataFrame, table: str, root: str | None = None) -> DataFrame:
     """Replace a whole table: write a new version folder, then point the table at it.
 
-    The old version stays readable for running queries, so ``df`` may read the table it replaces.
+    The version it replaces stays, so running queries and ``df`` itself may read it; older ones are deleted. ``root`` defaults to the
+    warehouse folder: the scratch folder may be emptied at any time between jobs.
     """
     spark = df.sparkSession
-    path = f"{root.rstrip('/')}/{table}" if root else scratch_path(spark, table)
+    path = table_path(spark, table, root)
     df.write.mode("errorifexists").parquet(path)
+    before = _location(spark, table)
     if spark.catalog.tableExists(table) and spark.table(table).dtypes == df.dtypes:
         # one catalogue change: readers see the old version or the new one
         spark.sql(f"ALTER TABLE {table} SET LOCATION '{path}'")
         spark.catalog.refreshTable(table)
+        _drop_versions(spark, path, before)
         return spark.table(table)
     spark.sql(f"DROP TABLE IF EXISTS {table}")
-    return spark.catalog.createTable(table, path=path, source="parquet", schema=df.schema)
+    made = spark.catalog.createTable(table, path=path, source="parquet", schema=df.schema)
+    _drop_versions(spark, path, before)
+    return made
+
+
+def _location(spark: SparkSession, table: str) -> str | None:
+    if not spark.catalog.tableExists(table):
+        return None
+    rows = spark.sql(f"DESCRIBE TABLE EXTENDED {table}").where("col_name = 'Location'").collect()
+    return rows[0]["data_type"] if rows else None
+
+
+def _drop_versions(spark: SparkSession, path: str, before: str | None) -> None:
+    """Delete the versions beside ``path`` but for itself and the one that was current before."""
+    jvm = spark._jvm.org.apache.hadoop.fs
+    current = jvm.Path(path)
+    files = current.getFileSystem(spark._jsc.hadoopConfiguration())
+    keep = {current.getName(), jvm.Path(before).getName() if before else None}
+    for status in files.listStatus(current.getParent()):
+        name = status.getPath().getName()
+        if name.startswith("version-") and name not in keep:
+            files.delete(status.getPath(), True)
 
 
 def sink_truncate_selective(spark: SparkSession, tables: list[str], selected: list[str] | None = None) -> list[str]:
@@ -119,7 +143,7 @@ def write_time_partitioned(df: DataFrame, path: str, day: str = "date", key: str
 
 def write_bucketed(df: DataFrame, table: str, key: str = "symbol", buckets: int = 16) -> DataFrame:
     """Bucketed and sorted by key, so joins and aggregates on the key need no shuffle."""
-    path = scratch_path(df.sparkSession, table)
+    path = table_path(df.sparkSession, table)
     # rows are brought together by the bucket id Spark will use, a large bucket over several writers
     placed = df.withColumn("_bucket", F.pmod(F.hash(key), F.lit(buckets))).hint("rebalance", "_bucket").drop("_bucket")
     (
