@@ -108,6 +108,10 @@ def similar_by_size(
     return _pick(_without(found.unionByName(free), existing), limit)
 
 
+#: Width of a step of logarithms, just over that of the band's longer side (ln 1.25), and the step of a rate of 0.
+RATE_STEP, NO_RATE = 0.2232, -1_000_000
+
+
 def similar_funds(
     universe: DataFrame,
     probes: DataFrame,
@@ -131,7 +135,11 @@ def similar_funds(
     fine = [*cls, "_level_er"]
     rates = u.filter(has_er & has_aum).select(*cls, F.col(er).alias("_level_er")).distinct()
     probe_rates = p.filter(has_er & has_aum).select(*cls, er).distinct()
-    in_band = probe_rates.join(rates, cls).filter(F.col("_level_er").between(F.col(er) * 0.8, F.col(er) * 1.2))
+    # a band of 20 % spans at most the neighbouring steps of the rate's logarithm, so no class meets all of its rates
+    step = F.when(F.col(er) > 0, F.floor(F.ln(er) / RATE_STEP)).otherwise(F.lit(NO_RATE))
+    wanted = probe_rates.withColumn("_step", F.explode(F.array(step - 1, step, step + 1)))
+    rates = rates.withColumn(er, F.col("_level_er")).withColumn("_step", step).drop(er)
+    in_band = wanted.join(rates, [*cls, "_step"]).filter(F.col("_level_er").between(F.col(er) * 0.8, F.col(er) * 1.2)).drop("_step")
     both_probes = p.filter(has_er & has_aum).join(in_band, [*cls, er]).select("symbol", *fine, aum)
     both_levels = smallest_symbols(u.filter(has_er & has_aum).withColumnRenamed(er, "_level_er"), [*fine, aum], reach)
     both = _in_band(nearest_levels(both_levels, both_probes, fine, aum, reach), aum, 0.5, 2.0)

@@ -63,6 +63,8 @@ def metric_frame(quotes: DataFrame, ratios: DataFrame, growth: DataFrame, cutoff
 def group_metrics(members: DataFrame, metrics: DataFrame, cutoffs: list[date]) -> DataFrame:
     """(ref, symbol, cutoff, metrics) for every member and cut-off, also those without any metric."""
     dated = members.withColumn("cutoff", F.explode(date_array(cutoffs)))
+    # a stored table on the other side lets a peer that most references list be split
+    metrics = materialise(metrics, "metrics")
     # read by the extremes and again by the scores: written once instead of computed twice
     return materialise(dated.join(metrics, ["symbol", "cutoff"], "left"), "group-metrics")
 

@@ -226,7 +226,8 @@ def etf_group_scores(metrics: DataFrame, peers: DataFrame, profile: DataFrame) -
     # a reference without peers is a group of one
     refs = profile.select("symbol").distinct()
     members = peer_group_expand(peers, profile).unionByName(refs.select(F.col("symbol").alias("ref"), "symbol")).distinct()
-    rows = materialise(members.join(metrics, "symbol"), "fund-groups")
+    # a stored table on the other side lets a fund that most references list be split
+    rows = materialise(members.join(materialise(metrics, "fund-metrics"), "symbol"), "fund-groups")
     group = ["ref", "cutoff"]
     stats = rows.groupBy(*group).agg(
         *[f(c).alias(f"_{n}_{c}") for c in METRICS for n, f in (("lo", F.min), ("hi", F.max), ("n", F.count))]
