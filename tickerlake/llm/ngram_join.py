@@ -6,11 +6,12 @@ the hash of a set's shingles in a part is a signature, and linked sets share one
 choice with fewest signatures.) Parts empty in a set would all agree, so ``spare`` parts are added and empty
 ones are left out, except for sets with more empty parts than spare ones.
 
-Documents with a common signature are paired if they are few. In a larger group they are not paired with each other but with the smallest of
-them, the pivot, and the pairs are checked on the whole sets. Where a document x is not linked with pivot p, links with others of the group may be left: if x and y are linked, they share one of the
-first k + 1 shingles in which each differs from p (in a fixed order), since their differences from p differ in at most k. So p with
-such a shingle is a new common signature, and the same step is taken with groups of these until no group holds two components. No group is paired
-with itself, and no link between different components is lost.
+Documents with a common signature are paired if they are few. In a larger group they meet only the smallest of them, the pivot, and the pairs are
+checked on the whole sets. A pivot's members make a family. Where a member x is not linked with pivot p, links with other members may be left, and
+|x ^ y| = |x ^ p| + |y ^ p| - 2 |(x ^ p) & (y ^ p)| gives them from the differences alone, in one task for a family of bounded size. If x and y are
+linked, they share one of the first k + 1 shingles in which each differs from p (in a fixed order), because their differences from p differ in at most k;
+so a larger family is cut by these shingles, and a part that is still too large gets a pivot of its own. No link between different components is lost,
+and no pair is written out but with a pivot or within a group of ``DIRECT``.
 
 Equal sets are one node. NULL, empty and wordless texts have an empty set and no link. Repeated rows get a row each. A NULL doc_id is
 larger than all others and comes back as NULL.
@@ -33,6 +34,8 @@ from tickerlake.session import materialise
 NO_ID = (1 << 63) - 1
 #: Groups of this size or less are compared whole.
 DIRECT = 16
+#: Members and bytes of differences of a family that one task compares.
+FAMILY, FAMILY_BYTES = 2048, 1 << 26
 _KEY = "doc_id bigint, n bigint, a bigint, b bigint"
 
 
@@ -175,21 +178,17 @@ def set_blobs(docs: DataFrame, like: Similarity) -> DataFrame:
 
 
 def group_pairs(rows: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """Pairs (p, x) to check from rows (key, doc_id, root, linked): those of small groups, and those of the others' pivots.
+    """Pairs (p, x) to check from rows (key, doc_id): those of small groups, and those of the others' pivots.
 
-    A group of at most ``DIRECT`` members is compared whole, so it gives at most a constant number of pairs for each row. In a larger one every
-    member meets the pivot only. Groups in one component, or all linked with their pivot, give none; sums and extremes are combined before the shuffle.
+    Groups of one vanish before anything is paired; extremes and counts are combined before the shuffle.
     """
-    groups = rows.groupBy("key").agg(
-        F.min("doc_id").alias("p"), F.min("root").alias("low"), F.max("root").alias("high"), F.bool_and("linked").alias("all"), F.count("*").alias("size")
-    )
-    groups = materialise(groups.where("low < high AND NOT all").select("key", "p", "size"), "groups")
+    groups = rows.groupBy("key").agg(F.min("doc_id").alias("p"), F.max("doc_id").alias("last"), F.count("*").alias("size"))
+    groups = materialise(groups.where("p < last").select("key", "p", "size"), "groups")
     members = materialise(rows.join(groups, "key"), "members")
     star = members.where(F.col("size") > DIRECT).where("doc_id <> p").select("p", F.col("doc_id").alias("x"))
-    whole = members.where(F.col("size") <= DIRECT).groupBy("key").agg(F.collect_set(F.struct("doc_id", "root", "linked")).alias("all"))
-    whole = whole.select("all", F.explode("all").alias("y"))
-    whole = whole.select("y", F.explode(F.filter("all", lambda m: (m["doc_id"] < F.col("y.doc_id")) & (m["root"] != F.col("y.root")) & ~(m["linked"] & F.col("y.linked")))).alias("m"))
-    return whole.select(F.col("m.doc_id").alias("p"), F.col("y.doc_id").alias("x")).distinct(), star.distinct()
+    whole = members.where(F.col("size") <= DIRECT).groupBy("key").agg(F.collect_set("doc_id").alias("all"))
+    whole = whole.select("all", F.explode("all").alias("x")).select("x", F.explode(F.filter("all", lambda p: p < F.col("x"))).alias("p"))
+    return whole.select("p", "x").distinct(), star.distinct()
 
 
 def comparable(pairs: DataFrame, nodes: DataFrame, like: Similarity) -> DataFrame:
@@ -198,31 +197,97 @@ def comparable(pairs: DataFrame, nodes: DataFrame, like: Similarity) -> DataFram
     return sized.where(like.den * F.least("n_x", "n_p") >= like.num * F.greatest("n_x", "n_p")).select("p", "x")
 
 
-def check_pairs(pairs: DataFrame, blobs: DataFrame, like: Similarity) -> DataFrame:
-    """p, x, linked, and the first shingles in which x differs from p: those x adds, then those it lacks."""
+def check_pairs(pairs: DataFrame, blobs: DataFrame, like: Similarity, differences: bool) -> DataFrame:
+    """p, x, linked, n (of x) of the pairs, and the shingles in which x differs from p: those x adds, then those it lacks."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            linked, heads = [], []
+            linked, sizes, found = [], [], []
             for mine, theirs in zip(batch.column("mine"), batch.column("theirs")):
                 x, p = (np.frombuffer(v.as_buffer(), np.uint64) for v in (mine, theirs))
-                inside = np.isin(x, p, assume_unique=True)
-                both = int(inside.sum())
-                linked.append(like.linked(both, len(x), len(p)))
-                prefix = like.differ(len(x) + len(x) * like.den // like.num) + 1
-                head = x[~inside][:prefix]
-                if len(head) < prefix:
-                    head = np.concatenate([head, mix(p[~np.isin(p, x, assume_unique=True)][: prefix - len(head)])])
-                heads.append(head.view(np.int64))
-            offsets = np.concatenate([[0], np.cumsum([len(h) for h in heads])]).astype(np.int32)
-            flat = pa.array(np.concatenate(heads) if heads else np.zeros(0, np.int64))
-            yield pa.RecordBatch.from_arrays(
-                [batch.column("p"), batch.column("x"), pa.array(linked, pa.bool_()), pa.ListArray.from_arrays(pa.array(offsets), flat)], ["p", "x", "linked", "head"]
-            )
+                at = np.minimum(np.searchsorted(p, x), max(0, len(p) - 1))
+                inside = p[at] == x if len(p) else np.zeros(len(x), bool)
+                linked.append(like.linked(int(inside.sum()), len(x), len(p)))
+                sizes.append(len(x))
+                if differences:
+                    lacks = np.ones(len(p), bool)
+                    lacks[at[inside]] = False
+                    found.append(np.concatenate([x[~inside], mix(p[lacks])]).tobytes())
+            columns = [batch.column("p"), batch.column("x"), pa.array(linked, pa.bool_()), pa.array(sizes, pa.int64())]
+            yield pa.RecordBatch.from_arrays([*columns, pa.array(found if differences else [None] * len(linked), pa.binary())], ["p", "x", "linked", "n", "differs"])
 
     mine = blobs.select(F.col("doc_id").alias("x"), F.col("shingles").alias("mine"))
     theirs = blobs.select(F.col("doc_id").alias("p"), F.col("shingles").alias("theirs"))
-    return pairs.join(mine, "x").join(theirs, "p").select("p", "x", "mine", "theirs").mapInArrow(run, "p bigint, x bigint, linked boolean, head array<bigint>")
+    joined = pairs.join(mine, "x").join(theirs, "p").select("p", "x", "mine", "theirs")
+    return joined.mapInArrow(run, "p bigint, x bigint, linked boolean, n bigint, differs binary")
+
+
+def family_links(members: DataFrame, like: Similarity) -> DataFrame:
+    """(p, x): links that connect the members of each family (p, key) as their pairs' similarity does.
+
+    The members' differences from the pivot are a 0/1 matrix, taken some columns at a time; its product with itself counts what two members share.
+    """
+
+    def run(rows: pa.Table) -> pa.Table:
+        ids, n = rows["x"].to_numpy(), rows["n"].to_numpy()
+        loose = np.flatnonzero(~rows["linked"].to_numpy(zero_copy_only=False))
+        raw = [np.frombuffer(v.as_buffer(), np.uint64) for v in rows["differs"]]
+        size = np.array([len(v) for v in raw])
+        shingle, column = np.unique(np.concatenate(raw), return_inverse=True)
+        owner = np.repeat(np.arange(len(raw)), size)
+        shared = np.bincount(column, minlength=len(shingle)) > 1
+        place = np.cumsum(shared) - 1
+        owner, column = owner[shared[column]], place[column[shared[column]]]
+        order = np.argsort(column, kind="stable")
+        owner, column = owner[order], column[order]
+        both = np.zeros((len(loose), len(ids)), np.float32)
+        for low in range(0, int(shared.sum()), 2048):
+            a, b = np.searchsorted(column, (low, low + 2048))
+            part = np.zeros((len(ids), 2048), np.float32)
+            part[owner[a:b], column[a:b] - low] = 1
+            both += part[loose] @ part.T
+        apart = size[loose][:, None] + size[None, :] - 2 * both.astype(np.int64)
+        total = n[loose][:, None] + n[None, :]
+        common = (total - apart) // 2
+        linked = (like.den * common >= like.num * (total - common)) & (common > 0)
+        linked[np.arange(len(loose)), loose] = False
+        one, other = np.nonzero(linked)
+        one, root = loose[one], np.arange(len(ids))
+        while True:  # the first member that links reach
+            new, least = root.copy(), np.minimum(root[one], root[other])
+            np.minimum.at(new, one, least)
+            np.minimum.at(new, other, least)
+            new = new[new]
+            if (new == root).all():
+                break
+            root = new
+        own = root != np.arange(len(ids))
+        return pa.table({"p": pa.array(ids[root[own]], pa.int64()), "x": pa.array(ids[own], pa.int64())})
+
+    return members.select("p", "key", "x", "linked", "n", "differs").groupBy("p", "key").applyInArrow(run, "p bigint, x bigint")
+
+
+def family_parts(members: DataFrame, like: Similarity) -> DataFrame:
+    """The members of families, once for each of the first k + 1 shingles in which they differ from the pivot, with that as new key."""
+    names = ["p", "x", "linked", "n", "differs"]
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for i, (p, n, differs) in enumerate(zip(batch.column("p").to_pylist(), batch.column("n").to_pylist(), batch.column("differs"))):
+                head = np.frombuffer(differs.as_buffer(), np.uint64)[: int(like.differ(n + n * like.den // like.num)) + 1]
+                keys = mix(head ^ mix(np.array([p], np.int64).view(np.uint64)))
+                again = pa.array(np.full(len(keys), i))
+                yield pa.RecordBatch.from_arrays([*[batch.column(c).take(again) for c in names], _signed(keys)], [*names, "key"])
+
+    return members.select(*names).mapInArrow(run, "p bigint, x bigint, linked boolean, n bigint, differs binary, key bigint")
+
+
+def _split(members: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """Members of the families that have a member not linked to the pivot: those that fit one task, and the others."""
+    sizes = members.groupBy("p", "key").agg(F.count("*").alias("m"), F.sum(F.length("differs")).alias("bytes"), F.bool_and("linked").alias("all")).where("m > 1 AND NOT all")
+    sizes = materialise(sizes.select("p", "key", ((F.col("m") <= FAMILY) & (F.col("bytes") <= FAMILY_BYTES)).alias("fits")), "families")
+    own = members.join(sizes, ["p", "key"])
+    return own.where("fits"), own.where("NOT fits")
 
 
 def similar_sets(docs: DataFrame, shingle: int = 3, num: int = 90, den: int = 100) -> DataFrame:
@@ -231,30 +296,34 @@ def similar_sets(docs: DataFrame, shingle: int = 3, num: int = 90, den: int = 10
     given = texts(docs).withColumn("doc_id", F.coalesce("doc_id", F.lit(NO_ID)))
     keys = materialise(set_keys(given, like), "set-keys")
     nodes = materialise(keys.where("n > 0").groupBy("n", "a", "b").agg(F.min("doc_id").alias("node")), "nodes")
-    rows = signature_rows(given, like).select("key", "doc_id", F.col("doc_id").alias("root"), F.lit(False).alias("linked"))
-    ids, links, checked, blobs, roots = None, None, None, None, None
+    rows = signature_rows(given, like)
+    links, checked, blobs = None, None, None
     while True:
         small, star = group_pairs(rows)
         # A pivot's pairs stay whole: a member of another size than the pivot's may be linked with other members.
-        star = star.join(nodes.select(F.col("node").alias("x")), "x", "left_semi")
         small = materialise(comparable(small, nodes, like), "pairs")
+        star = star.join(nodes.select(F.col("node").alias("x")), "x", "left_semi")
         star = materialise(star if checked is None else star.join(checked.select("p", "x"), ["p", "x"], "left_anti"), "star-pairs")
         if blobs is None:
             ids = materialise(small.unionByName(star).select(F.explode(F.array("p", "x")).alias("doc_id")).distinct(), "pair-ids")
             blobs = materialise(set_blobs(given.join(ids, "doc_id", "left_semi"), like), "set-blobs")
-        found = materialise(check_pairs(small, blobs, like).where("linked").select("p", "x"), "found")
+        found = materialise(check_pairs(small, blobs, like, False).where("linked").select("p", "x"), "found")
         links = found if links is None else links.unionByName(found)
-        if not star.limit(1).count():
-            break
-        now = materialise(check_pairs(star, blobs, like), "checked")
-        checked = now if checked is None else checked.unionByName(now)
+        now = materialise(check_pairs(star, blobs, like, True), "checked")
         links = links.unionByName(now.where("linked").select("p", "x"))
-        roots = components(links.select(F.col("p").alias("a"), F.col("x").alias("b")))
-        # The next groups: all members so far of the pivots that met new ones and are not linked to all, by the shingles in which they differ.
-        met = materialise(checked.join(now.select("p").distinct(), "p", "left_semi").where("NOT linked").select("p").distinct(), "open")
-        rows = checked.join(met, "p", "left_semi").select(F.explode("head").alias("e"), "p", F.col("x").alias("doc_id"), "linked")
-        rows = rows.join(roots.withColumnRenamed("node", "doc_id"), "doc_id", "left")
-        rows = materialise(rows.select(F.xxhash64("p", "e").alias("key"), "doc_id", F.coalesce("root", "doc_id").alias("root"), "linked"), "next-groups")
+        # All members so far of the pivots that met new ones.
+        checked = now if checked is None else checked.unionByName(now)
+        family = checked.join(materialise(now.select("p").distinct(), "met"), "p", "left_semi").withColumn("key", F.lit(0).cast("bigint"))
+        fits, large = _split(family)
+        links = links.unionByName(materialise(family_links(fits, like), "family-links"))
+        parts = materialise(family_parts(large, like), "family-parts")
+        if not parts.limit(1).count():
+            break
+        fits, large = _split(parts)
+        links = links.unionByName(materialise(family_links(fits, like), "family-links"))
+        rows = materialise(large.select("key", F.col("x").alias("doc_id")), "next-groups")
+        if not rows.limit(1).count():
+            break
     roots = components(links.select(F.col("p").alias("a"), F.col("x").alias("b")))
     named = keys.join(nodes, ["n", "a", "b"], "left")
     named = named.join(roots, "node", "left")
