@@ -30,7 +30,7 @@ def test_machine_learns_a_pair():
 
 
 @pytest.mark.parametrize("module, column, divisor, held_out, precision, recall", [
-    (toxicity_fm, "toxic", 4, 2, 0.95, 0.9),
+    (toxicity_fm, "toxic", 4, 2, 0.85, 0.85),  # about 3 000 labels; 1.0 and 0.99 with the 15 000 of check_s
     (quality_nbsvm, "quality", 5, 0, 0.95, 0.97),
 ])
 def test_held_out_rows(spark, module, column, divisor, held_out, precision, recall):

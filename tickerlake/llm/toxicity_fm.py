@@ -30,6 +30,8 @@ BITS = 20
 TERMS = 3000
 FACTORS = 6
 MIN_TEXTS = 3
+#: Chi-square below which a term's difference between the classes may be chance: one term in many thousands exceeds it so.
+LEAST_GAIN = 12.0
 STEMS = (4, 5, 6)
 THRESHOLD = 0.3
 
@@ -40,7 +42,7 @@ def term_ids(words: Words) -> tuple[np.ndarray, np.ndarray]:
     text = words.text_of(np.arange(len(h)))
     found = [(text, h)]
     for size in STEMS:
-        long = np.flatnonzero(words.ends - words.starts > size)
+        long = np.flatnonzero(words.ends - words.starts >= size)
         stem = Words(words.data, words.starts[long], words.starts[long] + size, words.offsets, words.text_offsets)
         found.append((text[long], mix(stem.hashes(lower=True) + U64(size))))
     return np.concatenate([t for t, _ in found]), np.concatenate([h for _, h in found]) >> U64(64 - BITS)
@@ -83,7 +85,7 @@ def _choose(text: np.ndarray, term: np.ndarray, label: np.ndarray) -> np.ndarray
     spread = seen * (n - seen) * pos * (n - pos)
     gain = np.where((seen >= MIN_TEXTS) & (spread > 0), n * (hit * n - seen * pos) ** 2 / np.maximum(spread, 1), 0)
     best = np.argsort(-gain, kind="stable")[:TERMS]
-    best = best[gain[best] > 0]
+    best = best[gain[best] >= LEAST_GAIN]
     index = np.full(size, -1, np.int32)
     index[best] = np.arange(len(best))
     return index
