@@ -2,16 +2,32 @@
 
 from __future__ import annotations
 
+import os
+from pathlib import Path
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 
+ROOT = str(Path(__file__).resolve().parents[2])
+
+
+def importable(spark: SparkSession) -> None:
+    """Let Python workers on machines that see this folder import the package wherever they run; a cluster without it gets it by ``--py-files``."""
+    env = spark.sparkContext.environment
+    paths = env.get("PYTHONPATH", "").split(os.pathsep)
+    if ROOT not in paths:
+        env["PYTHONPATH"] = os.pathsep.join([ROOT, *[p for p in paths if p]])
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    importable(spark)
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
 def texts(df: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
     """Only the key and the text, so that columns of the caller never clash with those made here."""
+    importable(df.sparkSession)
     return df.select(F.col(key).cast("bigint").alias("doc_id"), F.col(text).cast("string").alias("text"))
 
 

@@ -17,7 +17,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tickerlake.llm.common import table
+from tickerlake.llm.common import importable, table
 from tickerlake.session import materialise
 
 VOTES_PER_PAGE = 3
@@ -221,6 +221,7 @@ def host_of(url: Column) -> Column:
 
 
 def _pages(pages: DataFrame) -> DataFrame:
+    importable(pages.sparkSession)
     return pages.select(
         F.col("page_id").cast("bigint").alias("page_id"), F.col("url").cast("string").alias("url"), F.col("html").cast("string").alias("html")
     ).withColumn("host", host_of(F.col("url")))

@@ -19,7 +19,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tickerlake.llm.common import key_sample, table, texts
+from tickerlake.llm.common import importable, key_sample, table, texts
 from tickerlake.llm.words import Words, mix, slices, window_hashes
 
 #: Fixed values of the base measures.
@@ -217,6 +217,7 @@ def cascade(docs: DataFrame, rules: tuple[Rule, ...] = RULES, order: list[str] |
 
 def kept_rows(docs: DataFrame, rules: tuple[Rule, ...] = RULES, order: list[str] | None = None) -> DataFrame:
     """The rows of ``docs`` that no rule rejects, with all their columns, whatever these are called."""
+    importable(docs.sparkSession)
     by_name = {r.name: r for r in rules}
     ordered = [by_name[name] for name in (order or cascade_order(docs, rules))]
 

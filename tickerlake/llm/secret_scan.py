@@ -20,7 +20,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tickerlake.llm.common import table, texts
+from tickerlake.llm.common import importable, table, texts
 
 KINDS = ("assign", "access", "hex", "guess")
 #: Fixed patterns of the base kinds.
@@ -188,6 +188,7 @@ def scan(docs: DataFrame, least: float = MIN_COST) -> DataFrame:
 
 def redacted(docs: DataFrame, least: float = MIN_COST) -> DataFrame:
     """The rows of ``docs`` with secrets in ``text`` replaced and ``n_chars`` counted anew; other columns and rows as they are."""
+    importable(docs.sparkSession)
     schema = docs.schema
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
