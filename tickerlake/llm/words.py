@@ -9,14 +9,13 @@ from __future__ import annotations
 
 from collections.abc import Iterator
 from dataclasses import dataclass
-from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
 
 U64 = np.uint64
 #: Bytes of text handled at a time, which bounds the arrays; a single longer text is handled alone.
-SLICE_BYTES = 1 << 21
+SLICE_BYTES = 1 << 20
 _BASES = (0x9E3779B97F4A7C15, 0xD1342543DE82EF95)
 _LENGTH = U64(0xA24BAED4963EE407)
 
@@ -30,19 +29,28 @@ def mix(x: np.ndarray) -> np.ndarray:
     return x ^ (x >> U64(31))
 
 
-@lru_cache(maxsize=8)
+#: Powers of each base and of its inverse, as far as most slices need them.
+_TABLES: dict[int, tuple[np.ndarray, np.ndarray]] = {}
+_TABLE = 1 << 21
+
+
 def _powers(base: int, size: int) -> tuple[np.ndarray, np.ndarray]:
-    up = np.full(size, base, U64)
-    up[0] = 1
-    down = np.full(size, pow(base, -1, 1 << 64), U64)
-    down[0] = 1
-    return np.cumprod(up), np.cumprod(down)
+    if base in _TABLES and size <= len(_TABLES[base][0]):
+        return _TABLES[base]
+    size = 1 << max(16, size.bit_length())
+    tables = []
+    for factor in (base, pow(base, -1, 1 << 64)):
+        table = np.full(size, factor, U64)
+        table[0] = 1
+        tables.append(np.cumprod(table))
+    if size <= _TABLE:
+        _TABLES[base] = tuple(tables)
+    return tuple(tables)
 
 
 def _spans(values: np.ndarray, starts: np.ndarray, ends: np.ndarray, base: int) -> np.ndarray:
     """Hash of values[start:end] for each span, equal for equal content wherever it stands."""
-    size = 1 << max(12, int(len(values)).bit_length())
-    up, down = _powers(base, size)
+    up, down = _powers(base, len(values) + 1)
     total = np.zeros(len(values) + 1, U64)
     np.cumsum(values * up[: len(values)], out=total[1:])
     return (total[ends] - total[starts]) * down[starts]
