@@ -7,7 +7,8 @@ choice with fewest signatures.) Parts empty in a set would all agree, so ``spare
 ones are left out, except for sets with more empty parts than spare ones.
 
 Documents with a common signature are paired if they are few. In a larger group they meet only the smallest of them, the pivot, and the pairs are
-checked on the whole sets. A pivot's members make a family. Where a member x is not linked with pivot p, links with other members may be left, and
+checked on the whole sets. A pivot's members make a family. (Pairs and members that counts of the shingles' first bytes rule out, which bound the difference from below, go before the sets are
+read.) Where a member x is not linked with pivot p, links with other members may be left, and
 |x ^ y| = |x ^ p| + |y ^ p| - 2 |(x ^ p) & (y ^ p)| gives them from the differences alone, in one task for a family of bounded size. If x and y are
 linked, they share one of the first k + 1 shingles in which each differs from p (in a fixed order), because their differences from p differ in at most k;
 so a larger family is cut by these shingles, and a part that is still too large gets a pivot of its own. No link between different components is lost,
@@ -25,6 +26,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.window import Window
 
 from tickerlake.llm.common import table, texts
 from tickerlake.llm.components import components
@@ -144,8 +146,11 @@ def set_keys(docs: DataFrame, like: Similarity) -> DataFrame:
     return docs.mapInArrow(run, _KEY)
 
 
-def signature_rows(docs: DataFrame, like: Similarity) -> DataFrame:
-    """(key, doc_id) for every signature; of equal sets in one Arrow slice only the smallest document's."""
+def signature_rows(docs: DataFrame, like: Similarity, later: bool) -> DataFrame:
+    """(key, doc_id, n): for each signature in a slice of a batch its smallest document and how many have it; or, if ``later``, the other ones.
+
+    Of equal sets in a slice only the smallest document's takes part.
+    """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -155,36 +160,102 @@ def signature_rows(docs: DataFrame, like: Similarity) -> DataFrame:
                 own = ids[low:high]
                 a, _ = _fingerprints(x, edge)
                 order = np.lexsort((own, a))
-                first = np.zeros(len(own), bool)
-                first[order] = np.concatenate([[True], a[order][1:] != a[order][:-1]])
+                taken = np.zeros(len(own), bool)
+                taken[order] = np.concatenate([[True], a[order][1:] != a[order][:-1]])
                 text, sig = like.signatures(x, edge)
-                keep = first[text]
-                yield pa.RecordBatch.from_arrays([_signed(sig[keep]), pa.array(own[text[keep]])], ["key", "doc_id"])
-
-    return docs.mapInArrow(run, "key bigint, doc_id bigint")
+                sig, doc = sig[taken[text]], own[text[taken[text]]]
+                order = np.argsort(doc, kind="stable")
+                order = order[np.argsort(sig[order], kind="stable")]
+                first = np.concatenate([[True], sig[order][1:] != sig[order][:-1]]) if len(sig) else np.zeros(0, bool)
+                count = np.diff(np.append(np.flatnonzero(first), len(sig)))
+                # Rows leave in the order of the documents, which compresses well.
+                least = np.sort(order[first])
+                n = np.zeros(len(sig), np.int64)
+                n[order[first]] = count
+                if later:
+                    least = np.setdiff1d(np.arange(len(sig)), least, assume_unique=True)
+                yield pa.RecordBatch.from_arrays([_signed(sig[least]), pa.array(doc[least]), pa.array(n[least])], ["key", "doc_id", "n"])
+
+    return docs.mapInArrow(run, "key bigint, doc_id bigint, n bigint")
+
+
+def signature_members(docs: DataFrame, like: Similarity) -> DataFrame:
+    """(key, p, size, doc_id): the members of the groups with a common signature.
+
+    All signatures are shuffled once, a row for each slice of a batch, so that a signature of a third of all documents makes few rows. The other documents of
+    a slice are few, and join the groups afterwards.
+    """
+    group = Window.partitionBy("key")
+    rows = signature_rows(docs, like, False).withColumns({"p": F.min("doc_id").over(group), "size": F.sum("n").over(group)})
+    first = materialise(rows.where("size > 1").select("key", "p", "size", "doc_id", "n"), "first-members")
+    groups = first.where("n > 1").select("key", "p", "size").distinct()
+    later = signature_rows(docs, like, True).select("key", "doc_id").join(groups, "key").select("key", "p", "size", "doc_id")
+    return materialise(first.select("key", "p", "size", "doc_id").unionByName(later), "members")
 
 
 def set_blobs(docs: DataFrame, like: Similarity) -> DataFrame:
-    """(doc_id, shingles): the sorted 64-bit shingles of every row as bytes."""
+    """(doc_id, shingles, sketch): the sorted 64-bit shingles of every row as bytes, and how many begin with each byte (255 at most)."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for low, high, words in slices(batch.column("text")):
                 x, edge = like.sets(words)
-                raw = [x[edge[i] : edge[i + 1]].tobytes() for i in range(high - low)]
-                yield pa.RecordBatch.from_arrays([batch.column("doc_id").slice(low, high - low), pa.array(raw, pa.binary())], ["doc_id", "shingles"])
+                own = [x[edge[i] : edge[i + 1]] for i in range(high - low)]
+                sketch = [np.minimum(np.bincount(v >> U64(56), minlength=256), 255).astype(np.uint8).tobytes() for v in own]
+                yield pa.RecordBatch.from_arrays(
+                    [batch.column("doc_id").slice(low, high - low), pa.array([v.tobytes() for v in own], pa.binary()), pa.array(sketch, pa.binary())], ["doc_id", "shingles", "sketch"]
+                )
 
-    return docs.mapInArrow(run, "doc_id bigint, shingles binary")
+    return docs.mapInArrow(run, "doc_id bigint, shingles binary, sketch binary")
 
 
-def group_pairs(rows: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """Pairs (p, x) to check from rows (key, doc_id): those of small groups, and those of the others' pivots.
+def _sketches(column: pa.ChunkedArray | pa.Array) -> np.ndarray:
+    return np.frombuffer(b"".join(column.to_pylist()), np.uint8).reshape(-1, 256).astype(np.int16)
 
-    Groups of one vanish before anything is paired; extremes and counts are combined before the shuffle.
-    """
+
+def close_pairs(pairs: DataFrame, blobs: DataFrame, like: Similarity) -> DataFrame:
+    """The pairs whose sketches do not rule a link out: sets differ in at least as many shingles as their sketches do."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            apart = np.abs(_sketches(batch.column("mine")) - _sketches(batch.column("theirs"))).sum(1, dtype=np.int64)
+            total = batch.column("n_x").to_numpy() + batch.column("n_p").to_numpy()
+            yield batch.select(["p", "x"]).filter(pa.array(apart <= like.differ(total)))
+
+    n = (F.length("shingles") / 8).cast("bigint")
+    mine = blobs.select(F.col("doc_id").alias("x"), F.col("sketch").alias("mine"), n.alias("n_x"))
+    theirs = blobs.select(F.col("doc_id").alias("p"), F.col("sketch").alias("theirs"), n.alias("n_p"))
+    return pairs.join(mine, "x").join(theirs, "p").mapInArrow(run, "p bigint, x bigint")
+
+
+def close_members(star: DataFrame, blobs: DataFrame, like: Similarity) -> DataFrame:
+    """The pairs (p, x) of a pivot whose member may be linked with the pivot or with another member, by their sketches; all of too large a family."""
+
+    def run(rows: pa.Table) -> pa.Table:
+        sketch, n = _sketches(rows["sketch"]), rows["n"].to_numpy()
+        keep = np.zeros(len(n), bool)
+        for low in range(0, len(n), 64):
+            apart = np.abs(sketch[low : low + 64, None, :] - sketch[None, :, :]).sum(2, dtype=np.int32)
+            close = apart <= like.differ(n[low : low + 64, None] + n[None, :])
+            keep[low : low + 64] = close.sum(1) > 1
+        return rows.select(["p", "x"]).filter(pa.array(keep))
+
+    sizes = materialise(star.groupBy("p").agg((F.count("*") < FAMILY).alias("fits")), "family-sizes")
+    fits = star.join(sizes.where("fits"), "p").select("p", "x").unionByName(sizes.where("fits").select("p", F.col("p").alias("x")))
+    mine = blobs.select(F.col("doc_id").alias("x"), "sketch", (F.length("shingles") / 8).cast("bigint").alias("n"))
+    near = fits.join(mine, "x").select("p", "x", "n", "sketch").groupBy("p").applyInArrow(run, "p bigint, x bigint").where("p <> x")
+    return near.unionByName(star.join(sizes.where("NOT fits"), "p").select("p", "x"))
+
+
+def group_members(rows: DataFrame) -> DataFrame:
+    """(key, p, size, doc_id) from rows (key, doc_id). Groups of one vanish; extremes and counts are combined before the shuffle."""
     groups = rows.groupBy("key").agg(F.min("doc_id").alias("p"), F.max("doc_id").alias("last"), F.count("*").alias("size"))
     groups = materialise(groups.where("p < last").select("key", "p", "size"), "groups")
-    members = materialise(rows.join(groups, "key"), "members")
+    return materialise(rows.join(groups, "key"), "members")
+
+
+def group_pairs(members: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """Pairs (p, x) to check: those of small groups, and those of the others' pivots."""
     star = members.where(F.col("size") > DIRECT).where("doc_id <> p").select("p", F.col("doc_id").alias("x"))
     whole = members.where(F.col("size") <= DIRECT).groupBy("key").agg(F.collect_set("doc_id").alias("all"))
     whole = whole.select("all", F.explode("all").alias("x")).select("x", F.explode(F.filter("all", lambda p: p < F.col("x"))).alias("p"))
@@ -296,10 +367,10 @@ def similar_sets(docs: DataFrame, shingle: int = 3, num: int = 90, den: int = 10
     given = texts(docs).withColumn("doc_id", F.coalesce("doc_id", F.lit(NO_ID)))
     keys = materialise(set_keys(given, like), "set-keys")
     nodes = materialise(keys.where("n > 0").groupBy("n", "a", "b").agg(F.min("doc_id").alias("node")), "nodes")
-    rows = signature_rows(given, like)
+    members = signature_members(given, like)
     links, checked, blobs = None, None, None
     while True:
-        small, star = group_pairs(rows)
+        small, star = group_pairs(members)
         # A pivot's pairs stay whole: a member of another size than the pivot's may be linked with other members.
         small = materialise(comparable(small, nodes, like), "pairs")
         star = star.join(nodes.select(F.col("node").alias("x")), "x", "left_semi")
@@ -307,6 +378,8 @@ def similar_sets(docs: DataFrame, shingle: int = 3, num: int = 90, den: int = 10
         if blobs is None:
             ids = materialise(small.unionByName(star).select(F.explode(F.array("p", "x")).alias("doc_id")).distinct(), "pair-ids")
             blobs = materialise(set_blobs(given.join(ids, "doc_id", "left_semi"), like), "set-blobs")
+        small = materialise(close_pairs(small, blobs, like), "close-pairs")
+        star = materialise(close_members(star, blobs, like), "close-members")
         found = materialise(check_pairs(small, blobs, like, False).where("linked").select("p", "x"), "found")
         links = found if links is None else links.unionByName(found)
         now = materialise(check_pairs(star, blobs, like, True), "checked")
@@ -324,6 +397,7 @@ def similar_sets(docs: DataFrame, shingle: int = 3, num: int = 90, den: int = 10
         rows = materialise(large.select("key", F.col("x").alias("doc_id")), "next-groups")
         if not rows.limit(1).count():
             break
+        members = group_members(rows)
     roots = components(links.select(F.col("p").alias("a"), F.col("x").alias("b")))
     named = keys.join(nodes, ["n", "a", "b"], "left")
     named = named.join(roots, "node", "left")
