@@ -122,11 +122,14 @@ def _unpacked(column: pa.Array, size: int = 1 << 22) -> Iterator[tuple[int, int,
 
 
 def window_rows(candidates: DataFrame, length: int) -> DataFrame:
-    """(k1, k2, doc_id, pos, decided) from (doc_id, z, anchors): windows whose anchor repeats.
+    """(k1, k2, doc_id, pos, more, late) from (doc_id, z, anchors): windows whose anchor repeats.
 
-    ``decided`` holds the places of a document's windows that a smaller document of the batch has, as int32; other rows have one place and a key to compare.
+    A late row holds the places of a document's windows that a smaller document of the batch has, as int32 in ``more``. The other rows have a window's key
+    to compare and its first place in the document, with further places in ``more``: a window that one text repeats is one row.
     """
 
+    names = ["k1", "k2", "doc_id", "pos", "more", "late"]
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             ids = batch.column("doc_id").to_numpy()
@@ -160,9 +163,14 @@ def window_rows(candidates: DataFrame, length: int) -> DataFrame:
             least = doc[start][np.cumsum(start) - 1] if len(doc) else doc
             late = doc > least
             open_ = ~late
+            own, first_place = pos[open_], start[open_]
+            edge = np.append(np.flatnonzero(first_place), len(own))
+            more = np.full(len(edge) - 1, None, object)
+            for i in np.flatnonzero(np.diff(edge) > 1):
+                more[i] = own[edge[i] + 1 : edge[i + 1]].tobytes()
             yield pa.RecordBatch.from_arrays(
-                [_signed(k1[open_]), _signed(k2[open_]), pa.array(doc[open_]), pa.array(pos[open_]), pa.nulls(int(open_.sum()), pa.binary())],
-                ["k1", "k2", "doc_id", "pos", "decided"],
+                [_signed(k1[start]), _signed(k2[start]), pa.array(doc[start]), pa.array(own[first_place]), pa.array(more, pa.binary()), pa.array(np.zeros(len(more), bool))],
+                names,
             )
             if late.any():
                 order = np.argsort(doc[late], kind="stable")
@@ -173,21 +181,21 @@ def window_rows(candidates: DataFrame, length: int) -> DataFrame:
                 own = d[edge[:-1]]
                 key = mix(own.astype(np.uint64) + U64(0xD0C))
                 yield pa.RecordBatch.from_arrays(
-                    [_signed(key), _signed(mix(key)), pa.array(own), pa.array(np.zeros(n, np.int32)), pa.array(runs, pa.binary())], ["k1", "k2", "doc_id", "pos", "decided"]
+                    [_signed(key), _signed(mix(key)), pa.array(own), pa.array(np.zeros(n, np.int32)), pa.array(runs, pa.binary()), pa.array(np.ones(n, bool))], names
                 )
 
-    return candidates.select("doc_id", "z", "anchors").mapInArrow(run, "k1 bigint, k2 bigint, doc_id bigint, pos int, decided binary")
+    return candidates.select("doc_id", "z", "anchors").mapInArrow(run, "k1 bigint, k2 bigint, doc_id bigint, pos int, more binary, late boolean")
 
 
 def repeated_windows(docs: DataFrame, copies: DataFrame, length: int = LENGTH) -> DataFrame:
-    """(doc_id, places, decided): first words of the windows that also start in a smaller document, singly and as packed int32."""
+    """(doc_id, places, more): first words of the windows that also start in a smaller document, singly and as packed int32."""
     level = anchor_rows(docs, length).withColumn("n", F.count("*").over(Window.partitionBy("k")))
     level = level.where((F.col("kind") == DECIDED) | ((F.col("kind") == OPEN) & (F.col("n") > 1))).select("doc_id", "a")
     level = level.join(copies, "doc_id", "left_anti").groupBy("doc_id").agg(F.collect_list("a").alias("anchors"))
     candidates = packed(docs).join(materialise(level, "half-windows"), "doc_id")
     rows = window_rows(candidates, length).withColumn("least", F.min("doc_id").over(Window.partitionBy("k1", "k2")))
-    rows = rows.where(F.col("decided").isNotNull() | (F.col("doc_id") > F.col("least")))
-    rows = rows.groupBy("doc_id").agg(F.collect_list(F.when(F.col("decided").isNull(), F.col("pos"))).alias("places"), F.collect_list("decided").alias("decided"))
+    rows = rows.where(F.col("late") | (F.col("doc_id") > F.col("least")))
+    rows = rows.groupBy("doc_id").agg(F.collect_list(F.when(~F.col("late"), F.col("pos"))).alias("places"), F.collect_list("more").alias("more"))
     return materialise(rows, "windows")
 
 
@@ -221,7 +229,7 @@ def deduplicated(docs: DataFrame, length: int = LENGTH, with_text: bool = True)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            places, decided, copy = (batch.column(c) for c in ("places", "decided", "copy"))
+            places, more, copy = (batch.column(c) for c in ("places", "more", "copy"))
             for low, high, words in _unpacked(batch.column("z")):
                 cover = np.zeros(len(words.starts) + 1, np.int64)
                 n = words.counts
@@ -234,7 +242,7 @@ def deduplicated(docs: DataFrame, length: int = LENGTH, with_text: bool = True)
                         continue
                     if not places[i].is_valid:
                         continue
-                    own = np.unique(np.concatenate([places[i].values.to_numpy(), *[np.frombuffer(x.as_buffer(), np.int32) for x in decided[i].values]]))
+                    own = np.unique(np.concatenate([places[i].values.to_numpy(), *[np.frombuffer(x.as_buffer(), np.int32) for x in more[i].values]]))
                     np.add.at(cover, at + own, 1)
                     np.add.at(cover, at + own + length, -1)
                 kept = np.cumsum(cover[:-1]) == 0
@@ -248,7 +256,7 @@ def deduplicated(docs: DataFrame, length: int = LENGTH, with_text: bool = True)
                 yield pa.RecordBatch.from_arrays(columns, names)
 
     schema = "doc_id bigint, n_words bigint, n_removed bigint, kept_sha256 string" + ", kept_text string" * with_text
-    out = packed(given).join(marks, "doc_id", "left").select("doc_id", "z", "places", "decided", "copy").mapInArrow(run, schema)
+    out = packed(given).join(marks, "doc_id", "left").select("doc_id", "z", "places", "more", "copy").mapInArrow(run, schema)
     return out.withColumn("doc_id", F.when(F.col("doc_id") != NO_ID, F.col("doc_id")))
 
 
