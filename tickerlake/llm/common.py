@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import gc
 import os
 from pathlib import Path
 
@@ -36,6 +37,15 @@ def id_remainder(key: str, divisor: int) -> Column:
     return F.crc32(F.col(key).cast("string")) % F.lit(divisor)
 
 
+def release_shuffles(spark: SparkSession) -> None:
+    """Let Spark delete the shuffle files of finished steps now.
+
+    It does so when the driver's JVM collects their plans, which may otherwise take half an hour; between large steps that is disk for nothing.
+    """
+    gc.collect()
+    spark.sparkContext._jvm.System.gc()
+
+
 def key_sample(df: DataFrame, rows: int, key: str = "doc_id") -> DataFrame:
     """About ``rows`` rows with keys chosen by hash, ``2 * rows`` at most; all of a smaller table.
 

@@ -28,7 +28,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from tickerlake.llm.common import table, texts
+from tickerlake.llm.common import release_shuffles, table, texts
 from tickerlake.llm.components import components
 from tickerlake.llm.words import U64, Words, mix, slices, window_hashes
 from tickerlake.session import materialise
@@ -368,6 +368,7 @@ def similar_sets(docs: DataFrame, shingle: int = 3, num: int = 90, den: int = 10
     keys = materialise(set_keys(given, like), "set-keys")
     nodes = materialise(keys.where("n > 0").groupBy("n", "a", "b").agg(F.min("doc_id").alias("node")), "nodes")
     members = signature_members(given, like)
+    release_shuffles(docs.sparkSession)
     links, checked, blobs = None, None, None
     while True:
         small, star = group_pairs(members)
@@ -380,8 +381,10 @@ def similar_sets(docs: DataFrame, shingle: int = 3, num: int = 90, den: int = 10
             blobs = materialise(set_blobs(given.join(ids, "doc_id", "left_semi"), like), "set-blobs")
         small = materialise(close_pairs(small, blobs, like), "close-pairs")
         star = materialise(close_members(star, blobs, like), "close-members")
+        release_shuffles(docs.sparkSession)
         found = materialise(check_pairs(small, blobs, like, False).where("linked").select("p", "x"), "found")
         links = found if links is None else links.unionByName(found)
+        release_shuffles(docs.sparkSession)
         now = materialise(check_pairs(star, blobs, like, True), "checked")
         links = links.unionByName(now.where("linked").select("p", "x"))
         # All members so far of the pivots that met new ones.
