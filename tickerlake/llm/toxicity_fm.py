@@ -111,7 +111,7 @@ def _train(text: np.ndarray, row: np.ndarray, label: np.ndarray, index: np.ndarr
             margin = machine.bias + np.bincount(own, machine.linear[r], minlength=len(part))
             margin += 0.5 * ((total**2).sum(1) - np.bincount(own, (v * v).sum(1), minlength=len(part)))
             slope = weight[part] * (1 / (1 + np.exp(-np.clip(margin, -35, 35))) - label[part]) / len(part)
-            g = np.bincount(r, slope[own], minlength=terms)
+            g = np.bincount(r, slope[own], minlength=terms).astype(float)
             gv = np.zeros((terms, FACTORS))
             np.add.at(gv, r, slope[own][:, None] * (total[own] - v))
             seen = np.unique(r)
