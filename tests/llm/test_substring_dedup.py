@@ -46,3 +46,12 @@ def test_odd_rows(odd_docs, no_docs):
     rows = [(r["doc_id"], r["text"]) for r in odd_docs.collect()]
     assert found(odd_docs, 13) == brute(rows, 13)
     assert found(no_docs, 13) == Counter()
+
+
+def test_same_words_with_other_white_space(spark):
+    """Texts that differ in white space alone are not equal texts, yet all their windows repeat, also in one batch."""
+    words = [f"w{i}" for i in range(30)]
+    texts = [" ".join(words), "\n".join(words), "  ".join(words), " ".join(words) + "\n", " ".join(words), "\n".join(words)]
+    rows = [(9 - i, t) for i, t in enumerate(texts)]
+    for parts in (1, 3):
+        assert found(spark.createDataFrame(rows, "doc_id bigint, text string").coalesce(1).repartition(parts), 13) == brute(rows, 13)
