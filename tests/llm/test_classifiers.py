@@ -67,3 +67,18 @@ def test_odd_rows(spark, odd_docs, no_docs, module):
     labels = spark.createDataFrame([(1, 1), (None, 1), (2, None), (3, 7)], "doc_id bigint, toxic int")
     assert len(labelled_sample(odd_docs, labels, "toxic", 1000, 999)) == 1
     assert labelled_sample(no_docs, labels, "toxic", 1000, 999) == labelled_sample(odd_docs, labels.where("false"), "toxic", 4, 2) == []
+
+
+def test_terms_that_tell_only_in_pairs_are_chosen():
+    """Each of four words is as frequent in both classes; only toxic or only clean texts have two of them together, beside many chance terms."""
+    rng = random.Random(6)
+    rows = []
+    for i in range(1200):
+        a, b = rng.random() < 0.5, rng.random() < 0.5
+        rows.append((" ".join([words(rng, 20), "insult" if a else "plain", "group" if b else "thing"]), int(a == b)))
+    machine = toxicity_fm.fit(rows, epochs=1)
+    for word in ("insult", "plain", "group", "thing"):
+        (_, _, w), = slices(pa.array([word]))
+        _, term = toxicity_fm.term_ids(w)
+        assert (machine.index[term] >= 0).all()
+    assert (machine.index >= 0).sum() < 40

@@ -4,8 +4,8 @@ Terms are lower-cased words and their beginnings of four, five and six bytes, so
 The machine's margin is ``bias + sum(w) + 1/2 * sum_f((sum v_f)^2 - sum v_f^2)`` over the terms present in a text: the
 second part learns what pairs of terms add, such as an insult beside a mention of a group, which additive weights miss.
 
-It is fitted by AdaGrad on at most ``SAMPLE_ROWS`` labelled rows, over the ``TERMS`` terms that differ most between the classes
-there; a logistic curve on margins of unseen rows gives scores. The model is a table of fixed size. Every text is scored whole. NULL
+It is fitted by AdaGrad on at most ``SAMPLE_ROWS`` labelled rows, over the terms that differ between the classes there, or
+whose texts do where they stand beside some other term; a logistic curve on margins of unseen rows gives scores. The model is a table of fixed size. Every text is scored whole. NULL
 and empty texts have no terms and get the score of the bias. Without labelled rows of both classes every text gets the
 share of label 1 (0.5 without rows).
 """
@@ -27,11 +27,12 @@ from tickerlake.llm.words import U64, Words, mix, slices
 #: Labelled rows that the machine is fitted on at most.
 SAMPLE_ROWS = 5000
 BITS = 20
-TERMS = 3000
 FACTORS = 6
 MIN_TEXTS = 3
 #: Chi-square below which a term's difference between the classes may be chance: one term in many thousands exceeds it so.
 LEAST_GAIN = 12.0
+#: Terms whose pairs are counted at a time.
+BLOCK = 1024
 STEMS = (4, 5, 6)
 THRESHOLD = 0.3
 
@@ -77,15 +78,61 @@ class Machine:
         return distinct_terms(text[row >= 0], row[row >= 0])
 
 
+def _paired(text: np.ndarray, term: np.ndarray, label: np.ndarray, seen: np.ndarray, limit: float) -> np.ndarray:
+    """Terms with a partner beside which label 1 is more frequent than either term alone explains.
+
+    With q the larger of the two terms' shares of label 1, twice the log-likelihood ratio of a pair's texts against q reaches ``limit`` by chance with
+    probability exp(-limit / 2) at most, so with a limit of 2 log(terms ** 2) about one pair of all. It is at most 2 hits log(1 / q),
+    which leaves out the terms that cannot reach it in any pair, and no others.
+    """
+    hit = np.bincount(term[label[text] == 1], minlength=len(seen))
+    share = (hit + 0.5) / (seen + 1)
+    able = np.flatnonzero((seen >= MIN_TEXTS) & (-2 * hit * np.log(share) >= limit))
+    row = np.empty(len(label), np.int64)
+    row[np.argsort(-label, kind="stable")] = np.arange(len(label))
+    pos = int(label.sum())
+    place = np.full(len(seen), -1)
+    place[able] = np.arange(len(able))
+    own = np.flatnonzero(place[term] >= 0)
+    own = own[np.argsort(place[term[own]], kind="stable")]
+    at, column = row[text[own]], place[term[own]]
+
+    def part(low: int) -> tuple[np.ndarray, np.ndarray]:
+        a, b = np.searchsorted(column, (low, low + BLOCK))
+        out = np.zeros((len(label), min(BLOCK, len(able) - low)), np.float32)
+        out[at[a:b], column[a:b] - low] = 1
+        return out, share[able[low : low + BLOCK]]
+
+    found = np.zeros(len(able), bool)
+    for i in range(0, len(able), BLOCK):
+        one, p = part(i)
+        for j in range(i, len(able), BLOCK):
+            other, r = part(j)
+            q = np.maximum(p[:, None], r[None, :])
+            hits = one[:pos].T @ other[:pos]
+            x, y = np.nonzero(-2 * hits * np.log(q) >= limit)
+            if not len(x):
+                continue
+            h, n, q = hits[x, y].astype(float), (one.T @ other)[x, y].astype(float), q[x, y]
+            miss = n - h
+            ratio = 2 * (h * np.log(h / (n * q)) + miss * np.log(np.maximum(miss, 1) / (n * (1 - q))))
+            good = (h > n * q) & (ratio >= limit)
+            found[i + x[good]] = True
+            found[j + y[good]] = True
+    return able[found]
+
+
 def _choose(text: np.ndarray, term: np.ndarray, label: np.ndarray) -> np.ndarray:
-    """Index of the terms whose chi-square statistic against the label is largest."""
+    """Index of the terms that tell something of the label, alone by their chi-square statistic or in a pair."""
     size, n, pos = 1 << BITS, len(label), label.sum()
     seen = np.bincount(term, minlength=size).astype(float)
     hit = np.bincount(term[label[text] == 1], minlength=size)
     spread = seen * (n - seen) * pos * (n - pos)
     gain = np.where((seen >= MIN_TEXTS) & (spread > 0), n * (hit * n - seen * pos) ** 2 / np.maximum(spread, 1), 0)
-    best = np.argsort(-gain, kind="stable")[:TERMS]
-    best = best[gain[best] >= LEAST_GAIN]
+    often = np.flatnonzero(seen >= MIN_TEXTS)
+    limit = 4 * np.log(max(2, len(often)))
+    paired = np.concatenate([_paired(text, term, label, seen, limit), _paired(text, term, 1 - label, seen, limit)])
+    best = np.union1d(np.flatnonzero(gain >= LEAST_GAIN), paired)
     index = np.full(size, -1, np.int32)
     index[best] = np.arange(len(best))
     return index
