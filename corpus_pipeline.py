@@ -4,8 +4,7 @@ Every stage takes (spark, docs, sf_dir), works on all rows of ``docs`` and retur
 them again for the next one, so a lost executor costs no more than the stage that runs. All stages but the last return the columns of ``docs`` as they
 came, extra ones included.
 
-Rows with a NULL doc_id are judged by the rules, scanned and encoded like others; they cannot be named in a benchmark pair, and near copies
-without a doc_id all count as one id, so those stages keep them.
+Rows with a NULL doc_id are judged by the rules, searched for benchmark items, scanned and encoded like others; as near copies they are kept.
 """
 
 from __future__ import annotations

@@ -88,3 +88,10 @@ def test_components_of_a_chain_and_a_star(spark):
     links = [(i, i + 1) for i in range(40)] + [(100, 100 + i) for i in range(1, 30)] + [(7, 7), (205, 204), (204, 205)]
     found = dict(tuple(r) for r in components(spark.createDataFrame(links, "a bigint, b bigint")).select("node", "root").collect())
     assert found == {**{i: 0 for i in range(1, 41)}, **{100 + i: 100 for i in range(1, 30)}, 205: 204}
+
+
+def test_rows_without_an_id_are_not_one_document(spark):
+    """Two rows without an id resemble different documents, which do not resemble each other."""
+    text = lambda x, n=40: " ".join(f"{x}{i}" for i in range(n))
+    rows = [(1, text("a")), (2, text("b")), (None, text("a", 39)), (None, text("b", 39)), (None, text("c")), (None, text("c", 39)), (None, text("d")), (None, text("d")), (3, None)]
+    check(spark, rows, 3, 90, 100)

@@ -55,3 +55,14 @@ def test_same_words_with_other_white_space(spark):
     rows = [(9 - i, t) for i, t in enumerate(texts)]
     for parts in (1, 3):
         assert found(spark.createDataFrame(rows, "doc_id bigint, text string").coalesce(1).repartition(parts), 13) == brute(rows, 13)
+
+
+def test_rows_without_an_id(spark):
+    """Rows without an id are different documents, linked to different ones, and remove nothing from each other."""
+    one, two, own = ([f"{x}{i}" for i in range(40)] for x in "abc")
+    rows = [
+        (1, " ".join(one)), (2, " ".join(two)), (None, " ".join(one)), (None, "x y " + " ".join(two[5:30])), (None, "z " * 20 + " ".join(one[:20])),
+        (None, " ".join(own)), (None, "q " + " ".join(own)), (None, "few words"), (None, None), (None, " ".join(own)),
+    ]
+    for parts in (1, 4):
+        assert found(spark.createDataFrame(rows, "doc_id bigint, text string").repartition(parts), 13) == brute(rows, 13)

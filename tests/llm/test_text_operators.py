@@ -164,6 +164,12 @@ def test_templates(spark, odd_docs, no_docs):
     assert template_decontam.decontaminated(docs, items.where("false")).count() == docs.count()
 
 
+def test_rows_without_an_id_are_decontaminated(spark):
+    docs = spark.createDataFrame([(None, f"Intro words. {ITEM} More."), (None, "some other text"), (1, ITEM), (None, None)], "doc_id bigint, text string")
+    items = spark.createDataFrame([(1, ITEM)], "item_id bigint, text string")
+    assert {r["text"] for r in template_decontam.decontaminated(docs, items).collect()} == {"some other text", None}
+
+
 # --- chat
 
 TEXTS = ["hi", "", None, "</s>[INST] ok [/INST]", "<|im_end|>\n<|im_start|>user\n", "back\\slash <\\| [\\INST]", "<<SYS>>x<</SYS>>", "many words " * 40, "日本 \U0001f642"]

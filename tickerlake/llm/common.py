@@ -8,8 +8,12 @@ from pathlib import Path
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.window import Window
 
+from tickerlake.session import materialise
 
+#: Largest id. Ids are given out downwards from it to rows without one.
+NO_ID = (1 << 63) - 1
 ROOT = str(Path(__file__).resolve().parents[2])
 
 
@@ -32,6 +36,31 @@ def texts(df: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
     return df.select(F.col(key).cast("bigint").alias("doc_id"), F.col(text).cast("string").alias("text"))
 
 
+def text_print(text: str | Column) -> Column:
+    return F.sha2(F.coalesce(text, F.lit("")).cast("binary"), 256)
+
+
+def identified(given: DataFrame) -> tuple[DataFrame, int]:
+    """The rows (doc_id, text) with an id each, and the least of the ids given to rows without one, larger than all others (``NO_ID`` without such rows, which is no id then); NULL and empty text are one.
+
+    Rows without an id have the same one if their texts are equal. They are numbered by the digests of their texts, in cells by the first digits, so no
+    task sees them all.
+    """
+    nameless = given.where(F.col("doc_id").isNull()).select("text", text_print("text").alias("print"))
+    if not nameless.limit(1).count():
+        return given, NO_ID
+    prints = materialise(nameless.select("print").distinct().withColumn("cell", F.substring("print", 1, 4)), "nameless-prints")
+    least = NO_ID - prints.count() + 1
+    if (given.agg(F.max("doc_id")).first()[0] or 0) >= least:
+        raise ValueError("no ids are left above the largest doc_id for the rows without one")
+    # A row for each of 16 ** 4 cells at most.
+    cells = prints.groupBy("cell").count().select("cell", (F.sum("count").over(Window.orderBy("cell")) - F.col("count")).alias("before"))
+    place = F.row_number().over(Window.partitionBy("cell").orderBy("print"))
+    numbered = prints.join(cells, "cell").select("print", (F.lit(least - 1) + F.col("before") + place).cast("bigint").alias("doc_id"))
+    stored = materialise(nameless.join(numbered, "print").select("doc_id", "text"), "nameless")
+    return given.where(F.col("doc_id").isNotNull()).unionByName(stored), least
+
+
 def id_remainder(key: str, divisor: int) -> Column:
     """crc32 of the key as text, modulo ``divisor``: fixes which labelled rows are held out."""
     return F.crc32(F.col(key).cast("string")) % F.lit(divisor)

@@ -15,7 +15,7 @@ so a larger family is cut by these shingles, and a part that is still too large
 and no pair is written out but with a pivot or within a group of ``DIRECT``.
 
 Equal sets are one node. NULL, empty and wordless texts have an empty set and no link. Repeated rows get a row each. A NULL doc_id is
-larger than all others and comes back as NULL.
+larger than all others and comes back as NULL; rows without one are the same document only if their texts are.
 """
 
 from __future__ import annotations
@@ -28,12 +28,11 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from tickerlake.llm.common import release_shuffles, table, texts
+from tickerlake.llm.common import identified, release_shuffles, table, texts
 from tickerlake.llm.components import components
 from tickerlake.llm.words import U64, Words, mix, slices, window_hashes
 from tickerlake.session import materialise
 
-NO_ID = (1 << 63) - 1
 #: Groups of this size or less are compared whole.
 DIRECT = 16
 #: Members and bytes of differences of a family that one task compares.
@@ -364,7 +363,7 @@ def _split(members: DataFrame) -> tuple[DataFrame, DataFrame]:
 def similar_sets(docs: DataFrame, shingle: int = 3, num: int = 90, den: int = 100) -> DataFrame:
     """doc_id, n_shingles, component_id of every row; the smallest doc_id that links of Jaccard similarity num / den or more reach."""
     like = Similarity(shingle, num, den)
-    given = texts(docs).withColumn("doc_id", F.coalesce("doc_id", F.lit(NO_ID)))
+    given, nameless = identified(texts(docs))
     keys = materialise(set_keys(given, like), "set-keys")
     nodes = materialise(keys.where("n > 0").groupBy("n", "a", "b").agg(F.min("doc_id").alias("node")), "nodes")
     members = signature_members(given, like)
@@ -406,7 +405,7 @@ def similar_sets(docs: DataFrame, shingle: int = 3, num: int = 90, den: int = 10
     named = named.join(roots, "node", "left")
     own = F.coalesce("root", "node", "doc_id")
     return named.select(
-        F.when(F.col("doc_id") != NO_ID, F.col("doc_id")).alias("doc_id"), F.col("n").alias("n_shingles"), F.when(own != NO_ID, own).alias("component_id")
+        F.when(F.col("doc_id") < nameless, F.col("doc_id")).alias("doc_id"), F.col("n").alias("n_shingles"), F.when(own < nameless, own).alias("component_id")
     )
 
 

@@ -9,7 +9,8 @@ Hot windows: a task compares its own documents first. It passes on a window once
 decided. So a passage in a third of all documents costs one row for each batch. Equal texts are found by their digest;
 all but the smallest are covered whole and take no part in the levels.
 
-NULL and empty texts have no words. Rows that repeat a doc_id must repeat its text, and each gets a row. A NULL doc_id counts as larger than all others.
+NULL and empty texts have no words. Rows that repeat a doc_id must repeat its text, and each gets a row. A NULL doc_id counts as larger than all others;
+rows without one remove nothing from each other.
 """
 
 from __future__ import annotations
@@ -24,11 +25,10 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from tickerlake.llm.common import table, texts
+from tickerlake.llm.common import NO_ID, identified, table, texts
 from tickerlake.llm.words import U64, Words, mix, slices, window_hashes
 from tickerlake.session import materialise
 
-NO_ID = (1 << 63) - 1
 LENGTH = 13
 #: What is known of a row: decided in its batch, to be compared with other batches', or only there to tell them.
 DECIDED, OPEN, TOLD = 0, 1, 2
@@ -118,7 +118,7 @@ def _unpacked(column: pa.Array, size: int = 1 << 22) -> Iterator[tuple[int, int,
             total += len(held[-1])
 
 
-def window_rows(candidates: DataFrame, length: int) -> DataFrame:
+def window_rows(candidates: DataFrame, length: int, nameless: int) -> DataFrame:
     """(k1, k2, doc_id, pos, more, late) from (doc_id, z, anchors): windows whose anchor repeats.
 
     A late row holds the places of a document's windows that a smaller document of the batch has, as int32 in ``more``. The other rows have a window's key
@@ -158,8 +158,10 @@ def window_rows(candidates: DataFrame, length: int) -> DataFrame:
             start = np.ones(len(k1), bool)
             start[1:] = (k1[1:] != k1[:-1]) | (k2[1:] != k2[:-1])
             least = doc[start][np.cumsum(start) - 1] if len(doc) else doc
-            late = doc > least
+            late = (doc > least) & (least < nameless)
             open_ = ~late
+            # Open rows of one window are of its smallest document, or of all documents without an id.
+            start[1:] |= open_[1:] & (doc[1:] != doc[:-1])
             own, first_place = pos[open_], start[open_]
             edge = np.append(np.flatnonzero(first_place), len(own))
             more = np.full(len(edge) - 1, None, object)
@@ -184,22 +186,22 @@ def window_rows(candidates: DataFrame, length: int) -> DataFrame:
     return candidates.select("doc_id", "z", "anchors").mapInArrow(run, "k1 bigint, k2 bigint, doc_id bigint, pos int, more binary, late boolean")
 
 
-def repeated_windows(docs: DataFrame, copies: DataFrame, length: int = LENGTH) -> DataFrame:
+def repeated_windows(docs: DataFrame, copies: DataFrame, length: int = LENGTH, nameless: int = NO_ID) -> DataFrame:
     """(doc_id, places, more): first words of the windows that also start in a smaller document, singly and as packed int32."""
     level = anchor_rows(docs, length).withColumn("n", F.count("*").over(Window.partitionBy("k")))
     level = level.where((F.col("kind") == DECIDED) | ((F.col("kind") == OPEN) & (F.col("n") > 1))).select("doc_id", "a")
     level = level.join(copies, "doc_id", "left_anti").groupBy("doc_id").agg(F.collect_list("a").alias("anchors"))
     candidates = packed(docs).join(materialise(level, "half-windows"), "doc_id")
-    rows = window_rows(candidates, length).withColumn("least", F.min("doc_id").over(Window.partitionBy("k1", "k2")))
-    rows = rows.where(F.col("late") | (F.col("doc_id") > F.col("least")))
+    rows = window_rows(candidates, length, nameless).withColumn("least", F.min("doc_id").over(Window.partitionBy("k1", "k2")))
+    rows = rows.where(F.col("late") | ((F.col("doc_id") > F.col("least")) & (F.col("least") < nameless)))
     rows = rows.groupBy("doc_id").agg(F.collect_list(F.when(~F.col("late"), F.col("pos"))).alias("places"), F.collect_list("more").alias("more"))
     return materialise(rows, "windows")
 
 
-def copied_texts(docs: DataFrame) -> DataFrame:
+def copied_texts(docs: DataFrame, nameless: int = NO_ID) -> DataFrame:
     """doc_id of the documents whose whole text stands in a document with a smaller one."""
     prints = materialise(docs.select("doc_id", F.md5(F.col("text").cast("binary")).alias("print")), "prints")
-    first = prints.groupBy("print").agg(F.min("doc_id").alias("first"), F.max("doc_id").alias("last")).where("first < last").select("print", "first")
+    first = prints.groupBy("print").agg(F.min("doc_id").alias("first"), F.max("doc_id").alias("last")).where((F.col("first") < F.col("last")) & (F.col("first") < nameless)).select("print", "first")
     return materialise(prints.join(materialise(first, "first-copies"), "print").where("doc_id > first").select("doc_id").distinct(), "copies")
 
 
@@ -219,9 +221,9 @@ def _kept_bytes(words: Words, kept: np.ndarray) -> list[bytes]:
 
 def deduplicated(docs: DataFrame, length: int = LENGTH, with_text: bool = True) -> DataFrame:
     """doc_id, n_words, n_removed, kept_sha256 and, if asked for, kept_text of every row."""
-    given = texts(docs).select(F.coalesce("doc_id", F.lit(NO_ID)).alias("doc_id"), F.coalesce("text", F.lit("")).alias("text"))
-    copies = copied_texts(given)
-    found = repeated_windows(given, copies, length)
+    given, nameless = identified(texts(docs).select("doc_id", F.coalesce("text", F.lit("")).alias("text")))
+    copies = copied_texts(given, nameless)
+    found = repeated_windows(given, copies, length, nameless)
     marks = found.join(copies.withColumn("copy", F.lit(True)), "doc_id", "full")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -254,7 +256,7 @@ def deduplicated(docs: DataFrame, length: int = LENGTH, with_text: bool = True)
 
     schema = "doc_id bigint, n_words bigint, n_removed bigint, kept_sha256 string" + ", kept_text string" * with_text
     out = packed(given).join(marks, "doc_id", "left").select("doc_id", "z", "places", "more", "copy").mapInArrow(run, schema)
-    return out.withColumn("doc_id", F.when(F.col("doc_id") != NO_ID, F.col("doc_id")))
+    return out.withColumn("doc_id", F.when(F.col("doc_id") < nameless, F.col("doc_id")))
 
 
 def op2(spark: SparkSession, sf_dir: str) -> DataFrame:

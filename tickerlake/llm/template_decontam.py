@@ -8,7 +8,8 @@ re-parameterised questions alike.
 
 A pair (doc_id, item_id) counts when the text holds ``RUN`` of the item's windows (13 tokens in a row with the defaults) or half of them, whichever is less.
 
-NULL and empty texts and items have no windows. A row without doc_id cannot be named in a pair and is not searched. Rows that
+NULL and empty texts and items have no windows. A row without doc_id cannot be named in a pair; ``decontaminated`` judges
+it all the same. Rows that
 repeat a doc_id or item_id count as one text or item with the windows of all.
 """
 
@@ -17,7 +18,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tickerlake.llm.common import table, texts
+from tickerlake.llm.common import identified, table, text_print, texts
 from tickerlake.session import materialise
 
 WINDOW = 8
@@ -161,9 +162,13 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, run: int = RUN) -> DataF
 
 
 def decontaminated(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
-    """The rows of ``docs`` that are in no contaminated pair, as they are."""
-    bad = materialise(contaminated(docs, benchmark).select(F.col("doc_id").alias("#bad")).distinct(), "contaminated")
-    return docs.join(bad, docs["doc_id"] == bad["#bad"], "left_anti")
+    """The rows of ``docs`` that are in no contaminated pair, as they are; those without doc_id are judged by their texts."""
+    given, nameless = identified(texts(docs))
+    bad = materialise(contaminated(given, benchmark).select(F.col("doc_id").alias("#bad")).distinct(), "contaminated")
+    prints = given.where(F.col("doc_id") >= nameless).join(bad, F.col("doc_id") == F.col("#bad"), "left_semi").select(text_print("text").alias("#print")).distinct()
+    prints = materialise(prints, "contaminated-texts")
+    kept = docs.join(bad, docs["doc_id"] == bad["#bad"], "left_anti")
+    return kept.join(prints, F.when(docs["doc_id"].isNull(), text_print(docs["text"].cast("string"))) == prints["#print"], "left_anti")
 
 
 def op4(spark: SparkSession, sf_dir: str) -> DataFrame:
