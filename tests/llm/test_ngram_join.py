@@ -95,3 +95,15 @@ def test_rows_without_an_id_are_not_one_document(spark):
     text = lambda x, n=40: " ".join(f"{x}{i}" for i in range(n))
     rows = [(1, text("a")), (2, text("b")), (None, text("a", 39)), (None, text("b", 39)), (None, text("c")), (None, text("c", 39)), (None, text("d")), (None, text("d")), (3, None)]
     check(spark, rows, 3, 90, 100)
+
+
+def test_members_of_earlier_rounds_keep_new_ones(spark):
+    """A new member is close to nothing but a member that met the same pivot in an earlier round."""
+    text = lambda x: " ".join(f"{x}{i}" for i in range(40))
+    docs = spark.createDataFrame([(1, text("a")), (2, text("b")), (3, text("b") + " b40"), (4, text("c"))], "doc_id bigint, text string")
+    like = ngram_join.Similarity(3, 90, 100)
+    blobs = ngram_join.set_blobs(docs, like)
+    pairs = lambda *rows: spark.createDataFrame(rows, "p bigint, x bigint")
+    assert ngram_join.close_members(pairs((1, 3)), blobs, like).collect() == []
+    kept = ngram_join.close_members(pairs((1, 3), (2, 4)), blobs, like, pairs((1, 2))).collect()
+    assert [tuple(r) for r in kept] == [(1, 3)]

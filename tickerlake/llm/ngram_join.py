@@ -227,8 +227,15 @@ def close_pairs(pairs: DataFrame, blobs: DataFrame, like: Similarity) -> DataFra
     return pairs.join(mine, "x").join(theirs, "p").mapInArrow(run, "p bigint, x bigint")
 
 
-def close_members(star: DataFrame, blobs: DataFrame, like: Similarity) -> DataFrame:
-    """The pairs (p, x) of a pivot whose member may be linked with the pivot or with another member, by their sketches; all of too large a family."""
+def close_members(star: DataFrame, blobs: DataFrame, like: Similarity, met: DataFrame | None = None) -> DataFrame:
+    """The pairs (p, x) of a pivot whose member may be linked with the pivot or with another member, by their sketches; all of too large a family.
+
+    All, too, of the pivots p in ``met``, which have members from earlier rounds that are not in ``star``.
+    """
+    if met is not None:
+        known = materialise(met.select("p").distinct(), "known-pivots")
+        fresh = close_members(star.join(known, "p", "left_anti"), blobs, like)
+        return fresh.unionByName(star.join(known, "p", "left_semi").select("p", "x"))
 
     def run(rows: pa.Table) -> pa.Table:
         sketch, n = _sketches(rows["sketch"]), rows["n"].to_numpy()
@@ -379,7 +386,7 @@ def similar_sets(docs: DataFrame, shingle: int = 3, num: int = 90, den: int = 10
             ids = materialise(small.unionByName(star).select(F.explode(F.array("p", "x")).alias("doc_id")).distinct(), "pair-ids")
             blobs = materialise(set_blobs(given.join(ids, "doc_id", "left_semi"), like), "set-blobs")
         small = materialise(close_pairs(small, blobs, like), "close-pairs")
-        star = materialise(close_members(star, blobs, like), "close-members")
+        star = materialise(close_members(star, blobs, like, checked), "close-members")
         release_shuffles(docs.sparkSession)
         found = materialise(check_pairs(small, blobs, like, False).where("linked").select("p", "x"), "found")
         links = found if links is None else links.unionByName(found)
