@@ -170,6 +170,17 @@ def test_rows_without_an_id_are_decontaminated(spark):
     assert {r["text"] for r in template_decontam.decontaminated(docs, items).collect()} == {"some other text", None}
 
 
+def test_verbatim_copies_that_templates_miss(spark):
+    """Numbers only, one token, a script without spaces, a first word or a line break that changes what is a name."""
+    items = ["Compute 12 * 34 + 56 - 78 / 9", "Antidisestablishmentarianism?", "日本の首都はどこですか", "What is the capital of France", "they asked old Anna Smith for some bread"]
+    texts = [f"before it {t} after it" for t in items]
+    texts[2] = "前の文章" + items[2] + "次の文章"
+    texts[4] = "so they asked old\nAnna  Smith for some bread again"
+    docs = spark.createDataFrame([*enumerate(texts), (9, "nothing of these, 12 and 34")], "doc_id bigint, text string")
+    pairs = template_decontam.contaminated(docs, spark.createDataFrame(list(enumerate(items)), "item_id bigint, text string"))
+    assert sorted((r["doc_id"], r["item_id"], r["same_values"]) for r in pairs.collect()) == [(i, i, True) for i in range(5)]
+
+
 # --- chat
 
 TEXTS = ["hi", "", None, "</s>[INST] ok [/INST]", "<|im_end|>\n<|im_start|>user\n", "back\\slash <\\| [\\INST]", "<<SYS>>x<</SYS>>", "many words " * 40, "日本 \U0001f642"]

@@ -8,6 +8,10 @@ re-parameterised questions alike.
 
 A pair (doc_id, item_id) counts when the text holds ``RUN`` of the item's windows (13 tokens in a row with the defaults) or half of them, whichever is less.
 
+Templates miss verbatim copies of some items: of few words, of one window only, or with capitalised words that are names or not by what stands
+before them or by a line break. For these items, windows of plain lower-cased tokens are joined as well (of ``WINDOW`` tokens, or the whole
+shorter item, were it one token; letters of scripts without spaces are tokens of their own), and a pair that only these find counts by the same rule.
+
 NULL and empty texts and items have no windows. A row without doc_id cannot be named in a pair; ``decontaminated`` judges
 it all the same. Rows that
 repeat a doc_id or item_id count as one text or item with the windows of all.
@@ -38,6 +42,12 @@ UNITS = (
 UNIT_PATTERN = rf" {NUMBER} [ -]?(%|{'|'.join(sorted(UNITS, key=lambda u: (-len(u), u)))})([^\p{{L}}\p{{N}}]|$)"
 TOKEN_PATTERN = r"[\p{L}\p{N}\x{E000}-\x{E002}]+"
 
+#: Letters that follow each other without spaces, and the plain tokens.
+UNSPACED = r"\p{IsHan}\p{IsHiragana}\p{IsKatakana}\p{IsThai}\p{IsLao}\p{IsKhmer}\p{IsMyanmar}"
+PLAIN_PATTERN = rf"[{UNSPACED}&&[\p{{L}}\p{{N}}]]|[\p{{L}}\p{{N}}&&[^{UNSPACED}]]+"
+#: Capitalised words that a copy's surroundings or white space may make names or not: inside a sentence, or two and more at the item's start.
+UNSURE_PATTERN = r"[\p{Ll},;]\s+\p{Lu}\p{L}+|^[^\p{L}]*\p{Lu}\p{L}+\s+\p{Lu}\p{L}+"
+
 
 def _clean(text: Column) -> Column:
     return F.translate(text, SLOTS, "")
@@ -102,6 +112,49 @@ def item_windows(items: DataFrame) -> DataFrame:
     return window.select("item_id", "size", "place", by_size.alias("key"))
 
 
+def plain_windows(tokens: str, size: int) -> Column:
+    """Windows of ``size`` plain tokens as strings, in order."""
+    return F.when(F.size(tokens) >= size, F.transform(F.sequence(F.lit(0), F.size(tokens) - size), lambda i: F.array_join(F.slice(tokens, i + 1, size), " ")))
+
+
+def plain_tokens(text: Column) -> Column:
+    return F.regexp_extract_all(F.lower(_clean(text)), F.lit(PLAIN_PATTERN), F.lit(0))
+
+
+def plain_item_windows(items: DataFrame) -> DataFrame:
+    """item_id, size, place, window of the items that templates may miss in a verbatim copy."""
+    judged = items.select(F.col("doc_id").alias("item_id"), "text", template_tokens(F.col("text")).alias("tokens"))
+    size = F.least(F.size("tokens"), F.lit(WINDOW))
+    wordless = F.exists(F.sequence(F.lit(0), F.size("tokens") - size), lambda p: 2 * F.size(F.filter(F.slice("tokens", p + 1, size), lambda t: ~_is_slot(t))) < size)
+    unsure = judged.where((F.size("tokens") <= WINDOW) | wordless | F.col("text").rlike(UNSURE_PATTERN))
+    plain = unsure.select("item_id", plain_tokens(F.col("text")).alias("plain")).where(F.size("plain") > 0)
+    plain = plain.withColumn("size", F.least(F.size("plain"), F.lit(WINDOW)))
+    windows = F.coalesce(*[F.when(F.col("size") == n, plain_windows("plain", n)) for n in range(1, WINDOW + 1)])
+    return plain.select("item_id", "size", F.posexplode(windows).alias("place", "window"))
+
+
+def verbatim(given: DataFrame, items: DataFrame, run: int) -> DataFrame | None:
+    """The pairs that plain windows find, as those of ``contaminated``; None if templates do for all items."""
+    windows = materialise(plain_item_windows(items), "plain-item-windows")
+    # At most WINDOW numbers come to the driver.
+    sizes = sorted(r["size"] for r in windows.select("size").distinct().collect())
+    plain = given.select("doc_id", plain_tokens(F.col("text")).alias("plain"))
+    found = None
+    for size in sizes:
+        each = plain.select("doc_id", F.explode(F.array_distinct(plain_windows("plain", size))).alias("window"))
+        each = each.join(windows.where(F.col("size") == size), "window").select("doc_id", "item_id", "place", "size")
+        found = each if found is None else found.unionByName(each)
+    if found is None:
+        return None
+    counts = found.groupBy("doc_id", "item_id").agg(F.countDistinct("place", "size").alias("n_windows"))
+    totals = windows.groupBy("item_id").agg(F.countDistinct("place", "size").alias("n_item_windows"))
+    return _counting(counts.join(totals, "item_id"), run).select("doc_id", "item_id", "n_windows", "n_item_windows", F.lit(True).alias("same_values"))
+
+
+def _counting(pairs: DataFrame, run: int) -> DataFrame:
+    return pairs.where((F.col("n_windows") >= run) | (2 * F.col("n_windows") >= F.col("n_item_windows")))
+
+
 def _filled(alias: str, place: Column, size: Column) -> Column:
     """The window's tokens, placeholders with their values."""
 
@@ -155,10 +208,12 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, run: int = RUN) -> DataF
         F.countDistinct("place", "size").alias("n_windows"), F.bool_and(F.col("mine") == F.col("theirs")).alias("same_values")
     )
     totals = windows.groupBy("item_id").agg(F.countDistinct("place", "size").alias("n_item_windows"))
-    pairs = counts.join(totals, "item_id")
-    return pairs.where((F.col("n_windows") >= run) | (2 * F.col("n_windows") >= F.col("n_item_windows"))).select(
-        "doc_id", "item_id", "n_windows", "n_item_windows", "same_values"
-    )
+    pairs = _counting(counts.join(totals, "item_id"), run).select("doc_id", "item_id", "n_windows", "n_item_windows", "same_values")
+    plain = verbatim(given, items, run)
+    if plain is None:
+        return pairs
+    pairs = materialise(pairs, "template-pairs")
+    return pairs.unionByName(plain.join(pairs.select("doc_id", "item_id"), ["doc_id", "item_id"], "left_anti").select(*pairs.columns))
 
 
 def decontaminated(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
