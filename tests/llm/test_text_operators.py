@@ -139,6 +139,12 @@ def test_coding_of_odd_rows(spark, odd_docs, no_docs, library):
     assert bpe_duckdb.encode_decode(no_docs).collect() == []
 
 
+@pytest.mark.parametrize("before", ["token: Bearer ", '"auth": "Bearer ', "auth = Basic ", "https://" + "u" * 70 + ":"])
+def test_the_value_after_a_scheme_is_the_secret(before):
+    text = before + "aB3.xYz91-QQ_r7" + ("@host" if "://" in before else " end")
+    assert "xYz91" not in secret_scan.redact(text, secret_scan.secret_spans(text))
+
+
 # --- templates
 
 ITEM = "Yesterday afternoon Anna Smith bought 12 apples, then Anna Smith paid 12 dollars and 3.5 kg of flour for Bob at the old market near the river."

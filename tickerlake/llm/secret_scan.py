@@ -31,7 +31,7 @@ ASSIGN_LEAST = 6
 #: Credential contexts whose value (the last group) is judged by its guess cost.
 CONTEXT = re.compile(
     r"""(?:\b(?:password|passwd|passphrase|passcode|pwd|pass|secret|token|credentials?|api[_-]?key|access[_-]?key|private[_-]?key|client[_-]?secret|auth)"""
-    r"""["']?(?:\x20+is\x20+|\x20*(?:[:=]|=>)\x20*)|\b(?:Bearer|Basic)\x20+)["']?([!-~]{6,})|://[^\s:/@]{1,64}:([!-~]{6,})@""",
+    r"""["']?(?:\x20+is\x20+|\x20*(?:[:=]|=>)\x20*)["']?(?:(?:Bearer|Basic)\x20+)?|\b(?:Bearer|Basic)\x20+)["']?([!-~]{6,})|://[^\s:/@]+:([!-~]{6,})@""",
     re.I | re.A,
 )
 #: Every match of ASSIGN or CONTEXT holds one of these in lower case, so texts without any need no trial.
