@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tickerlake.llm import bpe_duckdb, chat_format, html_extract, ngram_join, quality_cascade, quality_nbsvm, secret_scan, substring_dedup, template_decontam, toxicity_fm
+from tickerlake.llm import bpe_duckdb, chat_format, html_extract, minmax_hash, ngram_join, quality_cascade, quality_nbsvm, secret_scan, substring_dedup, template_decontam, toxicity_fm
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_html_extraction": html_extract.op1,
@@ -19,10 +19,13 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_ngram_jaccard_join": ngram_join.op8,
     "op9_quality_rules": quality_cascade.op9,
     "op10_quality_classifier": quality_nbsvm.op10,
+    "op13_minhash_near_dedup": minmax_hash.op13,
 }
 ORACLE: dict[str, str] = {
     "op2_substring_dedup": substring_dedup.OP2_SQL,
     "op4_benchmark_decontamination": template_decontam.OP4_SQL,
     "op6_chat_formatting": chat_format.OP6_SQL,
+    "op8_ngram_jaccard_join": minmax_hash.components_sql(3, 90, 100),
     "op9_quality_rules": quality_cascade.OP9_SQL,
+    "op13_minhash_near_dedup": minmax_hash.OP13_SQL,
 }
