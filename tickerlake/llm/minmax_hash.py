@@ -40,8 +40,8 @@ ROWS = 4
 BANDS = 2 * PERMUTATIONS // ROWS
 #: Of the 80 values of linked sets 68 agree on average, fewer than 48 with a probability of 1e-8.
 AGREE = 48
-#: Pivots of a bucket after the first round, and the factor by which they grow from round to round.
-GROWTH = 8
+#: Pivots of a bucket up to the second round, and the factor by which they grow from round to round.
+GROWTH = 64
 _NODE = "doc_id bigint, n bigint, a bigint, b bigint, bands array<bigint>, sketch binary"
 _ODD = mix(np.arange(1, PERMUTATIONS + 1, dtype=np.uint64)) | U64(1)
 _SHIFT = mix(np.arange(1001, PERMUTATIONS + 1001, dtype=np.uint64))

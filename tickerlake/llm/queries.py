@@ -6,7 +6,10 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tickerlake.llm import bpe_duckdb, chat_format, html_extract, minmax_hash, ngram_join, quality_cascade, quality_nbsvm, secret_scan, substring_dedup, template_decontam, toxicity_fm
+from tickerlake.llm import (
+    bpe_duckdb, chat_format, html_extract, k2_treap, lemp_negatives, minmax_hash, ngram_join, quality_cascade, quality_nbsvm, secret_scan, substring_dedup,
+    template_decontam, toxicity_fm,
+)
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_html_extraction": html_extract.op1,
@@ -19,6 +22,8 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_ngram_jaccard_join": ngram_join.op8,
     "op9_quality_rules": quality_cascade.op9,
     "op10_quality_classifier": quality_nbsvm.op10,
+    "op11_lexical_search": k2_treap.op11,
+    "op12_hard_negatives": lemp_negatives.op12,
     "op13_minhash_near_dedup": minmax_hash.op13,
 }
 ORACLE: dict[str, str] = {
@@ -27,5 +32,7 @@ ORACLE: dict[str, str] = {
     "op6_chat_formatting": chat_format.OP6_SQL,
     "op8_ngram_jaccard_join": minmax_hash.components_sql(3, 90, 100),
     "op9_quality_rules": quality_cascade.OP9_SQL,
+    "op11_lexical_search": k2_treap.OP11_SQL,
+    "op12_hard_negatives": lemp_negatives.OP12_SQL,
     "op13_minhash_near_dedup": minmax_hash.OP13_SQL,
 }
