@@ -103,11 +103,12 @@ def daily_market_summary(rows: DataFrame, value: str) -> DataFrame:
     return rows.groupBy("date").agg(F.count("*").alias("total_symbols"), F.avg(value).alias("avg_navps"))
 
 
-def category_average(rows: DataFrame, category: str, value: str, key: str = "symbol") -> DataFrame:
-    """Each row with its category's mean. ``key`` tells the rows of a category apart."""
+def category_average(rows: DataFrame, category: str | list[str], value: str | list[str], key: str = "symbol") -> DataFrame:
+    """Each row with its category's mean of one or several values. ``key`` tells the rows of a category apart."""
+    by, values = ([x] if isinstance(x, str) else x for x in (category, value))
     rows = materialise(rows, "category")
-    means = rows.groupBy(category).agg(F.avg(value).alias(f"{value}_category"))
-    return join_unique(rows, means, [category], key)
+    means = rows.groupBy(*by).agg(*[F.avg(v).alias(f"{v}_category") for v in values])
+    return join_unique(rows, means, by, key)
 
 
 def exposure_by_dimension(holdings: DataFrame, fund: str, dimension: str, value: str) -> DataFrame:

@@ -12,6 +12,8 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tickerlake.functions.measures import percent_change
+from tickerlake.session import materialise
+
 
 def by_date():
     return Window.partitionBy("symbol").orderBy("date")
@@ -26,9 +28,21 @@ def last_per_key(df: DataFrame, keys: list[str], day: str, columns: list[str]) -
     return df.groupBy(*keys).agg(F.max(day).alias(day), *[F.max_by(c, day).alias(c) for c in columns])
 
 
-def with_latest(df: DataFrame) -> DataFrame:
-    """Adds each symbol's newest date as ``latest``."""
-    return df.join(df.groupBy("symbol").agg(F.max("date").alias("latest")), "symbol")
+def newest_dates(df: DataFrame) -> DataFrame:
+    """(symbol, latest), stored: two columns are read and a row per symbol and task is shuffled.
+
+    As a stored table it has a known size. Spark broadcasts it below its threshold, so the history itself is not shuffled, and joins by sorting beyond.
+    """
+    return materialise(df.groupBy("symbol").agg(F.max("date").alias("latest")), "newest-dates")
+
+
+def with_latest(df: DataFrame, newest: DataFrame | None = None) -> DataFrame:
+    """Adds each symbol's newest date as ``latest``.
+
+    Which rows are the last ones before "newest date less 90 days" is not known before the newest date is; rows at any offset from a task's own newest
+    row may be, so no bounded fold of one pass answers it. Hence the dates come first, and the fold over the history is a combined aggregate.
+    """
+    return df.join(newest_dates(df) if newest is None else newest, "symbol")
 
 
 def last_before_offset(df: DataFrame, price: str, days: int) -> DataFrame:
@@ -55,15 +69,17 @@ def first_in_year(df: DataFrame, price: str) -> DataFrame:
 HORIZON_DAYS = {"day_change": 1, "week_change": 7, "quarter_change": 90}
 
 
-def horizon_prices(df: DataFrame, price: str) -> DataFrame:
+def base_before(price: str, target: Column) -> Column:
+    """Last price on or before ``target``."""
+    return F.max_by(price, F.when(F.col("date") <= target, F.col("date")))
+
+
+def horizon_prices(df: DataFrame, price: str, newest: DataFrame | None = None) -> DataFrame:
     """Latest price and the base price of each horizon: one conditional arg-max aggregate, no self-joins."""
-    bases = {
-        name: F.max_by(price, F.when(F.col("date") <= F.date_sub("latest", days), F.col("date")))
-        for name, days in HORIZON_DAYS.items()
-    }
+    bases = {name: base_before(price, F.date_sub("latest", days)) for name, days in HORIZON_DAYS.items()}
     bases["ytd_change"] = F.min_by(price, F.when(F.year("date") == F.year("latest"), F.col("date")))
     return (
-        with_latest(df.select("symbol", "date", price))
+        with_latest(df.select("symbol", "date", price), newest)
         .groupBy("symbol")
         .agg(
             F.max("latest").alias("date"),
@@ -73,11 +89,36 @@ def horizon_prices(df: DataFrame, price: str) -> DataFrame:
     )
 
 
-def price_performance(df: DataFrame, price: str = "adj_close") -> DataFrame:
+def price_performance(df: DataFrame, price: str = "adj_close", newest: DataFrame | None = None) -> DataFrame:
     """Latest price and its percent change over a day, week, quarter and the year; a missing base gives 0."""
     names = [*HORIZON_DAYS, "ytd_change"]
     change = {n: F.coalesce(percent_change(F.col("price"), F.col(n)), F.lit(0.0)) for n in names}
-    return horizon_prices(df, price).withColumns(change)
+    return horizon_prices(df, price, newest).withColumns(change)
+
+
+def price_summary(
+    df: DataFrame, price: str = "adj_close", newest: DataFrame | None = None, years: tuple[int, ...] = (1, 3, 5, 10), volume: str | None = None
+) -> DataFrame:
+    """One row per symbol from one aggregate: newest price (and volume), changes of ``price_performance``, returns over a month, the years and since inception, 52-week range.
+
+    A return is NULL where the base is missing or zero; ``start_*`` are the dates the returns run from.
+    """
+    starts = {"1m": F.add_months("latest", -1), **{f"{y}y": F.add_months("latest", -12 * y) for y in years}}
+    bases = {f"_{n}": base_before(price, F.date_sub("latest", d)) for n, d in HORIZON_DAYS.items()}
+    bases |= {f"_{n}": base_before(price, start) for n, start in starts.items()}
+    bases["_ytd_change"] = F.min_by(price, F.when(F.year("date") == F.year("latest"), F.col("date")))
+    known = F.when(F.col(price).isNotNull(), F.col("date"))
+    bases["_inception"] = F.min_by(price, known)
+    year = F.when(F.col("date") > F.date_sub("latest", 365), F.col(price))
+    extra = [F.max_by(volume, "date").alias("volume")] if volume else []
+    rows = with_latest(df.select("symbol", "date", price, *([volume] if volume else [])), newest).groupBy("symbol").agg(
+        F.max("latest").alias("latest"), F.max_by(price, "date").alias("price"), *extra, *[b.alias(n) for n, b in bases.items()],
+        F.min(known).alias("start_inception"), F.min(year).alias("low_52_week"), F.max(year).alias("high_52_week"),
+    )
+    changes = {n: F.coalesce(percent_change(F.col("price"), F.col(f"_{n}")), F.lit(0.0)) for n in (*HORIZON_DAYS, "ytd_change")}
+    returns = {f"perf_{n}": percent_change(F.col("price"), F.col(f"_{n}")) for n in (*starts, "inception")}
+    dates = {f"start_{n}": start for n, start in starts.items()}
+    return rows.withColumns({**changes, **returns, **dates}).drop(*bases).withColumnRenamed("latest", "date")
 
 
 def weekly_close(df: DataFrame, price: str = "adj_close") -> DataFrame:
@@ -186,16 +227,57 @@ def range_52_week(df: DataFrame, price: str = "adj_close") -> DataFrame:
     )
 
 
-def max_drawdown(df: DataFrame, price: str = "adj_close", years: tuple[int, ...] = (1, 3, 5, 10)) -> DataFrame:
-    """Deepest fall from a running peak inside each trailing window ending at the symbol's newest date."""
-    newest = with_latest(df.select("symbol", "date", price))
-    columns, lows = {}, {}
-    for y in years:
-        inside = F.col("date") > F.add_months("latest", -12 * y)
-        peak = F.max(F.when(inside, F.col(price))).over(by_date().rowsBetween(Window.unboundedPreceding, 0))
-        columns[f"_dd{y}"] = F.when(inside, F.try_divide(F.col(price), peak) - 1)
-        lows[y] = F.min(f"_dd{y}").alias(f"max_drawdown_{y}y")
-    return newest.withColumns(columns).groupBy("symbol").agg(*lows.values())
+YEARS = (1, 3, 5, 10)
+
+
+def _fall(points: Column, peak, trough, fall) -> Column:
+    """Peak, trough and deepest fall from a running peak of ``points`` in date order, from those of each point (or piece) alone."""
+    start = F.expr("named_struct('peak', CAST(NULL AS DOUBLE), 'trough', CAST(NULL AS DOUBLE), 'fall', CAST(NULL AS DOUBLE))")
+
+    def add(seen: Column, x: Column) -> Column:
+        # the deepest fall that crosses the border is from the peak so far to the piece's trough
+        across = F.try_divide(trough(x), seen["peak"]) - 1
+        return F.struct(
+            F.greatest(seen["peak"], peak(x)).alias("peak"), F.least(seen["trough"], trough(x)).alias("trough"),
+            F.least(seen["fall"], fall(x), across).alias("fall"),
+        )
+
+    return F.aggregate(points, start, add)
+
+
+def month_pieces(df: DataFrame, price: str, years: tuple[int, ...] = YEARS, newest: DataFrame | None = None) -> DataFrame:
+    """(symbol, month, inside, first, piece): each month's prices folded to peak, trough and deepest fall.
+
+    A month is cut where a trailing window begins; ``inside`` counts the windows it lies in. Rows before the longest window and negative prices are left out
+    before the shuffle. A symbol has at most 31 rows a month, so no task holds a history.
+    """
+    inside = sum((F.col("date") > F.add_months("latest", -12 * y)).cast("int") for y in years)
+    rows = with_latest(df.select("symbol", "date", F.col(price).cast("double").alias("p")), newest).withColumn("inside", inside)
+    days = F.sort_array(F.collect_list(F.struct("date", "p")))
+    months = rows.filter((F.col("inside") > 0) & (F.col("p") >= 0)).groupBy("symbol", F.trunc("date", "month").alias("month"), "inside").agg(days.alias("days"))
+    # a point falls from itself by 0, and a peak of 0 has no fall
+    own = lambda x: F.try_divide(x["p"], x["p"]) - 1
+    piece = _fall(F.col("days"), lambda x: x["p"], lambda x: x["p"], own)
+    return months.select("symbol", "month", "inside", F.col("days")[0]["date"].alias("first"), piece.alias("piece"))
+
+
+def max_drawdown(df: DataFrame, price: str = "adj_close", years: tuple[int, ...] = YEARS, newest: DataFrame | None = None) -> DataFrame:
+    """Deepest fall from a running peak inside each trailing window ending at the symbol's newest date; a row for every symbol.
+
+    Months are folded where they are gathered, then a symbol's pieces (12 a year and one more per window) are merged in date order.
+    """
+    newest = newest_dates(df) if newest is None else newest
+    pieces = month_pieces(df, price, years, newest)
+    ordered = F.sort_array(F.collect_list(F.struct("first", "inside", "piece")))
+    folded = pieces.groupBy("symbol").agg(ordered.alias("pieces"))
+    part = lambda name: lambda x: x["piece"][name]
+
+    def window(y: int) -> Column:
+        least = sum(other >= y for other in years)
+        chosen = F.filter("pieces", lambda x: x["inside"] >= least)
+        return _fall(chosen, part("peak"), part("trough"), part("fall"))["fall"].alias(f"max_drawdown_{y}y")
+
+    return newest.select("symbol").join(folded.select("symbol", *[window(y) for y in years]), "symbol", "left")
 
 
 def trailing_window_count(df: DataFrame, key: str, ts: str, seconds: int, limit: int, block: int = 3600) -> DataFrame:

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from tickerlake.operators.timeseries import latest_trend, price_performance
 from tickerlake.operators.topk import gainers_losers, topk_per_sector
+from tickerlake.session import materialise
 
 # The sixteen market and sector symbols, and the sector each sector fund stands for.
 SECTOR_FUNDS = {
@@ -16,11 +17,12 @@ SECTOR_FUNDS = {
 }
 INDEX_SYMBOLS = ["XIU.TO", "^GSPC", "QQQ", "DIA", "SPY"]
 # Members of the Toronto index fund, without the exchange suffix.
-TORONTO_MEMBERS = (
-    "AEM AQN ATD BMO BNS ABX BCE BAM BN BIP-UN CAE CCO CAR-UN CM CNR CNQ CP CTC-A CCL-B CVE GIB-A CSU DOL EMA ENB FM "
-    "FSV FTS FNV WPM GIL H IMO IFC K L MG MFC MRU NA NTR OTEX PPL POW QSR RCI-B RY SAP SHOP SLF SU TRP TECK-B T TRI TD "
-    "TOU WCN WSP"
-).split()
+TORONTO_MEMBERS = [
+    "AEM", "AQN", "ATD", "BMO", "BNS", "ABX", "BCE", "BAM", "BN", "BIP-UN", "CAE", "CCO", "CAR-UN", "CM", "CNR", "CNQ", "CP", "CTC-A",
+    "CCL-B", "CVE", "GIB-A", "CSU", "DOL", "EMA", "ENB", "FM", "FSV", "FTS", "FNV", "WPM", "GIL", "H", "IMO", "IFC", "K", "L", "MG", "MFC",
+    "MRU", "NA", "NTR", "OTEX", "PPL", "POW", "QSR", "RCI-B", "RY", "SAP", "SHOP", "SLF", "SU", "TRP", "TECK-B", "T", "TRI", "TD", "TOU",
+    "WCN", "WSP",
+]
 
 CHANGES = ["price", "day_change", "week_change", "quarter_change", "ytd_change"]
 PAGE = ["parent_symbol", "symbol", "type", "category", "rank", "sector", "industry", "name", *CHANGES, "trend"]
@@ -54,14 +56,17 @@ def market_pages(
 ) -> DataFrame:
     """Per parent its own row and its ten best and worst members of the day.
 
-    A parent's prices come from the equity quotes, else from the market and sector quotes.
+    A parent's prices come from the equity quotes, else from the market and sector quotes. Quotes are cut to members and parents before anything is computed, and
+    the result is stored, because both uses read it.
     """
     named = profile.select("symbol", "sector", "industry", F.col("company_name").alias("name"))
-    member_rows = performance_with_trend(quotes, "weekly")
+    constituents = materialise(constituents, "constituents")
+    parents = constituents.select(F.col("parent_symbol").alias("symbol")).distinct()
+    wanted = materialise(constituents.select("symbol").unionByName(parents).distinct(), "page-symbols")
+    member_rows = materialise(performance_with_trend(quotes.join(wanted, "symbol", "left_semi"), "weekly"), "page-rows")
     ranked = gainers_losers(constituents.join(member_rows, "symbol"), ["parent_symbol"])
     movers = ranked.withColumn("type", F.lit("Stock"))
 
-    parents = constituents.select(F.col("parent_symbol").alias("symbol")).distinct()
     own = member_rows.join(parents, "symbol", "left_semi")
     # only parents without equity quotes fall back
     other = parent_quotes.join(parents, "symbol", "left_semi").join(own.select("symbol"), "symbol", "left_anti")

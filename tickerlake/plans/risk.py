@@ -23,11 +23,12 @@ from tickerlake.operators.upsert import upsert_update
 from tickerlake.session import materialise
 
 SESSIONS = 252
-METRICS = [
-    "return_5y", "return_3y", "batting_avg", "std_dev", "beta", "sharpe", "alpha", "mer", "upside", "downside", "ter",
-]
 # Points per metric and the metrics where less is better.
-WEIGHTS = dict(zip(METRICS, (12, 20, 8, 7.5, 7.5, 7.5, 7.5, 15, 5, 5, 5)))
+WEIGHTS = {
+    "return_5y": 12, "return_3y": 20, "batting_avg": 8, "std_dev": 7.5, "beta": 7.5, "sharpe": 7.5, "alpha": 7.5, "mer": 15, "upside": 5,
+    "downside": 5, "ter": 5,
+}
+METRICS = list(WEIGHTS)
 LOWER_BETTER = {"std_dev", "beta", "mer", "downside", "ter"}
 AREAS = {
     "performance": (["return_5y", "return_3y", "batting_avg"], 40),
@@ -55,6 +56,29 @@ def _window_starts(cutoffs: list[date], years: int) -> list[date]:
     return [c - timedelta(days=365 * years + 1) for c in cutoffs]
 
 
+#: Deviations of daily changes up to this share of 1 are rounding of the prices, not risk.
+FLAT = 1e-12
+
+
+def merged_moments(parts: Column) -> Column:
+    """n, means and centred sums (mx, my, cxx, cxy, cyy) of all rows from those of disjoint sets of rows.
+
+    Pairwise update: no raw sums of squares, so a small spread around a large mean keeps its digits.
+    """
+    start = F.expr("named_struct('n', 0D, 'mx', 0D, 'my', 0D, 'cxx', 0D, 'cxy', 0D, 'cyy', 0D)")
+
+    def add(a: Column, b: Column) -> Column:
+        n = a["n"] + b["n"]
+        dx, dy, weight = b["mx"] - a["mx"], b["my"] - a["my"], a["n"] * b["n"] / n
+        return F.struct(
+            n.alias("n"), (a["mx"] + dx * b["n"] / n).alias("mx"), (a["my"] + dy * b["n"] / n).alias("my"),
+            (a["cxx"] + b["cxx"] + dx * dx * weight).alias("cxx"), (a["cxy"] + b["cxy"] + dx * dy * weight).alias("cxy"),
+            (a["cyy"] + b["cyy"] + dy * dy * weight).alias("cyy"),
+        )
+
+    return F.aggregate(parts, start, add)
+
+
 def _on_fund_days(rows: DataFrame) -> DataFrame:
     """The benchmark's change between the fund's own return days instead of between its own days."""
     valid = F.col("ret").isNotNull() & F.col("close").isNotNull()
@@ -78,14 +102,16 @@ def daily_metrics(
         rates.select("date", daily_rate(F.col(rate)).alias("_rate")), "_rate", "rf",
     )
     before = F.lag("date").over(by_date())
+    starts5, starts3 = _window_starts(cutoffs, 5), _window_starts(cutoffs, 3)
+    # no window holds another row, and a return whose base row is outside belongs to none; the range reaches the scan
+    recent = quotes.filter(F.col("date").between(F.lit(starts5[0]), F.lit(cutoffs[-1])))
     rows = (
-        quotes.select("symbol", "date", F.col(price).alias("p"))
+        recent.select("symbol", "date", F.col(price).alias("p"))
         .withColumns({"prev": before, "ret": F.try_divide(F.col("p"), F.lag("p").over(by_date())) - 1})
         # the benchmark and its rates have one row per calendar day
         .join(F.broadcast(market), "date", "left")
     )
     rows = _on_fund_days(rows) if fund_days else rows.withColumn("base", F.col("prev"))
-    starts5, starts3 = _window_starts(cutoffs, 5), _window_starts(cutoffs, 3)
     x = F.when(F.col("ret").isNotNull(), F.col("bench_ret"))
     y = F.when(F.col("bench_ret").isNotNull(), F.col("ret"))
     rf = F.when(F.col("ret").isNotNull() & F.col("bench_ret").isNotNull(), F.col("rf"))
@@ -105,8 +131,8 @@ def daily_metrics(
             F.count("*").alias("n"),
             F.min("date").alias("d0"), F.min_by("p", "date").alias("p0"),
             F.max("date").alias("d1"), F.max_by("p", "date").alias("p1"),
-            F.count(y).alias("m"), F.sum(x).alias("sx"), F.sum(y).alias("sy"), F.sum(x * x).alias("sxx"),
-            F.sum(x * y).alias("sxy"), F.sum(y * y).alias("syy"), F.sum(rf).alias("srf"), F.count(rf).alias("nrf"),
+            F.count(y).cast("double").alias("m"), F.avg(x).alias("mx"), F.avg(y).alias("my"), F.var_pop(x).alias("vx"),
+            F.covar_pop(x, y).alias("vxy"), F.var_pop(y).alias("vy"), F.sum(rf).alias("srf"), F.count(rf).alias("nrf"),
         )
     )
     k = F.col("k")
@@ -115,22 +141,30 @@ def daily_metrics(
     def within(flag: str, c: str) -> Column:
         return F.when(F.col(flag) > k, F.col(c))
 
+    n = F.col("m")
+    moments = F.struct(
+        n.alias("n"), "mx", "my", (F.col("vx") * n).alias("cxx"), (F.col("vxy") * n).alias("cxy"), (F.col("vy") * n).alias("cyy"))
     grouped = spread.groupBy("symbol", "k").agg(
         F.sum("n").alias("n5"), F.min("d0").alias("d0_5"), F.min_by("p0", "d0").alias("p0_5"),
         F.max("d1").alias("d1"), F.max_by("p1", "d1").alias("p1"),
         F.sum(within("in3", "n")).alias("n3"), F.min(within("in3", "d0")).alias("d0_3"),
         F.min_by("p0", within("in3", "d0")).alias("p0_3"),
-        *[F.sum(within("ret3", c)).alias(c) for c in ("m", "sx", "sy", "sxx", "sxy", "syy", "srf", "nrf")],
-    )
-    m = F.col("m")
-    mean_x, mean_y = F.try_divide(F.col("sx"), m), F.try_divide(F.col("sy"), m)
+        *[F.sum(within("ret3", c)).alias(c) for c in ("srf", "nrf")],
+        # a few dozen cells lie in a window
+        F.sort_array(F.collect_list(F.when((F.col("ret3") > k) & (F.col("m") > 0), moments))).alias("_cells"),
+    ).withColumn("_all", merged_moments(F.col("_cells")))
+    m, mean_x, mean_y = F.col("_all.n"), F.col("_all.mx"), F.col("_all.my")
     mean_rf = F.try_divide(F.col("srf"), F.col("nrf"))
-    spread_y = F.greatest(F.col("syy") - F.col("sy") * mean_y, F.lit(0.0))
-    beta = F.try_divide(F.col("sxy") - F.col("sx") * mean_y, F.col("sxx") - F.col("sx") * mean_x)
-    std = F.sqrt(F.try_divide(spread_y, m - 1))
+
+    def deviation(total: str) -> Column:
+        std = F.sqrt(F.try_divide(F.col(f"_all.{total}"), m - 1))
+        return F.when(std > FLAT, std).when(std.isNotNull(), 0.0)
+
+    std = deviation("cyy")
+    beta = F.when(deviation("cxx") > 0, F.col("_all.cxy") / F.col("_all.cxx"))
     sharpe = F.when(std > 0, (mean_y - mean_rf) / std * SESSIONS**0.5).otherwise(0.0)
     return grouped.select(
-        "symbol", "k", "n5", "n3", "m",
+        "symbol", "k", "n5", "n3", m.alias("m"),
         cagr(F.col("p1"), F.col("p0_5"), F.datediff("d1", "d0_5")).alias("return_5y"),
         cagr(F.col("p1"), F.col("p0_3"), F.datediff("d1", "d0_3")).alias("return_3y"),
         (std * SESSIONS**0.5).alias("std_dev"),
@@ -207,7 +241,8 @@ def etf_metrics(
     """All metrics per fund and cut-off with enough history; computed once per fund, not once per group."""
     daily = daily_metrics(quotes, bench, rates, cutoffs, fund_days=fund_days)
     enough = daily.filter((F.col("n5") >= min_rows_5y) & (F.col("n3") >= min_rows_3y) & (F.col("m") >= 2))
-    monthly = monthly_metrics(monthly_pairs(quotes, bench), cutoffs, empty=empty_capture).filter(F.col("months") >= min_months)
+    known = quotes.filter(F.col("date") <= F.lit(cutoffs[-1]))
+    monthly = monthly_metrics(monthly_pairs(known, bench), cutoffs, empty=empty_capture).filter(F.col("months") >= min_months)
     labels = date_array(cutoffs)
     return (
         enough.join(monthly, ["symbol", "k"])

@@ -8,12 +8,9 @@ import uuid
 from pyspark.sql import functions as F
 
 from tickerlake.operators import aggregates as agg, quality, upsert
-from tickerlake.plans import pages
 from tickerlake.plans.refresh import refresh_aggregates
 from tickerlake.registry.core import query
-from tickerlake.registry.scoring import UNIVERSE, UNIVERSE_VIEWS, _universe
-from tickerlake.registry.timeseries import LATEST, PERFORMANCE, month_end_list
-from tickerlake.registry.reports import MONTHLY, captures
+from tickerlake.registry.timeseries import month_end_list
 from tickerlake.session import scratch_path
 from tickerlake.sources import files, sinks, views as v
 from tickerlake.streaming import jobs
@@ -370,100 +367,3 @@ def _(spark, sf):
     log.write("load messy", messy.select("l_orderkey", "name_text", "int_text"), scratch_path(spark, "messy"), rules)
     log.write("load orders", v.table(spark, sf, "orders"), scratch_path(spark, "orders"))
     return log.rows()
-
-
-# ---- page views
-
-
-@query("peer_statement_latest", "symbol statement_date:d return_on_equity:6 current_ratio:6 debt_equity_ratio:6", "ratios",
-       "SELECT *, date AS statement_date FROM ratios QUALIFY row_number() OVER (PARTITION BY symbol ORDER BY date DESC) = 1")
-def _(spark, sf):
-    return pages.peer_statement_latest(v.ratios(spark, sf))
-
-
-@query("charts", "symbol dates prices equity_dates equity_values", "quotes ratios",
-       """SELECT q.*, equity_dates, equity_values FROM (SELECT symbol, string_agg(CAST(date AS VARCHAR), '|' ORDER BY date) AS dates,
-       string_agg(CAST(CAST(round(adj_close * 100) AS BIGINT) AS VARCHAR), '|' ORDER BY date) AS prices FROM quotes GROUP BY 1) q
-       LEFT JOIN (SELECT symbol, string_agg(CAST(date AS VARCHAR), '|' ORDER BY date) AS equity_dates,
-       string_agg(CAST(CAST(round(return_on_equity * 100) AS BIGINT) AS VARCHAR), '|' ORDER BY date) AS equity_values
-       FROM ratios GROUP BY 1) r ON q.symbol = r.symbol""")
-def _(spark, sf):
-    wide = pages.charts(v.quotes(spark, sf), v.ratios(spark, sf), {"return_on_equity": "equity_chart"})
-
-    def joined(chart, part):
-        return F.array_join(F.transform(chart, part), "|")
-
-    def cents(x):
-        return F.round(x["value"] * 100).cast("bigint").cast("string")
-
-    def day(x):
-        return x["date"].cast("string")
-
-    return wide.select(
-        "symbol", joined("price_chart", day).alias("dates"), joined("price_chart", cents).alias("prices"),
-        joined("equity_chart", day).alias("equity_dates"), joined("equity_chart", cents).alias("equity_values"))
-
-
-@query("peer_pivot", "symbol p1_symbol p1_price:6 p1_ytd_change:6 p2_symbol p6_symbol p6_day_change:6", "quotes profile peers",
-       """SELECT symbol, max(peer_symbol) FILTER (n = 1) AS p1_symbol, max(price) FILTER (n = 1) AS p1_price,
-       max(ytd_change) FILTER (n = 1) AS p1_ytd_change, max(peer_symbol) FILTER (n = 2) AS p2_symbol,
-       max(peer_symbol) FILTER (n = 6) AS p6_symbol, max(day_change) FILTER (n = 6) AS p6_day_change FROM
-       (SELECT p.symbol, peer_symbol, f.* EXCLUDE (symbol), row_number() OVER (PARTITION BY p.symbol ORDER BY ytd_change DESC, peer_symbol) AS n
-       FROM peers p JOIN perf f ON p.peer_symbol = f.symbol) WHERE n <= 6 GROUP BY 1""", f"{LATEST}, perf AS ({PERFORMANCE})")
-def _(spark, sf):
-    from tickerlake.operators.timeseries import price_performance
-
-    perf = price_performance(v.quotes(spark, sf))
-    ranking = perf.select("symbol", F.col("ytd_change").alias("score"))
-    return pages.peer_pivot(v.peers(spark, sf), ranking, perf, ["price", "day_change", "ytd_change"])
-
-
-BAND = "CASE WHEN {c} < 20 THEN 'Very weak' WHEN {c} < 40 THEN 'Weak' WHEN {c} < 60 THEN 'Average' WHEN {c} < 80 THEN 'Strong' WHEN {c} IS NOT NULL THEN 'Very strong' END"
-
-
-@query("equity_page", "symbol company_name sector price:6 ytd_change:6 low_52_week:6 high_52_week:6 statement_date:d current_ratio:6 "
-       "growth_score:2 composite_score:2 growth_score_txt composite_score_txt", UNIVERSE_VIEWS,
-       f"""SELECT p.symbol, company_name, sector, f.price, f.ytd_change, low_52_week, high_52_week, statement_date, current_ratio,
-       growth_score, composite_score, {BAND.format(c='growth_score')} AS growth_score_txt, {BAND.format(c='composite_score')} AS composite_score_txt
-       FROM profile p LEFT JOIN perf f ON p.symbol = f.symbol LEFT JOIN (SELECT q.symbol, min(adj_close) AS low_52_week,
-       max(adj_close) AS high_52_week FROM quotes q JOIN latest l ON q.symbol = l.symbol WHERE date > latest - INTERVAL 365 DAY GROUP BY 1) w
-       ON p.symbol = w.symbol LEFT JOIN (SELECT symbol, date AS statement_date, current_ratio FROM ratios
-       QUALIFY row_number() OVER (PARTITION BY symbol ORDER BY date DESC) = 1) r ON p.symbol = r.symbol
-       LEFT JOIN (SELECT symbol, arg_max(score, date) FILTER (score_type = 'growth') AS growth_score,
-       arg_max(score, date) FILTER (score_type = 'composite') AS composite_score FROM scores GROUP BY 1) s ON p.symbol = s.symbol""",
-       f"{UNIVERSE}, {LATEST}, perf AS ({PERFORMANCE})")
-def _(spark, sf):
-    return pages.equity_page(v.profile(spark, sf), v.quotes(spark, sf), v.ratios(spark, sf), _universe(spark, sf))
-
-
-@query("score_text_band", "symbol date:d score_type score:2 score_txt", UNIVERSE_VIEWS,
-       f"SELECT symbol, date, score_type, score, {BAND.format(c='score')} AS score_txt FROM scores", UNIVERSE)
-def _(spark, sf):
-    from tickerlake.functions.measures import score_band
-
-    return _universe(spark, sf).withColumn("score_txt", score_band(F.col("score").cast("double")))
-
-
-@query("fund_page", "symbol sector ytd_change:6 ytd_change_category:6 quartile:i percentile:6 max_drawdown_5y:6 upside_3y:6 downside_3y:6 "
-       "top_asset:i n_holdings:i n_countries:i", "quotes profile bench holdings",
-       f"""SELECT p.symbol, p.sector, c.ytd_change, ytd_change_category, quartile, percentile, max_drawdown_5y, upside_3y, downside_3y,
-       top_asset, n_holdings, n_countries FROM profile p LEFT JOIN (SELECT symbol, ytd_change,
-       avg(ytd_change) OVER (PARTITION BY sector) AS ytd_change_category, ntile(4) OVER (PARTITION BY sector ORDER BY ytd_change DESC, symbol) AS quartile,
-       percent_rank() OVER (PARTITION BY sector ORDER BY ytd_change DESC) AS percentile FROM perf JOIN profile USING (symbol)) c ON p.symbol = c.symbol
-       LEFT JOIN (SELECT symbol, min(adj_close / peak - 1) AS max_drawdown_5y FROM (SELECT q.symbol, adj_close,
-       max(adj_close) OVER (PARTITION BY q.symbol ORDER BY date) AS peak FROM quotes q JOIN latest l ON q.symbol = l.symbol
-       WHERE date > latest - INTERVAL 5 YEAR) GROUP BY 1) d ON p.symbol = d.symbol
-       LEFT JOIN (SELECT symbol, {captures('n <= 36', '_3y')} FROM pairs GROUP BY 1) m ON p.symbol = m.symbol
-       LEFT JOIN (SELECT etf_symbol, arg_max(asset, (market_value, -asset, country)) AS top_asset, least(count(*), 10) AS n_holdings,
-       count(DISTINCT country) AS n_countries FROM holdings GROUP BY 1) h ON p.symbol = h.etf_symbol""",
-       f"{LATEST}, perf AS ({PERFORMANCE}), newest AS (SELECT max(date) AS cutoff FROM quotes), " + MONTHLY.format(dates="newest"))
-def _(spark, sf):
-    from tickerlake.plans.risk import capture_by_horizon, monthly_pairs
-
-    quotes = v.quotes(spark, sf)
-    captured = capture_by_horizon(monthly_pairs(quotes, v.benchmark_close(spark, sf)))
-    page = pages.fund_page(v.profile(spark, sf), "sector", quotes, captured, v.holdings(spark, sf))
-    size = {"n_holdings": F.when(F.col("top_holdings").isNotNull(), F.size("top_holdings")),
-            "n_countries": F.when(F.col("country_exposure").isNotNull(), F.size("country_exposure")),
-            "top_asset": F.col("top_holdings")[0]["asset"]}
-    return page.withColumns(size)

@@ -41,6 +41,18 @@ VIEWS: dict[str, tuple[list[str], str]] = {
         FROM lineitem WHERE l_linenumber <= 3 GROUP BY 1, 2"""),
     "key_metrics": ([], """SELECT l_suppkey AS symbol, CAST(date_trunc('quarter', l_shipdate) AS DATE) AS date,
         max(l_discount) AS roe FROM lineitem WHERE l_linenumber = 1 GROUP BY 1, 2"""),
+    "income": ([], """SELECT l_suppkey AS symbol, CAST(date_trunc('quarter', l_shipdate) AS DATE) AS date, max(l_extendedprice) * 3 AS revenue,
+        max(l_extendedprice) AS gross_profit, max(l_extendedprice) - min(l_extendedprice) AS operating_income,
+        min(l_extendedprice) * max(l_discount) AS net_income, max(l_tax) * 10 AS eps, max(l_extendedprice) / 2 AS ebitda FROM lineitem GROUP BY 1, 2"""),
+    "balance": ([], """SELECT l_suppkey AS symbol, CAST(date_trunc('quarter', l_shipdate) AS DATE) AS date, max(l_extendedprice) * 20 AS total_assets,
+        max(l_extendedprice) * 5 AS current_assets, min(l_extendedprice) * 8 AS total_liabilities,
+        min(l_extendedprice) * (count(*) % 3) AS current_liabilities, max(l_extendedprice) * 20 - min(l_extendedprice) * 8 AS total_equity,
+        min(l_extendedprice) * 3 AS total_debt FROM lineitem WHERE l_linenumber <= 3 GROUP BY 1, 2"""),
+    "cash_flow": ([], """SELECT l_suppkey AS symbol, CAST(date_trunc('quarter', l_shipdate) AS DATE) AS date, max(l_extendedprice) / 4 AS operating_cash_flow,
+        max(l_extendedprice) / 4 - min(l_extendedprice) / 5 AS free_cash_flow FROM lineitem WHERE l_linenumber = 2 GROUP BY 1, 2"""),
+    "financial_scores": ([], "SELECT s_suppkey AS symbol, s_acctbal / 1000 AS altman, s_suppkey % 10 AS piotroski FROM supplier"),
+    "fund_scores": ([], """SELECT symbol, date, k % 101 AS performance, k % 83 AS risk, k % 97 AS management, k % 89 AS total_score FROM
+        (SELECT DISTINCT l_suppkey AS symbol, last_day(CAST(l_shipdate AS DATE)) AS date, l_suppkey * 13 + month(l_shipdate) AS k FROM lineitem)"""),
     "bench": ([], "SELECT CAST(o_orderdate AS DATE) AS date, max(o_totalprice) AS close FROM orders GROUP BY 1"),
     "treasury": ([], """SELECT CAST(l_shipdate AS DATE) AS date, max(l_tax) * 100 AS month3
         FROM lineitem WHERE day(l_shipdate) % 3 = 0 GROUP BY 1"""),

@@ -157,6 +157,60 @@ def key_metrics(spark: SparkSession, sf: str) -> DataFrame:
     )
 
 
+def income(spark: SparkSession, sf: str) -> DataFrame:
+    price = "l_extendedprice"
+    return (
+        table(spark, sf, "lineitem")
+        .groupBy(F.col("l_suppkey").alias("symbol"), _quarter())
+        .agg(
+            (F.max(price) * 3).alias("revenue"), F.max(price).alias("gross_profit"), (F.max(price) - F.min(price)).alias("operating_income"),
+            (F.min(price) * F.max("l_discount")).alias("net_income"), (F.max("l_tax") * 10).alias("eps"), (F.max(price) / 2).alias("ebitda"),
+        )
+    )
+
+
+def balance(spark: SparkSession, sf: str) -> DataFrame:
+    """Balances come a little earlier than the income statements; some have no current liabilities."""
+    price = "l_extendedprice"
+    return (
+        table(spark, sf, "lineitem")
+        .filter("l_linenumber <= 3")
+        .groupBy(F.col("l_suppkey").alias("symbol"), _quarter())
+        .agg(
+            (F.max(price) * 20).alias("total_assets"), (F.max(price) * 5).alias("current_assets"), (F.min(price) * 8).alias("total_liabilities"),
+            (F.min(price) * (F.count("*") % 3)).alias("current_liabilities"), (F.max(price) * 20 - F.min(price) * 8).alias("total_equity"),
+            (F.min(price) * 3).alias("total_debt"),
+        )
+    )
+
+
+def cash_flow(spark: SparkSession, sf: str) -> DataFrame:
+    price = "l_extendedprice"
+    return (
+        table(spark, sf, "lineitem")
+        .filter("l_linenumber = 2")
+        .groupBy(F.col("l_suppkey").alias("symbol"), _quarter())
+        .agg((F.max(price) / 4).alias("operating_cash_flow"), (F.max(price) / 4 - F.min(price) / 5).alias("free_cash_flow"))
+    )
+
+
+def financial_scores(spark: SparkSession, sf: str) -> DataFrame:
+    return table(spark, sf, "supplier").select(
+        F.col("s_suppkey").alias("symbol"), (F.col("s_acctbal") / 1000).alias("altman"), (F.col("s_suppkey") % 10).alias("piotroski"))
+
+
+def fund_scores(spark: SparkSession, sf: str) -> DataFrame:
+    """Stored fund scores: a row per symbol and month with quotes."""
+    key = F.col("l_suppkey") * 13 + F.month("l_shipdate")
+    return (
+        table(spark, sf, "lineitem")
+        .select(F.col("l_suppkey").alias("symbol"), F.last_day(_ship_day()).alias("date"), key.alias("_k"))
+        .distinct()
+        .select("symbol", "date", (F.col("_k") % 101).alias("performance"), (F.col("_k") % 83).alias("risk"), (F.col("_k") % 97).alias("management"),
+                (F.col("_k") % 89).alias("total_score"))
+    )
+
+
 def benchmark_close(spark: SparkSession, sf: str) -> DataFrame:
     """The benchmark: at most one row per calendar day."""
     return (
