@@ -10,13 +10,16 @@ from datetime import date
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tickerlake.functions import cleaning as cl
 from tickerlake.operators import calendar as cal, quality, topk
 from tickerlake.operators.joins import constituents_expand
+from tickerlake.operators.funds import clean_fund_data_rows
 from tickerlake.operators.timeseries import rolling_stddev
-from tickerlake.operators.upsert import dedupe_by_key, delta_after_watermark, insert_if_absent, upsert_update
+from tickerlake.operators.universe import file_family
+from tickerlake.operators.upsert import dedupe_by_key, delete_then_append, delta_after_watermark, insert_if_absent, required_key, update_ledger, upsert_update
 from tickerlake.plans import market, peer_scores, peers, risk, universe_scores
 from tickerlake.sources import files, schemas
-from tickerlake.sources.sinks import sink_append, sink_replace
+from tickerlake.sources.sinks import insert_days, overwrite_days, sink_append, sink_replace
 
 
 def has_table(spark: SparkSession, name: str) -> bool:
@@ -26,16 +29,44 @@ def has_table(spark: SparkSession, name: str) -> bool:
 def _merged(spark: SparkSession, name: str, rows: DataFrame, merge, keys: list[str] | None = None) -> DataFrame:
     """The stored table merged with new rows, or the rows alone when there is no table yet; rows with a blank key are left out, one stays per key."""
     if keys:
-        rows = dedupe_by_key(rows.dropna(subset=keys), keys, [])
+        rows = dedupe_by_key(required_key(rows, keys), keys, [])
     return merge(spark.table(name), rows) if has_table(spark, name) else rows
 
 
+#: Table of the loads: a row per file and load.
+LOAD_LOG = "load_log"
+
+
+def _logged(spark: SparkSession, log: DataFrame, table: str) -> None:
+    """Append a load's rows to the log of loads."""
+    rows = log.withColumns({"table": F.lit(table), "family": file_family(F.col("file")), "loaded_at": F.current_timestamp()})
+    if has_table(spark, LOAD_LOG):
+        rows.select(*spark.table(LOAD_LOG).columns).write.insertInto(LOAD_LOG)
+    else:
+        sink_replace(rows, LOAD_LOG)
+
+
 def load_quotes(spark: SparkSession, folder: str, table: str = "equity_quotes") -> DataFrame:
-    """Yearly quote files of a folder into a quote table; stored rows win."""
+    """Yearly quote files of a folder into a quote table with a partition per day; stored rows win, days that the files do not hold are not touched.
+
+    Files that cannot be read are left out; ``LOAD_LOG`` has a row for every file.
+    """
     columns = [c.split()[0] for c in schemas.QUOTE_SCHEMA.split(", ")]
     types = dict(c.split() for c in schemas.QUOTE_SCHEMA.split(", "))
-    rows = files.scan_partition_files(spark, folder, columns, types, schemas.SYMBOL_DATE).drop("source_file")
-    return sink_replace(_merged(spark, table, rows, lambda t, r: insert_if_absent(t, r, schemas.SYMBOL_DATE), schemas.SYMBOL_DATE), table)
+    rows, log = files.load_partition_files(spark, folder, columns, types, schemas.SYMBOL_DATE)
+    insert_days(required_key(rows, schemas.SYMBOL_DATE).drop("source_file"), table, schemas.SYMBOL_DATE)
+    _logged(spark, log, table)
+    return spark.table(table)
+
+
+def load_bulk_eod(spark: SparkSession, path: str, table: str = "equity_quotes") -> DataFrame:
+    """The whole-market dump of a day (or several): its days take the place of the stored ones, and only their partitions are written."""
+    rows = dedupe_by_key(required_key(files.ingest_bulk_eod(spark, path), schemas.SYMBOL_DATE), schemas.SYMBOL_DATE, [])
+    if has_table(spark, table):
+        stored = spark.table(table)
+        rows = rows.select(*[(F.col(c) if c in rows.columns else F.lit(None)).cast(t).alias(c) for c, t in stored.dtypes])
+    overwrite_days(rows, table)
+    return spark.table(table)
 
 
 def load_statement(spark: SparkSession, path: str, table: str) -> DataFrame:
@@ -54,9 +85,36 @@ def load_profiles(spark: SparkSession, path: str, table: str = "equity_profile")
 
 
 def load_fund_quotes(spark: SparkSession, path: str, table: str = "fund_quotes") -> DataFrame:
-    """A fund price dump: only rows newer than the stored ones are added."""
-    rows = files.fund_quotes_transform(spark.read.options(header=True).csv(path))
-    return sink_replace(_merged(spark, table, rows, lambda t, r: t.unionByName(delta_after_watermark(t, r))), table)
+    """A fund price dump into a table with a partition per day: only rows newer than the stored ones are added, as new partitions."""
+    keys = schemas.KEYS["fund_quotes"]
+    raw = files.fund_quotes_transform(spark.read.options(header=True, quote='"', escape='"').csv(path))
+    rows = dedupe_by_key(required_key(raw.withColumn("date", cl.safe_date(F.col("date"))), keys), keys, [])
+    if has_table(spark, table):
+        rows = delta_after_watermark(spark.table(table).select("date"), rows)
+    insert_days(rows, table, keys)
+    return spark.table(table)
+
+
+def load_fund_data(spark: SparkSession, path: str, table: str = "fund_data") -> DataFrame:
+    """A dump of fund records, cleaned; a record that comes again replaces the stored one."""
+    rows = clean_fund_data_rows(spark.read.options(header=True, quote='"', escape='"').csv(path))
+    return sink_replace(_merged(spark, table, rows, delete_then_append, ["record_id"]), table)
+
+
+def load_fund_seeds(spark: SparkSession, folder: str, names: list[str], ledger: str = "seed_ledger") -> list[str]:
+    """Seed files of a folder into their tables. A file whose content was loaded before is skipped, and the ledger counts its passes; returns the tables written."""
+    found = files.read_file_contents(spark, [f"{folder}/{n}" for n in names]).select("path", F.sha2("content", 256).alias("file_hash"))
+    # a row per seed file
+    hashes = {r["path"].rsplit("/", 1)[-1]: r["file_hash"] for r in found.collect()}
+    known = {r[0] for r in spark.table(ledger).select("file_hash").collect()} if has_table(spark, ledger) else set()
+    fresh = [n for n in names if hashes[n] not in known]
+    tables = files.scan_fund_seed_files(spark, folder, fresh) if fresh else {}
+    for name, rows in tables.items():
+        sink_replace(rows, name)
+    seen = found.select("file_hash")
+    stored = spark.table(ledger) if known else seen.limit(0).withColumn("processing_count", F.lit(0).cast("bigint"))
+    sink_replace(update_ledger(stored, seen), ledger)
+    return sorted(tables)
 
 
 def load_treasury(spark: SparkSession, path: str, table: str = "treasury") -> DataFrame:
@@ -134,10 +192,17 @@ def weekly_scores(spark: SparkSession, as_of: date | None = None) -> None:
 
 
 def seed_report(spark: SparkSession, minimums: dict[str, int] | None = None) -> DataFrame:
-    """Tables that are missing or below their minimum row count."""
+    """Tables that are missing, unreadable or below their minimum row count."""
     wanted = minimums or schemas.SEED_MINIMUMS
     tables = {t: spark.table(t) for t in wanted if has_table(spark, t)}
-    return quality.under_seeded_tables(tables, wanted)
+    return quality.under_seeded_tables(spark, tables, wanted)
+
+
+def load_health(spark: SparkSession, minimums: dict[str, int] | None = None) -> DataFrame:
+    """One row: critical tables filled, share of files loaded, and both quote folders complete, from the log of loads."""
+    wanted = minimums or schemas.CRITICAL_MINIMUMS
+    tables = {t: spark.table(t) for t in wanted if has_table(spark, t)}
+    return quality.critical_load_check(spark, tables, wanted, spark.table(LOAD_LOG))
 
 
 def export_log(spark: SparkSession, log: quality.RunLog, path: str) -> int:

@@ -3,12 +3,14 @@ so no task has to hold a whole group."""
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tickerlake.functions.measures import clip_0_100, min_max_scale
 from tickerlake.operators.skew import join_unique
-from tickerlake.session import materialise
+from tickerlake.session import materialise, reason_of
 
 
 def peer_count_having(peers: DataFrame, at_most: int = 3) -> DataFrame:
@@ -42,12 +44,26 @@ def avg_score_by_group(scores: DataFrame, profile: DataFrame) -> DataFrame:
 
 
 def table_row_counts(tables: dict[str, DataFrame]) -> DataFrame:
-    """(table, rows) for every table, counted in one job."""
-    counts = [df.agg(F.count("*").alias("rows")).select(F.lit(n).alias("table"), "rows") for n, df in tables.items()]
-    merged = counts[0]
-    for c in counts[1:]:
-        merged = merged.unionByName(c)
-    return merged
+    """(table, rows, error) for every table, counted in one job. A table that cannot be read has no count but the reason.
+
+    Only when that job fails are tables counted one by one.
+    """
+    def counted(name: str, df: DataFrame) -> DataFrame:
+        return df.agg(F.count("*").alias("rows")).select(F.lit(name).alias("table"), "rows", F.lit(None).cast("string").alias("error"))
+
+    spark = next(iter(tables.values())).sparkSession
+    try:
+        merged = reduce(DataFrame.unionByName, [counted(n, df) for n, df in tables.items()])
+        found = [tuple(r) for r in merged.collect()]
+    except Exception:  # any failure to read is the table's state
+        found = []
+        for name, df in tables.items():
+            try:
+                found.append(tuple(counted(name, df).first()))
+            except Exception as error:
+                found.append((name, None, reason_of(error)))
+    # a row per table
+    return spark.createDataFrame(found, "table string, rows bigint, error string")
 
 
 def minmax_normalise_universe(df: DataFrame, by: str, columns: list[str]) -> DataFrame:

@@ -45,13 +45,12 @@ def price_rules(prices: list[str], volume: str, split: str | None = None) -> dic
     return {**rules, split: F.col(split) > 0} if split else rules
 
 
-def under_seeded_tables(tables: dict[str, DataFrame], minimums: dict[str, int]) -> DataFrame:
-    """Tables whose count is below the minimum; a table that is not there counts 0."""
-    spark = SparkSession.getActiveSession()
+def under_seeded_tables(spark: SparkSession, tables: dict[str, DataFrame], minimums: dict[str, int]) -> DataFrame:
+    """Tables whose count is below the minimum. A table that is not there counts 0, and so does one that cannot be read, with the reason in ``error``."""
     wanted = spark.createDataFrame(list(minimums.items()), "table string, minimum bigint")
     if not tables:
-        return wanted.withColumn("rows", F.lit(0).cast("bigint"))
-    counts = table_row_counts(tables)
+        return wanted.withColumns({"rows": F.lit(0).cast("bigint"), "error": F.lit(None).cast("string")})
+    counts = table_row_counts({t: df for t, df in tables.items() if t in minimums})
     return (
         wanted.join(counts, "table", "left")
         .withColumn("rows", F.coalesce(F.col("rows"), F.lit(0)))
@@ -59,17 +58,33 @@ def under_seeded_tables(tables: dict[str, DataFrame], minimums: dict[str, int])
     )
 
 
+#: Share of files that must have been loaded, and the families whose files must all have been.
+FILE_SHARE, WHOLE_FAMILIES = 0.60, ["equity_quotes", "etfs_quotes"]
+
+
 def critical_load_check(
-    tables: dict[str, DataFrame], minimums: dict[str, int], files_loaded: int, files_total: int, quotes_complete: bool
+    spark: SparkSession, tables: dict[str, DataFrame], minimums: dict[str, int], ledger: DataFrame, file: str = "file", family: str = "family",
+    ok: Column | None = None, whole: list[str] | None = None,
 ) -> DataFrame:
-    """One row: critical tables filled, at least 60 % of the files loaded, both quote folders complete."""
-    failures = under_seeded_tables(tables, minimums).agg(F.count("*").alias("critical_failures"))
-    return failures.withColumns(
-        {
-            "files_ok": F.lit(files_total > 0 and files_loaded / files_total >= 0.60),
-            "quotes_ok": F.lit(quotes_complete),
-        }
-    ).withColumn("loaded", (F.col("critical_failures") == 0) & F.col("files_ok") & F.col("quotes_ok"))
+    """One row: critical tables filled, at least 60 % of the files loaded, both quote folders complete.
+
+    ``ledger`` has the loads' files; a file counts by its best try.
+    """
+    ok = F.col("status") == "loaded" if ok is None else ok
+    whole = WHOLE_FAMILIES if whole is None else whole
+    best = ledger.groupBy(family, file).agg(F.max(ok.cast("int")).alias("_ok"))
+    state = best.agg(
+        F.coalesce(F.avg("_ok") >= FILE_SHARE, F.lit(False)).alias("files_ok"),
+        *[F.coalesce(F.min(F.when(F.col(family) == f, F.col("_ok"))) == 1, F.lit(False)).alias(f"_whole_{i}") for i, f in enumerate(whole)],
+    )
+    complete = F.lit(True)
+    for i in range(len(whole)):
+        complete = complete & F.col(f"_whole_{i}")
+    failures = under_seeded_tables(spark, tables, minimums).agg(F.count("*").alias("critical_failures"))
+    # two frames of one row each
+    joined = failures.withColumn("_one", F.lit(1)).join(state.withColumn("_one", F.lit(1)), "_one")
+    checked = joined.withColumn("quotes_ok", complete).select("critical_failures", "files_ok", "quotes_ok")
+    return checked.withColumn("loaded", (F.col("critical_failures") == 0) & F.col("files_ok") & F.col("quotes_ok"))
 
 
 def download_coverage(ledger: DataFrame, family: str, ok: Column, share: float = 0.8) -> DataFrame:

@@ -5,7 +5,6 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from tickerlake.operators import aggregates as agg, joins, nested, timeseries as ts, topk, upsert
-from tickerlake.operators.ranking import cume_share
 from tickerlake.registry.core import query
 from tickerlake.registry.timeseries import LATEST, PERFORMANCE, month_end_list, trend
 from tickerlake.session import materialise
@@ -202,13 +201,16 @@ def _(spark, sf):
     return subscores_minmax(rows, ["ref", "date"], {"interest_coverage": True, "price_earnings_ratio": False})
 
 
-@query("metric_subscore_percentile", "sector symbol date:d current_ratio:6 share:6", "ratios profile",
-       """SELECT sector, symbol, date, current_ratio, cume_dist() OVER (PARTITION BY sector, date ORDER BY current_ratio) * 100 AS share
-       FROM ratios JOIN profile USING (symbol)""")
+@query("metric_subscore_percentile", "sector symbol date:d current_ratio:6 interest_coverage:6", "ratios profile",
+       """SELECT sector, symbol, date, cume_dist() OVER (PARTITION BY sector, date ORDER BY current_ratio) * 100 AS current_ratio,
+       CASE WHEN interest_coverage IS NULL THEN 0 ELSE cume_dist() OVER (PARTITION BY sector, date, interest_coverage IS NULL ORDER BY -interest_coverage) * 100 END
+       AS interest_coverage FROM ratios JOIN profile USING (symbol)""")
 def _(spark, sf):
+    from tickerlake.plans.peer_scores import subscores_percentile
+
     rows = v.ratios(spark, sf).join(v.profile(spark, sf).select("symbol", "sector"), "symbol")
-    rows = rows.select("sector", "symbol", "date", "current_ratio")
-    return cume_share(rows, ["sector", "date"], "current_ratio", "share").withColumn("share", F.col("share") * 100)
+    rows = materialise(rows.select("sector", "symbol", "date", "current_ratio", "interest_coverage"), "sector-ratios")
+    return subscores_percentile(rows, ["sector", "date"], "symbol", {"current_ratio": True, "interest_coverage": False})
 
 
 @query("nanmean_row", "symbol date:d mean:6", "ratios",

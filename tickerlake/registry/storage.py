@@ -12,7 +12,7 @@ from tickerlake.plans.refresh import refresh_aggregates
 from tickerlake.registry.core import query
 from tickerlake.registry.timeseries import month_end_list
 from tickerlake.session import scratch_path
-from tickerlake.sources import files, sinks, views as v
+from tickerlake.sources import files, records, sinks, views as v
 from tickerlake.streaming import jobs
 
 
@@ -50,14 +50,50 @@ def _(spark, sf):
     return files.scan_csv_staged_text(spark, _csv(rows, spark, "csv-staged"), types)
 
 
-@query("scan_partition_files", "a b c:i", "dirty_lines",
-       """SELECT DISTINCT CASE l_orderkey % 5 WHEN 0 THEN 'October ' || CAST(l_linenumber AS VARCHAR) || ' 12' ELSE 'a' END AS a,
-       CASE l_orderkey % 5 WHEN 0 THEN CAST(l_partkey AS VARCHAR) ELSE 'b' END AS b,
-       CASE l_orderkey % 5 WHEN 0 THEN 3 ELSE l_partkey END AS c FROM dirty_lines WHERE l_orderkey % 5 IN (0, 4)""")
+LINE_ID = "concat_ws('-', l_orderkey, l_linenumber, l_partkey, l_suppkey)"
+
+
+@query("scan_partition_files", "id a b c:i", "dirty_lines",
+       f"""SELECT DISTINCT {LINE_ID} AS id, CASE l_orderkey % 5 WHEN 0 THEN 'October ' || CAST(l_linenumber AS VARCHAR) || ' 12' WHEN 1 THEN 'open,' || CAST(l_partkey AS VARCHAR)
+       WHEN 2 THEN CAST(l_partkey AS VARCHAR) WHEN 4 THEN 'a' END AS a,
+       CASE l_orderkey % 5 WHEN 0 THEN CAST(l_partkey AS VARCHAR) WHEN 4 THEN 'b' END AS b,
+       CASE l_orderkey % 5 WHEN 0 THEN 3 WHEN 3 THEN l_partkey WHEN 4 THEN l_partkey END AS c FROM dirty_lines""")
 def _(spark, sf):
     path = scratch_path(spark, "partition-files")
-    v.dirty_lines(spark, sf).select("line").repartition(4).write.text(path)
-    return files.scan_partition_files(spark, path, ["a", "b", "c"], {"c": "bigint"}, ["a", "b", "c"])
+    # all five kinds of line, each behind its number
+    numbered = F.concat(F.expr(LINE_ID), F.lit(","), F.col("line")).alias("line")
+    v.dirty_lines(spark, sf).select(numbered).repartition(4).write.text(path)
+    return files.scan_partition_files(spark, path, ["id", "a", "b", "c"], {"c": "bigint"}, ["id"])
+
+
+@query("load_partition_files", "status files:i lines:i accepted:i rejected:i", "dirty_lines",
+       f"""SELECT 'loaded' AS status, 4 AS files, count(*) AS lines, count(*) FILTER (l_orderkey % 5 <> 2) AS accepted,
+       count(*) FILTER (l_orderkey % 5 = 2) AS rejected FROM dirty_lines""")
+def _(spark, sf):
+    path = scratch_path(spark, "logged-files")
+    # lines of one cell have no key
+    line = F.when(F.col("l_orderkey") % 5 == 2, F.concat(F.lit(","), "line")).otherwise(F.concat(F.expr(LINE_ID), F.lit(","), F.col("line")))
+    v.dirty_lines(spark, sf).select(line.alias("line")).repartition(4).write.text(path)
+    log = files.load_partition_files(spark, path, ["id", "a", "b", "c"], {"c": "bigint"}, ["id"])[1]
+    lines = log.filter("lines > 0")
+    return lines.groupBy("status").agg(
+        F.count("*").alias("files"), F.sum("lines").alias("lines"), F.sum("accepted").alias("accepted"), F.sum("rejected").alias("rejected"))
+
+
+@query("scan_csv_records", "id note part:i",
+       sql=f"""SELECT {LINE_ID} AS id, CASE WHEN l_linenumber % 3 = 0 THEN 'line ' || CAST(l_linenumber AS VARCHAR) || chr(10) || 'said "yes", then' || chr(10) || 'no'
+       WHEN l_linenumber % 3 = 1 THEN 'plain' END AS note, l_partkey AS part FROM lineitem""")
+def _(spark, sf):
+    folder = scratch_path(spark, "csv-records")
+    number = F.col("l_linenumber")
+    note = F.when(number % 3 == 0, F.concat(F.lit("line "), number.cast("string"), F.lit('\nsaid "yes", then\nno'))).when(number % 3 == 1, "plain")
+    rows = v.table(spark, sf, "lineitem").select(F.expr(LINE_ID).alias("Id"), note.alias("Note"), F.col("l_partkey").alias("Part"), "l_orderkey")
+    # files with different headers in one folder
+    one = rows.filter("l_orderkey % 2 = 0").select("Id", "Note", "Part")
+    other = rows.filter("l_orderkey % 2 = 1").select("Part", F.lit(1).alias("extra"), "Id", "Note")
+    for part in (one, other):
+        part.repartition(2).write.mode("append").option("header", True).option("escape", '"').csv(folder)
+    return records.scan_csv_records(spark, folder, "id string, note string, part bigint")
 
 
 @query("scan_fund_seed_files", "table rows:i",
@@ -226,7 +262,7 @@ def _(spark, sf):
     early = quotes.filter("date < DATE '1999-06-15'")
     sinks.replace_partitions(monthly(early), path, "month")
     late = quotes.filter("date >= DATE '1999-06-15'")
-    refresh_aggregates(quotes, late, path, "month", lambda d: F.trunc(d, "month"), monthly)
+    refresh_aggregates(quotes, late, path, "month", "month", monthly)
     return spark.read.parquet(path)
 
 
@@ -285,11 +321,15 @@ def _(spark, sf):
 
 @query("stream_dedupe_records", "record_id", "records", "SELECT DISTINCT record_id FROM records")
 def _(spark, sf):
-    landing = scratch_path(spark, "records")
-    v.records(spark, sf).select("record_id", F.col("change_date").cast("timestamp").alias("ts")).write.parquet(landing)
-    rows = jobs.read_landing(spark, landing, "record_id bigint, ts timestamp")
-    # one pass with the whole span inside the watermark
-    return _run(spark, jobs.dedupe_records(rows, "record_id", "ts", late="4000 days"), "dedupe").select("record_id")
+    landing, path, checkpoint = (scratch_path(spark, n) for n in ("records", "deduped", "dedupe-checkpoint"))
+    records = v.records(spark, sf).select("record_id", F.col("change_date").cast("timestamp").alias("ts"))
+    # two deliveries of everything, far more than the watermark apart: the second one is refused by what is stored
+    again = records.withColumn("ts", F.col("ts") + F.expr("interval 10 years"))
+    for delivery in (records, again):
+        delivery.write.mode("append").parquet(landing)
+        rows = jobs.read_landing(spark, landing, "record_id bigint, ts timestamp")
+        jobs.stream_dedupe_records(rows, "record_id", "ts", path, checkpoint, late="30 days").awaitTermination()
+    return spark.read.parquet(path).select("record_id")
 
 
 @query("stream_file_ledger", "n_records:i runs:i", "api_calls",
@@ -315,15 +355,18 @@ MINIMUMS = {"customer": 10, "supplier": 1_000_000, "part": 10, "orders": 1_000_0
        + (f" FROM {t}" if t != "equity_income" else "") for t, m in MINIMUMS.items()) + ") WHERE rows < minimum")
 def _(spark, sf):
     tables = {t: v.table(spark, sf, t) for t in MINIMUMS if t != "equity_income"}
-    return quality.under_seeded_tables(tables, MINIMUMS)
+    return quality.under_seeded_tables(spark, tables, MINIMUMS)
 
 
-@query("critical_load_check", "critical_failures:i files_ok quotes_ok loaded",
-       sql="""SELECT ((SELECT count(*) FROM customer) < 10)::BIGINT + ((SELECT count(*) FROM orders) < 1000000000)::BIGINT AS critical_failures,
-       true AS files_ok, true AS quotes_ok, false AS loaded""")
+@query("critical_load_check", "critical_failures:i files_ok quotes_ok loaded", "api_calls",
+       """SELECT ((SELECT count(*) FROM customer) < 10)::BIGINT + ((SELECT count(*) FROM orders) < 1000000000)::BIGINT AS critical_failures,
+       avg(ok) >= 0.6 AS files_ok, coalesce(min(ok) FILTER (endpoint = 'click') = 1, false) AND coalesce(min(ok) FILTER (endpoint = 'view') = 1, false) AS quotes_ok,
+       false AS loaded FROM (SELECT endpoint, user_id, max((response_time_ms > 5)::INT) AS ok FROM api_calls GROUP BY 1, 2)""")
 def _(spark, sf):
     tables = {t: v.table(spark, sf, t) for t in ("customer", "orders")}
-    return quality.critical_load_check(tables, {"customer": 10, "orders": 1_000_000_000}, 7, 10, True)
+    # the calls as a ledger: a user is a file that may be tried several times
+    return quality.critical_load_check(
+        spark, tables, {"customer": 10, "orders": 1_000_000_000}, v.api_calls(spark, sf), "user_id", "endpoint", F.col("response_time_ms") > 5, ["click", "view"])
 
 
 @query("download_coverage", "endpoint files:i succeeded:i success_ratio:6 complete", "api_calls",

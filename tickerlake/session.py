@@ -43,9 +43,12 @@ def scratch_path(spark: SparkSession, label: str) -> str:
 
 
 def table_path(spark: SparkSession, table: str, root: str | None = None) -> str:
-    """A fresh version folder of a stored table, under ``root`` or the warehouse folder; unlike scratch, it outlives a job."""
+    """A fresh version folder of a stored table, under ``root`` or the warehouse folder; unlike scratch, it outlives a job.
+
+    It is not inside the folder that a managed table of that name would own, which goes when such a table is dropped.
+    """
     root = root or spark.conf.get("spark.sql.warehouse.dir")
-    return f"{root.rstrip('/')}/{table}/version-{uuid.uuid4().hex}"
+    return f"{root.rstrip('/')}/{table}.versions/version-{uuid.uuid4().hex}"
 
 
 def materialise(df: DataFrame, label: str) -> DataFrame:
@@ -57,3 +60,10 @@ def materialise(df: DataFrame, label: str) -> DataFrame:
     path = scratch_path(df.sparkSession, label)
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+def reason_of(error: Exception) -> str:
+    """The first line that says what went wrong."""
+    lines = [x.strip() for x in str(error).splitlines() if x.strip()]
+    causes = [x.removeprefix("Caused by: ") for x in lines if x.startswith("Caused by: ")]
+    return (causes or lines or [type(error).__name__])[-1 if causes else 0][:500]

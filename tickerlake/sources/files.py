@@ -4,23 +4,30 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from tickerlake.functions import cleaning as cl
 from tickerlake.functions.naming import camel_to_snake, lower_columns, snake_columns
 from tickerlake.operators.upsert import dedupe_by_key
 from tickerlake.sources import schemas
+from tickerlake.sources.loads import load_files
 
 
-def scan_csv_typed(spark: SparkSession, path: str, schema: str, multi_line: bool = False) -> DataFrame:
-    """CSV with header and doubled-quote escapes into a declared schema.
+def scan_csv_typed(spark: SparkSession, path: str | list[str], schema: str, multi_line: bool = False) -> DataFrame:
+    """CSV with header and doubled-quote escapes into a declared schema; columns are found by name, letter case aside.
 
-    ``multi_line`` admits newlines inside quotes but makes each file one task, so it is off by default.
+    The header of one file gives the order; a file whose header differs ends the read with an error instead of loading wrong columns. ``records.scan_csv_records`` takes
+    files with different headers, and records with line breaks in parallel. ``multi_line`` admits line breaks inside quotes too, but makes each file one task.
     """
-    return (
-        spark.read.schema(schema)
-        .options(header=True, quote='"', escape='"', multiLine=multi_line, enforceSchema=True)
-        .csv(path)
-    )
+    declared = {f.name.lower(): f for f in spark.createDataFrame([], schema).schema}
+    options = {"header": True, "quote": '"', "escape": '"', "multiLine": multi_line}
+    found = [c.strip().lower() for c in spark.read.options(**options).csv(path).columns]
+    missing = [name for name in declared if name not in found]
+    if missing:
+        raise ValueError(f"columns {missing} are not in the header of {path}")
+    ordered = T.StructType([declared.get(c, T.StructField(c, T.StringType())) for c in found])
+    rows = spark.read.schema(ordered).options(**options, enforceSchema=False).csv(path)
+    return rows.select(*[f.name for f in declared.values()])
 
 
 def cast_staged(df: DataFrame, types: dict[str, str]) -> DataFrame:
@@ -73,21 +80,30 @@ def split_parsable(
 def scan_partition_files(
     spark: SparkSession, path: str, columns: list[str], types: dict[str, str], keys: list[str]
 ) -> DataFrame:
-    """All files of a folder, line-repaired and typed; unreadable files are passed over and the first
-    file (by name) wins a key clash. Splits by line, so large files are read by many tasks."""
+    """All files of a folder, line-repaired and typed; the first file (by name) wins a key clash. See ``load_partition_files`` for the log."""
+    return load_partition_files(spark, path, columns, types, keys)[0]
+
+
+def load_partition_files(
+    spark: SparkSession, path: str, columns: list[str], types: dict[str, str], keys: list[str]
+) -> tuple[DataFrame, DataFrame]:
+    """(rows, log): rows of the readable files of a folder, line-repaired and typed, and a log with a row per file.
+
+    A file that cannot be read to its end is left out whole and logged with the reason; lines without a key count as rejected. The first file (by name) wins a key
+    clash. Files are split by line, so large ones are read by many tasks.
+    """
     header = ",".join(columns).replace("_", "").lower()
     # a header may be quoted, camelCase or snake_case
     is_header = F.lower(F.regexp_replace("_line", '[" _]', "")) == header
-    lines = (
-        spark.read.option("ignoreCorruptFiles", True)
-        .text(path)
-        .select(F.col("value").alias("_line"), F.col("_metadata.file_name").alias("source_file"))
-        .filter((F.trim("_line") != "") & ~is_header)
-    )
-    rows = parse_lines(lines, "_line", columns)
-    typed = cast_staged(rows, {**types, "source_file": "string"})
-    present = typed.filter(cl.all_true([F.col(k).isNotNull() for k in keys]))
-    return dedupe_by_key(present, keys, ["source_file"])
+
+    def read(files: list[str]) -> DataFrame:
+        lines = spark.read.text(files).select(F.col("value").alias("_line"), F.col("_metadata.file_path").alias("source_file"))
+        rows = parse_lines(lines.filter((F.trim("_line") != "") & ~is_header), "_line", columns)
+        return cast_staged(rows, {**types, "source_file": "string"})
+
+    rows, log = load_files(spark, path, read, lambda rows: cl.all_true([F.col(k).isNotNull() for k in keys]))
+    named = rows.withColumn("source_file", F.element_at(F.split("source_file", "/"), -1))
+    return dedupe_by_key(named, keys, ["source_file"]), log
 
 
 def fund_seed_table(file_name: str) -> str:
@@ -135,8 +151,8 @@ def _camel(snake: str) -> str:
 
 
 def ingest_bulk_eod(spark: SparkSession, path: str) -> DataFrame:
-    """One-day whole-market CSV in the quote columns; rows without a symbol are dropped."""
-    rows = snake_columns(spark.read.schema(schemas.BULK_EOD_SCHEMA).options(header=True).csv(path))
+    """One-day whole-market CSV in the quote columns, found by name; rows without a symbol are dropped."""
+    rows = snake_columns(scan_csv_typed(spark, path, schemas.BULK_EOD_SCHEMA))
     return rows.filter("symbol IS NOT NULL AND symbol <> ''").withColumn("volume", F.rint("volume").cast("bigint"))
 
 

@@ -2,11 +2,16 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from tickerlake.functions.naming import camel_to_snake
-from tickerlake.session import table_path
+from tickerlake.session import materialise, table_path
+
+#: Marks a version folder that has been replaced; readers skip names with an underscore.
+SUPERSEDED = "_superseded"
 
 
 def _counted(df: DataFrame) -> tuple[DataFrame, Observation]:
@@ -43,42 +48,55 @@ def sink_append(df: DataFrame, path: str) -> int:
 def sink_replace(df: DataFrame, table: str, root: str | None = None) -> DataFrame:
     """Replace a whole table: write a new version folder, then point the table at it.
 
-    The version it replaces stays, so running queries and ``df`` itself may read it; older ones are deleted. ``root`` defaults to the
-    warehouse folder: the scratch folder may be emptied at any time between jobs.
+    Nothing is dropped before the new rows are written, outside the table's own folder, and the table that points at them exists; if that fails the old table is
+    back. The version it replaces stays, so running queries and ``df`` itself may read it. Versions that an earlier replacement marked as superseded are deleted; what another
+    writer has written and not yet made current is not marked, so it is safe. ``root`` defaults to the warehouse folder: the scratch folder may be emptied between jobs.
     """
     spark = df.sparkSession
     path = table_path(spark, table, root)
     df.write.mode("errorifexists").parquet(path)
-    before = _location(spark, table)
-    if spark.catalog.tableExists(table) and spark.table(table).dtypes == df.dtypes:
+    before = _stored(spark, table)
+    if before and before["Type"] == "EXTERNAL" and spark.table(table).dtypes == df.dtypes:
         # one catalogue change: readers see the old version or the new one
         spark.sql(f"ALTER TABLE {table} SET LOCATION '{path}'")
         spark.catalog.refreshTable(table)
-        _drop_versions(spark, path, before)
-        return spark.table(table)
-    spark.sql(f"DROP TABLE IF EXISTS {table}")
-    made = spark.catalog.createTable(table, path=path, source="parquet", schema=df.schema)
-    _drop_versions(spark, path, before)
-    return made
-
-
-def _location(spark: SparkSession, table: str) -> str | None:
+    else:
+        aside = f"{table}_replaced_{uuid.uuid4().hex[:12]}" if before else None
+        if aside:
+            spark.sql(f"ALTER TABLE {table} RENAME TO {aside}")
+        try:
+            spark.catalog.createTable(table, path=path, source="parquet", schema=df.schema)
+        except Exception:
+            if aside:
+                spark.sql(f"ALTER TABLE {aside} RENAME TO {table}")
+            raise
+        if aside:
+            spark.sql(f"DROP TABLE {aside}")
+    if before and before["Type"] == "EXTERNAL":
+        _supersede(spark, before["Location"])
+    return spark.table(table)
+
+
+def _stored(spark: SparkSession, table: str) -> dict[str, str] | None:
+    """Type and location of a stored table."""
     if not spark.catalog.tableExists(table):
         return None
-    rows = spark.sql(f"DESCRIBE TABLE EXTENDED {table}").where("col_name = 'Location'").collect()
-    return rows[0]["data_type"] if rows else None
+    rows = spark.sql(f"DESCRIBE TABLE EXTENDED {table}").where("col_name IN ('Type', 'Location')").collect()
+    return {r["col_name"]: r["data_type"] for r in rows}
 
 
-def _drop_versions(spark: SparkSession, path: str, before: str | None) -> None:
-    """Delete the versions beside ``path`` but for itself and the one that was current before."""
+def _supersede(spark: SparkSession, replaced: str) -> None:
+    """Delete the versions beside ``replaced`` that were marked earlier, then mark ``replaced``."""
     jvm = spark._jvm.org.apache.hadoop.fs
-    current = jvm.Path(path)
-    files = current.getFileSystem(spark._jsc.hadoopConfiguration())
-    keep = {current.getName(), jvm.Path(before).getName() if before else None}
-    for status in files.listStatus(current.getParent()):
-        name = status.getPath().getName()
-        if name.startswith("version-") and name not in keep:
-            files.delete(status.getPath(), True)
+    old = jvm.Path(replaced)
+    files = old.getFileSystem(spark._jsc.hadoopConfiguration())
+    if not old.getName().startswith("version-") or not files.exists(old):
+        return
+    for status in files.listStatus(old.getParent()):
+        version = status.getPath()
+        if version.getName().startswith("version-") and version.getName() != old.getName() and files.exists(jvm.Path(version, SUPERSEDED)):
+            files.delete(version, True)
+    files.createNewFile(jvm.Path(old, SUPERSEDED))
 
 
 def sink_truncate_selective(spark: SparkSession, tables: list[str], selected: list[str] | None = None) -> list[str]:
@@ -97,6 +115,49 @@ def replace_partitions(df: DataFrame, path: str, by: str = "date") -> None:
     df.hint("rebalance", by).write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(by).parquet(path)
 
 
+def dated_table(df: DataFrame, table: str, by: str = "date", root: str | None = None) -> None:
+    """Create ``table`` with the columns of ``df``, a partition per ``by``, unless it exists."""
+    spark = df.sparkSession
+    if not spark.catalog.tableExists(table):
+        columns = ", ".join(f"`{c}` {t}" for c, t in [*[x for x in df.dtypes if x[0] != by], *[x for x in df.dtypes if x[0] == by]])
+        path = table_path(spark, table, root)
+        spark.sql(f"CREATE TABLE {table} ({columns}) USING parquet PARTITIONED BY (`{by}`) LOCATION '{path}'")
+
+
+def _into_days(rows: DataFrame, table: str, by: str, mode: str) -> None:
+    """Write stored rows into the folders of their days, and tell the catalogue of new ones."""
+    spark = rows.sparkSession
+    columns = spark.table(table).columns
+    # bounded by the calendar
+    days = [str(r[0]) for r in rows.select(by).distinct().collect()]
+    writer = rows.select(*columns).hint("rebalance", by).write.mode(mode).option("partitionOverwriteMode", "dynamic")
+    writer.partitionBy(by).parquet(_stored(spark, table)["Location"])
+    for at in range(0, len(days), 200):
+        spark.sql(f"ALTER TABLE {table} ADD IF NOT EXISTS " + " ".join(f"PARTITION (`{by}` = '{d}')" for d in days[at : at + 200]))
+    spark.catalog.refreshTable(table)
+
+
+def overwrite_days(df: DataFrame, table: str, by: str = "date") -> None:
+    """The days in ``df`` take the place of the stored ones; no other partition is read or written. A repeated load gives the same rows."""
+    rows = materialise(df.filter(F.col(by).isNotNull()), "whole-days")
+    dated_table(rows, table, by)
+    _into_days(rows, table, by, "overwrite")
+
+
+def insert_days(df: DataFrame, table: str, keys: list[str], by: str = "date") -> None:
+    """Rows of ``df`` with keys that are not stored yet are added to their days; stored rows stay as they are.
+
+    Only the touched days of the table are read: their list, bounded by the calendar, is a literal in the partition filter.
+    """
+    spark = df.sparkSession
+    rows = materialise(df.filter(F.col(by).isNotNull()), "new-days")
+    dated_table(rows, table, by)
+    days = [r[0] for r in rows.select(by).distinct().collect()]
+    stored = spark.table(table).filter(F.col(by).isin(days)).select(*keys)
+    # stored apart: the table must not be read while it is written
+    _into_days(materialise(rows.join(stored, keys, "left_anti"), "absent-days"), table, by, "append")
+
+
 def schema_evolve_widen(df: DataFrame, prefix: str = "growth") -> DataFrame:
     """Integer columns whose name starts with ``prefix`` become double."""
     whole = {"tinyint", "smallint", "int", "bigint"}

@@ -5,6 +5,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
 from tickerlake.operators.upsert import dedupe_by_key
@@ -82,6 +83,36 @@ def dedupe_records(records: DataFrame, key: str, ts: str, late: str = "1 day") -
     return records.withWatermark(ts, late).dropDuplicatesWithinWatermark([key])
 
 
+def stream_dedupe_records(records: DataFrame, key: str, ts: str, path: str, checkpoint: str, late: str = "1 day") -> StreamingQuery:
+    """Each key once for all time: repeats within the watermark go by state, which stays as small as the watermark is short, and later ones by what is stored.
+
+    A batch writes its own folder, and compares itself with the folders of other batches only, so a batch that is run again after a failure gives the same rows. Only keys are read back.
+    """
+    spark = records.sparkSession
+    schema = records.schema
+
+    def land(batch: DataFrame, batch_id: int) -> None:
+        seen = _batches(spark, path, schema)
+        new = dedupe_by_key(batch, [key], [ts])
+        if seen is not None:
+            new = new.join(seen.filter(F.col("batch") != batch_id).select(key), key, "left_anti")
+        new.select(*schema.names).write.mode("overwrite").parquet(f"{path}/batch={batch_id}")
+
+    return (
+        dedupe_records(records, key, ts, late).writeStream.foreachBatch(land).outputMode("append").option("checkpointLocation", checkpoint)
+        .trigger(availableNow=True).start()
+    )
+
+
+def _batches(spark: SparkSession, path: str, schema) -> DataFrame | None:
+    """The rows of all batches stored so far with their ``batch``; None before the first."""
+    jvm = spark._jvm.org.apache.hadoop.fs
+    folder = jvm.Path(path)
+    if not folder.getFileSystem(spark._jsc.hadoopConfiguration()).exists(folder):
+        return None
+    return spark.read.schema(T.StructType([*schema.fields, T.StructField("batch", T.LongType())])).parquet(path)
+
+
 def stream_append(rows: DataFrame, path: str, checkpoint: str) -> DataFrame:
     """Run over all files available now, append to Parquet, and read the result back."""
     query = _append(rows, path, checkpoint)
