@@ -3,7 +3,7 @@ from collections import Counter
 
 import numpy as np
 
-from tickerlake.llm import minmax_hash
+from tickerlake.llm import minmax_hash, ngram_join
 from tickerlake.llm.minmax_hash import min_max, near_copies
 from test_ngram_join import brute, family
 
@@ -26,8 +26,9 @@ def test_families_whose_smallest_is_no_centre(spark):
     check(spark, rows_of(texts))
 
 
-def test_many_rounds_of_pivots(spark, monkeypatch):
-    monkeypatch.setattr(minmax_hash, "GROWTH", 2)
+def test_a_family_that_no_task_compares_at_once(spark, monkeypatch):
+    monkeypatch.setattr(ngram_join, "DIRECT", 2)
+    monkeypatch.setattr(ngram_join, "FAMILY", 8)
     rng = random.Random(9)
     check(spark, rows_of(family(rng, 50, 120, 6) + family(rng, 20, 120, 6)))
 

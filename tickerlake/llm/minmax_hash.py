@@ -5,10 +5,9 @@ probability of their Jaccard similarity, so half as many permutations as values
 less than that from as many minima. Minima and maxima are banded: ``BANDS`` bands of ``ROWS`` values, each a key; sets with a key in common are candidates. At the
 similarity asked for (0.85) two sets have no key in common with a probability of (1 - 0.85 ** 4) ** 20 = 4e-7, and less above it.
 
-Equal sets are one node. The sets of a bucket (of one key) are not paired with each other but with pivots, the smallest first: a round takes the next few
-pivots of every bucket whose sets are not in one component yet, against the sets of other components there, and the links it finds merge components. A bucket is
-done when its sets are in one component or all of them were pivots. So every candidate pair ends up compared or connected. Candidates whose values agree too
-rarely for their similarity are left out (``AGREE``); the others are confirmed on their full sets.
+Equal sets are one node. The sets of a small bucket (of one key) are compared with each other, those of a larger one with its smallest document, the pivot. A pivot's members that
+are not linked with it may be linked with each other; that follows from the shingles in which they differ from the pivot, which one task compares without writing out pairs
+(``ngram_join.group_links``). So every two sets with a key in common are confirmed on their full sets or already connected, and no bucket gives rise to all its pairs.
 
 Results for odd rows: NULL, empty and wordless texts have n_shingles 0, their own id as component_id and kept true. Texts with fewer words than a shingle are one
 shingle, however long a text is all of it counts. Repeated rows come back as often as they are given. Rows of one doc_id are one document: they share a
@@ -25,11 +24,10 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.window import Window
 
 from tickerlake.llm.common import identified, table, texts
 from tickerlake.llm.components import components
-from tickerlake.llm.ngram_join import Similarity
+from tickerlake.llm.ngram_join import Similarity, group_links, group_members
 from tickerlake.llm.words import U64, mix, slices
 from tickerlake.session import materialise
 
@@ -38,11 +36,7 @@ PERMUTATIONS = 40
 #: Values of a band.
 ROWS = 4
 BANDS = 2 * PERMUTATIONS // ROWS
-#: Of the 80 values of linked sets 68 agree on average, fewer than 48 with a probability of 1e-8.
-AGREE = 48
-#: Pivots of a bucket up to the second round, and the factor by which they grow from round to round.
-GROWTH = 64
-_NODE = "doc_id bigint, n bigint, a bigint, b bigint, bands array<bigint>, sketch binary"
+_SET = "doc_id bigint, n bigint, a bigint, b bigint, bands array<bigint>"
 _ODD = mix(np.arange(1, PERMUTATIONS + 1, dtype=np.uint64)) | U64(1)
 _SHIFT = mix(np.arange(1001, PERMUTATIONS + 1001, dtype=np.uint64))
 
@@ -73,7 +67,7 @@ def _signed(values: np.ndarray) -> pa.Array:
 
 
 def signed_sets(docs: DataFrame, like: Similarity) -> DataFrame:
-    """doc_id, set size n and 128-bit digest (a, b) of every row; of the smallest document of each set in a slice of a batch also the band keys and a byte of each value."""
+    """doc_id, set size n and 128-bit digest (a, b) of every row; of the smallest document of each set in a slice of a batch also the band keys."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -93,85 +87,23 @@ def signed_sets(docs: DataFrame, like: Similarity) -> DataFrame:
                 first &= np.diff(edge) > 0
                 size = np.diff(edge)
                 chosen = np.concatenate([np.zeros(1, np.int64), np.cumsum(size[first])])
-                values = min_max(x[np.repeat(first, size)], chosen)
-                keys = band_keys(values)
+                keys = band_keys(min_max(x[np.repeat(first, size)], chosen))
                 offsets = pa.array(np.concatenate([[0], np.cumsum(np.where(first, BANDS, 0))]).astype(np.int32))
-                sketch = mix(values).astype(np.uint8)
-                place = np.cumsum(first) - 1
                 yield pa.RecordBatch.from_arrays(
                     [
                         batch.column("doc_id").slice(low, high - low), pa.array(size), _signed(digests[0]), _signed(digests[1]),
                         pa.ListArray.from_arrays(offsets, _signed(keys.ravel())),
-                        pa.array([sketch[place[i]].tobytes() if first[i] else None for i in range(len(own))], pa.binary()),
                     ],
-                    ["doc_id", "n", "a", "b", "bands", "sketch"],
+                    ["doc_id", "n", "a", "b", "bands"],
                 )
 
-    return docs.mapInArrow(run, _NODE)
+    return docs.mapInArrow(run, _SET)
 
 
-def set_bytes(docs: DataFrame, like: Similarity) -> DataFrame:
-    """(node, shingles): the sorted 64-bit shingles of every row."""
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            for low, high, words in slices(batch.column("text")):
-                x, edge = like.sets(words)
-                blobs = pa.array([x[edge[i] : edge[i + 1]].tobytes() for i in range(high - low)], pa.binary())
-                yield pa.RecordBatch.from_arrays([batch.column("doc_id").slice(low, high - low), blobs], ["node", "shingles"])
-
-    return docs.mapInArrow(run, "node bigint, shingles binary")
-
-
-def agreeing(pairs: DataFrame, nodes: DataFrame, like: Similarity) -> DataFrame:
-    """The pairs (p, x) whose sizes and values allow the similarity."""
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            mine, theirs = (np.frombuffer(b"".join(batch.column(c).to_pylist()), np.uint8).reshape(-1, 2 * PERMUTATIONS) for c in ("mine", "theirs"))
-            yield batch.select(["p", "x"]).filter(pa.array((mine == theirs).sum(1) >= AGREE))
-
-    mine = nodes.select(F.col("node").alias("x"), F.col("n").alias("n_x"), F.col("sketch").alias("mine"))
-    theirs = nodes.select(F.col("node").alias("p"), F.col("n").alias("n_p"), F.col("sketch").alias("theirs"))
-    sized = pairs.join(mine, "x").join(theirs, "p").where(like.den * F.least("n_x", "n_p") >= like.num * F.greatest("n_x", "n_p"))
-    return sized.select("p", "x", "mine", "theirs").mapInArrow(run, "p bigint, x bigint")
-
-
-def confirmed(pairs: DataFrame, sets: DataFrame, like: Similarity) -> DataFrame:
-    """The pairs (p, x) that are linked on their full sets."""
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            linked = []
-            for mine, theirs in zip(batch.column("mine"), batch.column("theirs")):
-                x, p = (np.frombuffer(v.as_buffer(), np.uint64) for v in (mine, theirs))
-                at = np.minimum(np.searchsorted(p, x), len(p) - 1)
-                linked.append(like.linked(int((p[at] == x).sum()), len(x), len(p)))
-            yield batch.select(["p", "x"]).filter(pa.array(linked, pa.bool_()))
-
-    mine = sets.select(F.col("node").alias("x"), F.col("shingles").alias("mine"))
-    theirs = sets.select(F.col("node").alias("p"), F.col("shingles").alias("theirs"))
-    return pairs.join(theirs, "p").join(mine, "x").select("p", "x", "mine", "theirs").mapInArrow(run, "p bigint, x bigint")
-
-
-def bucket_members(nodes: DataFrame) -> DataFrame:
-    """(key, p, node) of the buckets with several nodes; p is the smallest."""
-    rows = nodes.select("node", F.explode("bands").alias("key"))
-    groups = rows.groupBy("key").agg(F.min("node").alias("p"), F.max("node").alias("last")).where("p < last").select("key", "p")
-    return materialise(rows.join(materialise(groups, "minmax-buckets"), "key"), "minmax-members")
-
-
-def next_pairs(members: DataFrame, roots: DataFrame, checked: DataFrame, low: int, high: int) -> tuple[DataFrame, DataFrame]:
-    """Pairs (p, x) of the pivots ``low`` to ``high`` of each bucket in several components with its members of other components, and those buckets' members."""
-    named = members.join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
-    named = materialise(named.select("key", "p", "node", "root"), "minmax-named")
-    mixed = named.groupBy("key").agg(F.min("root").alias("least"), F.max("root").alias("most")).where("least < most").select("key")
-    live = materialise(named.join(materialise(mixed, "minmax-mixed"), "key", "left_semi"), "minmax-live")
-    ranked = live.withColumn("rank", F.row_number().over(Window.partitionBy("key").orderBy("node"))).where(F.col("rank") <= high)
-    pivots = ranked.where(F.col("rank") > low).select("key", F.col("node").alias("q"), F.col("root").alias("q_root"))
-    met = live.join(materialise(pivots, "minmax-pivots"), "key").where("root <> q_root")
-    pairs = met.select(F.least("q", "node").alias("p"), F.greatest("q", "node").alias("x")).distinct()
-    return materialise(pairs.join(checked, ["p", "x"], "left_anti"), "minmax-pairs"), live.select("key", "p", "node")
+def bucket_members(sets: DataFrame) -> DataFrame:
+    """(key, p, size, doc_id) of the buckets with several nodes; p is the smallest. Extremes and counts are combined before the shuffle, the members joined back, so Spark splits a hot bucket."""
+    rows = sets.select(F.col("node").alias("doc_id"), F.explode("bands").alias("key"))
+    return group_members(rows)
 
 
 def near_copies(docs: DataFrame, shingle: int = 5, num: int = 85, den: int = 100) -> DataFrame:
@@ -179,33 +111,14 @@ def near_copies(docs: DataFrame, shingle: int = 5, num: int = 85, den: int = 100
     like = Similarity(shingle, num, den)
     given, nameless = identified(texts(docs))
     rows = materialise(signed_sets(given, like), "minmax-sets")
-    groups = materialise(rows.where("n > 0").groupBy("n", "a", "b").agg(F.min("doc_id").alias("node")), "minmax-groups")
-    first = rows.where("sketch IS NOT NULL").join(groups, ["n", "a", "b"]).where("doc_id = node")
-    nodes = materialise(first.dropDuplicates(["n", "a", "b"]).select("node", "n", "bands", "sketch"), "minmax-nodes")
-    placed = materialise(rows.select("doc_id", "n", "a", "b").join(groups, ["n", "a", "b"], "left").select("doc_id", "n", "node"), "minmax-placed")
+    nodes = materialise(rows.where("n > 0").groupBy("n", "a", "b").agg(F.min("doc_id").alias("node")), "minmax-nodes")
+    placed = materialise(rows.join(nodes, ["n", "a", "b"], "left").select("doc_id", "n", "node", F.when(F.col("doc_id") == F.col("node"), F.col("bands")).alias("bands")), "minmax-placed")
+    # Texts of one document: their sets are connected, whatever they are.
     ids = placed.where("node IS NOT NULL").groupBy("doc_id").agg(F.min("node").alias("p"), F.max("node").alias("x"))
-    links = ids.where("p < x").select("p", "x")
-    members = bucket_members(nodes)
-    pairs = materialise(members.where("p < node").select("p", F.col("node").alias("x")).distinct(), "minmax-pairs")
-    checked, high = pairs, 1
-    while True:
-        close = materialise(agreeing(pairs, nodes, like), "minmax-close")
-        wanted = materialise(close.select(F.explode(F.array("p", "x")).alias("doc_id")).distinct(), "minmax-wanted")
-        sets = materialise(set_bytes(given.join(wanted, "doc_id", "left_semi").distinct(), like), "minmax-bytes")
-        found = materialise(confirmed(close, sets, like), "minmax-links")
-        links = links.unionByName(found)
-        roots = components(links.select(F.col("p").alias("a"), F.col("x").alias("b")))
-        more = True
-        while more:
-            low, high = high, high * GROWTH
-            pairs, members = next_pairs(members, roots, checked, low, high)
-            # Buckets whose members were all pivots are done.
-            more = bool(members.groupBy("key").count().where(F.col("count") > low).limit(1).count())
-            if pairs.limit(1).count():
-                break
-        if not more:
-            break
-        checked = checked.unionByName(pairs)
+    same = materialise(ids.where("p < x").select("p", "x"), "minmax-same-id")
+    members = bucket_members(placed.where("size(bands) > 0").select("node", "bands").distinct())
+    links = group_links(members, nodes, given, like).unionByName(same)
+    roots = components(links.select(F.col("p").alias("a"), F.col("x").alias("b")))
     own = F.coalesce("root", "node", "doc_id")
     return placed.join(roots, "node", "left").select(
         F.when(F.col("doc_id") < nameless, F.col("doc_id")).alias("doc_id"), F.col("n").alias("n_shingles"),

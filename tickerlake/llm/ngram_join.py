@@ -367,14 +367,12 @@ def _split(members: DataFrame) -> tuple[DataFrame, DataFrame]:
     return own.where("fits"), own.where("NOT fits")
 
 
-def similar_sets(docs: DataFrame, shingle: int = 3, num: int = 90, den: int = 100) -> DataFrame:
-    """doc_id, n_shingles, component_id of every row; the smallest doc_id that links of Jaccard similarity num / den or more reach."""
-    like = Similarity(shingle, num, den)
-    given, nameless = identified(texts(docs))
-    keys = materialise(set_keys(given, like), "set-keys")
-    nodes = materialise(keys.where("n > 0").groupBy("n", "a", "b").agg(F.min("doc_id").alias("node")), "nodes")
-    members = signature_members(given, like)
-    release_shuffles(docs.sparkSession)
+def group_links(members: DataFrame, nodes: DataFrame, given: DataFrame, like: Similarity) -> DataFrame:
+    """Links (p, x) that connect the documents of all groups (key, p, size, doc_id) as the similarity of their pairs does.
+
+    ``p`` is the smallest document of the group; ``nodes`` has a row (n, node) for each different set, ``given`` the texts (doc_id, text).
+    """
+    spark = given.sparkSession
     links, checked, blobs = None, None, None
     while True:
         small, star = group_pairs(members)
@@ -387,10 +385,10 @@ def similar_sets(docs: DataFrame, shingle: int = 3, num: int = 90, den: int = 10
             blobs = materialise(set_blobs(given.join(ids, "doc_id", "left_semi"), like), "set-blobs")
         small = materialise(close_pairs(small, blobs, like), "close-pairs")
         star = materialise(close_members(star, blobs, like, checked), "close-members")
-        release_shuffles(docs.sparkSession)
+        release_shuffles(spark)
         found = materialise(check_pairs(small, blobs, like, False).where("linked").select("p", "x"), "found")
         links = found if links is None else links.unionByName(found)
-        release_shuffles(docs.sparkSession)
+        release_shuffles(spark)
         now = materialise(check_pairs(star, blobs, like, True), "checked")
         links = links.unionByName(now.where("linked").select("p", "x"))
         # All members so far of the pivots that met new ones.
@@ -400,13 +398,24 @@ def similar_sets(docs: DataFrame, shingle: int = 3, num: int = 90, den: int = 10
         links = links.unionByName(materialise(family_links(fits, like), "family-links"))
         parts = materialise(family_parts(large, like), "family-parts")
         if not parts.limit(1).count():
-            break
+            return links
         fits, large = _split(parts)
         links = links.unionByName(materialise(family_links(fits, like), "family-links"))
         rows = materialise(large.select("key", F.col("x").alias("doc_id")), "next-groups")
         if not rows.limit(1).count():
-            break
+            return links
         members = group_members(rows)
+
+
+def similar_sets(docs: DataFrame, shingle: int = 3, num: int = 90, den: int = 100) -> DataFrame:
+    """doc_id, n_shingles, component_id of every row; the smallest doc_id that links of Jaccard similarity num / den or more reach."""
+    like = Similarity(shingle, num, den)
+    given, nameless = identified(texts(docs))
+    keys = materialise(set_keys(given, like), "set-keys")
+    nodes = materialise(keys.where("n > 0").groupBy("n", "a", "b").agg(F.min("doc_id").alias("node")), "nodes")
+    members = signature_members(given, like)
+    release_shuffles(docs.sparkSession)
+    links = group_links(members, nodes, given, like)
     roots = components(links.select(F.col("p").alias("a"), F.col("x").alias("b")))
     named = keys.join(nodes, ["n", "a", "b"], "left")
     named = named.join(roots, "node", "left")
