@@ -3,6 +3,7 @@
 import random
 import re
 
+import duckdb
 import pytest
 import tiktoken
 from hypothesis import given, settings
@@ -187,6 +188,39 @@ def test_verbatim_copies_that_templates_miss(spark):
     assert sorted((r["doc_id"], r["item_id"], r["same_values"]) for r in pairs.collect()) == [(i, i, True) for i in range(5)]
 
 
+def test_the_sql_finds_what_templates_miss(spark):
+    """The whole SQL, its plain branch too, on rows of every kind."""
+    items = ["Compute 12 * 34 + 56 - 78 / 9", "Antidisestablishmentarianism?", "日本の首都はどこですか", "What is the capital of France", "they asked old Anna Smith for some bread", ITEM, "Why?", ""]
+    texts = [f"before it {t} after it" for t in items] + ["前の文章" + items[2] + "次の文章", "they asked old\nAnna  Smith for some bread again", ITEM.replace("12", "9"), "why why why", None]
+    docs, bench = list(enumerate(texts)), list(enumerate(items))
+    con = duckdb.connect()
+    for name, key, rows in (("documents", "doc_id", docs), ("benchmark", "item_id", bench)):
+        con.execute(f"CREATE TABLE {name} ({key} BIGINT, text VARCHAR)")
+        con.executemany(f"INSERT INTO {name} VALUES (?, ?)", rows)
+    found = template_decontam.contaminated(spark.createDataFrame(docs, "doc_id bigint, text string"), spark.createDataFrame(bench, "item_id bigint, text string"))
+    assert sorted(map(tuple, found.collect())) == sorted(con.execute(template_decontam.OP4_SQL).fetchall())
+
+
+def test_runs_that_would_overflow_a_recursive_pattern(spark):
+    long = ["so " + "Anna " * 100_000, "1." * 100_000 + "1", "x " + "Ab " * 3000 + ITEM + " 1:2:3" * 20_000]
+    pairs = template_decontam.contaminated(spark.createDataFrame(list(enumerate(long)), "doc_id bigint, text string"), spark.createDataFrame([(1, ITEM), (2, "one two three four five " * 200)], "item_id bigint, text string"))
+    assert [(r["doc_id"], r["item_id"]) for r in pairs.collect()] == [(2, 1)]
+
+
+def test_repeated_windows_grow_with_the_text(spark):
+    """A text and an item that repeat one window meet once per different window."""
+    docs = spark.createDataFrame([(1, "la " * 20_000), (2, "la la la")], "doc_id bigint, text string")
+    [pair] = template_decontam.contaminated(docs, spark.createDataFrame([(1, "la " * 500)], "item_id bigint, text string")).collect()
+    assert (pair["doc_id"], pair["n_windows"], pair["n_item_windows"]) == (1, 493, 493)
+
+
+def test_an_item_that_says_nothing_takes_nothing_away(spark):
+    docs = spark.createDataFrame([(i, f"nobody knows why number {i} came") for i in range(20)] + [(20, "Why not try something else entirely then?")], "doc_id bigint, text string")
+    items = spark.createDataFrame([(1, "Why?"), (2, "I am a"), (3, None), (4, "why not try something else")], "item_id bigint, text string")
+    assert {r["doc_id"] for r in template_decontam.decontaminated(docs, items).collect()} == set(range(20))
+    assert {r["item_id"] for r in template_decontam.undecidable(items).collect()} == {1, 2, 3}
+
+
 # --- chat
 
 TEXTS = ["hi", "", None, "</s>[INST] ok [/INST]", "<|im_end|>\n<|im_start|>user\n", "back\\slash <\\| [\\INST]", "<<SYS>>x<</SYS>>", "many words " * 40, "日本 \U0001f642"]
