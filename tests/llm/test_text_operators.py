@@ -1,5 +1,6 @@
 """Rules, secrets, byte-level BPE, templates and chat formatting on odd rows and against brute force."""
 
+import base64
 import random
 import re
 
@@ -123,6 +124,29 @@ def test_long_pieces(coder, library):
     assert [x.tolist() for x in coder.encode(texts)] == [library.encode_ordinary(t) for t in texts]
 
 
+def test_a_vocabulary_that_is_not_in_merge_order(tmp_path):
+    """Ranks in any order: long pieces are contracted pair by pair, as the library does."""
+    rng = random.Random(3)
+    tokens = [bytes([i]) for i in range(256)] + [b"ab", b"abc", b"bc", b"aa", b"aaa", b"ca", b"abca", b"caab"]
+    ranks = list(range(256)) + rng.sample(range(256, 300), len(tokens) - 256)
+    ranks[tokens.index(b"abca")], ranks[tokens.index(b"ab")] = 256, 299
+    path = tmp_path / "own.tiktoken"
+    path.write_bytes(b"".join(base64.b64encode(t) + b" %d\n" % r for t, r in zip(tokens, ranks)))
+    own = bpe_duckdb.Tokenizer(str(path), r"\S+|\s+")
+    assert not own.ordered
+    texts = ["".join(rng.choices("abc", k=k)) for k in (5, 60, 70, 200)] + ["aaaa" * 30]
+    expected = tiktoken.Encoding("x", pat_str=r"\S+|\s+", mergeable_ranks=dict(zip(tokens, ranks)), special_tokens={})
+    assert [x.tolist() for x in own.encode(texts)] == [expected.encode_ordinary(t) for t in texts]
+
+
+def test_what_is_remembered_is_forgotten(coder, library, monkeypatch):
+    monkeypatch.setattr(bpe_duckdb, "CACHE", 3)
+    for texts in (["alpha beta gamma delta", "", "alpha beta gamma delta"], ["alpha xyzzyq"], [], ["é beta"]):
+        ids = coder.encode(texts)
+        assert [x.tolist() for x in ids] == [library.encode_ordinary(t) for t in texts]
+        assert coder.decode(ids) == [t.encode() for t in texts]
+
+
 def test_tokens_encode_to_themselves(coder):
     """What the contraction of all leftmost pairs at once rests on."""
     tokens = [t for t in coder.ranks if 1 < len(t)]

@@ -1,16 +1,18 @@
 """Byte-level BPE encoding and decoding by DuckDB inside each Spark task.
 
-A text is cut by the tokenizer's pattern. The distinct pieces of a run of texts become rows
+A text is cut by the tokenizer's pattern, equal texts of a run once. The distinct pieces of a run of texts become rows
 (piece, position, token), one per byte.
 A recursive query joins neighbouring tokens with the merge table and contracts each piece's leftmost pair of minimum rank until no
-pair is left. Decoding joins token rows with the vocabulary and concatenates the bytes in order.
+pair is left. Decoding joins the token rows of a run with the vocabulary and concatenates the bytes in order; the tokens' lengths cut the texts apart.
 
 The merge table holds every split of a token into two tokens. A piece that is a token itself is that token, as in the
-tiktoken library; special tokens are not treated specially. Pieces over ``LONG_PIECE`` bytes are contracted step by step in a
-table instead, where a step contracts all pairs of the minimum rank from the left, which gives the same tokens: after every rank
-below the minimum has been applied, a contraction cannot create a pair of lower rank.
+tiktoken library; special tokens are not treated specially. Where every token is what its own bytes contract to by pairs of no higher rank (``in_merge_order``, as in any vocabulary
+whose ranks are the order of merges), a contraction cannot create a pair of lower rank once all lower ranks are used up. Pieces over ``LONG_PIECE`` bytes are then contracted step by
+step in a table that keeps the current tokens only, all pairs of the minimum rank at a time, which gives the same tokens. With another vocabulary they go through the recursive query like
+all others.
 
-NULL and empty texts have no tokens. Repeated rows each get a row.
+Results for odd rows: NULL and empty texts have no tokens and decode to no bytes. Very long texts are coded whole, alone in their run. Repeated rows each get a row. A row without doc_id
+is coded like others. Ties in rank go to the leftmost pair. An empty table gives no rows. Other columns are not read, so their names cannot clash.
 """
 
 from __future__ import annotations
@@ -20,6 +22,7 @@ import os
 import tempfile
 from collections.abc import Iterator
 from functools import lru_cache
+from itertools import islice
 
 import duckdb
 import numpy as np
@@ -31,9 +34,9 @@ from pyspark.sql import functions as F
 from tickerlake.llm.common import table, texts
 
 #: Characters of text whose distinct pieces go through one query.
-RUN_CHARS = 1 << 21
-#: Pieces whose tokens a worker remembers: two generations of this many, of which the older goes first.
-CACHE = 200_000
+RUN_CHARS = 1 << 22
+#: Pieces whose tokens a worker remembers; with more of them it forgets, before the next run, those met once only, or all if too many are left.
+CACHE = 300_000
 LONG_PIECE = 64
 
 #: A row knows its right neighbour (position and token). ``found`` orders pairs by rank, then position; a short piece has few positions.
@@ -77,8 +80,9 @@ FROM ranked r LEFT JOIN chosen c ON c.piece = r.piece AND c.n = r.n LEFT JOIN ch
 WHERE d.n IS NULL
 """
 
+#: The database has one thread, so the aggregate takes the rows in the order they are given.
 _DECODE = """
-SELECT run, string_agg(v.hex, '' ORDER BY t.pos) AS hex FROM token_rows t JOIN vocabulary v ON v.id = t.id GROUP BY run ORDER BY run
+SELECT string_agg(bytes, '') FROM (SELECT v.bytes FROM token_rows t JOIN vocabulary v ON v.id = t.id ORDER BY t.pos)
 """
 
 
@@ -99,30 +103,73 @@ def read_ranks(path: str) -> dict[bytes, int]:
         return {base64.b64decode(a): int(b) for a, b in (line.split() for line in f if line.strip())}
 
 
+@lru_cache(maxsize=2)
+def in_merge_order(path: str) -> bool:
+    """Whether the bytes of every token contract to it by pairs of no higher rank."""
+    ranks = read_ranks(path)
+    for token, rank in ranks.items():
+        parts = [token[i : i + 1] for i in range(len(token))]
+        while len(parts) > 1:
+            least, at = min((ranks.get(a + b, rank + 1), i) for i, (a, b) in enumerate(zip(parts, parts[1:])))
+            if least > rank:
+                return False
+            parts[at : at + 2] = [parts[at] + parts[at + 1]]
+    return True
+
+
 def _cut(group: np.ndarray, ids: np.ndarray, n: int) -> list[bytes]:
     """The ids (int32) of each of n groups, from rows in group order."""
     raw, edge = ids.astype(np.int32).tobytes(), (4 * np.searchsorted(group, np.arange(n + 1))).tolist()
     return [raw[a:b] for a, b in zip(edge, edge[1:])]
 
 
+class Numbers(dict):
+    """Numbers strings in the order in which they are first asked for."""
+
+    def __missing__(self, piece: str) -> int:
+        number = self[piece] = len(self)
+        return number
+
+
 class Remembered:
-    """Token ids (int32) of strings met before, in two generations."""
+    """Token ids of the pieces met so far, by their numbers."""
+
+    def __init__(self) -> None:
+        self.numbers = Numbers()
+        self.start = np.zeros(1, np.int64)
+        self.ids = np.zeros(0, np.int32)
+        self.seen = np.zeros(0, np.int64)
+
+    def met(self, pieces: np.ndarray) -> None:
+        """Count the runs' pieces."""
+        self.seen = np.bincount(pieces, minlength=len(self.numbers)) + np.pad(self.seen, (0, len(self.numbers) - len(self.seen)))
+
+    def frequent(self, most: int) -> Remembered:
+        """Only the pieces met more than once, if they are no more than ``most``."""
+        kept, out = np.flatnonzero(self.seen > 1), Remembered()
+        if len(kept) <= most:
+            strings = list(self.numbers)
+            for i in kept.tolist():
+                out.numbers[strings[i]] = len(out.numbers)
+            out.ids, out.start = self.tokens(kept)
+            out.seen = np.zeros(len(kept), np.int64)
+        return out
 
-    def __init__(self, size: int):
-        self.size, self.young, self.old = size, {}, {}
+    def fresh(self) -> list[str]:
+        """Numbered pieces whose tokens are not known yet."""
+        return list(islice(self.numbers, len(self.start) - 1, None))
 
-    def missing(self, wanted: set[str]) -> list[str]:
-        return [x for x in wanted if x not in self.young and x not in self.old]
+    def add(self, tokens: list[bytes]) -> None:
+        """Tokens (int32) of the fresh pieces, in their order."""
+        size = np.array([len(t) // 4 for t in tokens], np.int64)
+        self.start = np.concatenate([self.start, self.start[-1] + np.cumsum(size)])
+        self.ids = np.concatenate([self.ids, np.frombuffer(b"".join(tokens), np.int32)])
 
-    def add(self, wanted: set[str], fresh: dict[str, bytes]) -> None:
-        """Afterwards ``young`` has all that is wanted."""
-        young = self.young
-        if len(young) + len(wanted) > self.size:
-            back = {x: young[x] if x in young else self.old[x] for x in wanted if x not in fresh}
-            self.old, self.young = young, back
-        else:
-            young |= {x: self.old[x] for x in wanted if x not in young and x not in fresh}
-        self.young |= fresh
+    def tokens(self, pieces: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """All tokens of the pieces one after the other, and where each piece's begin."""
+        first, size = self.start[pieces], self.start[pieces + 1] - self.start[pieces]
+        edge = np.concatenate([[0], np.cumsum(size)])
+        return self.ids[np.repeat(first - edge[:-1], size) + np.arange(edge[-1])], edge
 
 
 class Tokenizer:
@@ -132,15 +179,18 @@ class Tokenizer:
         self.split = regex.compile(pattern)
         self.ranks = read_ranks(path)
         self.byte_ids = np.array([self.ranks.get(bytes([i]), -1) for i in range(256)], np.int32)
-        self.pieces = Remembered(CACHE)
+        self.known = Remembered()
         self.db = duckdb.connect(":memory:")
         self._run("SET threads = 1")
-        self._run("SET memory_limit = '400MB'")
+        self._run("SET memory_limit = '300MB'")
         self._run(f"SET temp_directory = '{os.path.join(tempfile.gettempdir(), f'duckdb-{os.getpid()}')}'")
-        tokens = pa.table({"id": pa.array(self.ranks.values(), pa.int32()), "hex": pa.array([t.hex() for t in self.ranks])})
+        tokens = pa.table({"id": pa.array(self.ranks.values(), pa.int32()), "bytes": pa.array([t.decode("latin-1") for t in self.ranks])})
+        self.size = np.zeros(max(self.ranks.values(), default=0) + 1, np.int64)
+        self.size[list(self.ranks.values())] = [len(t) for t in self.ranks]
         splits = [
             (self.ranks[t[:i]], self.ranks[t[i:]], rank) for t, rank in self.ranks.items() for i in range(1, len(t)) if t[:i] in self.ranks and t[i:] in self.ranks
         ]
+        self.ordered = in_merge_order(path)
         pairs = pa.table({n: pa.array(x, pa.int32()) for n, x in zip(("a", "b", "rank"), zip(*splits) if splits else ((), (), ()))})
         self.db.register("pairs", pairs)
         self.db.register("tokens", tokens)
@@ -189,49 +239,55 @@ class Tokenizer:
         found = self.db.execute("SELECT piece, id FROM long_state ORDER BY piece, pos").fetchnumpy()
         return _cut(found["piece"], found["id"], len(pieces))
 
-    def _pieces(self, pieces: list[str]) -> dict[str, bytes]:
-        """Token ids of distinct pieces."""
-        out: dict[str, bytes] = {}
+    def _pieces(self, pieces: list[str]) -> list[bytes]:
+        """Token ids (int32) of distinct pieces."""
+        out: list[bytes] = [b""] * len(pieces)
         short, long = [], []
-        for piece in pieces:
+        for i, piece in enumerate(pieces):
             raw = piece.encode()
             rank = self.ranks.get(raw)
             if rank is not None:
-                out[piece] = np.int32(rank).tobytes()
+                out[i] = rank.to_bytes(4, "little")
             else:
-                (short if len(raw) <= LONG_PIECE else long).append((piece, raw))
+                (short if len(raw) <= LONG_PIECE or not self.ordered else long).append((i, raw))
         for group, contract in ((short, self._contract), (long, self._contract_long)):
             if group:
-                out |= zip((p for p, _ in group), contract([raw for _, raw in group]))
+                for (i, _), ids in zip(group, contract([raw for _, raw in group])):
+                    out[i] = ids
         return out
 
     def encode(self, values: list[str]) -> list[np.ndarray]:
-        """Token ids of each text."""
-        cut = [self.split.findall(v) for v in values]
-        wanted = set().union(*cut)
-        self.pieces.add(wanted, self._pieces(self.pieces.missing(wanted)))
-        known = self.pieces.young
-        return [np.frombuffer(b"".join([known[p] for p in pieces]), np.int32) for pieces in cut]
+        """Token ids of each text; equal texts share one array."""
+        if len(self.known.numbers) > CACHE:
+            self.known = self.known.frequent(CACHE // 2)
+        place = Numbers()
+        own = [place[v] for v in values]
+        number = self.known.numbers.__getitem__
+        cut = [np.fromiter(map(number, self.split.findall(v)), np.int64) for v in place]
+        self.known.add(self._pieces(self.known.fresh()))
+        pieces = np.concatenate(cut) if cut else np.zeros(0, np.int64)
+        self.known.met(pieces)
+        ids, edge = self.known.tokens(pieces)
+        at = edge[np.cumsum([0] + [len(c) for c in cut])].tolist()
+        texts = [ids[a:b] for a, b in zip(at, at[1:])]
+        return [texts[i] for i in own]
 
     def decode(self, runs: list[np.ndarray]) -> list[bytes]:
-        """Bytes of each run of token ids."""
-        size = np.array([len(r) for r in runs], np.int64)
-        if not size.sum():
+        """Bytes of each run of token ids; a run that is the same array again is decoded once."""
+        place: dict[int, int] = {}
+        own = [place.setdefault(id(r), len(place)) for r in runs]
+        if len(place) < len(runs):
+            first = dict(zip(reversed(own), reversed(runs)))
+            out = self.decode([first[i] for i in range(len(place))])
+            return [out[i] for i in own]
+        ids = np.concatenate(runs).astype(np.int32) if runs else np.zeros(0, np.int32)
+        if not len(ids):
             return [b""] * len(runs)
-        first = np.cumsum(size) - size
-        rows = pa.table(
-            {
-                "run": np.repeat(np.arange(len(runs), dtype=np.int32), size),
-                "pos": (np.arange(size.sum()) - np.repeat(first, size)).astype(np.int32),
-                "id": np.concatenate(runs).astype(np.int32),
-            }
-        )
-        self.db.register("token_rows", rows)
-        out = [b""] * len(runs)
-        for run, text in self._run(_DECODE):
-            out[run] = bytes.fromhex(text)
+        self.db.register("token_rows", pa.table({"pos": np.arange(len(ids), dtype=np.int32), "id": ids}))
+        whole = self._run(_DECODE)[0][0].encode("latin-1")
         self.db.unregister("token_rows")
-        return out
+        ends = np.concatenate([[0], np.cumsum(self.size[ids])])[np.cumsum([0] + [len(r) for r in runs])].tolist()
+        return [whole[a:b] for a, b in zip(ends, ends[1:])]
 
 
 @lru_cache(maxsize=2)
@@ -258,8 +314,9 @@ def encode_decode(docs: DataFrame, path: str | None = None, pattern: str | None
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         coder = tokenizer(path, pattern)
         for b in batches:
-            for low, high in _runs(lengths := b.column("text").fill_null("").to_pylist(), RUN_CHARS):
-                ids = coder.encode(lengths[low:high])
+            given = b.column("text").fill_null("").to_pylist()
+            for low, high in _runs(given, RUN_CHARS):
+                ids = coder.encode(given[low:high])
                 offsets = np.concatenate([[0], np.cumsum([len(x) for x in ids])]).astype(np.int32)
                 flat = pa.array(np.concatenate(ids) if len(ids) else np.zeros(0, np.int32), pa.int32())
                 yield pa.RecordBatch.from_arrays(
