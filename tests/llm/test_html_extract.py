@@ -1,3 +1,5 @@
+import tracemalloc
+
 from tickerlake.llm.html_extract import Page, extract, host_paths
 
 TEMPLATE = (
@@ -26,6 +28,31 @@ def test_broken_and_plain_pages():
     assert len(Page("<p>" + "long word " * 200_000).text(None)[0]) == 1_999_999
 
 
+def test_no_text_is_lost_after_what_is_not_closed():
+    for odd in ("<svg/>", "<canvas/>", "<svg>", "<button>", "<select><option>", "<object>", "<title>", "<iframe src=x>", "<svg><svg></svg>", "<button><button>go</button>"):
+        text = Page(f"<article><p>start text</p>{odd}<p>rest of the text</p><p>and more</p></article>").text(None)[0]
+        assert text.startswith("start text") and text.endswith("rest of the text\nand more"), odd
+    assert Page("<article>a<svg><svg>x</svg>y</svg>b<script>'<script>' </b></script>c<button>no</button>d</article>").text(None)[0] == "abcd"
+
+
+def test_deep_and_unclosed_pages_stay_small():
+    tracemalloc.start()
+    deep = "<div class='a b c d'>" * 20_000 + "deep" + "</div>" * 20_000
+    assert Page(deep).text(None)[0] == "deep"
+    assert Page("<button>" * 20_000 + "x").text(None)[0] == "x"
+    assert Page("<svg>" * 20_000 + "x").text(None)[0] == "x"
+    assert Page("<i>" * 20_000 + "x" + "</u>" * 20_000).text(None)[0] == "x"
+    assert tracemalloc.get_traced_memory()[1] < 60_000_000
+    tracemalloc.stop()
+
+
+def test_paths_tell_all_classes_apart():
+    page = Page("<body><div class='a b c d'><p>one</p></div><div class='a b c e1 x>y'><p>two</p></div></body>")
+    paths = [page.path(i) for i, t in enumerate(page.tag) if t == "div"]
+    assert paths == ["body>div.a.b.c.d", "body>div.a.b.c.eN.xy"]
+    assert page.text(paths[1]) == ("two", paths[1]) and page.at_path("body>div") == set()
+
+
 def test_consensus_overrules_a_page(spark):
     good = '<body><div class="story"><p>{}</p></div><div class="feed"><p>{}</p></div></body>'
     rows = [(i, f"https://A.example/{i}", good.format("long story text " * 9, "x"), "h") for i in range(5)]

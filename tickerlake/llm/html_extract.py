@@ -4,12 +4,16 @@ Each page's containers are scored by the text they hold outside links and boiler
 tag-class path (digits in class names become ``N``). Votes are summed per host in Spark. Every page is then extracted
 again from the elements at its host's winning path; a page without text there, or without a host, uses its own best container.
 
-NULL, empty and tagless pages are handled like any other text: no markup means one block. Repeated rows each get a row.
+Results for odd rows: NULL and empty pages have an empty text, tagless ones are one block. Very long and very deep pages are taken whole: an element keeps its own label, and paths are
+made for the few elements that vote. An element that is never closed ends with its parent; scripts and the like without an end tag hold the rest of the page, as in a browser, but buttons,
+drawings, titles and frames without one are empty, as self-closed ones are. Repeated rows each get a row. Between containers of equal score the deeper one wins, then the first; between paths
+with equal votes the last in text order. An empty table gives no rows. Other columns are not read, so their names cannot clash.
 """
 
 from __future__ import annotations
 
 import re
+from collections import Counter
 from collections.abc import Iterator
 from html import unescape
 
@@ -21,9 +25,14 @@ from tickerlake.llm.common import importable, table
 from tickerlake.session import materialise
 
 VOTES_PER_PAGE = 3
+#: Between the labels of a path; taken out of classes.
+PATH = ">"
 
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
+#: Elements whose content is no text of the page; of these, those that may lie in each other, and those that hold the rest of the page if they are not closed.
 RAW = frozenset("script style noscript template textarea title iframe svg math object canvas select button".split())
+NESTED = frozenset("template svg math object".split())
+ENDLESS = frozenset("script style".split())
 #: Elements that never belong to the article.
 DROPPED = frozenset("nav header footer aside form dialog menu head".split())
 BLOCKS = frozenset(
@@ -59,12 +68,34 @@ class Page:
     """The elements of a page as parallel lists, and its text pieces with the element each lies in."""
 
     def __init__(self, html: str):
-        self.tag, self.parent, self.path = ["#root"], [-1], [""]
+        self.tag, self.parent, self.label, self.depth = ["#root"], [-1], [""], [0]
         self.marks: list[frozenset[str]] = [frozenset()]
         self.pieces: list[tuple[int, str]] = []
+        self.stack, self.open = [0], Counter()
         self._parse(html)
         self._measure()
 
+    def path(self, node: int) -> str:
+        """The generalised labels from the top to an element."""
+        labels = []
+        while node > 0:
+            labels.append(self.label[node])
+            node = self.parent[node]
+        return PATH.join(reversed(labels))
+
+    def at_path(self, path: str) -> set[int]:
+        """The elements with this path."""
+        labels = path.split(PATH)
+        # How many labels lead to an element; -1 where they differ from the path's.
+        led, found = [0], set()
+        for i in range(1, len(self.tag)):
+            above = led[self.parent[i]]
+            fits = 0 <= above < len(labels) and labels[above] == self.label[i]
+            led.append(above + 1 if fits else -1)
+            if fits and above + 1 == len(labels):
+                found.add(i)
+        return found
+
     def _open(self, tag: str, attributes: str, parent: int) -> int:
         marks, label = frozenset(), tag
         if attributes.strip():
@@ -76,41 +107,70 @@ class Page:
                 marks = frozenset(w.lower() for w in _WORD.findall(named))
                 if "hidden" in found:
                     marks |= {"#hidden"}
-                classes = sorted(set(_DIGITS.sub("N", found.get("class", "").lower()).split()))
-                label = ".".join([tag, *classes[:3]])
+                classes = sorted(set(_DIGITS.sub("N", found.get("class", "").lower().replace(PATH, "")).split()))
+                label = ".".join([tag, *classes])
         self.tag.append(tag)
         self.parent.append(parent)
-        self.path.append(f"{self.path[parent]}>{label}" if parent else label)
+        self.label.append(label)
+        self.depth.append(self.depth[parent] + 1)
         self.marks.append(marks)
         return len(self.tag) - 1
 
-    def _close_implied(self, stack: list[int], tag: str) -> None:
+    def _push(self, node: int) -> None:
+        self.stack.append(node)
+        self.open[self.tag[node]] += 1
+
+    def _close(self, depth: int) -> None:
+        """Close the open elements from this depth on."""
+        for node in self.stack[depth:]:
+            self.open[self.tag[node]] -= 1
+        del self.stack[depth:]
+
+    def _close_implied(self, tag: str) -> None:
         """Close what a start tag ends: a paragraph by any block, a list item by the next one, and so on."""
-        if tag in BLOCKS:
+        stack = self.stack
+        if tag in BLOCKS and self.open["p"]:
             for depth in range(len(stack) - 1, 0, -1):
                 own = self.tag[stack[depth]]
                 if own == "p":
-                    del stack[depth:]
+                    self._close(depth)
                     break
                 if own in BLOCKS:
                     break
-        if tag in _BOUNDARY_TAGS:
+        same = _SAME_AS.get(tag, (tag,))
+        if tag in _BOUNDARY_TAGS and any(self.open[t] for t in same):
             for depth in range(len(stack) - 1, 0, -1):
                 own = self.tag[stack[depth]]
-                if own in _SAME_AS.get(tag, (tag,)):
-                    del stack[depth:]
+                if own in same:
+                    self._close(depth)
                     break
                 if own in _BOUNDARY_TAGS[tag]:
                     break
 
+    @staticmethod
+    def _ends(html: str, tag: str) -> dict[int, int]:
+        """Where the content of each closed element of this kind begins, and where its end tag does."""
+        ends, waiting = {}, []
+        for m in re.finditer(rf"<(/?){tag}(?=[\s/>])[^>]*>?", html, re.I):
+            if m[1]:
+                if waiting:
+                    ends[waiting.pop()] = m.start()
+            elif not m[0].endswith("/>"):
+                if tag not in NESTED:
+                    # inside itself it is text (of a script), or the one before was not closed
+                    if tag in ENDLESS and waiting:
+                        continue
+                    waiting.clear()
+                waiting.append(m.end())
+        return ends
+
     def _parse(self, html: str) -> None:
-        stack, at, lower = [0], 0, None
-        open_tags: dict[str, int] = {}
+        at, ends = 0, {}
         while True:
             m = _TOKEN.search(html, at)
             text = html[at : m.start() if m else len(html)]
             if text:
-                self.pieces.append((stack[-1], text))
+                self.pieces.append((self.stack[-1], text))
             if not m:
                 return
             at = m.end()
@@ -118,28 +178,28 @@ class Page:
                 continue
             tag = m[2].lower()
             if m[1]:
-                if any(self.tag[i] == tag for i in stack[1:]):
-                    while self.tag[stack.pop()] != tag:
-                        pass
+                if self.open[tag]:
+                    depth = len(self.stack) - 1
+                    while self.tag[self.stack[depth]] != tag:
+                        depth -= 1
+                    self._close(depth)
                 continue
             if tag in RAW:
-                lower = html.lower() if lower is None else lower
-                if len(lower) != len(html):  # lower-casing changed the length of a letter
-                    end = re.compile(f"</{re.escape(tag)}", re.I).search(html, at)
-                    end = end.start() if end else -1
-                else:
-                    end = lower.find(f"</{tag}", at)
-                if end < 0:
+                if tag not in ends:
+                    ends[tag] = self._ends(html, tag)
+                end = ends[tag].get(at)
+                if end is not None:
+                    close = html.find(">", end)
+                    at = close + 1 if close >= 0 else len(html)
+                elif tag in ENDLESS and not m[3].endswith("/"):
                     return
-                close = html.find(">", end)
-                at = close + 1 if close >= 0 else len(html)
                 continue
-            self._close_implied(stack, tag)
-            node = self._open(tag, m[3], stack[-1])
+            self._close_implied(tag)
+            node = self._open(tag, m[3], self.stack[-1])
             if tag not in VOID and not m[3].endswith("/"):
-                stack.append(node)
+                self._push(node)
             elif tag == "br":
-                self.pieces.append((stack[-1], " "))
+                self.pieces.append((self.stack[-1], " "))
 
     def _measure(self) -> None:
         n = len(self.tag)
@@ -174,14 +234,14 @@ class Page:
             if tag in CONTAINERS and not self.dropped[i] and self.kept[i]:
                 weight = {"article": 2.0, "main": 1.6, "body": 0.6}.get(tag, 1.3 if self.marks[i] & ARTICLE_MARKS else 1.0)
                 found.append((self.kept[i] * weight, i))
-        return sorted(found, key=lambda x: (-x[0], -self.path[x[1]].count(">"), x[1]))
+        return sorted(found, key=lambda x: (-x[0], -self.depth[x[1]], x[1]))
 
     def votes(self) -> list[tuple[str, float]]:
         """Generalised paths of the best containers with their share of the best score."""
         best = self.scored()[:VOTES_PER_PAGE]
         seen: dict[str, float] = {}
         for score, i in best:
-            seen.setdefault(self.path[i], score / best[0][0])
+            seen.setdefault(self.path(i), score / best[0][0])
         return list(seen.items())
 
     def blocks(self, roots: set[int]) -> list[str]:
@@ -207,12 +267,12 @@ class Page:
     def text(self, winner: str | None) -> tuple[str, str]:
         """The main text and the path it was taken from."""
         if winner:
-            found = "\n".join(self.blocks({i for i, p in enumerate(self.path) if p == winner and not self.dropped[i]}))
+            found = "\n".join(self.blocks({i for i in self.at_path(winner) if not self.dropped[i]}))
             if found:
                 return found, winner
         best = self.scored()[:1]
         root = best[0][1] if best else 0
-        return "\n".join(self.blocks({root})), self.path[root]
+        return "\n".join(self.blocks({root})), self.path(root)
 
 
 def host_of(url: Column) -> Column:
