@@ -1,8 +1,10 @@
 """Rules, secrets, byte-level BPE, templates and chat formatting on odd rows and against brute force."""
 
 import base64
+import math
 import random
 import re
+import time
 
 import duckdb
 import pytest
@@ -84,6 +86,65 @@ def test_guessed_spans(text, value):
     assert [text[a:b] for _, a, b, _ in secret_scan.guessed_spans(text)] == ([value] if value else [])
 
 
+@pytest.mark.parametrize("text, value", [
+    ("DB_PASSWORD=gT4#kq91zLp", "gT4#kq91zLp"), ("auth_token: gT4#kq91zLp", "gT4#kq91zLp"), ("aws_secret_access_key = wJalrXUtnFEMIK7MDENG", "wJalrXUtnFEMIK7MDENG"),
+    ("clientSecret: 'gT4#kq91zLp'", "gT4#kq91zLp"), ("dbPass=gT4#kq91zLp", "gT4#kq91zLp"), ("note: see: x_pwd: gT4#kq91zLp", "gT4#kq91zLp"), ("the secret is gT4#kq91zLp.", "gT4#kq91zLp"),
+    ("the secret is patience", None), ("my password is rhinoceros!", None), ("the compass: gT4#kq91zLp", None), ("the author: gT4#kq91zLp", None), ("key: gT4#kq91zLp", None),
+])
+def test_names_and_prose(text, value):
+    assert [text[a:b] for _, a, b, _ in secret_scan.guessed_spans(text)] == ([value] if value else [])
+
+
+def test_words_of_the_corpus_are_cheap(spark):
+    rows = [(i, "grumblewick parsnipper said nothing of it") for i in range(9)] + [(10, "token: grumblewickparsnipper"), (11, "token: grumblewickqqzzvxkk")]
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string").repartition(3)
+    ranks = secret_scan.common_words(docs)
+    assert ranks["grumblewick"] < 200 and "qqzzvxkk" not in ranks
+    kinds = {r["doc_id"]: [s["kind"] for s in r["spans"]] for r in secret_scan.scan(docs).collect()}
+    assert kinds[10] == ["assign"] and kinds[11] == ["assign", "guess"]
+
+
+def cheapest(value):
+    """The least cost over all segmentations, tried one by one."""
+    lower = value.lower()
+    plain, per_char, switch = lower.translate(secret_scan.LEET), math.log10(max(10, secret_scan._class_size(value))), math.log10(2)
+    edges = {}
+    for end in range(1, len(value) + 1):
+        edges[end] = [(start, cost) for start, cost, _ in secret_scan._segments(value, lower, plain, end, secret_scan.RANK)]
+        for unit in range(1, 9):
+            times = 1
+            while end - (times + 1) * unit >= 0 and value[end - (times + 1) * unit : end - times * unit] == value[end - unit : end]:
+                times += 1
+            if times > 1:
+                edges[end].append((end - (times - 1) * unit, math.log10(times)))
+
+    def cuts(end, brute):
+        """Costs of all cuts of value[:end]; ``brute``: brute force comes next."""
+        if not end:
+            yield 0.0
+            return
+        for cost in cuts(end - 1, True):
+            yield cost + per_char + (0 if brute else switch)
+        for start, cost in edges[end]:
+            for before in cuts(start, False):
+                yield before + cost + switch
+
+    return min(cuts(len(value), False))
+
+
+@settings(max_examples=120, deadline=None)
+@given(st.text(alphabet="abc1Pqwe", max_size=8) | st.lists(st.sampled_from(["pass", "Key", "2019", "qwe", "aa", "x", "drow", "1"]), max_size=3).map("".join))
+def test_the_least_cost_of_all_segmentations(value):
+    assert math.isclose(secret_scan.guess_cost(value), cheapest(value), abs_tol=1e-9)
+
+
+def test_long_texts_are_scanned_in_proportion():
+    for text in ("token" * 40_000, "a-" * 100_000 + ": x", "secret = " * 30_000, "://" + "u" * 200_000, "Bearer " * 30_000, "pass:" * 40_000):
+        start = time.time()
+        secret_scan.secret_spans(text)
+        assert time.time() - start < 20
+
+
 def test_scan_and_redaction(spark, odd_docs, no_docs):
     text = "a password=hunter22 b é token: \"1beb58b8af68854f0e01b4ad40cdbb6ae7f578ae\" c"
     docs = odd_docs.unionByName(spark.createDataFrame([(50, text, "en", "s", len(text), "k", 1.0, True)], odd_docs.schema))

@@ -1,12 +1,15 @@
 r"""Secret scans: fixed patterns, and the guess cost of values in credential contexts.
 
 Base spans, leftmost and non-overlapping per kind: ``assign``, ``access`` and ``hex`` (see the patterns). The method adds ``guess``
-spans: a value that stands after a credential word, in the password place of a URL, or after ``Bearer`` / ``Basic`` is cut into
-segments of least total guess cost by dynamic programming. A segment is a common word, a date, a repeat, a keyboard
+spans: a value that stands after a name with a credential word in it (``DB_PASSWORD=``, ``secretKey: ``, ``password is``), in the password place of a URL, or after ``Bearer`` / ``Basic`` is
+cut into segments of least total guess cost by dynamic programming. A segment is a common word, a date, a repeat, a keyboard
 walk, a sequence, or brute force per character class. The value is a secret when the cheapest way to guess it needs at
-least ``10 ** MIN_COST`` tries, so that ``password: hunter`` stays and ``password is gT4#kq91z`` goes.
+least ``10 ** MIN_COST`` tries, so that ``password: hunter`` stays and ``password is gT4#kq91z`` goes. Common words are a short fixed list and the
+``WORDS`` most frequent words of the corpus, counted over all documents; a word costs its rank. After "is", a value of letters only is prose.
 
-Spans are (kind, start, end, cost) in code points, end exclusive. NULL and empty texts have no spans; repeated rows each get a row.
+Spans are (kind, start, end, cost) in code points, end exclusive, by start, then kind, then end. NULL and empty texts have no spans; very long texts and values are
+scanned whole, and no pattern goes back over a text. Repeated rows each get a row, rows without doc_id too. Words of equal count are ranked by spelling. An empty table
+gives no rows. Other columns are not read, so their names cannot clash.
 """
 
 from __future__ import annotations
@@ -14,7 +17,6 @@ from __future__ import annotations
 import math
 import re
 from collections.abc import Iterator
-from functools import lru_cache
 
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
@@ -28,13 +30,16 @@ ASSIGN = re.compile(r"""(password|passwd|secret|token|api_?key)["']?\x20*[:=]\x2
 ACCESS = re.compile(r"AKIA[A-Z0-9]{16,}")
 HEX = re.compile(r"[0-9a-f]{24,}")
 ASSIGN_LEAST = 6
-#: Credential contexts whose value (the last group) is judged by its guess cost.
-CONTEXT = re.compile(
-    r"""(?:\b(?:password|passwd|passphrase|passcode|pwd|pass|secret|token|credentials?|api[_-]?key|access[_-]?key|private[_-]?key|client[_-]?secret|auth)"""
-    r"""["']?(?:\x20+is\x20+|\x20*(?:[:=]|=>)\x20*)["']?(?:(?:Bearer|Basic)\x20+)?|\b(?:Bearer|Basic)\x20+)["']?([!-~]{6,})|://[^\s:/@]+:([!-~]{6,})@""",
-    re.I | re.A,
-)
-#: Every match of ASSIGN or CONTEXT holds one of these in lower case, so texts without any need no trial.
+#: What may be a name, and what stands between it and its value.
+NAMED = re.compile(r"""(?<![\w-])([\w-]++)["']?(\x20+is\x20+|\x20*(?:[:=]|=>)\x20*)["']?(?:(?:Bearer|Basic)\x20+)?["']?""", re.I | re.A)
+SCHEME = re.compile(r"""(?<![\w-])(?:Bearer|Basic)\x20+["']?|://[^\s:/@]++:(?=[!-~]{6,}@)""", re.I | re.A)
+VALUE = re.compile(r"[!-~]{6,}")
+URL_VALUE = re.compile(r"([!-~]{6,})@")
+#: A name is a credential's if it holds one of the long words, or one of the short ones as a part of its own.
+LONG_NAMES = re.compile(r"password|passwd|passphrase|passcode|secret|token|credential|api[_-]?key|access[_-]?key|private[_-]?key", re.I)
+SHORT_NAMES = frozenset(["pass", "pwd", "auth"])
+_PARTS = re.compile(r"[A-Z]?[a-z]+|[A-Z]+(?![a-z])")
+#: Every match of ASSIGN or a context holds one of these in lower case, so texts without any need no trial.
 ASSIGN_HINTS = ("passw", "secret", "token", "api")
 CONTEXT_HINTS = ("pass", "pwd", "secret", "token", "credential", "key", "auth", "bearer", "basic", "://")
 MIN_COST = 10.0
@@ -48,6 +53,8 @@ COMMON_WORDS = (
     "summer winter spring autumn monday friday the and for with that this from have not you are was but all any can"
 ).split()
 RANK = {w: i + 1 for i, w in enumerate(COMMON_WORDS)}
+#: Words of the corpus that are taken as common: at most so many, from so many occurrences on.
+WORDS, OCCURRENCES = 20_000, 5
 LEET = str.maketrans("013457@$!", "oieastasi")
 ROWS = ("`1234567890-=", "qwertyuiop[]\\", "asdfghjkl;'", "zxcvbnm,./", "qwertzuiop", "azertyuiop", "1qaz2wsx3edc4rfv5tgb6yhn7ujm")
 _NEXT = frozenset(x for r in ROWS for x in (*zip(r, r[1:]), *zip(r[1:], r)))
@@ -68,12 +75,12 @@ def _class_size(value: str) -> int:
     return size + (33 if any(not c.isalnum() for c in value) else 0)
 
 
-def _segments(value: str, lower: str, plain: str, end: int) -> Iterator[tuple[int, float, str]]:
+def _segments(value: str, lower: str, plain: str, end: int, ranks: dict[str, int]) -> Iterator[tuple[int, float, str]]:
     """(start, log10 of its guesses, kind) of the segments that end before ``end``."""
     for start in range(max(0, end - LONGEST), end - 1):
         piece = plain[start:end]
-        rank = RANK.get(piece)
-        reverse = RANK.get(piece[::-1]) if rank is None else None
+        rank = ranks.get(piece) or ranks.get(lower[start:end])
+        reverse = ranks.get(piece[::-1]) if rank is None else None
         if rank or reverse:
             cost = math.log10(rank or 2 * reverse)
             own = value[start:end]
@@ -91,41 +98,38 @@ def _segments(value: str, lower: str, plain: str, end: int) -> Iterator[tuple[in
             yield start, math.log10(47 * 4) + 0.5 * math.log10(end - start), "walk"
     start = end - 1
     step = ord(lower[end - 1]) - ord(lower[end - 2]) if end > 1 else 0
-    while start > 0 and step in (1, -1) and ord(lower[start]) - ord(lower[start - 1]) == step:
+    while start > 0 and step in (1, -1) and ord(lower[start]) - ord(lower[start - 1]) == step and end - start < LONGEST:
         start -= 1
         if end - start >= 3:
             yield start, math.log10(26 * 2) + 0.5 * math.log10(end - start), "sequence"
 
 
-@lru_cache(maxsize=4096)
-def guess_cost(value: str) -> float:
-    """log10 of the tries that the cheapest segmentation needs. Cost grows with the value's length times a constant."""
+def guess_cost(value: str, ranks: dict[str, int] | None = None) -> float:
+    """log10 of the tries that the cheapest segmentation needs. Cost grows with the value's length times a constant.
+
+    Each place keeps two costs, for cuts that end in brute force and for others: brute force goes on without the cost of a new segment.
+    """
+    ranks = RANK if ranks is None else ranks
     lower = value.lower()
     if len(lower) != len(value):
         lower = value
     plain = lower.translate(LEET)
     per_char = math.log10(max(10, _class_size(value)))
     switch = math.log10(2)
-    best = [0.0] + [math.inf] * len(value)
-    brute = [False] * (len(value) + 1)
-    run = 1
+    brute, other = [math.inf] * (len(value) + 1), [math.inf] * (len(value) + 1)
+    other[0] = 0.0
     unit_from = {}
     for end in range(1, len(value) + 1):
-        best[end] = best[end - 1] + per_char + (0 if brute[end - 1] else switch)
-        brute[end] = True
-        for start, cost, _ in _segments(value, lower, plain, end):
-            total = best[start] + cost + switch
-            if total < best[end]:
-                best[end], brute[end] = total, False
+        brute[end] = per_char + min(brute[end - 1], other[end - 1] + switch)
+        for start, cost, _ in _segments(value, lower, plain, end, ranks):
+            other[end] = min(other[end], min(brute[start], other[start]) + cost + switch)
         # A repeat of one to eight characters costs its unit and the number of times, however long it is.
         for unit in range(1, min(8, end // 2) + 1):
             if value[end - unit : end] == value[end - 2 * unit : end - unit]:
                 first = unit_from.get((unit, end - unit), end - 2 * unit)
                 unit_from[unit, end] = first
-                total = best[first + unit] + math.log10((end - first) // unit) + switch
-                if total < best[end]:
-                    best[end], brute[end] = total, False
-    return best[-1]
+                other[end] = min(other[end], min(brute[first + unit], other[first + unit]) + math.log10((end - first) // unit) + switch)
+    return min(brute[-1], other[-1])
 
 
 def base_spans(text: str) -> list[tuple[str, int, int]]:
@@ -138,25 +142,51 @@ def base_spans(text: str) -> list[tuple[str, int, int]]:
     return found
 
 
-def guessed_spans(text: str, least: float = MIN_COST) -> list[tuple[str, int, int, float]]:
+def is_credential(name: str) -> bool:
+    """Whether a name stands for a credential."""
+    return bool(LONG_NAMES.search(name)) or any(p.lower() in SHORT_NAMES for p in _PARTS.findall(name))
+
+
+def _values(text: str) -> Iterator[tuple[int, int]]:
+    """(start, end) of the values in credential contexts. The search goes on behind a credential's value, and at the value of any other name, which may be a name too."""
+    at = 0
+    while m := NAMED.search(text, at):
+        at = m.end()
+        if is_credential(m[1]) and (value := VALUE.match(text, at)):
+            prose = m[2].strip().lower() == "is"
+            if not (prose and value[0].rstrip("\"',;.!?)]}>").isalpha()):
+                yield value.span()
+            at = value.end()
+    at = 0
+    while m := SCHEME.search(text, at):
+        at = m.end()
+        url = m[0].startswith("://")
+        if value := (URL_VALUE if url else VALUE).match(text, at):
+            yield value.start(), value.end() - url
+            at = value.end()
+
+
+def guessed_spans(text: str, least: float = MIN_COST, ranks: dict[str, int] | None = None) -> list[tuple[str, int, int, float]]:
     """Values in credential contexts that need at least ``10 ** least`` guesses."""
     found, lower = [], text.lower()
     if not any(h in lower for h in CONTEXT_HINTS):
         return found
-    for m in CONTEXT.finditer(text):
-        group = 1 if m[1] is not None else 2
-        value = m[group].rstrip("\"',;.)]}>")
-        if len(value) >= 6:
-            cost = guess_cost(value)
+    last = 0
+    for start, end in sorted(set(_values(text))):
+        end = start + len(text[start:end].rstrip("\"',;.)]}>"))
+        # inside the value of an earlier name
+        if end - start >= 6 and start >= last:
+            cost = guess_cost(text[start:end], ranks)
             if cost >= least:
-                found.append(("guess", m.start(group), m.start(group) + len(value), cost))
+                found.append(("guess", start, end, cost))
+                last = end
     return found
 
 
-def secret_spans(text: str | None, least: float = MIN_COST) -> list[tuple[str, int, int, float | None]]:
+def secret_spans(text: str | None, least: float = MIN_COST, ranks: dict[str, int] | None = None) -> list[tuple[str, int, int, float | None]]:
     """All spans by start, then kind as listed."""
     text = text or ""
-    found = [(*s, None) for s in base_spans(text)] + guessed_spans(text, least)
+    found = [(*s, None) for s in base_spans(text)] + guessed_spans(text, least, ranks)
     return sorted(found, key=lambda s: (s[1], KINDS.index(s[0]), s[2]))
 
 
@@ -174,27 +204,43 @@ def redact(text: str, spans: list[tuple]) -> str:
 SPANS = "array<struct<kind:string,start:bigint,end:bigint,cost:double>>"
 
 
-def scan(docs: DataFrame, least: float = MIN_COST) -> DataFrame:
-    """doc_id, spans of every row."""
+def common_words(docs: DataFrame, most: int = WORDS, least: int = OCCURRENCES) -> dict[str, int]:
+    """Ranks of the fixed words and of the most frequent words of letters in all documents, 3 to ``LONGEST`` letters long.
+
+    Occurrences are counted per task before the shuffle; ``most`` words come to the driver.
+    """
+    words = F.explode(F.regexp_extract_all(F.lower(F.col("text")), F.lit(rf"(?<![a-z])[a-z]{{3,{LONGEST}}}(?![a-z])"), F.lit(0)))
+    counts = texts(docs).select(words.alias("word")).groupBy("word").count().where(F.col("count") >= least)
+    top = counts.orderBy(F.col("count").desc(), "word").limit(most).collect()
+    ranks = dict(RANK)
+    for row in top:
+        ranks.setdefault(row["word"], len(ranks) + 1)
+    return ranks
+
+
+def scan(docs: DataFrame, least: float = MIN_COST, ranks: dict[str, int] | None = None) -> DataFrame:
+    """doc_id, spans of every row; ``ranks`` are those of the corpus if not given."""
+    ranks = common_words(docs) if ranks is None else ranks
     kind = pa.list_(pa.struct([("kind", pa.string()), ("start", pa.int64()), ("end", pa.int64()), ("cost", pa.float64())]))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            spans = [[dict(zip(("kind", "start", "end", "cost"), s)) for s in secret_spans(t.as_py(), least)] for t in b.column("text")]
+            spans = [[dict(zip(("kind", "start", "end", "cost"), s)) for s in secret_spans(t.as_py(), least, ranks)] for t in b.column("text")]
             yield pa.RecordBatch.from_arrays([b.column("doc_id"), pa.array(spans, kind)], ["doc_id", "spans"])
 
     return texts(docs).mapInArrow(run, f"doc_id bigint, spans {SPANS}")
 
 
-def redacted(docs: DataFrame, least: float = MIN_COST) -> DataFrame:
+def redacted(docs: DataFrame, least: float = MIN_COST, ranks: dict[str, int] | None = None) -> DataFrame:
     """The rows of ``docs`` with secrets in ``text`` replaced and ``n_chars`` counted anew; other columns and rows as they are."""
     importable(docs.sparkSession)
+    ranks = common_words(docs.select(F.lit(0).alias("doc_id"), "text")) if ranks is None else ranks
     schema = docs.schema
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             at = b.schema.names.index("text")
-            text = [None if (x := t.as_py()) is None else redact(x, secret_spans(x, least)) for t in b.column(at)]
+            text = [None if (x := t.as_py()) is None else redact(x, secret_spans(x, least, ranks)) for t in b.column(at)]
             columns = list(b.columns)
             columns[at] = pa.array(text, b.schema.field(at).type)
             if "n_chars" in b.schema.names:
