@@ -27,17 +27,20 @@ from itertools import islice
 import duckdb
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import regex
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tickerlake.llm.common import table, texts
 
-#: Characters of text whose distinct pieces go through one query.
-RUN_CHARS = 1 << 22
+#: Text that is coded at a time.
+RUN_BYTES = 1 << 21
 #: Pieces whose tokens a worker remembers; with more of them it forgets, before the next run, those met once only, or all if too many are left.
 CACHE = 300_000
 LONG_PIECE = 64
+#: Short pieces of one query: its result holds every step.
+QUERY_PIECES = 1 << 15
 
 #: A row knows its right neighbour (position and token). ``found`` orders pairs by rank, then position; a short piece has few positions.
 _CONTRACT = """
@@ -182,7 +185,7 @@ class Tokenizer:
         self.known = Remembered()
         self.db = duckdb.connect(":memory:")
         self._run("SET threads = 1")
-        self._run("SET memory_limit = '300MB'")
+        self._run("SET memory_limit = '200MB'")
         self._run(f"SET temp_directory = '{os.path.join(tempfile.gettempdir(), f'duckdb-{os.getpid()}')}'")
         tokens = pa.table({"id": pa.array(self.ranks.values(), pa.int32()), "bytes": pa.array([t.decode("latin-1") for t in self.ranks])})
         self.size = np.zeros(max(self.ranks.values(), default=0) + 1, np.int64)
@@ -250,10 +253,10 @@ class Tokenizer:
                 out[i] = rank.to_bytes(4, "little")
             else:
                 (short if len(raw) <= LONG_PIECE or not self.ordered else long).append((i, raw))
-        for group, contract in ((short, self._contract), (long, self._contract_long)):
-            if group:
-                for (i, _), ids in zip(group, contract([raw for _, raw in group])):
-                    out[i] = ids
+        groups = [(short[at : at + QUERY_PIECES], self._contract) for at in range(0, len(short), QUERY_PIECES)]
+        for group, contract in [*groups, *([(long, self._contract_long)] if long else [])]:
+            for (i, _), ids in zip(group, contract([raw for _, raw in group])):
+                out[i] = ids
         return out
 
     def encode(self, values: list[str]) -> list[np.ndarray]:
@@ -296,15 +299,14 @@ def tokenizer(path: str, pattern: str) -> Tokenizer:
     return Tokenizer(path, pattern)
 
 
-def _runs(values: list[str], size: int) -> Iterator[tuple[int, int]]:
-    low, total = 0, 0
-    for i, v in enumerate(values):
-        if total and total + len(v) > size:
-            yield low, i
-            low, total = i, 0
-        total += len(v)
-    if low < len(values):
-        yield low, len(values)
+def _runs(column: pa.Array, size: int) -> Iterator[tuple[int, int]]:
+    """Cut a column of texts into runs of about ``size`` bytes; a longer text is a run of its own."""
+    ends = np.cumsum(pc.fill_null(pc.binary_length(column), 0).to_numpy(zero_copy_only=False).astype(np.int64))
+    low, done = 0, 0
+    while low < len(ends):
+        high = max(low + 1, int(np.searchsorted(ends, done + size, side="right")))
+        yield low, high
+        low, done = high, int(ends[high - 1])
 
 
 def encode_decode(docs: DataFrame, path: str | None = None, pattern: str | None = None) -> DataFrame:
@@ -314,9 +316,8 @@ def encode_decode(docs: DataFrame, path: str | None = None, pattern: str | None
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         coder = tokenizer(path, pattern)
         for b in batches:
-            given = b.column("text").fill_null("").to_pylist()
-            for low, high in _runs(given, RUN_CHARS):
-                ids = coder.encode(given[low:high])
+            for low, high in _runs(b.column("text"), RUN_BYTES):
+                ids = coder.encode(b.column("text").slice(low, high - low).fill_null("").to_pylist())
                 offsets = np.concatenate([[0], np.cumsum([len(x) for x in ids])]).astype(np.int32)
                 flat = pa.array(np.concatenate(ids) if len(ids) else np.zeros(0, np.int32), pa.int32())
                 yield pa.RecordBatch.from_arrays(

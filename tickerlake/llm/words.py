@@ -15,7 +15,7 @@ import pyarrow as pa
 
 U64 = np.uint64
 #: Bytes of text handled at a time, which bounds the arrays; a single longer text is handled alone.
-SLICE_BYTES = 1 << 20
+SLICE_BYTES = 1 << 19
 _BASES = (0x9E3779B97F4A7C15, 0xD1342543DE82EF95)
 _LENGTH = U64(0xA24BAED4963EE407)
 
@@ -31,7 +31,7 @@ def mix(x: np.ndarray) -> np.ndarray:
 
 #: Powers of each base and of its inverse, as far as most slices need them.
 _TABLES: dict[int, tuple[np.ndarray, np.ndarray]] = {}
-_TABLE = 1 << 21
+_TABLE = 1 << 20
 
 
 def _powers(base: int, size: int) -> tuple[np.ndarray, np.ndarray]:
