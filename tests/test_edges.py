@@ -74,7 +74,7 @@ def test_replacing_twice_in_one_root(spark, tmp_path):
     for n in (3, 5, 7):
         table = sink_replace(spark.range(n).withColumnRenamed("id", "v"), "edges_twice", root)
         assert table.count() == spark.table("edges_twice").count() == n
-    versions = [d for d in os.listdir(f"{root}/edges_twice") if d.startswith("version-")]
+    versions = [d for d in os.listdir(f"{root}/edges_twice.versions") if d.startswith("version-")]
     assert len(versions) == 2
     spark.sql("DROP TABLE edges_twice")
 
