@@ -82,3 +82,58 @@ def test_terms_that_tell_only_in_pairs_are_chosen():
         _, term = toxicity_fm.term_ids(w)
         assert (machine.index[term] >= 0).all()
     assert (machine.index >= 0).sum() < 40
+
+
+def test_margins_by_a_double_loop():
+    """The machine's margin is bias, linear weights and the factors' inner product of every pair of a text's terms."""
+    rng = np.random.default_rng(5)
+    machine = toxicity_fm.fit([(f"a{i % 3} b{i % 2} c{i % 5} word", int(i % 6 == 0)) for i in range(240)], epochs=2)
+    machine.factors = rng.normal(size=machine.factors.shape)
+    machine.linear = rng.normal(size=machine.linear.shape)
+    given = ["a1 b0 c4", "a0 a0 b1 word", "nothing known", "", "a2 b1 c2 word a2"]
+    (low, high, w), = slices(pa.array(given))
+    text, row = machine.entries(w)
+    found = machine.margin(text, row, high - low)
+    for i in range(len(given)):
+        own = sorted(set(row[text == i].tolist()))
+        assert len(own) == (text == i).sum()
+        expected = machine.bias + sum(machine.linear[r] for r in own)
+        expected += sum(machine.factors[a] @ machine.factors[b] for at, a in enumerate(own) for b in own[at + 1 :])
+        assert abs(found[i] - expected) < 1e-9
+
+
+def test_count_ratios_by_counters():
+    from collections import Counter
+
+    rng = random.Random(3)
+    sample = [(" ".join(rng.choice(["red", "blue", "green", "x", "y"]) for _ in range(6)), rng.randrange(2)) for _ in range(60)]
+    _, ratio = quality_nbsvm.fit(sample)
+    terms = []
+    for t, _ in sample:
+        (_, _, w), = slices(pa.array([t]))
+        terms.append(set(quality_nbsvm.term_ids(w)[1].tolist()))
+    seen = Counter(x for own in terms for x in own)
+    hit = Counter(x for own, (_, y) in zip(terms, sample) if y for x in own)
+    pos = sum(y for _, y in sample)
+    for x, n in seen.items():
+        expected = np.log((hit[x] + 1) / (pos + 2) / ((n - hit[x] + 1) / (60 - pos + 2))) if n >= quality_nbsvm.MIN_TEXTS else 0.0
+        assert abs(ratio[x] - expected) < 1e-9
+
+
+def test_dual_descent_reaches_the_least_hinge_loss():
+    """Against plain subgradient steps on the same loss, with the intercept as a weight."""
+    rng = np.random.default_rng(2)
+    n, size = 40, 6
+    dense = rng.normal(size=(n, size)) * (rng.random((n, size)) < 0.6)
+    y = np.where(dense @ rng.normal(size=size) + rng.normal(size=n) > 0, 1.0, -1.0)
+    cost = rng.uniform(0.5, 2.0, n)
+    rows, values = [np.flatnonzero(v) for v in dense], [v[np.flatnonzero(v)] for v in dense]
+    w = quality_nbsvm.dual_coordinate_descent(rows, values, y, size, cost, 2000)
+    full = np.hstack([dense, np.ones((n, 1))])
+    loss = lambda v: 0.5 * v @ v + (cost * np.maximum(0, 1 - y * (full @ v))).sum()
+    best, v = np.inf, np.zeros(size + 1)
+    for step in range(1, 20_001):
+        active = y * (full @ v) < 1
+        v = v - (v - (cost * y * active) @ full) / step
+        best = min(best, loss(v))
+    assert loss(w) <= best * (1 + 1e-3) and abs(loss(w) - best) <= 2e-2 * best

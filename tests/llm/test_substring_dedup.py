@@ -66,3 +66,19 @@ def test_rows_without_an_id(spark):
     ]
     for parts in (1, 4):
         assert found(spark.createDataFrame(rows, "doc_id bigint, text string").repartition(parts), 13) == brute(rows, 13)
+
+
+def test_several_texts_under_one_id(spark):
+    """The first text by digest is the document's; the others lose what others have, and stand for nothing."""
+    one, two, new = (" ".join(f"{x}{i}" for i in range(30)) for x in "abn")
+    rows = [(1, one), (5, new + " " + one), (5, two), (7, two), (9, new), (None, new), (None, new)]
+    digest = lambda t: hashlib.md5(t.encode()).hexdigest()
+    own = min((new + " " + one, two), key=digest)
+    other = two if own != two else new + " " + one
+    expected = brute([(i, t) for i, t in rows if i != 5 or t == own] + [(None, other)], 13)
+    key = (None, len(other.split()))
+    for k in [k for k in expected if k[:2] == key]:
+        expected[(5, *k[1:])] += 1
+        expected[k] -= 1
+    for parts in (1, 4):
+        assert found(spark.createDataFrame(rows, "doc_id bigint, text string").repartition(parts), 13) == +expected

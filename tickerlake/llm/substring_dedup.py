@@ -9,8 +9,9 @@ Hot windows: a task compares its own documents first. It passes on a window once
 decided. So a passage in a third of all documents costs one row for each batch. Equal texts are found by their digest;
 all but the smallest are covered whole and take no part in the levels.
 
-NULL and empty texts have no words. Rows that repeat a doc_id must repeat its text, and each gets a row. A NULL doc_id counts as larger than all others;
-rows without one remove nothing from each other.
+Results for odd rows: NULL and empty texts have no words. Very long texts count whole. Repeated rows each get a row; ties do not arise. A NULL doc_id counts as larger than all others;
+rows without one remove nothing from each other. Of several texts under one doc_id the first by its digest is the document's; the others are treated like rows without an id, but keep
+theirs in the result. An empty table gives no rows. Other columns are not read, so their names cannot clash.
 """
 
 from __future__ import annotations
@@ -219,9 +220,9 @@ def _kept_bytes(words: Words, kept: np.ndarray) -> list[bytes]:
     return [raw[a : b - 1] if b > a else b"" for a, b in zip(cut, cut[1:])]
 
 
-def deduplicated(docs: DataFrame, length: int = LENGTH, with_text: bool = True) -> DataFrame:
-    """doc_id, n_words, n_removed, kept_sha256 and, if asked for, kept_text of every row."""
-    given, nameless = identified(texts(docs).select("doc_id", F.coalesce("text", F.lit("")).alias("text")))
+def _deduplicated(rows: DataFrame, length: int, with_text: bool, with_print: bool) -> DataFrame:
+    """The result for rows (doc_id, text) with one text for each doc_id, and the text's digest ``print`` if asked for."""
+    given, nameless = identified(rows)
     copies = copied_texts(given, nameless)
     found = repeated_windows(given, copies, length, nameless)
     marks = found.join(copies.withColumn("copy", F.lit(True)), "doc_id", "full")
@@ -249,16 +250,37 @@ def deduplicated(docs: DataFrame, length: int = LENGTH, with_text: bool = True)
                 raw = _kept_bytes(words, kept)
                 columns = [batch.column("doc_id").slice(low, high - low), pa.array(n), pa.array(gone), pa.array([hashlib.sha256(x).hexdigest() for x in raw])]
                 names = ["doc_id", "n_words", "n_removed", "kept_sha256"]
+                if with_print:
+                    data, edge = words.data.tobytes(), words.text_offsets.tolist()
+                    columns.append(pa.array([hashlib.md5(data[a:b]).hexdigest() for a, b in zip(edge, edge[1:])]))
+                    names.append("print")
                 if with_text:
                     columns.append(pa.array([x.decode() for x in raw], pa.string()))
                     names.append("kept_text")
                 yield pa.RecordBatch.from_arrays(columns, names)
 
-    schema = "doc_id bigint, n_words bigint, n_removed bigint, kept_sha256 string" + ", kept_text string" * with_text
+    schema = "doc_id bigint, n_words bigint, n_removed bigint, kept_sha256 string" + ", print string" * with_print + ", kept_text string" * with_text
     out = packed(given).join(marks, "doc_id", "left").select("doc_id", "z", "places", "more", "copy").mapInArrow(run, schema)
     return out.withColumn("doc_id", F.when(F.col("doc_id") < nameless, F.col("doc_id")))
 
 
+def deduplicated(docs: DataFrame, length: int = LENGTH, with_text: bool = True) -> DataFrame:
+    """doc_id, n_words, n_removed, kept_sha256 and, if asked for, kept_text of every row."""
+    rows = texts(docs).select("doc_id", F.coalesce("text", F.lit("")).alias("text"))
+    prints = rows.where(F.col("doc_id").isNotNull()).select("doc_id", F.md5(F.col("text").cast("binary")).alias("print"))
+    several = prints.groupBy("doc_id").agg(F.min("print").alias("own"), F.max("print").alias("last")).where("own < last").select("doc_id", "own")
+    several = materialise(several, "several-texts")
+    if not several.limit(1).count():
+        return _deduplicated(rows, length, with_text, False)
+    marked = rows.withColumn("print", F.md5(F.col("text").cast("binary"))).join(several, "doc_id", "left")
+    marked = materialise(marked.withColumn("other", F.coalesce(F.col("print") != F.col("own"), F.lit(False))), "marked-texts")
+    found = materialise(_deduplicated(marked.select(F.when(~F.col("other"), F.col("doc_id")).alias("doc_id"), "text"), length, with_text, True), "deduplicated")
+    # Rows without an id and the other texts get the result of their text under the id they came with.
+    of_text = found.where(F.col("doc_id").isNull()).dropDuplicates(["print"]).drop("doc_id")
+    back = marked.where(F.col("doc_id").isNull() | F.col("other")).select("doc_id", "print").join(of_text, "print")
+    return found.where(F.col("doc_id").isNotNull()).unionByName(back).drop("print")
+
+
 def op2(spark: SparkSession, sf_dir: str) -> DataFrame:
     return deduplicated(table(spark, sf_dir, "documents"), with_text=False)
 
