@@ -12,6 +12,7 @@ from tickerlake.registry.core import query
 from tickerlake.registry.reports import MONTHLY, RISK_DATES, captures
 from tickerlake.registry.scoring import UNIVERSE, UNIVERSE_VIEWS, _universe
 from tickerlake.registry.timeseries import LATEST, change, month_end_list
+from tickerlake.session import materialise
 from tickerlake.sources import views as v
 
 YEARS = pages.YEARS
@@ -115,7 +116,7 @@ SCORES_WIDE = "score_page AS (SELECT symbol, " + ", ".join(
        f"{UNIVERSE}, {LATEST}, {SUMMARY}, {STATEMENTS}, {SCORES_WIDE}")
 def _(spark, sf):
     profile = v.profile(spark, sf).withColumn("last_div", F.col("mkt_cap") / 500)
-    page = pages.equity_page(profile, v.quotes(spark, sf), _statements(spark, sf), v.ratios(spark, sf), _universe(spark, sf))
+    page = pages.equity_page(profile, _stored_quotes(spark, sf), _statements(spark, sf), v.ratios(spark, sf), _universe(spark, sf))
     points = {"price_points": "price_chart", "sales_points": "sales_chart", "eps_points": "eps_chart", "earnings_points": "earnings_chart"}
     return page.withColumns({n: F.when(F.col(c).isNotNull(), F.size(c)) for n, c in points.items()})
 
@@ -132,9 +133,14 @@ RISK_NOW = f"""{RISK_DATES}, risk_at AS (SELECT max(cutoff) AS cutoff FROM month
         ((my - mrf) - beta * (mx - mrf)) * 252 AS alpha FROM daily)"""
 
 
-def _risk(spark, sf):
+def _stored_quotes(spark, sf):
+    """The quote table, which pages read several times, is a view over the test tables; in use it is stored."""
+    return materialise(v.quotes(spark, sf), "quotes")
+
+
+def _risk(spark, sf, quotes, bench):
     newest = month_end_list(spark, sf, cal.month_ends_up_to)[-1]
-    return risk.daily_metrics(v.quotes(spark, sf), v.benchmark_close(spark, sf), v.treasury(spark, sf), [newest]).filter("m >= 2")
+    return risk.daily_metrics(quotes, bench, v.treasury(spark, sf), [newest]).filter("m >= 2")
 
 
 PEERS = range(1, 7)
@@ -151,8 +157,9 @@ _DETAILS = {**{a: a for a in pages.PEER_ATTRIBUTES}, "name": "company_name", "ov
        + ", ".join(f"{source} AS {a}" for a, source in _DETAILS.items()) + """ FROM profile p LEFT JOIN summary f ON p.symbol = f.symbol
        LEFT JOIN risk r ON p.symbol = r.symbol LEFT JOIN financial_scores z ON p.symbol = z.symbol LEFT JOIN score_page c ON p.symbol = c.symbol)""")
 def _(spark, sf):
+    quotes = _stored_quotes(spark, sf)
     details = pages.peer_details(
-        v.profile(spark, sf), v.quotes(spark, sf), _universe(spark, sf), _risk(spark, sf), v.financial_scores(spark, sf))
+        v.profile(spark, sf), quotes, _universe(spark, sf), _risk(spark, sf, quotes, v.benchmark_close(spark, sf)), v.financial_scores(spark, sf))
     ranking = details.select("symbol", F.col("overall_score").alias("score"))
     return pages.peer_pivot(v.peers(spark, sf), ranking, details, pages.PEER_ATTRIBUTES)
 
@@ -203,9 +210,10 @@ FUND_OUT = " ".join([
        count(DISTINCT country) AS n_countries, count(DISTINCT asset % 9) AS n_sectors FROM holdings GROUP BY 1) h ON p.symbol = h.etf_symbol""",
        f"{LATEST}, {SUMMARY}, {COMPARED}, {FALLS}, {RISK_NOW}, newest AS (SELECT max(date) AS cutoff FROM quotes), " + MONTHLY.format(dates="newest") + f", {CAPTURED}")
 def _(spark, sf):
-    quotes, bench = v.quotes(spark, sf), v.benchmark_close(spark, sf)
+    quotes, bench = _stored_quotes(spark, sf), materialise(v.benchmark_close(spark, sf), "bench")
     captured = risk.capture_by_horizon(risk.monthly_pairs(quotes, bench), YEARS)
     holdings = v.holdings(spark, sf).withColumn("sector", F.col("asset") % 9)
-    page = pages.fund_page(v.profile(spark, sf), "sector", quotes, bench, captured, _risk(spark, sf), v.fund_scores(spark, sf), holdings)
+    scores = v.fund_scores(spark, sf)
+    page = pages.fund_page(v.profile(spark, sf), "sector", quotes, bench, captured, _risk(spark, sf, quotes, bench), scores, holdings)
     sizes = {"n_top": "top_holdings", "n_countries": "country_exposure", "n_sectors": "sector_exposure"}
     return page.withColumns({n: F.when(F.col(c).isNotNull(), F.size(c)) for n, c in sizes.items()}).withColumn("top_asset", F.col("top_holdings")[0]["asset"])

@@ -9,6 +9,7 @@ from tickerlake.plans import market, pages, risk
 from tickerlake.registry.core import query
 from tickerlake.registry.relational import CONSTITUENTS, PARENTS_SQL, SECTOR_PARENTS, constituents
 from tickerlake.registry.timeseries import LATEST, PERFORMANCE, WEEKLY, month_end_list, trend
+from tickerlake.session import materialise
 from tickerlake.sources import views as v
 
 CHANGES_OUT = "price:6 day_change:6 week_change:6 quarter_change:6 ytd_change:6 trend"
@@ -37,7 +38,8 @@ def _text(df, *columns):
 def _pages(spark, sf):
     """Pages over text symbols; a parent's own prices are the highest close among its members."""
     members = constituents(spark, sf)
-    quotes = v.quotes(spark, sf)
+    # in use a stored table
+    quotes = materialise(v.quotes(spark, sf), "quotes")
     parents = members.join(quotes, "symbol").groupBy(F.col("parent_symbol").alias("symbol"), "date").agg(
         F.max("adj_close").alias("adj_close"))
     return market.market_pages(
@@ -132,8 +134,9 @@ METRICS_OUT = "symbol cutoff:d " + " ".join(f"{m}:6" for m in risk.METRICS)
 
 
 def _risk_inputs(spark, sf):
+    # the quotes are read for the daily and for the monthly figures; in use they are a stored table
     return (
-        v.quotes(spark, sf), v.benchmark_close(spark, sf), v.treasury(spark, sf), v.etf_profile(spark, sf))
+        materialise(v.quotes(spark, sf), "quotes"), v.benchmark_close(spark, sf), v.treasury(spark, sf), v.etf_profile(spark, sf))
 
 
 def _metrics(spark, sf):
