@@ -88,6 +88,23 @@ def test_time_partitions_are_pruned(spark):
     assert one.count() == rows.filter("year(date) = 2021 AND symbol = 3").count()
 
 
+def test_clustered_rows_are_near_in_every_key(spark):
+    rows = spark.range(20_000).selectExpr("CAST(id * 7919 % 20000 AS INT) AS a", "concat('k', lpad(CAST(id * 104729 % 20000 AS STRING), 5, '0')) AS b", "id * 2 AS n")
+    spark.conf.set("spark.sql.shuffle.partitions", "16")
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        table = sinks.write_clustered(rows, scratch_path(spark, "curve"), ["a", "b"], bloom="n")
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", "4")
+        spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
+    assert table.count() == 20_000 and table.agg(F.sum("n")).first()[0] == 20_000 * 19_999
+    spans = table.groupBy(F.input_file_name()).agg(F.max("a") - F.min("a"), F.max(F.substring("b", 2, 5).cast("int")) - F.min(F.substring("b", 2, 5).cast("int"))).collect()
+    assert len(spans) >= 12
+    # a file covers a fraction of both keys: a lookup by either skips most files
+    assert sum(r[1] for r in spans) / len(spans) < 9_000 and sum(r[2] for r in spans) / len(spans) < 9_000
+    assert table.filter("n = 20").count() == 1 and table.filter("n = 21").count() == 0
+
+
 def test_partition_replace_keeps_other_dates(spark, values):
     path = scratch_path(spark, "t")
     old = spark.createDataFrame([("A", date(2024, 1, 1), 1.0), ("A", date(2024, 1, 2), 1.0)], "symbol string, date date, p double")

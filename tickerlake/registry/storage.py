@@ -12,7 +12,7 @@ from tickerlake.plans.refresh import refresh_aggregates
 from tickerlake.registry.core import query
 from tickerlake.registry.timeseries import month_end_list
 from tickerlake.session import scratch_path
-from tickerlake.sources import files, records, sinks, views as v
+from tickerlake.sources import files, records, schemas, sinks, views as v
 from tickerlake.streaming import jobs
 
 
@@ -96,23 +96,27 @@ def _(spark, sf):
     return records.scan_csv_records(spark, folder, "id string, note string, part bigint")
 
 
-@query("scan_fund_seed_files", "table rows:i",
-       sql="""SELECT 'fund_general' AS "table", count(*) AS rows FROM supplier UNION ALL
-       SELECT 'fund_top_holdings', count(DISTINCT l_partkey) FROM lineitem UNION ALL
-       SELECT 'fund_quotes', count(*) FROM (SELECT DISTINCT l_suppkey, CAST(l_shipdate AS DATE) FROM lineitem)""")
+PRICING = ["Pricing2015to2017.csv", "Pricing2018to2019.csv", "Pricing2020to2021.csv", "Pricing2022to2023.csv", "Pricing2024to2025.csv"]
+
+
+@query("scan_fund_seed_files", "table rows:i", sql=" UNION ALL ".join(
+       f"SELECT '{files.fund_seed_table(n)}' AS \"table\", count(DISTINCT l_partkey) AS rows FROM lineitem WHERE l_partkey % {len(schemas.FUND_SEEDS)} = {i}"
+       for i, n in enumerate(schemas.FUND_SEEDS)) + " UNION ALL SELECT 'fund_quotes', count(*) FROM (SELECT DISTINCT l_suppkey, CAST(l_shipdate AS DATE) FROM lineitem)")
 def _(spark, sf):
     folder = scratch_path(spark, "seeds")
-    supplier = v.table(spark, sf, "supplier").select(F.col("s_suppkey").alias("RecordId"), F.col("s_name").alias("LegalName"))
     line = v.table(spark, sf, "lineitem")
+    # records repeat in every file
     holding = line.select(F.col("l_partkey").alias("RecordId"), F.col("l_quantity").alias("MarketPercent"))
-    supplier.write.option("header", True).csv(f"{folder}/FundGeneralSeed.csv")
-    holding.write.option("header", True).csv(f"{folder}/FundTopHoldingSeed.csv")
+    for i, name in enumerate(schemas.FUND_SEEDS):
+        holding.filter(F.col("RecordId") % len(schemas.FUND_SEEDS) == i).write.option("header", True).csv(f"{folder}/{name}")
     nav = line.select(
         F.col("l_suppkey").alias("InstrumentKey"), F.col("l_shipdate").cast("date").alias("Date"), F.col("l_extendedprice").alias("NAVPS"))
-    nav.filter("Date < '1998-01-01'").write.option("header", True).csv(f"{folder}/Pricing2015to2017.csv")
-    nav.filter("Date >= '1998-01-01'").withColumn("Split", F.lit(1)).write.option("header", True).csv(f"{folder}/Pricing2018to2019.csv")
-    tables = files.scan_fund_seed_files(spark, folder, ["FundGeneralSeed.csv", "FundTopHoldingSeed.csv"])
-    tables["fund_quotes"] = files.scan_pricing_files(spark, [f"{folder}/Pricing2015to2017.csv", f"{folder}/Pricing2018to2019.csv"])
+    for i, name in enumerate(PRICING):
+        part = nav.filter(F.year("Date") % len(PRICING) == i)
+        # later files have a column more
+        (part.withColumn("Split", F.lit(1)) if i else part).write.option("header", True).csv(f"{folder}/{name}")
+    tables = files.scan_fund_seed_files(spark, folder, schemas.FUND_SEEDS)
+    tables["fund_quotes"] = files.scan_pricing_files(spark, [f"{folder}/{n}" for n in PRICING])
     return agg.table_row_counts(tables)
 
 
@@ -246,7 +250,7 @@ def _(spark, sf):
 
 @query("write_clustered", "symbol sector mkt_cap:6", "company", "SELECT symbol, sector, mkt_cap FROM company")
 def _(spark, sf):
-    return sinks.write_clustered(v.company(spark, sf), scratch_path(spark, "clustered"), ["sector", "symbol"])
+    return sinks.write_clustered(v.company(spark, sf), scratch_path(spark, "clustered"), ["sector", "symbol"], bloom="symbol")
 
 
 @query("refresh_aggregates", "identifier month:d opening_nav:6 closing_nav:6 trading_days:i", "quotes",

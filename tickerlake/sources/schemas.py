@@ -10,15 +10,6 @@ QUOTE_SCHEMA = (
     "change_over_time double, symbol string"
 )
 BULK_EOD_SCHEMA = "symbol string, date date, open double, low double, high double, close double, adjClose double, volume double"
-PEER_SCHEMA = "symbol string, peer_symbol string"
-EARNINGS_SCHEMA = (
-    "symbol string, date date, eps_actual double, eps_estimated double, revenue_actual decimal(38,6), "
-    "revenue_estimated decimal(38,6), last_updated timestamp"
-)
-FINANCIAL_SCORES_SCHEMA = (
-    "symbol string, altman_z_score double, piotroski_score int, working_capital double, total_assets double, "
-    "retained_earnings double, ebit double, market_cap double, total_liabilities double, revenue double"
-)
 FUND_QUOTE_COLUMNS = [
     "instrument_key", "date", "navps", "daily_total_distribution", "daily_dividend_income_distribution",
     "daily_foreign_dividend_income_distribution", "daily_capital_gains_distribution",
@@ -81,6 +72,14 @@ KEYS = {
 
 # Seed file stem -> table is camel case to snake case; the names that do not follow the rule are listed.
 FUND_SEED_SUFFIX = "Seed.csv"
+# The seed files.
+FUND_SEEDS = [
+    "BenchmarkGeneralSeed.csv", "BenchmarkYearlyPerformanceSeed.csv", "FundAdvancedPerformanceSeed.csv", "FundAllocationSeed.csv", "FundAssetsSeed.csv",
+    "FundAssociateBenchmarkSeed.csv", "FundDailyNAVPSSeed.csv", "FundDistributionSeed.csv", "FundEquityStyleSeed.csv", "FundExpensesSeed.csv",
+    "FundFixedIncomeStyleSeed.csv", "FundGeneralSeed.csv", "FundLoadsSeed.csv", "FundOtherFeeSeed.csv", "FundPerformanceSummarySeed.csv",
+    "FundRiskYearlyPerformanceSeed.csv", "FundTopHoldingSeed.csv", "FundTrailerScheduleSeed.csv", "FundYearlyPerformanceRankingByClassSeed.csv",
+    "FundYearlyPerformanceSeed.csv", "InstrumentIdentifierSeed.csv",
+]
 FUND_SEED_EXCEPTIONS = {
     "FundDailyNAVPSSeed.csv": "fund_daily_nav",
     "FundOtherFeeSeed.csv": "fund_other_fees",
@@ -101,19 +100,12 @@ SEED_MINIMUMS = {
     "equity_income_growth": 200_000, "equity_quotes": 10_000_000, "etfs_quotes": 500_000, "fund_general": 2_000,
     "benchmark_general": 100, "fund_daily_nav": 100_000, "instrument_identifier": 5_000, "fund_performance_summary": 10_000,
     "fund_allocation": 10_000, "fund_expenses": 10_000, "fund_yearly_performance": 10_000, "fund_quotes": 100_000,
-    **{
-        t: 100
-        for t in (
-            "benchmark_yearly_performance fund_advanced_performance fund_assets fund_associate_benchmark fund_distribution "
-            "fund_equity_style fund_fixed_income_style fund_loads fund_other_fees fund_risk_yearly_performance "
-            "fund_top_holdings fund_trailer_schedule fund_yearly_performance_ranking"
-        ).split()
-    },
-}
-CRITICAL_MINIMUMS = {
-    t: SEED_MINIMUMS[t]
-    for t in (
-        "equity_profile equity_quotes equity_balance_growth equity_cashflow_growth equity_financial_growth "
-        "equity_income_growth etfs_quotes"
-    ).split()
+    "benchmark_yearly_performance": 100, "fund_advanced_performance": 100, "fund_assets": 100, "fund_associate_benchmark": 100,
+    "fund_distribution": 100, "fund_equity_style": 100, "fund_fixed_income_style": 100, "fund_loads": 100, "fund_other_fees": 100,
+    "fund_risk_yearly_performance": 100, "fund_top_holdings": 100, "fund_trailer_schedule": 100, "fund_yearly_performance_ranking": 100,
 }
+# The tables without which a load counts as failed.
+CRITICAL_TABLES = [
+    "equity_profile", "equity_quotes", "equity_balance_growth", "equity_cashflow_growth", "equity_financial_growth", "equity_income_growth", "etfs_quotes",
+]
+CRITICAL_MINIMUMS = {t: SEED_MINIMUMS[t] for t in CRITICAL_TABLES}

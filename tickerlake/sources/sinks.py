@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import uuid
 
-from pyspark.sql import DataFrame, Observation, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from tickerlake.functions.naming import camel_to_snake
@@ -214,7 +214,43 @@ def write_bucketed(df: DataFrame, table: str, key: str = "symbol", buckets: int
     return df.sparkSession.table(table)
 
 
-def write_clustered(df: DataFrame, path: str, keys: list[str]) -> DataFrame:
-    """Rows range-partitioned and sorted by the keys, so file statistics skip most files on a lookup."""
-    df.repartitionByRange(*keys).sortWithinPartitions(*keys).write.mode("overwrite").parquet(path)
+def write_clustered(df: DataFrame, path: str, keys: list[str], bloom: str | None = None) -> DataFrame:
+    """Rows of nearby keys in the same files, so file statistics skip most files on a lookup by any of the keys.
+
+    With one key rows are range-partitioned and sorted by it; with several, by the order of a space-filling curve through them, which keeps every key's range in a file
+    short, not only the first one's. ``bloom`` names an identifier column that gets a bloom filter per row group, for lookups that ranges cannot narrow.
+    """
+    placed = df.withColumn("_at", curve_position(df, keys) if len(keys) > 1 else F.lit(0))
+    by = ["_at", *keys]
+    writer = placed.repartitionByRange(*by).sortWithinPartitions(*by).drop("_at").write.mode("overwrite")
+    if bloom:
+        writer = writer.option(f"parquet.bloom.filter.enabled#{bloom}", "true")
+    writer.parquet(path)
     return df.sparkSession.read.parquet(path)
+
+
+#: Steps of a key on the curve are 2 ** BITS; their bounds rest on about SAMPLE rows.
+CURVE_BITS, CURVE_SAMPLE = 6, 4096
+
+
+def curve_position(df: DataFrame, keys: list[str]) -> Column:
+    """The place of a row on a Z-order curve through its keys, each cut into steps of about equally many rows.
+
+    The bounds of the steps come from a bounded sample; NULL is step 0. Equal keys have equal places.
+    """
+
+    def step_of(key: str, bounds: list) -> Column:
+        known = F.array(*[F.lit(b) for b in bounds])
+        return F.coalesce(F.size(F.filter(known, lambda b: b <= F.col(key))), F.lit(0))
+
+    share = max(1, df.count() // CURVE_SAMPLE)
+    sample = df.select(*keys).filter(F.pmod(F.xxhash64(F.lit("curve"), *keys), F.lit(share)) == 0).limit(2 * CURVE_SAMPLE).collect()
+    steps = 1 << CURVE_BITS
+    place = F.lit(0)
+    for at, key in enumerate(keys):
+        values = sorted({r[key] for r in sample if r[key] is not None})
+        bounds = sorted({values[i * len(values) // steps] for i in range(1, steps)}) if values else []
+        step = step_of(key, bounds) if bounds else F.lit(0)
+        for bit in range(CURVE_BITS):
+            place = place + F.shiftleft(F.shiftright(step, bit).bitwiseAND(F.lit(1)).cast("bigint"), bit * len(keys) + len(keys) - 1 - at)
+    return place
