@@ -32,12 +32,12 @@ import regex
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tickerlake.llm.common import table, texts
+from tickerlake.llm.common import give_back, table, texts
 
 #: Text that is coded at a time.
 RUN_BYTES = 1 << 21
 #: Pieces whose tokens a worker remembers; with more of them it forgets, before the next run, those met once only, or all if too many are left.
-CACHE = 300_000
+CACHE = 200_000
 LONG_PIECE = 64
 #: Short pieces of one query: its result holds every step.
 QUERY_PIECES = 1 << 15
@@ -324,6 +324,7 @@ def encode_decode(docs: DataFrame, path: str | None = None, pattern: str | None
                     [b.column("doc_id").slice(low, high - low), pa.ListArray.from_arrays(pa.array(offsets), flat), pa.array(coder.decode(ids), pa.binary())],
                     ["doc_id", "ids", "decoded"],
                 )
+        give_back()
 
     return texts(docs).mapInArrow(run, "doc_id bigint, ids array<int>, decoded binary")
 

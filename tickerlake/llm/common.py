@@ -2,10 +2,12 @@
 
 from __future__ import annotations
 
+import ctypes
 import gc
 import os
 from pathlib import Path
 
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
@@ -75,6 +77,14 @@ def release_shuffles(spark: SparkSession) -> None:
     spark.sparkContext._jvm.System.gc()
 
 
+def give_back() -> None:
+    """At the end of a task: return free memory of its Python worker to the system, because workers live on while other stages need it."""
+    pa.default_memory_pool().release_unused()
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)
+    if trim:
+        trim(0)
+
+
 def key_sample(df: DataFrame, rows: int, key: str = "doc_id") -> DataFrame:
     """About ``rows`` rows with keys chosen by hash, ``2 * rows`` at most; all of a smaller table.
 

@@ -28,7 +28,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from tickerlake.llm.common import identified, release_shuffles, table, texts
+from tickerlake.llm.common import give_back, identified, release_shuffles, table, texts
 from tickerlake.llm.components import components
 from tickerlake.llm.words import U64, Words, mix, slices, window_hashes
 from tickerlake.session import materialise
@@ -174,6 +174,7 @@ def signature_rows(docs: DataFrame, like: Similarity, later: bool) -> DataFrame:
                 if later:
                     least = np.setdiff1d(np.arange(len(sig)), least, assume_unique=True)
                 yield pa.RecordBatch.from_arrays([_signed(sig[least]), pa.array(doc[least]), pa.array(n[least])], ["key", "doc_id", "n"])
+        give_back()
 
     return docs.mapInArrow(run, "key bigint, doc_id bigint, n bigint")
 
@@ -204,6 +205,7 @@ def set_blobs(docs: DataFrame, like: Similarity) -> DataFrame:
                 yield pa.RecordBatch.from_arrays(
                     [batch.column("doc_id").slice(low, high - low), pa.array([v.tobytes() for v in own], pa.binary()), pa.array(sketch, pa.binary())], ["doc_id", "shingles", "sketch"]
                 )
+        give_back()
 
     return docs.mapInArrow(run, "doc_id bigint, shingles binary, sketch binary")
 
@@ -292,6 +294,7 @@ def check_pairs(pairs: DataFrame, blobs: DataFrame, like: Similarity, difference
                     found.append(np.concatenate([x[~inside], mix(p[lacks])]).tobytes())
             columns = [batch.column("p"), batch.column("x"), pa.array(linked, pa.bool_()), pa.array(sizes, pa.int64())]
             yield pa.RecordBatch.from_arrays([*columns, pa.array(found if differences else [None] * len(linked), pa.binary())], ["p", "x", "linked", "n", "differs"])
+        give_back()
 
     mine = blobs.select(F.col("doc_id").alias("x"), F.col("shingles").alias("mine"))
     theirs = blobs.select(F.col("doc_id").alias("p"), F.col("shingles").alias("theirs"))

@@ -19,7 +19,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tickerlake.llm.common import importable, key_sample, table, texts
+from tickerlake.llm.common import give_back, importable, key_sample, table, texts
 from tickerlake.llm.words import Words, mix, slices, window_hashes
 
 #: Fixed values of the base measures.
@@ -225,6 +225,7 @@ def kept_rows(docs: DataFrame, rules: tuple[Rule, ...] = RULES, order: list[str]
         for b in batches:
             for low, high, words in slices(b.column(b.schema.names.index("text"))):
                 yield b.slice(low, high - low).filter(pa.array(_survivors(words, ordered)[0]))
+        give_back()
 
     return docs.mapInArrow(run, docs.schema)
 

@@ -5,7 +5,7 @@ spans: a value that stands after a name with a credential word in it (``DB_PASSW
 cut into segments of least total guess cost by dynamic programming. A segment is a common word, a date, a repeat, a keyboard
 walk, a sequence, or brute force per character class. The value is a secret when the cheapest way to guess it needs at
 least ``10 ** MIN_COST`` tries, so that ``password: hunter`` stays and ``password is gT4#kq91z`` goes. Common words are a short fixed list and the
-``WORDS`` most frequent words of the corpus, counted over all documents; a word costs its rank. After "is", a value of letters only is prose.
+most frequent words of the corpus, ``WORDS`` at most, counted over all documents; a word costs its rank. After "is", a value of letters only is prose.
 
 Spans are (kind, start, end, cost) in code points, end exclusive, by start, then kind, then end. NULL and empty texts have no spans; very long texts and values are
 scanned whole, and no pattern goes back over a text. Repeated rows each get a row, rows without doc_id too. Words of equal count are ranked by spelling. An empty table
@@ -22,7 +22,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tickerlake.llm.common import importable, table, texts
+from tickerlake.llm.common import give_back, importable, table, texts
+from tickerlake.session import materialise
 
 KINDS = ("assign", "access", "hex", "guess")
 #: Fixed patterns of the base kinds.
@@ -201,17 +202,28 @@ def redact(text: str, spans: list[tuple]) -> str:
     return "".join([*out, text[at:]]) if spans else text
 
 
+#: Rows whose texts are Python strings at a time.
+ROWS_AT_ONCE = 500
 SPANS = "array<struct<kind:string,start:bigint,end:bigint,cost:double>>"
 
 
 def common_words(docs: DataFrame, most: int = WORDS, least: int = OCCURRENCES) -> dict[str, int]:
     """Ranks of the fixed words and of the most frequent words of letters in all documents, 3 to ``LONGEST`` letters long.
 
-    Occurrences are counted per task before the shuffle; ``most`` words come to the driver.
+    Occurrences are counted per task before the shuffle; ``most`` words at most come to the driver.
     """
     words = F.explode(F.regexp_extract_all(F.lower(F.col("text")), F.lit(rf"(?<![a-z])[a-z]{{3,{LONGEST}}}(?![a-z])"), F.lit(0)))
     counts = texts(docs).select(words.alias("word")).groupBy("word").count().where(F.col("count") >= least)
-    top = counts.orderBy(F.col("count").desc(), "word").limit(most).collect()
+    counts = materialise(counts.withColumn("class", F.floor(8 * F.log2("count")).cast("int")), "word-counts")
+    # Words by class of frequency, eight classes to a doubling: a few hundred rows. The most frequent classes that hold no more than ``most`` words are taken.
+    taken, bound = 0, None
+    for row in sorted(counts.groupBy("class").agg(F.count("*").alias("words")).collect(), reverse=True):
+        taken += row["words"]
+        if taken > most:
+            break
+        bound = row["class"]
+    top = [] if bound is None else counts.where(F.col("class") >= bound).select("word", "count").collect()
+    top = sorted(top, key=lambda r: (-r["count"], r["word"]))
     ranks = dict(RANK)
     for row in top:
         ranks.setdefault(row["word"], len(ranks) + 1)
@@ -227,6 +239,7 @@ def scan(docs: DataFrame, least: float = MIN_COST, ranks: dict[str, int] | None
         for b in batches:
             spans = [[dict(zip(("kind", "start", "end", "cost"), s)) for s in secret_spans(t.as_py(), least, ranks)] for t in b.column("text")]
             yield pa.RecordBatch.from_arrays([b.column("doc_id"), pa.array(spans, kind)], ["doc_id", "spans"])
+        give_back()
 
     return texts(docs).mapInArrow(run, f"doc_id bigint, spans {SPANS}")
 
@@ -238,17 +251,20 @@ def redacted(docs: DataFrame, least: float = MIN_COST, ranks: dict[str, int] | N
     schema = docs.schema
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in batches:
-            at = b.schema.names.index("text")
-            text = [None if (x := t.as_py()) is None else redact(x, secret_spans(x, least, ranks)) for t in b.column(at)]
-            columns = list(b.columns)
-            columns[at] = pa.array(text, b.schema.field(at).type)
-            if "n_chars" in b.schema.names:
-                n = b.schema.names.index("n_chars")
-                old = b.column("text").to_pylist()
-                counts = [len(new) if new is not None and new != was else c for new, was, c in zip(text, old, b.column(n).to_pylist())]
-                columns[n] = pa.array(counts, b.schema.field(n).type)
-            yield pa.RecordBatch.from_arrays(columns, schema=b.schema)
+        for whole in batches:
+            for low in range(0, whole.num_rows, ROWS_AT_ONCE):
+                b = whole.slice(low, ROWS_AT_ONCE)
+                at = b.schema.names.index("text")
+                text = [None if (x := t.as_py()) is None else redact(x, secret_spans(x, least, ranks)) for t in b.column(at)]
+                columns = list(b.columns)
+                columns[at] = pa.array(text, b.schema.field(at).type)
+                if "n_chars" in b.schema.names:
+                    n = b.schema.names.index("n_chars")
+                    old = b.column("text").to_pylist()
+                    counts = [len(new) if new is not None and new != was else c for new, was, c in zip(text, old, b.column(n).to_pylist())]
+                    columns[n] = pa.array(counts, b.schema.field(n).type)
+                yield pa.RecordBatch.from_arrays(columns, schema=b.schema)
+        give_back()
 
     return docs.mapInArrow(run, schema)
 
