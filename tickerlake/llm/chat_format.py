@@ -12,7 +12,9 @@ of its own. So a window's own turns fit the width unless one turn alone exceeds
 
 Prefix sums have two levels (blocks of turns, then turns within a block), windows are grouped by (conversation, window) and history is an equality
 join on the turn's number: a conversation of any length is spread over tasks. Only ``read_back`` gathers a whole conversation, as its
-digest covers all of it. NULL text and role are empty; a NULL conv_id is a conversation of its own; repeated rows are turns of their own.
+digest covers all of it. Results for odd rows: NULL text and role are empty; all rows with a NULL conv_id are one conversation; repeated rows are turns of their own; turns equal in all three columns are
+interchangeable. Very long texts and conversations are formatted whole; a turn longer than a window is a window. An empty table gives no rows. Other columns are not read, so their names
+cannot clash.
 """
 
 from __future__ import annotations

@@ -14,8 +14,9 @@ linked, they share one of the first k + 1 shingles in which each differs from p
 so a larger family is cut by these shingles, and a part that is still too large gets a pivot of its own. No link between different components is lost,
 and no pair is written out but with a pivot or within a group of ``DIRECT``.
 
-Equal sets are one node. NULL, empty and wordless texts have an empty set and no link. Repeated rows get a row each. A NULL doc_id is
-larger than all others and comes back as NULL; rows without one are the same document only if their texts are.
+Results for odd rows: equal sets are one node. NULL, empty and wordless texts have an empty set and no link; very long texts count whole. Repeated rows get a row each. A NULL doc_id is
+larger than all others and comes back as NULL; rows without one are the same document only if their texts are. Ties do not arise: ids order everything. An empty table gives no
+rows. Other columns are not read, so their names cannot clash.
 """
 
 from __future__ import annotations

@@ -5,7 +5,8 @@ cost, its share of rejected texts its selectivity. Rules are then ordered by rej
 that one rule rejects is not measured for the later ones. The verdict is "no rule rejects", so it does not depend on the
 order; sample and order only decide how much work is done.
 
-NULL and empty texts have no words and are rejected by ``few_words``. Repeated rows and rows with a NULL key get a row each.
+Results for odd rows: NULL and empty texts have no words and are rejected by ``few_words``; very long texts are measured whole. Repeated rows and rows with a NULL key get a row each. Rules of equal
+gain keep their listed order. An empty table gives no rows. ``cascade`` reads no other columns; ``kept_rows`` gives all columns back as they are.
 """
 
 from __future__ import annotations

@@ -6,8 +6,9 @@ scaled by the log ratio of the term's smoothed frequencies in the two classes. A
 model is then fitted by dual coordinate descent, and a logistic curve on its margins turns them into scores.
 
 The classifier is fitted on at most ``SAMPLE_ROWS`` labelled rows (about that many, twice as many at most, chosen by hash of their key), which bounds
-the driver's work. The model is a vector of ``2 ** BITS`` weights. Every text is scored whole. NULL and empty texts have no terms
-and get the score of the intercept. Without labelled rows of both classes every text gets the share of label 1 (0.5 without rows).
+the driver's work. The model is a vector of ``2 ** BITS`` weights. Results for odd rows: every text is scored whole, however long. NULL and empty texts have no terms
+and get the score of the intercept. Without labelled rows of both classes every text gets the share of label 1 (0.5 without rows). Repeated rows get a row and the same score each, rows
+without doc_id are scored like others. There are no ties to break: a score of the threshold is predicted 1. An empty table gives no rows. Other columns are not read, so their names cannot clash.
 """
 
 from __future__ import annotations

@@ -4,10 +4,11 @@ Terms are lower-cased words and their beginnings of four, five and six bytes, so
 The machine's margin is ``bias + sum(w) + 1/2 * sum_f((sum v_f)^2 - sum v_f^2)`` over the terms present in a text: the
 second part learns what pairs of terms add, such as an insult beside a mention of a group, which additive weights miss.
 
-It is fitted by AdaGrad on at most ``SAMPLE_ROWS`` labelled rows, over the terms that differ between the classes there, or
-whose texts do where they stand beside some other term; a logistic curve on margins of unseen rows gives scores. The model is a table of fixed size. Every text is scored whole. NULL
+It is fitted by AdaGrad on about ``SAMPLE_ROWS`` labelled rows, twice as many at most, over the terms that differ between the classes there, or
+whose texts do where they stand beside some other term; a logistic curve on margins of unseen rows gives scores. The model is a table of fixed size. Results for odd rows: every text is scored whole, however long. NULL
 and empty texts have no terms and get the score of the bias. Without labelled rows of both classes every text gets the
-share of label 1 (0.5 without rows).
+share of label 1 (0.5 without rows). Repeated rows get a row and the same score each, rows without doc_id are scored like others. There are no ties to break: a score of the threshold is
+predicted 1. An empty table gives no rows. Other columns are not read, so their names cannot clash.
 """
 
 from __future__ import annotations
