@@ -4,7 +4,9 @@ Every stage takes (spark, docs, sf_dir), works on all rows of ``docs`` and retur
 them again for the next one, so a lost executor costs no more than the stage that runs. All stages but the last return the columns of ``docs`` as they
 came, extra ones included.
 
-Rows with a NULL doc_id are judged by the rules, searched for benchmark items, scanned and encoded like others; as near copies they are kept.
+Rows with a NULL doc_id are judged by the rules, searched for benchmark items, scanned and encoded like others; as near copies they are kept. NULL and empty texts go with the
+rules; very long ones are handled whole. Of equal rows all stay or all go, near copies but for the smallest doc_id. An empty table of documents gives no rows, an empty benchmark takes
+none away.
 """
 
 from __future__ import annotations
