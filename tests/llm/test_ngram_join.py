@@ -48,12 +48,20 @@ def family(rng, n, size, edits):
     return out
 
 
-def check(spark, rows, k, num, den):
+def check(spark, rows, k, num, den, **more):
     df = spark.createDataFrame(rows, "doc_id bigint, text string").repartition(4)
-    found = Counter(tuple(r) for r in similar_sets(df, k, num, den).collect())
+    found = Counter(tuple(r) for r in similar_sets(df, k, num, den, **more).collect())
     assert found == brute(rows, k, num, den)
 
 
+def test_first_pivots_then_mixed_families(spark, monkeypatch):
+    monkeypatch.setattr(ngram_join, "DIRECT", 3)
+    rng = random.Random(13)
+    texts = family(rng, 50, 120, 14) + family(rng, 30, 40, 4) + family(rng, 25, 200, 3) + [f"u{i} v{i} w{i}" for i in range(9)]
+    rng.shuffle(texts)
+    check(spark, list(enumerate(texts)), 5, 80, 100, sparing=True)
+
+
 def test_families_with_a_pivot_that_is_no_centre(spark):
     rng = random.Random(3)
     texts = family(rng, 60, 120, 14) + family(rng, 40, 30, 3) + family(rng, 30, 9, 1) + [f"u{i} v{i} w{i}" for i in range(20)]

@@ -38,6 +38,8 @@ from tickerlake.session import materialise
 DIRECT = 16
 #: Members and bytes of differences of a family that one task compares.
 FAMILY, FAMILY_BYTES = 2048, 1 << 26
+#: Pairs whose differences a task holds.
+PAIRS_AT_ONCE = 256
 _KEY = "doc_id bigint, n bigint, a bigint, b bigint"
 
 
@@ -281,20 +283,22 @@ def check_pairs(pairs: DataFrame, blobs: DataFrame, like: Similarity, difference
     """p, x, linked, n (of x) of the pairs, and the shingles in which x differs from p: those x adds, then those it lacks."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            linked, sizes, found = [], [], []
-            for mine, theirs in zip(batch.column("mine"), batch.column("theirs")):
-                x, p = (np.frombuffer(v.as_buffer(), np.uint64) for v in (mine, theirs))
-                at = np.minimum(np.searchsorted(p, x), max(0, len(p) - 1))
-                inside = p[at] == x if len(p) else np.zeros(len(x), bool)
-                linked.append(like.linked(int(inside.sum()), len(x), len(p)))
-                sizes.append(len(x))
-                if differences:
-                    lacks = np.ones(len(p), bool)
-                    lacks[at[inside]] = False
-                    found.append(np.concatenate([x[~inside], mix(p[lacks])]).tobytes())
-            columns = [batch.column("p"), batch.column("x"), pa.array(linked, pa.bool_()), pa.array(sizes, pa.int64())]
-            yield pa.RecordBatch.from_arrays([*columns, pa.array(found if differences else [None] * len(linked), pa.binary())], ["p", "x", "linked", "n", "differs"])
+        for whole in batches:
+            for low in range(0, whole.num_rows, PAIRS_AT_ONCE):
+                batch = whole.slice(low, PAIRS_AT_ONCE)
+                linked, sizes, found = [], [], []
+                for mine, theirs in zip(batch.column("mine"), batch.column("theirs")):
+                    x, p = (np.frombuffer(v.as_buffer(), np.uint64) for v in (mine, theirs))
+                    at = np.minimum(np.searchsorted(p, x), max(0, len(p) - 1))
+                    inside = p[at] == x if len(p) else np.zeros(len(x), bool)
+                    linked.append(like.linked(int(inside.sum()), len(x), len(p)))
+                    sizes.append(len(x))
+                    if differences:
+                        lacks = np.ones(len(p), bool)
+                        lacks[at[inside]] = False
+                        found.append(np.concatenate([x[~inside], mix(p[lacks])]).tobytes())
+                columns = [batch.column("p"), batch.column("x"), pa.array(linked, pa.bool_()), pa.array(sizes, pa.int64())]
+                yield pa.RecordBatch.from_arrays([*columns, pa.array(found if differences else [None] * len(linked), pa.binary())], ["p", "x", "linked", "n", "differs"])
         give_back()
 
     mine = blobs.select(F.col("doc_id").alias("x"), F.col("shingles").alias("mine"))
@@ -371,10 +375,20 @@ def _split(members: DataFrame) -> tuple[DataFrame, DataFrame]:
     return own.where("fits"), own.where("NOT fits")
 
 
-def group_links(members: DataFrame, nodes: DataFrame, given: DataFrame, like: Similarity) -> DataFrame:
+def mixed_families(star: DataFrame, links: DataFrame) -> DataFrame:
+    """The pairs (p, x) of the pivots that are not in one component with all their members."""
+    roots = components(links.select(F.col("p").alias("a"), F.col("x").alias("b")))
+    of_x, of_p = (roots.select(F.col("node").alias(c), F.col("root").alias(f"root_{c}")) for c in ("x", "p"))
+    named = star.join(of_x, "x", "left").join(of_p, "p", "left").select("p", "x", F.coalesce("root_x", "x").alias("one"), F.coalesce("root_p", "p").alias("other"))
+    apart = named.groupBy("p").agg(F.min(F.least("one", "other")).alias("least"), F.max(F.greatest("one", "other")).alias("most")).where("least < most").select("p")
+    return materialise(star.join(materialise(apart, "mixed-pivots"), "p", "left_semi").select("p", "x"), "mixed-families")
+
+
+def group_links(members: DataFrame, nodes: DataFrame, given: DataFrame, like: Similarity, sparing: bool = False) -> DataFrame:
     """Links (p, x) that connect the documents of all groups (key, p, size, doc_id) as the similarity of their pairs does.
 
     ``p`` is the smallest document of the group; ``nodes`` has a row (n, node) for each different set, ``given`` the texts (doc_id, text).
+    ``sparing`` first checks every member against its smallest pivot alone: families that this connects need no differences, which saves most of the sets' shuffling for a few more steps.
     """
     spark = given.sparkSession
     links, checked, blobs = None, None, None
@@ -388,6 +402,12 @@ def group_links(members: DataFrame, nodes: DataFrame, given: DataFrame, like: Si
             ids = materialise(small.unionByName(star).select(F.explode(F.array("p", "x")).alias("doc_id")).distinct(), "pair-ids")
             blobs = materialise(set_blobs(given.join(ids, "doc_id", "left_semi"), like), "set-blobs")
         small = materialise(close_pairs(small, blobs, like), "close-pairs")
+        if sparing and checked is None:
+            first = materialise(close_pairs(star.groupBy("x").agg(F.min("p").alias("p")), blobs, like), "first-pivots")
+            release_shuffles(spark)
+            links = materialise(check_pairs(first.unionByName(small).distinct(), blobs, like, False).where("linked").select("p", "x"), "first-links")
+            release_shuffles(spark)
+            star, small = mixed_families(star, links), small.limit(0)
         star = materialise(close_members(star, blobs, like, checked), "close-members")
         release_shuffles(spark)
         found = materialise(check_pairs(small, blobs, like, False).where("linked").select("p", "x"), "found")
@@ -411,15 +431,15 @@ def group_links(members: DataFrame, nodes: DataFrame, given: DataFrame, like: Si
         members = group_members(rows)
 
 
-def similar_sets(docs: DataFrame, shingle: int = 3, num: int = 90, den: int = 100) -> DataFrame:
-    """doc_id, n_shingles, component_id of every row; the smallest doc_id that links of Jaccard similarity num / den or more reach."""
+def similar_sets(docs: DataFrame, shingle: int = 3, num: int = 90, den: int = 100, sparing: bool = False) -> DataFrame:
+    """doc_id, n_shingles, component_id of every row; the smallest doc_id that links of Jaccard similarity num / den or more reach. ``sparing`` is that of ``group_links``."""
     like = Similarity(shingle, num, den)
     given, nameless = identified(texts(docs))
     keys = materialise(set_keys(given, like), "set-keys")
     nodes = materialise(keys.where("n > 0").groupBy("n", "a", "b").agg(F.min("doc_id").alias("node")), "nodes")
     members = signature_members(given, like)
     release_shuffles(docs.sparkSession)
-    links = group_links(members, nodes, given, like)
+    links = group_links(members, nodes, given, like, sparing)
     roots = components(links.select(F.col("p").alias("a"), F.col("x").alias("b")))
     named = keys.join(nodes, ["n", "a", "b"], "left")
     named = named.join(roots, "node", "left")
