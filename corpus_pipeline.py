@@ -29,7 +29,7 @@ def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 
 def near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """The document with the smallest doc_id of each group linked by similarity."""
-    found = ngram_join.similar_sets(docs.select("doc_id", "text"), SHINGLE, NUM, DEN)
+    found = ngram_join.similar_sets(docs.select("doc_id", "text"), SHINGLE, NUM, DEN, sparing=True)
     copies = found.where("component_id < doc_id").select(F.col("doc_id").alias("#copy")).distinct()
     copies = materialise(copies, "near-copies")
     return docs.join(copies, docs["doc_id"] == copies["#copy"], "left_anti")
