@@ -125,3 +125,21 @@ def test_first_file_wins_and_header_is_skipped(spark, tmp_path):
     got = files.scan_partition_files(
         spark, str(tmp_path), ["date", "adj_close", "symbol"], {"date": "date", "adj_close": "double"}, ["symbol", "date"])
     assert sorted((str(r.date), r.adj_close) for r in got.collect()) == [("2000-01-03", 1.5), ("2001-01-02", 3.5)]
+
+
+def test_a_cut_before_a_word_leaves_no_blank(spark):
+    texts = ["  1234 Growth Fund ", "1234567 Fund of the Month", "  ", "", None, "x"]
+    assert apply(spark, texts, lambda c: cl.clip_text(c, 12, trim_end=True)) == ["1234 Growth", "1234567 Fund", None, None, None, "x"]
+    assert apply(spark, texts, lambda c: cl.clip_text(c, 12))[0] == "1234 Growth "
+
+
+def test_truncate_strings_trims_what_it_cuts(spark, tmp_path):
+    from datetime import datetime
+
+    from tickerlake import registry
+
+    columns = "l_orderkey bigint, l_linenumber int, l_partkey bigint, l_shipdate timestamp, l_extendedprice double, l_quantity double, l_tax double, l_discount double"
+    rows = [(1, i, part, datetime(2020, 1, 1), 1.0, 1.0, 0.0, 0.0) for i, part in enumerate((1200, 120, 7))]
+    spark.createDataFrame(rows, columns).write.parquet(f"{tmp_path}/lineitem.parquet")
+    found = {r.l_partkey: r.value for r in registry.QUERIES["truncate_strings"](spark, str(tmp_path)).collect()}
+    assert found == {1200: "1200 Growth", 120: "120 Growth F", 7: "7"}

@@ -110,8 +110,8 @@ _typed("parse_date_multi_format", ":d", """coalesce(CAST(try_strptime(trim(date_
        CAST(try_strptime(trim(date_text), '%m/%d/%Y') AS DATE), CAST(try_strptime(trim(date_text), '%d/%m/%Y') AS DATE))""",
        cl.parse_date_any, "date_text")
 _typed("decimal_standardise", ":2", "TRY_CAST(decimal_text AS DECIMAL(14, 2))", cl.standard_decimal, "decimal_text")
-_typed("truncate_strings", "", "substr(nullif(trim(name_text), ''), 1, 12)",
-       lambda c: cl.clip_text(c, 12), "name_text")
+_typed("truncate_strings", "", "nullif(trim(substr(trim(name_text), 1, 12)), '')",
+       lambda c: cl.clip_text(c, 12, trim_end=True), "name_text")
 
 
 @query("case_when_null_empty", f"{MESSY}:i missing:i", "messy",
