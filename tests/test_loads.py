@@ -139,6 +139,45 @@ def test_a_quote_that_is_never_closed(spark, tmp_path):
     assert found.filter("x = '5' AND y = 6").count() == 30 and found.count() == 32
 
 
+def test_records_longer_than_a_block_or_the_limit(spark, tmp_path):
+    # whole and lost records over many small blocks and batches, as one pass over the lines gives them
+    texts = []
+    for i in range(40):
+        texts += [f"{i},plain", f'{i},"two\nlines"', f'{i},"' + "\n".join(f"l{j}" for j in range(3 + i % 9)) + '"']
+    (tmp_path / "a.csv").write_text("x,y\n" + "\n".join(texts) + "\n")
+    (tmp_path / "b.csv").write_text('x,y\n1,"open\n' + "2,3\n" * 20)
+    want = {0: [], 1: []}
+    for n, name in enumerate(("a.csv", "b.csv")):
+        held = []
+        for line in (tmp_path / name).read_text().splitlines():
+            held.append(line)
+            if "\n".join(held).count('"') % 2 == 0:
+                want[n] += ["\n".join(held)] if len(held) <= 7 else held
+                held = []
+        want[n] += ["\n".join(held)] if 0 < len(held) <= 7 else held
+    settings = {"sql.files.maxPartitionBytes": "48", "sql.files.openCostInBytes": "0", "sql.files.minPartitionNum": "4", "sql.execution.arrow.maxRecordsPerBatch": "3"}
+    for size in ("48", "100000"):
+        for k, value in (settings | {"sql.files.maxPartitionBytes": size}).items():
+            spark.conf.set(f"spark.{k}", value)
+        try:
+            found = records.csv_records(spark, str(tmp_path), longest=7).collect()
+        finally:
+            for k in settings:
+                spark.conf.unset(f"spark.{k}")
+        for n, name in enumerate(("a.csv", "b.csv")):
+            assert sorted(r.text for r in found if r.file.endswith(name)) == sorted(want[n])
+        ordered = [r.text for r in sorted((r for r in found if r.file.endswith("a.csv") and "\n" not in r.text and "," in r.text), key=lambda r: r.record)]
+        assert [t for t in ordered if t.endswith("plain")] == [t for t in texts if t.endswith("plain")]
+
+
+def test_records_are_read_without_shuffling_them(spark, tmp_path):
+    (tmp_path / "a.csv").write_text('x,y\n1,"a\nb"\n' + "2,3\n" * 9)
+    plan = records.csv_records(spark, str(tmp_path))._jdf.queryExecution().executedPlan().toString()
+    # only the lines of records that cross a block are grouped
+    assert "record-pieces" in plan and plan.count("Exchange hashpartitioning") <= 2
+    assert records.csv_records(spark, str(tmp_path)).count() == 11 and spark.conf.get("spark.sql.files.minPartitionNum", None) is None
+
+
 def test_a_corrupt_file_is_a_row_of_the_log(spark, tmp_path):
     for i in range(5):
         with gzip.open(tmp_path / f"f{i}.csv.gz", "wt") as out:

@@ -1,12 +1,18 @@
 """CSV records that may hold line breaks inside quotes, read by many tasks, with every file's columns matched by name.
 
-A line starts a record if an even number of quotes stands before it in the file. That number is a prefix sum: quotes are summed per file block, the sums of the blocks are
-added up (a row per block), and only the lines of one block are numbered in one task. Records of one line, nearly all, pass straight on; the others are put
-together from their lines, wherever these were read.
+A line starts a record if an even number of quotes stands before it in the file. That number is a prefix sum: quotes are counted per file block and the counts of the blocks added up (a
+row per block), so each task knows whether its block begins inside quotes. A second pass puts the lines of a block together as they are read, and writes the records once.
+Only the lines of records that cross into another block are brought together from there.
 """
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+from contextlib import contextmanager
+
+import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
@@ -17,42 +23,137 @@ from tickerlake.session import materialise
 #: Lines of a record. A longer one has a quote that is never closed; its lines are records of their own.
 LONGEST = 1000
 
+_PIECES = "at bigint, record bigint, line bigint, text string, part boolean"
+
 
-def file_lines(spark: SparkSession, path: str | list[str]) -> DataFrame:
-    """(file, block, line, text) of all lines: the block is the place in the file where its task started to read, lines ascend in it."""
-    lines = spark.read.text(path).select(
-        F.col("_metadata.file_path").alias("file"), F.col("_metadata.file_block_start").alias("block"),
-        F.monotonically_increasing_id().alias("line"), F.col("value").alias("text"),
-    )
-    # written once: the numbers must be the same wherever they are used
-    return materialise(lines, "file-lines")
+@contextmanager
+def same_blocks(spark: SparkSession) -> Iterator[None]:
+    """Files are cut into the same blocks in every read, also if executors come or go in between."""
+    name = "spark.sql.files.minPartitionNum"
+    given = spark.conf.get(name, None)
+    if given is None:
+        spark.conf.set(name, str(spark.sparkContext.defaultParallelism))
+    try:
+        yield
+    finally:
+        if given is None:
+            spark.conf.unset(name)
 
 
-def _before(lines: DataFrame, value: Column, out: str) -> DataFrame:
-    """Adds ``out``: the sum of ``value`` over all earlier lines of the file."""
-    in_block = Window.partitionBy("file", "block").orderBy("line")
-    # at most a row per block and file in this window
+def _quotes_before(lines: DataFrame) -> DataFrame:
+    """(at, file, block, open): a number for each block, and whether it begins inside quotes. A row per block."""
+    quotes = F.length("text") - F.length(F.replace("text", F.lit('"'), F.lit("")))
+    blocks = lines.groupBy("file", "block").agg((F.sum(quotes) % 2).alias("_odd"))
     earlier = Window.partitionBy("file").orderBy("block").rowsBetween(Window.unboundedPreceding, -1)
-    offsets = lines.groupBy("file", "block").agg(F.sum(value).alias("_sum"))
-    offsets = offsets.select("file", "block", F.coalesce(F.sum("_sum").over(earlier), F.lit(0)).alias("_offset"))
-    own = F.coalesce(F.sum(value).over(in_block.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
-    return lines.withColumn("_own", own).join(offsets, ["file", "block"]).withColumn(out, F.col("_own") + F.col("_offset")).drop("_own", "_offset")
+    opened = (F.coalesce(F.sum("_odd").over(earlier), F.lit(0)) % 2).cast("boolean")
+    return materialise(blocks.select(F.monotonically_increasing_id().alias("at"), "file", "block", opened.alias("open")), "file-blocks")
+
+
+def block_pieces(lines: DataFrame, longest: int) -> DataFrame:
+    """Rows (at, record, line, text, part) from the lines (at, block, open, text) of the blocks: whole records, and the lines of those that may cross into another block.
+
+    ``record`` is the place in the file of the record's first line, ascending from record to record: its block's start plus the lines of the block before it, each of which has a
+    byte at least. It is NULL for lines that continue a record of an earlier block. A record of more than ``longest`` lines comes line by line, like one that crosses.
+    """
+
+    def batch_of(at: int, records, lines, texts, part: bool) -> pa.RecordBatch:
+        n = len(texts)
+        columns = [pa.array(np.full(n, at)), pa.array(records, pa.int64()), pa.array(lines, pa.int64()), texts, pa.array(np.full(n, part))]
+        return pa.RecordBatch.from_arrays(columns, ["at", "record", "line", "text", "part"])
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        # the block, its next line, whether that line is inside quotes, and the open record's first line and lines held so far
+        at, line, inside, first, held = None, 0, False, None, []
+
+        def let_go(block: int) -> Iterator[pa.RecordBatch]:
+            if held:
+                texts = pa.concat_arrays(held)
+                start = line - len(texts)
+                yield batch_of(at, [None if first is None else block + first] * len(texts), np.arange(start, line), texts, True)
+                held.clear()
+
+        block_at = 0
+        for batch in batches:
+            numbers = batch.column("at").to_numpy()
+            edges = np.concatenate([[0], np.flatnonzero(np.diff(numbers)) + 1, [len(numbers)]])
+            for low, high in zip(edges[:-1], edges[1:]):
+                if low == high:
+                    continue
+                if numbers[low] != at:
+                    yield from let_go(block_at)
+                    at, line, first = int(numbers[low]), 0, None
+                    inside, block_at = batch.column("open")[low].as_py(), batch.column("block")[low].as_py()
+                texts = batch.column("text").slice(low, high - low)
+                odd = pc.count_substring(texts, '"').to_numpy(zero_copy_only=False) % 2
+                seen = np.cumsum(odd) - odd + inside
+                starts = np.flatnonzero(seen % 2 == 0)
+                inside = bool((seen[-1] + odd[-1]) % 2)
+                # lines before the first start go on with the open record
+                head = int(starts[0]) if len(starts) else len(texts)
+                if head:
+                    held.append(texts.slice(0, head))
+                    line += head
+                if first is None or sum(map(len, held)) > longest:
+                    yield from let_go(block_at)
+                if not len(starts):
+                    continue
+                if held:
+                    whole = pa.concat_arrays(held)
+                    held.clear()
+                    if line - first > longest:  # some of its lines have gone already
+                        yield batch_of(at, [block_at + first] * len(whole), np.arange(line - len(whole), line), whole, True)
+                    else:
+                        joined = pc.binary_join(pa.ListArray.from_arrays(pa.array([0, len(whole)], pa.int32()), whole), "\n")
+                        yield batch_of(at, [block_at + first], [first], joined, False)
+                ends = np.append(starts[1:], len(texts))
+                closed = len(starts) - inside
+                long = np.flatnonzero((ends - starts)[:closed] > longest)
+                if closed:
+                    offsets = np.append(starts[:closed], ends[closed - 1])
+                    joined = pc.binary_join(pa.ListArray.from_arrays(pa.array(offsets, pa.int32()), texts), "\n")
+                    number = line + starts[:closed] - head
+                    if len(long):
+                        kept = np.ones(closed, bool)
+                        kept[long] = False
+                        joined, number = joined.filter(pa.array(kept)), number[kept]
+                    yield batch_of(at, block_at + number, number, joined, False)
+                for i in long:
+                    a, n = line + int(starts[i]) - head, int(ends[i] - starts[i])
+                    yield batch_of(at, [block_at + a] * n, np.arange(a, a + n), texts.slice(int(starts[i]), n), True)
+                if inside:
+                    first = line + int(starts[-1]) - head
+                    held.append(texts.slice(int(starts[-1])))
+                else:
+                    first = line + len(texts) - head
+                line += len(texts) - head
+        yield from let_go(block_at)
+
+    return lines.select("at", "block", "open", "text").mapInArrow(run, _PIECES)
 
 
 def csv_records(spark: SparkSession, path: str | list[str], longest: int = LONGEST) -> DataFrame:
-    """(file, record, text): the records of all files in order, line breaks inside quotes kept as a line feed."""
-    lines = file_lines(spark, path).withColumn("_quotes", F.length("text") - F.length(F.replace("text", F.lit('"'), F.lit(""))))
-    placed = _before(lines, F.col("_quotes"), "_seen").withColumn("_starts", (F.col("_seen") % 2 == 0).cast("bigint"))
-    numbered = _before(placed, F.col("_starts"), "record").withColumn("record", F.col("record") + F.col("_starts"))
-    numbered = materialise(numbered.select("file", "block", "line", "text", "record", "_starts", "_quotes"), "numbered-lines")
-    alone = (F.col("_starts") == 1) & (F.col("_quotes") % 2 == 0)
-    parts = numbered.filter(~alone)
+    """(file, record, text): the records of all files, line breaks inside quotes kept as a line feed; ``record`` ascends in a file."""
+    with same_blocks(spark):
+        lines = spark.read.text(path).select(
+            F.col("_metadata.file_path").alias("file"), F.col("_metadata.file_block_start").alias("block"), F.col("value").alias("text"))
+        blocks = _quotes_before(lines)
+        # a row per block; one that the first read did not have is an error
+        known = lines.join(F.broadcast(blocks), ["file", "block"], "left").withColumn("at", F.coalesce("at", F.raise_error(F.lit("a file changed while it was read")).cast("bigint")))
+        pieces = materialise(block_pieces(known, longest), "record-pieces")
+    parts = pieces.filter("part").join(F.broadcast(blocks), "at").select("file", "block", "line", "record", "text")
+    # the record that is open where a block begins started in the last earlier block with an own open one: a row per block in this window
+    open_ends = parts.groupBy("file", "block").agg(F.max("record").alias("_last"))
+    earlier = Window.partitionBy("file").orderBy("block").rowsBetween(Window.unboundedPreceding, -1)
+    before = open_ends.select("file", "block", F.last("_last", ignorenulls=True).over(earlier).alias("_before"))
+    parts = parts.join(F.broadcast(before), ["file", "block"]).withColumn("record", F.coalesce("record", "_before")).drop("_before")
+    parts = materialise(parts, "crossing-lines")
     sizes = materialise(parts.groupBy("file", "record").agg((F.count("*") <= longest).alias("closed")), "record-sizes")
     sized = parts.join(sizes, ["file", "record"])
     joined = sized.filter("closed").groupBy("file", "record").agg(F.sort_array(F.collect_list(F.struct("block", "line", "text"))).alias("_l"))
-    whole = joined.select("file", "record", F.array_join(F.transform("_l", lambda x: x["text"]), "\n").alias("text"))
+    crossing = joined.select("file", "record", F.array_join(F.transform("_l", lambda x: x["text"]), "\n").alias("text"))
     lost = sized.filter("NOT closed").select("file", "record", "text")
-    return numbered.filter(alone).select("file", "record", "text").unionByName(whole).unionByName(lost)
+    whole = pieces.filter("NOT part").join(F.broadcast(blocks), "at").select("file", "record", "text")
+    return whole.unionByName(crossing).unionByName(lost)
 
 
 def scan_csv_records(spark: SparkSession, path: str | list[str], schema: str, longest: int = LONGEST) -> DataFrame:
@@ -62,7 +163,8 @@ def scan_csv_records(spark: SparkSession, path: str | list[str], schema: str, lo
     does not fit its type is NULL. Blank lines are no records.
     """
     wanted = spark.createDataFrame([], schema).schema
-    records = materialise(csv_records(spark, path, longest).filter(F.trim("text") != ""), "csv-records")
+    # stored parts, put together at each use
+    records = csv_records(spark, path, longest).filter(F.trim("text") != "")
     first = records.groupBy("file").agg(F.min_by("text", "record").alias("header"), F.min("record").alias("_first"))
     options = {"quote": '"', "escape": '"', "maxColumns": "20480"}
     # one pass over the headers, a row per file: how many cells a record can have
