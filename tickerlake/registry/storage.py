@@ -67,7 +67,8 @@ def _(spark, sf):
     path = scratch_path(spark, "partition-files")
     # all five kinds of line, each behind its number
     numbered = F.concat(F.expr(LINE_ID), F.lit(","), F.col("line")).alias("line")
-    v.dirty_lines(spark, sf).select(numbered).repartition(4).write.text(path)
+    path = scratch_path(spark, "partition-files")
+    _in_files(v.dirty_lines(spark, sf).select(numbered), 4).write.text(path)
     return files.scan_partition_files(spark, path, ["id", "a", "b", "c"], {"c": "bigint"}, ["id"])
 
 
