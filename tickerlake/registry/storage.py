@@ -76,10 +76,11 @@ def _(spark, sf):
        f"""SELECT 'loaded' AS status, 4 AS files, count(*) AS lines, count(*) FILTER (l_orderkey % 5 <> 2) AS accepted,
        count(*) FILTER (l_orderkey % 5 = 2) AS rejected FROM dirty_lines""")
 def _(spark, sf):
-    path = scratch_path(spark, "logged-files")
     # lines of one cell have no key
     line = F.when(F.col("l_orderkey") % 5 == 2, F.concat(F.lit(","), "line")).otherwise(F.concat(F.expr(LINE_ID), F.lit(","), F.col("line")))
-    v.dirty_lines(spark, sf).select(line.alias("line")).repartition(4).write.text(path)
+    # the check counts four files
+    path = scratch_path(spark, "logged-files")
+    _in_files(v.dirty_lines(spark, sf).select(line.alias("line")), 4).coalesce(4).write.text(path)
     log = files.load_partition_files(spark, path, ["id", "a", "b", "c"], {"c": "bigint"}, ["id"])[1]
     lines = log.filter("lines > 0")
     return lines.groupBy("status").agg(
