@@ -12,7 +12,7 @@ from tickerlake import jobs
 from tickerlake.operators import aggregates, quality
 from tickerlake.plans.refresh import refresh_aggregates, touched_ranges
 from tickerlake.session import scratch_path, table_path
-from tickerlake.sources import files, loads, records, sinks
+from tickerlake.sources import files, loads, records, sinks, views as v
 from tickerlake.streaming import jobs as streams
 
 
@@ -193,6 +193,28 @@ def test_a_corrupt_file_is_a_row_of_the_log(spark, tmp_path):
     assert (bad.status, bad.lines, bad.accepted) == ("failed", 0, 0) and bad.reason and bad.bytes == len(whole) // 2
 
 
+def test_no_task_writes_a_quarter_of_the_months(spark, tmp_path, monkeypatch):
+    """Landed files are many, each with whole months; text files come from the table's own splits."""
+    from tickerlake import registry
+    from tickerlake.registry import storage
+
+    days = spark.range(7 * 365).selectExpr("id AS l_orderkey", "1 AS l_linenumber", "id % 50 AS l_partkey", "id % 9 AS l_suppkey", "1.0D AS l_quantity", "2.0D AS l_extendedprice",
+                                           "CAST(date_add(DATE '1992-01-01', CAST(id AS INT)) AS TIMESTAMP) AS l_shipdate")
+    days.repartition(6).write.parquet(f"{tmp_path}/lineitem.parquet")
+    seen = {}
+    monkeypatch.setattr(storage, "scratch_path", lambda session, label: seen.setdefault(label, scratch_path(session, label)))
+    assert registry.QUERIES["stream_quotes_upsert"](spark, str(tmp_path)).count() == 7 * 365
+    landed = spark.read.option("header", True).csv(seen["eod-landing"]).select(F.substring("date", 1, 7).alias("month"), F.input_file_name().alias("file"))
+    assert landed.distinct().groupBy("month").count().filter("count > 1").count() == 0
+    assert max(r["count"] for r in landed.groupBy("file").count().collect()) < 7 * 365 / 8
+    assert registry.QUERIES["scan_partition_files"](spark, str(tmp_path)).count() == 7 * 365
+    assert [r.files for r in registry.QUERIES["load_partition_files"](spark, str(tmp_path)).collect()] == [4]
+    for label in ("partition-files", "logged-files"):
+        lines = storage._in_files(v.dirty_lines(spark, str(tmp_path)).select("line"), 4)
+        assert "Exchange" not in lines._jdf.queryExecution().executedPlan().toString() or spark.read.parquet(f"{tmp_path}/lineitem.parquet").rdd.getNumPartitions() < 4
+    assert storage._in_files(spark.range(9, numPartitions=6), 4).rdd.getNumPartitions() == 6 and storage._in_files(spark.range(9, numPartitions=2), 4).rdd.getNumPartitions() == 4
+
+
 def test_load_health_follows_the_log(base):
     log = base.createDataFrame(
         [("a", "equity_quotes", "loaded"), ("b", "equity_quotes", "failed"), ("b", "equity_quotes", "loaded"), ("c", "etfs_quotes", "failed"), ("d", None, "loaded")],

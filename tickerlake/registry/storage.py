@@ -64,7 +64,6 @@ LINE_ID = "concat_ws('-', l_orderkey, l_linenumber, l_partkey, l_suppkey)"
        CASE l_orderkey % 5 WHEN 0 THEN CAST(l_partkey AS VARCHAR) WHEN 4 THEN 'b' END AS b,
        CASE l_orderkey % 5 WHEN 0 THEN 3 WHEN 3 THEN l_partkey WHEN 4 THEN l_partkey END AS c FROM dirty_lines""")
 def _(spark, sf):
-    path = scratch_path(spark, "partition-files")
     # all five kinds of line, each behind its number
     numbered = F.concat(F.expr(LINE_ID), F.lit(","), F.col("line")).alias("line")
     path = scratch_path(spark, "partition-files")
@@ -294,14 +293,19 @@ def _run(spark, stream, label: str):
 FINAL = "<= (SELECT max(ts) - INTERVAL 10 MINUTE FROM api_calls)"
 
 
+#: Files of the landing folder, over which the months are dealt.
+LANDED = 64
+
+
 @query("stream_quotes_upsert", "symbol date:d adj_close:6 volume:i", "quotes",
        "SELECT symbol, date, adj_close, volume FROM quotes")
 def _(spark, sf):
     landing, path = scratch_path(spark, "eod-landing"), scratch_path(spark, "eod-table")
     quotes = v.quotes(spark, sf).select("symbol", "date", "adj_close", "volume")
-    quotes.repartition(4, F.year("date")).write.option("header", True).csv(landing)
+    # a month lies in one file; the files are many, so that none holds much more than its months, and come in two batches
+    quotes.repartition(LANDED, F.trunc("date", "month")).write.option("header", True).csv(landing)
     schema = "symbol bigint, date date, adj_close double, volume bigint"
-    stream = jobs.read_landing(spark, landing, schema, "csv", header=True, maxFilesPerTrigger=2)
+    stream = jobs.read_landing(spark, landing, schema, "csv", header=True, maxFilesPerTrigger=LANDED // 2)
     jobs.stream_quotes_upsert(stream, path, scratch_path(spark, "eod-checkpoint"), "month").awaitTermination()
     return spark.read.parquet(path)
 
