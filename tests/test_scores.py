@@ -33,6 +33,27 @@ def test_percentile_subscores(frame):
     assert got["d"] == (0.0, 0.0, 0.0, 0.0)
 
 
+def test_small_and_large_groups_score_and_rank_alike(spark, monkeypatch):
+    rng = np.random.default_rng(5)
+    rows = [(f"g{g}", f"s{i % (n - 1)}" if i else None, *[None if rng.random() < 0.2 else float(rng.integers(-4, 5)) for _ in range(2)]) for g, n in enumerate((3, 9, 70, 5)) for i in range(n)]
+    rows = materialise(spark.createDataFrame([*rows, (None, "s1", 1.0, 2.0)], "ref string, symbol string, up double, low double"), "t")
+    better = {"up": True, "low": False}
+
+    def scored():
+        return sorted(map(tuple, ps.subscores_percentile(rows, ["ref"], "symbol", better).collect()), key=str)
+
+    # the group of 70 is spread, the others are compared in one row
+    mixed = scored()
+    monkeypatch.setattr(ps, "COMPARED", 0)
+    assert mixed == scored() and len(mixed) == 88
+    monkeypatch.setattr(ps, "COMPARED", 100)
+    assert mixed == scored()
+    scores = spark.createDataFrame([(f"g{i % 3}", i, 1, float(i % 7), float(i % 5)) for i in range(60)], "ref string, symbol int, cutoff int, a double, b double")
+    whole = {tuple(r) for r in ps._ranked(scores, ["a", "b"]).select("ref", "symbol", "category", "rank").collect()}
+    monkeypatch.setattr(ps, "RANKED_WHOLE", 0)
+    assert whole == {tuple(r) for r in ps._ranked(scores, ["a", "b"]).select("ref", "symbol", "category", "rank").collect()} and len(whole) == 120
+
+
 def test_universe_normalisation(frame):
     df = frame("cutoff int, symbol string, v double", (1, "a", 1.0), (1, "b", 3.0), (1, "c", None), (2, "a", 4.0), (2, "b", 4.0))
     got = {(r.cutoff, r.symbol): r.v for r in agg.minmax_normalise_universe(df, "cutoff", ["v"]).collect()}

@@ -6,15 +6,16 @@ from dataclasses import dataclass
 from datetime import date
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from tickerlake.functions.cleaning import all_true
 from tickerlake.functions.measures import min_max_scale
 from tickerlake.operators.asof import asof_latest_record, period_returns
 from tickerlake.operators.calendar import date_array, day_horizons
 from tickerlake.operators.joins import merge_frames, peer_group_expand
 from tickerlake.operators.ranking import rank_across, value_positions
-from tickerlake.operators.skew import join_unique
+from tickerlake.operators.skew import join_groups, join_unique
 from tickerlake.session import materialise
 
 RATIO_METRICS = [
@@ -92,8 +93,44 @@ def subscores_minmax(rows: DataFrame, group: list[str], higher_better: dict[str,
     return joined.withColumns({m: score(m) for m in metrics}).select(*rows.columns)
 
 
+#: Rows of a group whose members are compared in one row, and of one that a task ranks whole. Larger groups are spread over tasks.
+COMPARED, RANKED_WHOLE = 64, 10_000
+
+
+def _by_size(rows: DataFrame, group: list[str], most: int) -> tuple[DataFrame, DataFrame | None]:
+    """Rows of the groups of at most ``most`` rows, and those of larger ones, if there are any."""
+    large = materialise(rows.groupBy(*group).agg(F.count("*").alias("_n")).filter(F.col("_n") > most).select(*group), "large-groups")
+    if large.isEmpty():
+        return rows, None
+    return join_groups(rows, large, group, "left_anti"), join_groups(rows, large, group, "left_semi")
+
+
 def subscores_percentile(rows: DataFrame, group: list[str], key: str, higher_better: dict[str, bool]) -> DataFrame:
-    """Share of the group's values that a value equals or beats, times 100; a missing value scores 0."""
+    """Share of the group's values that a value equals or beats, times 100; a missing value scores 0. Rows of one key have its best score."""
+    small, large = _by_size(rows, group, COMPARED)
+    found = _compared_percentile(small, group, key, higher_better)
+    return found if large is None else found.unionByName(_spread_percentile(large, group, key, higher_better))
+
+
+def _compared_percentile(rows: DataFrame, group: list[str], key: str, higher_better: dict[str, bool]) -> DataFrame:
+    """``subscores_percentile`` for small groups: one shuffle of the rows, then each member is compared with the others of its group."""
+    metrics = list(higher_better)
+    directed = [(F.col(m) if higher_better[m] else -F.col(m)).alias(m) for m in metrics]
+    members = rows.groupBy(*group).agg(
+        F.collect_list(F.struct(F.col(key), *directed)).alias("_m"), F.count_distinct(key).alias("_keys"), *[F.count(m).alias(f"_n_{m}") for m in metrics])
+    known = all_true([F.col(c).isNotNull() for c in group])
+
+    def score(r: Column, m: str) -> Column:
+        best = F.array_max(F.transform(F.filter("_m", lambda o: o[key] == r[key]), lambda o: o[m]))
+        value = F.when(F.col("_keys") == F.size("_m"), r[m]).otherwise(best)
+        share = F.size(F.filter("_m", lambda o: o[m] <= value)) / F.col(f"_n_{m}") * 100
+        return F.when(known & r[key].isNotNull() & value.isNotNull(), share).otherwise(0.0).alias(m)
+
+    return members.select(*group, F.inline(F.transform("_m", lambda r: F.struct(r[key].alias(key), *[score(r, m) for m in metrics]))))
+
+
+def _spread_percentile(rows: DataFrame, group: list[str], key: str, higher_better: dict[str, bool]) -> DataFrame:
+    """``subscores_percentile`` for groups of any size."""
     metrics = list(higher_better)
     directed = [
         F.struct(F.lit(m).alias("metric"), (F.col(m) if higher_better[m] else -F.col(m)).alias("value")) for m in metrics
@@ -124,9 +161,17 @@ def category_scores(sub: DataFrame, model: ScoreModel) -> DataFrame:
 
 def _ranked(scores: DataFrame, categories: list[str]) -> DataFrame:
     entries = F.array(*[F.struct(F.lit(c).alias("category"), F.col(c).alias("score")) for c in categories])
-    long = scores.select("ref", "symbol", "cutoff", F.inline(entries))
     order = [F.col("score").desc(), F.col("symbol")]
-    return rank_across(long, ["ref", "cutoff", "category"], order, "rank")
+    group = ["ref", "cutoff"]
+
+    def long(rows: DataFrame) -> DataFrame:
+        return rows.select("ref", "symbol", "cutoff", F.inline(entries))
+
+    scores = materialise(scores.select(*group, "symbol", *categories), "scores")
+    small, large = _by_size(scores, group, RANKED_WHOLE)
+    # a group is brought together before its rows are multiplied
+    ranked = long(small.repartition(*group)).withColumn("rank", F.row_number().over(Window.partitionBy(*group, "category").orderBy(*order)).cast("bigint"))
+    return ranked if large is None else ranked.unionByName(rank_across(long(large), [*group, "category"], order, "rank"))
 
 
 def peer_scores_minmax(
