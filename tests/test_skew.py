@@ -128,3 +128,42 @@ def test_trailing_count_across_blocks(spark):
     calls = calls.select("endpoint", F.timestamp_seconds("s").alias("ts"))
     got = {r.second - start: r.trailing_calls for r in ts.trailing_window_count(calls, "endpoint", "ts", 60, 8).collect()}
     assert got == {s: sum(s - 60 <= o <= s for o in seconds) for s in seconds}
+
+
+def brute_funds(rows, limit=10):
+    import math
+
+    out = set()
+    for s, cls, er, aum in rows:
+        found = []
+        for o, ocls, oer, oaum in rows:
+            if o == s or ocls != cls or cls is None:
+                continue
+            if er is not None and not (oer is not None and er * 0.8 <= oer <= er * 1.2):
+                continue
+            if aum is not None and not (oaum is not None and aum * 0.5 <= oaum <= aum * 2.0):
+                continue
+            mine, other = (aum, oaum) if aum is not None else (er, oer)
+            found.append((0.0 if mine is None or mine == other else abs(math.log(other / mine)), o))
+        out |= {(s, o, i) for i, (_, o) in enumerate(sorted(found)[:limit], 1)}
+    return out
+
+
+def test_similar_funds_searches_a_probe_once(spark, monkeypatch):
+    """A class with many rates in a probe's band: levels are looked up once for each probe, not for each rate."""
+    rng = random.Random(17)
+    sizes = [None, 100.0, 100.0, *[float(rng.randint(50, 300)) for _ in range(40)]]
+    rates = [None, 0.0, *[r / 100 for r in range(20, 50)]]
+    rows = [(i, "hot" if i % 4 else f"c{i % 3}", rng.choice(rates), rng.choice(sizes)) for i in range(500)]
+    rows += [(1000 + i, "hot", 0.3, 100.0) for i in range(40)] + [(2000, None, 0.3, 100.0)]
+    df = spark.createDataFrame(rows, "symbol int, cls string, expense_ratio double, aum double")
+    searched, real = [], similarity.nearest_levels
+
+    def counted(levels, probes, cls, size, reach):
+        searched.append(probes.count())
+        return real(levels, probes, cls, size, reach)
+
+    monkeypatch.setattr(similarity, "nearest_levels", counted)
+    got = {tuple(r) for r in similarity.similar_funds(df, df, ["cls"]).collect()}
+    assert got == brute_funds(rows)
+    assert sum(searched) <= len(rows)

@@ -11,6 +11,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tickerlake.operators.ranking import running_total
+from tickerlake.session import materialise
 
 
 def smallest_symbols(rows: DataFrame, by: list[str], reach: int) -> DataFrame:
@@ -123,8 +124,8 @@ def similar_funds(
     """Funds of the same class with expense ratio within 20 % and assets within half to double.
 
     A missing measure skips its band. Nearest by assets, else by expense ratio, then symbol. With both known the
-    class is refined by expense level: the levels inside a probe's band are few (rates have fixed precision) and
-    each is searched by assets like a class of its own.
+    class is refined by the probes' expense ratios, which are few (rates have fixed precision): a fund is a member of
+    each whose band it lies in, so a probe is searched by assets once, and not once for every level of its band.
     """
     reach = limit + known + 1
     er, aum = "expense_ratio", "aum"
@@ -132,7 +133,6 @@ def similar_funds(
     u, p = universe.select(*columns), probes.select(*columns)
     has_er, has_aum = F.col(er).isNotNull(), F.col(aum).isNotNull()
 
-    fine = [*cls, "_level_er"]
     rates = u.filter(has_er & has_aum).select(*cls, F.col(er).alias("_level_er")).distinct()
     probe_rates = p.filter(has_er & has_aum).select(*cls, er).distinct()
     # a band of 20 % spans at most the neighbouring steps of the rate's logarithm, so no class meets all of its rates
@@ -140,9 +140,11 @@ def similar_funds(
     wanted = probe_rates.withColumn("_step", F.explode(F.array(step - 1, step, step + 1)))
     rates = rates.withColumn(er, F.col("_level_er")).withColumn("_step", step).drop(er)
     in_band = wanted.join(rates, [*cls, "_step"]).filter(F.col("_level_er").between(F.col(er) * 0.8, F.col(er) * 1.2)).drop("_step")
-    both_probes = p.filter(has_er & has_aum).join(in_band, [*cls, er]).select("symbol", *fine, aum)
-    both_levels = smallest_symbols(u.filter(has_er & has_aum).withColumnRenamed(er, "_level_er"), [*fine, aum], reach)
-    both = _in_band(nearest_levels(both_levels, both_probes, fine, aum, reach), aum, 0.5, 2.0)
+    # stored, so that its true size decides whether it is broadcast
+    in_band = materialise(in_band, "rate-bands")
+    members = u.filter(has_er & has_aum).withColumnRenamed(er, "_level_er").join(in_band, [*cls, "_level_er"])
+    both_levels = smallest_symbols(members, [*cls, er, aum], reach)
+    both = _in_band(nearest_levels(both_levels, p.filter(has_er & has_aum), [*cls, er], aum, reach), aum, 0.5, 2.0)
 
     def one_measure(measure: str, low: float, high: float, rows: Column) -> DataFrame:
         levels = smallest_symbols(u.filter(F.col(measure).isNotNull()), [*cls, measure], reach)
