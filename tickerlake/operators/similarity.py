@@ -14,10 +14,14 @@ from tickerlake.operators.ranking import running_total
 from tickerlake.session import materialise
 
 
+def _smallest_rows(rows: DataFrame, by: list[str], reach: int) -> DataFrame:
+    first = F.row_number().over(Window.partitionBy(*by).orderBy("symbol"))
+    return rows.select(*by, "symbol").withColumn("_n", first).filter(F.col("_n") <= reach)
+
+
 def smallest_symbols(rows: DataFrame, by: list[str], reach: int) -> DataFrame:
     """Per group the ``reach`` smallest symbols: no later one can be chosen among equals."""
-    first = F.row_number().over(Window.partitionBy(*by).orderBy("symbol"))
-    kept = rows.select(*by, "symbol").withColumn("_n", first).filter(F.col("_n") <= reach)
+    kept = _smallest_rows(rows, by, reach)
     return kept.groupBy(*by).agg(F.array_sort(F.collect_list("symbol")).alias("_symbols"))
 
 
@@ -142,7 +146,10 @@ def similar_funds(
     in_band = wanted.join(rates, [*cls, "_step"]).filter(F.col("_level_er").between(F.col(er) * 0.8, F.col(er) * 1.2)).drop("_step")
     # stored, so that its true size decides whether it is broadcast
     in_band = materialise(in_band, "rate-bands")
-    members = u.filter(has_er & has_aum).withColumnRenamed(er, "_level_er").join(in_band, [*cls, "_level_er"])
+    known_both = u.filter(has_er & has_aum).withColumnRenamed(er, "_level_er")
+    # ties are cut first, so no level is hot afterwards and its members can be dealt out without a sort of a task's copies
+    members = _smallest_rows(known_both, [*cls, "_level_er", aum], reach).join(in_band, [*cls, "_level_er"])
+    members = members.select(*cls, er, aum, "symbol").repartition(*cls, er, aum)
     both_levels = smallest_symbols(members, [*cls, er, aum], reach)
     both = _in_band(nearest_levels(both_levels, p.filter(has_er & has_aum), [*cls, er], aum, reach), aum, 0.5, 2.0)
 
