@@ -7,6 +7,7 @@ import pytest
 from tickerlake.llm import ngram_join
 from tickerlake.llm.components import components
 from tickerlake.llm.ngram_join import similar_sets
+from tickerlake.llm.shared_shingles import mostly_shared
 
 
 def shingles(text, k):
@@ -115,3 +116,27 @@ def test_members_of_earlier_rounds_keep_new_ones(spark):
     assert ngram_join.close_members(pairs((1, 3)), blobs, like).collect() == []
     kept = ngram_join.close_members(pairs((1, 3), (2, 4)), blobs, like, pairs((1, 2))).collect()
     assert [tuple(r) for r in kept] == [(1, 3)]
+
+
+def test_only_documents_that_may_be_linked_are_compared(spark, monkeypatch):
+    """Documents around one passage share signatures, but most of their shingles stand nowhere else; copies are one set."""
+    rng = random.Random(17)
+    passage = " ".join(f"p{i}" for i in range(40))
+    texts = [f"{passage} " + " ".join(f"o{i}x{j}" for j in range(60)) for i in range(40)]
+    texts += [*(like := family(rng, 12, 120, 3)), like[0], texts[0]]
+    seen, real = [], ngram_join.signature_members
+    monkeypatch.setattr(ngram_join, "signature_members", lambda docs, like: seen.extend(r["doc_id"] for r in docs.collect()) or real(docs, like))
+    check(spark, list(enumerate(texts)), 5, 80, 100, sparing=True)
+    assert seen and set(seen) <= {0, *range(40, 52)}
+
+
+@pytest.mark.parametrize("chunk, bucket", [(1 << 18, 1 << 21), (50, 20), (1, 5)])
+def test_mostly_shared_as_counted(spark, chunk, bucket):
+    rng = random.Random(19)
+    texts = family(rng, 30, 40, 12) + family(rng, 10, 300, 40) + [f"u{i} v{i} w{i}" for i in range(9)] + ["a b", "a b", "", None, "c", "x y z"]
+    rows = list(enumerate(texts)) + [(3, "one id with two texts"), (3, "one id with two texts")]
+    sets = [(i, shingles(t, 3)) for i, t in rows]
+    count = Counter(s for _, own in sets for s in own)
+    df = spark.createDataFrame(rows, "doc_id bigint, text string").repartition(3)
+    kept = mostly_shared(df, ngram_join.Similarity(3, 80, 100), sum(count.values()), chunk, bucket).collect()
+    assert Counter(r["doc_id"] for r in kept) == Counter(i for i, own in sets if own and 100 * sum(count[s] > 1 for s in own) >= 80 * len(own))

@@ -31,6 +31,7 @@ from pyspark.sql.window import Window
 
 from tickerlake.llm.common import give_back, identified, release_shuffles, table, texts
 from tickerlake.llm.components import components
+from tickerlake.llm.shared_shingles import mostly_shared
 from tickerlake.llm.words import U64, Words, mix, slices, window_hashes
 from tickerlake.session import materialise
 
@@ -431,15 +432,27 @@ def group_links(members: DataFrame, nodes: DataFrame, given: DataFrame, like: Si
         members = group_members(rows)
 
 
+def candidates(given: DataFrame, keys: DataFrame, nodes: DataFrame, like: Similarity) -> DataFrame:
+    """The rows (doc_id, text) that links between different sets may have: the smallest document of each set with enough shingles that other documents have, too."""
+    total = keys.agg(F.sum("n")).first()[0] or 0
+    ids = mostly_shared(given, like, total).join(nodes.select(F.col("node").alias("doc_id")), "doc_id", "left_semi")
+    ids = materialise(ids, "candidate-ids")
+    release_shuffles(given.sparkSession)
+    near = materialise(given.join(ids, "doc_id", "left_semi"), "candidates")
+    release_shuffles(given.sparkSession)
+    return near
+
+
 def similar_sets(docs: DataFrame, shingle: int = 3, num: int = 90, den: int = 100, sparing: bool = False) -> DataFrame:
     """doc_id, n_shingles, component_id of every row; the smallest doc_id that links of Jaccard similarity num / den or more reach. ``sparing`` is that of ``group_links``."""
     like = Similarity(shingle, num, den)
     given, nameless = identified(texts(docs))
     keys = materialise(set_keys(given, like), "set-keys")
     nodes = materialise(keys.where("n > 0").groupBy("n", "a", "b").agg(F.min("doc_id").alias("node")), "nodes")
-    members = signature_members(given, like)
+    near = candidates(given, keys, nodes, like)
+    members = signature_members(near, like)
     release_shuffles(docs.sparkSession)
-    links = group_links(members, nodes, given, like, sparing)
+    links = group_links(members, nodes, near, like, sparing)
     roots = components(links.select(F.col("p").alias("a"), F.col("x").alias("b")))
     named = keys.join(nodes, ["n", "a", "b"], "left")
     named = named.join(roots, "node", "left")
