@@ -145,6 +145,7 @@ def set_keys(docs: DataFrame, like: Similarity) -> DataFrame:
                 x, edge = like.sets(words)
                 a, b = _fingerprints(x, edge)
                 yield pa.RecordBatch.from_arrays([batch.column("doc_id").slice(low, high - low), pa.array(np.diff(edge)), _signed(a), _signed(b)], ["doc_id", "n", "a", "b"])
+        give_back()
 
     return docs.mapInArrow(run, _KEY)
 
@@ -226,6 +227,7 @@ def close_pairs(pairs: DataFrame, blobs: DataFrame, like: Similarity) -> DataFra
             apart = np.abs(_sketches(batch.column("mine")) - _sketches(batch.column("theirs"))).sum(1, dtype=np.int64)
             total = batch.column("n_x").to_numpy() + batch.column("n_p").to_numpy()
             yield batch.select(["p", "x"]).filter(pa.array(apart <= like.differ(total)))
+        give_back()
 
     n = (F.length("shingles") / 8).cast("bigint")
     mine = blobs.select(F.col("doc_id").alias("x"), F.col("sketch").alias("mine"), n.alias("n_x"))
