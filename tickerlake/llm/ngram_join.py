@@ -4,7 +4,7 @@ Sets are put into bands of almost equal size, ``[l, l * den / num]``. Linked set
 differ in at most k shingles. The shingle domain is cut into more than k parts by hash, so linked sets agree on a part:
 the hash of a set's shingles in a part is a signature, and linked sets share one. (This is PartEnum with subsets of one second-level part, the
 choice with fewest signatures.) Parts empty in a set would all agree, so ``spare`` parts are added and empty
-ones are left out, except for sets with more empty parts than spare ones.
+ones are left out, except for sets with more empty parts than spare ones. Sets without enough shingles of other documents have no link and get no signatures (``shared_shingles``).
 
 Documents with a common signature are paired if they are few. In a larger group they meet only the smallest of them, the pivot, and the pairs are
 checked on the whole sets. A pivot's members make a family. (Pairs and members that counts of the shingles' first bytes rule out, which bound the difference from below, go before the sets are
