@@ -2,8 +2,11 @@
 
 import base64
 import math
+import os
 import random
 import re
+import subprocess
+import sys
 import time
 
 import duckdb
@@ -12,7 +15,7 @@ import tiktoken
 from hypothesis import given, settings
 from hypothesis import strategies as st
 
-from tickerlake.llm import bpe_duckdb, chat_format, quality_cascade, secret_scan, template_decontam
+from tickerlake.llm import bpe_duckdb, chat_format, common, quality_cascade, secret_scan, template_decontam
 
 # --- rules
 
@@ -208,6 +211,34 @@ def test_what_is_remembered_is_forgotten(coder, library, monkeypatch):
         assert coder.decode(ids) == [t.encode() for t in texts]
 
 
+CODING = """
+import random, re
+from tickerlake.llm import bpe_duckdb
+from tickerlake.llm.common import give_back
+
+def held():
+    return sum(map(int, re.findall(r"\\nPss_Anon:\\s+(\\d+)", open("/proc/self/smaps_rollup").read()))) / 1024
+
+coder, rng = bpe_duckdb.tokenizer(bpe_duckdb.default_path(), bpe_duckdb.default_pattern()), random.Random(8)
+words = ["".join(rng.choices("abcdefghijklmnop", k=rng.randint(4, 12))) for _ in range(60_000)]
+coder._pieces(words[:500])
+give_back()
+before = held()
+coder._pieces(words)
+give_back()
+print("MB", held() - before)
+"""
+
+
+@pytest.mark.skipif(not os.path.exists("/proc/self/smaps_rollup"), reason="memory cannot be read here")
+def test_a_worker_gives_the_memory_of_contractions_back():
+    """An executor's Python workers share its memory with the JVM; the database used to keep some 30 MB in each."""
+    env = os.environ | {"PYTHONPATH": os.pathsep.join([common.ROOT, os.environ.get("PYTHONPATH", "")])}
+    run = subprocess.run([sys.executable, "-c", CODING], env=env, capture_output=True, text=True, timeout=300)
+    assert not run.returncode, run.stderr
+    assert float(run.stdout.split("MB")[1]) < 18
+
+
 def test_tokens_encode_to_themselves(coder):
     """What the contraction of all leftmost pairs at once rests on."""
     tokens = [t for t in coder.ranks if 1 < len(t)]

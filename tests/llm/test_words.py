@@ -5,6 +5,8 @@ import pyarrow as pa
 from hypothesis import given, settings
 from hypothesis import strategies as st
 
+from tickerlake.llm import words
+from tickerlake.llm.common import give_back
 from tickerlake.llm.words import slices, window_hashes
 
 TEXTS = st.lists(st.one_of(st.none(), st.text(alphabet="abé日 \t\n\x0b\x85\xa0", max_size=30)), max_size=8)
@@ -23,6 +25,15 @@ def test_words_are_the_pattern_and_hashes_are_of_content(values, size):
     assert len(set(seen.values())) == len(seen)
 
 
+def test_tables_of_powers_go_back_at_the_end_of_a_task():
+    text = pa.array(["a word " * 100_000])
+    first = [w.hashes().tolist() for _, _, w in slices(text)]
+    assert words._TABLES
+    give_back()
+    assert not words._TABLES
+    assert [w.hashes().tolist() for _, _, w in slices(text)] == first
+
+
 def test_windows_stay_in_one_text():
     (_, _, words), = slices(pa.array(["a b c", "a b", "", "b c a b c"]))
     first = words.windows(3)

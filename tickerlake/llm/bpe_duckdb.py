@@ -34,13 +34,13 @@ from pyspark.sql import functions as F
 
 from tickerlake.llm.common import give_back, table, texts
 
-#: Text that is coded at a time.
-RUN_BYTES = 1 << 21
+#: Text that is coded at a time: two runs to an Arrow batch under ``small_batches``.
+RUN_BYTES = 9 << 17
 #: Pieces whose tokens a worker remembers; with more of them it forgets, before the next run, those met once only, or all if too many are left.
 CACHE = 200_000
 LONG_PIECE = 64
 #: Short pieces of one query: its result holds every step.
-QUERY_PIECES = 1 << 15
+QUERY_PIECES = 1 << 13
 
 #: A row knows its right neighbour (position and token). ``found`` orders pairs by rank, then position; a short piece has few positions.
 _CONTRACT = """
@@ -186,6 +186,8 @@ class Tokenizer:
         self.db = duckdb.connect(":memory:")
         self._run("SET threads = 1")
         self._run("SET memory_limit = '200MB'")
+        # Else the database keeps the freed memory of a query.
+        self._run("SET allocator_bulk_deallocation_flush_threshold = '1MB'")
         self._run(f"SET temp_directory = '{os.path.join(tempfile.gettempdir(), f'duckdb-{os.getpid()}')}'")
         tokens = pa.table({"id": pa.array(self.ranks.values(), pa.int32()), "bytes": pa.array([t.decode("latin-1") for t in self.ranks])})
         self.size = np.zeros(max(self.ranks.values(), default=0) + 1, np.int64)
@@ -309,22 +311,27 @@ def _runs(column: pa.Array, size: int) -> Iterator[tuple[int, int]]:
         low, done = high, int(ends[high - 1])
 
 
+def code_batches(batches: Iterator[pa.RecordBatch], coder: Tokenizer) -> Iterator[pa.RecordBatch]:
+    """doc_id, ids and decoded bytes of every row. Free memory goes back to the system after each run, as an executor's workers share its memory with the JVM."""
+    for b in batches:
+        for low, high in _runs(b.column("text"), RUN_BYTES):
+            ids = coder.encode(b.column("text").slice(low, high - low).fill_null("").to_pylist())
+            offsets = np.concatenate([[0], np.cumsum([len(x) for x in ids])]).astype(np.int32)
+            flat = pa.array(np.concatenate(ids) if len(ids) else np.zeros(0, np.int32), pa.int32())
+            yield pa.RecordBatch.from_arrays(
+                [b.column("doc_id").slice(low, high - low), pa.ListArray.from_arrays(pa.array(offsets), flat), pa.array(coder.decode(ids), pa.binary())],
+                ["doc_id", "ids", "decoded"],
+            )
+            del ids, offsets, flat
+            give_back()
+
+
 def encode_decode(docs: DataFrame, path: str | None = None, pattern: str | None = None) -> DataFrame:
     """doc_id, ids array<int>, decoded binary of every row. ``path`` must name the vocabulary file on every executor."""
     path, pattern = path or default_path(), pattern or default_pattern()
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        coder = tokenizer(path, pattern)
-        for b in batches:
-            for low, high in _runs(b.column("text"), RUN_BYTES):
-                ids = coder.encode(b.column("text").slice(low, high - low).fill_null("").to_pylist())
-                offsets = np.concatenate([[0], np.cumsum([len(x) for x in ids])]).astype(np.int32)
-                flat = pa.array(np.concatenate(ids) if len(ids) else np.zeros(0, np.int32), pa.int32())
-                yield pa.RecordBatch.from_arrays(
-                    [b.column("doc_id").slice(low, high - low), pa.ListArray.from_arrays(pa.array(offsets), flat), pa.array(coder.decode(ids), pa.binary())],
-                    ["doc_id", "ids", "decoded"],
-                )
-        give_back()
+        return code_batches(batches, tokenizer(path, pattern))
 
     return texts(docs).mapInArrow(run, "doc_id bigint, ids array<int>, decoded binary")
 
