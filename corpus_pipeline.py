@@ -51,7 +51,7 @@ def secret_scans(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame
 def byte_bpe(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """doc_id, token ids and the digest of the decoded bytes, which is that of the text."""
     small_batches(spark)
-    coded = bpe_duckdb.encode_decode(docs)
+    coded = bpe_duckdb.encode_decode(docs, sparing=True)
     return coded.select("doc_id", "ids", F.size("ids").cast("bigint").alias("n_tokens"), F.sha2("decoded", 256).alias("decoded_sha256"))
 
 

@@ -219,7 +219,7 @@ from tickerlake.llm.common import give_back
 def held():
     return sum(map(int, re.findall(r"\\nPss_Anon:\\s+(\\d+)", open("/proc/self/smaps_rollup").read()))) / 1024
 
-coder, rng = bpe_duckdb.tokenizer(bpe_duckdb.default_path(), bpe_duckdb.default_pattern()), random.Random(8)
+coder, rng = bpe_duckdb.tokenizer(bpe_duckdb.default_path(), bpe_duckdb.default_pattern(), sparing=True), random.Random(8)
 words = ["".join(rng.choices("abcdefghijklmnop", k=rng.randint(4, 12))) for _ in range(60_000)]
 coder._pieces(words[:500])
 give_back()
@@ -232,7 +232,7 @@ print("MB", held() - before)
 
 @pytest.mark.skipif(not os.path.exists("/proc/self/smaps_rollup"), reason="memory cannot be read here")
 def test_a_worker_gives_the_memory_of_contractions_back():
-    """An executor's Python workers share its memory with the JVM; the database used to keep some 30 MB in each."""
+    """An executor's Python workers share its memory with the JVM; a database that is not sparing keeps some 30 MB in each."""
     env = os.environ | {"PYTHONPATH": os.pathsep.join([common.ROOT, os.environ.get("PYTHONPATH", "")])}
     run = subprocess.run([sys.executable, "-c", CODING], env=env, capture_output=True, text=True, timeout=300)
     assert not run.returncode, run.stderr

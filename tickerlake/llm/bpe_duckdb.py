@@ -34,13 +34,13 @@ from pyspark.sql import functions as F
 
 from tickerlake.llm.common import give_back, table, texts
 
-#: Text that is coded at a time: two runs to an Arrow batch under ``small_batches``.
-RUN_BYTES = 9 << 17
+#: Text that is coded at a time; if sparing of memory, two runs to an Arrow batch under ``small_batches``.
+RUN_BYTES, SPARING_RUN_BYTES = 1 << 21, 9 << 17
 #: Pieces whose tokens a worker remembers; with more of them it forgets, before the next run, those met once only, or all if too many are left.
 CACHE = 200_000
 LONG_PIECE = 64
 #: Short pieces of one query: its result holds every step.
-QUERY_PIECES = 1 << 13
+QUERY_PIECES, SPARING_PIECES = 1 << 15, 1 << 13
 
 #: A row knows its right neighbour (position and token). ``found`` orders pairs by rank, then position; a short piece has few positions.
 _CONTRACT = """
@@ -176,9 +176,10 @@ class Remembered:
 
 
 class Tokenizer:
-    """Encodes and decodes with tables in an in-memory DuckDB database of the task's process."""
+    """Encodes and decodes with tables in an in-memory DuckDB database of the task's process; if ``sparing``, with less memory and more time."""
 
-    def __init__(self, path: str, pattern: str):
+    def __init__(self, path: str, pattern: str, sparing: bool = False):
+        self.sparing = sparing
         self.split = regex.compile(pattern)
         self.ranks = read_ranks(path)
         self.byte_ids = np.array([self.ranks.get(bytes([i]), -1) for i in range(256)], np.int32)
@@ -186,8 +187,9 @@ class Tokenizer:
         self.db = duckdb.connect(":memory:")
         self._run("SET threads = 1")
         self._run("SET memory_limit = '200MB'")
-        # Else the database keeps the freed memory of a query.
-        self._run("SET allocator_bulk_deallocation_flush_threshold = '1MB'")
+        if sparing:
+            # Else the database keeps the freed memory of a query.
+            self._run("SET allocator_bulk_deallocation_flush_threshold = '1MB'")
         self._run(f"SET temp_directory = '{os.path.join(tempfile.gettempdir(), f'duckdb-{os.getpid()}')}'")
         tokens = pa.table({"id": pa.array(self.ranks.values(), pa.int32()), "bytes": pa.array([t.decode("latin-1") for t in self.ranks])})
         self.size = np.zeros(max(self.ranks.values(), default=0) + 1, np.int64)
@@ -255,7 +257,8 @@ class Tokenizer:
                 out[i] = rank.to_bytes(4, "little")
             else:
                 (short if len(raw) <= LONG_PIECE or not self.ordered else long).append((i, raw))
-        groups = [(short[at : at + QUERY_PIECES], self._contract) for at in range(0, len(short), QUERY_PIECES)]
+        most = SPARING_PIECES if self.sparing else QUERY_PIECES
+        groups = [(short[at : at + most], self._contract) for at in range(0, len(short), most)]
         for group, contract in [*groups, *([(long, self._contract_long)] if long else [])]:
             for (i, _), ids in zip(group, contract([raw for _, raw in group])):
                 out[i] = ids
@@ -296,9 +299,9 @@ class Tokenizer:
 
 
 @lru_cache(maxsize=2)
-def tokenizer(path: str, pattern: str) -> Tokenizer:
+def tokenizer(path: str, pattern: str, sparing: bool = False) -> Tokenizer:
     """One per worker process, kept for later tasks."""
-    return Tokenizer(path, pattern)
+    return Tokenizer(path, pattern, sparing)
 
 
 def _runs(column: pa.Array, size: int) -> Iterator[tuple[int, int]]:
@@ -312,9 +315,9 @@ def _runs(column: pa.Array, size: int) -> Iterator[tuple[int, int]]:
 
 
 def code_batches(batches: Iterator[pa.RecordBatch], coder: Tokenizer) -> Iterator[pa.RecordBatch]:
-    """doc_id, ids and decoded bytes of every row. Free memory goes back to the system after each run, as an executor's workers share its memory with the JVM."""
+    """doc_id, ids and decoded bytes of every row. Free memory goes back to the system at the end, with a sparing tokenizer after each run."""
     for b in batches:
-        for low, high in _runs(b.column("text"), RUN_BYTES):
+        for low, high in _runs(b.column("text"), SPARING_RUN_BYTES if coder.sparing else RUN_BYTES):
             ids = coder.encode(b.column("text").slice(low, high - low).fill_null("").to_pylist())
             offsets = np.concatenate([[0], np.cumsum([len(x) for x in ids])]).astype(np.int32)
             flat = pa.array(np.concatenate(ids) if len(ids) else np.zeros(0, np.int32), pa.int32())
@@ -322,16 +325,18 @@ def code_batches(batches: Iterator[pa.RecordBatch], coder: Tokenizer) -> Iterato
                 [b.column("doc_id").slice(low, high - low), pa.ListArray.from_arrays(pa.array(offsets), flat), pa.array(coder.decode(ids), pa.binary())],
                 ["doc_id", "ids", "decoded"],
             )
-            del ids, offsets, flat
-            give_back()
+            if coder.sparing:
+                del ids, offsets, flat
+                give_back()
+    give_back()
 
 
-def encode_decode(docs: DataFrame, path: str | None = None, pattern: str | None = None) -> DataFrame:
-    """doc_id, ids array<int>, decoded binary of every row. ``path`` must name the vocabulary file on every executor."""
+def encode_decode(docs: DataFrame, path: str | None = None, pattern: str | None = None, sparing: bool = False) -> DataFrame:
+    """doc_id, ids array<int>, decoded binary of every row. ``path`` must name the vocabulary file on every executor; ``sparing`` is for executors that little memory is left of."""
     path, pattern = path or default_path(), pattern or default_pattern()
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        return code_batches(batches, tokenizer(path, pattern))
+        return code_batches(batches, tokenizer(path, pattern, sparing))
 
     return texts(docs).mapInArrow(run, "doc_id bigint, ids array<int>, decoded binary")
 
