@@ -2,6 +2,7 @@ import random
 import re
 from collections import Counter
 
+import numpy as np
 import pytest
 
 from tickerlake.llm import ngram_join
@@ -140,3 +141,31 @@ def test_mostly_shared_as_counted(spark, chunk, bucket):
     df = spark.createDataFrame(rows, "doc_id bigint, text string").repartition(3)
     kept = mostly_shared(df, ngram_join.Similarity(3, 80, 100), sum(count.values()), chunk, bucket).collect()
     assert Counter(r["doc_id"] for r in kept) == Counter(i for i, own in sets if own and 100 * sum(count[s] > 1 for s in own) >= 80 * len(own))
+
+
+def counted(monkeypatch):
+    """Numbers of pairs of sets that are read, one for each call."""
+    seen, real = [], ngram_join.check_pairs
+    monkeypatch.setattr(ngram_join, "check_pairs", lambda pairs, *more: seen.append(pairs.count()) or real(pairs, *more))
+    return seen
+
+
+def test_a_family_is_compared_around_one_centre(spark, monkeypatch):
+    """Members that are not linked with the smallest one meet many pivots; their sets are read once, and again only for links between different centres."""
+    monkeypatch.setattr(ngram_join, "DIRECT", 3)
+    monkeypatch.setattr(ngram_join, "CELLS", 1000)
+    seen = counted(monkeypatch)
+    texts = family(random.Random(23), 250, 200, 8)
+    check(spark, list(enumerate(texts)), 5, 80, 100, sparing=True)
+    assert sum(seen) < 4 * len(texts)
+
+
+def test_large_sets_with_empty_parts_share_no_signature():
+    """Parts that are empty in unrelated sets are no signature while other cuts of the domain have fewer of them."""
+    like, rng = ngram_join.Similarity(5, 80, 100), np.random.default_rng(7)
+    sets, size = 4000, 60
+    x = np.sort(rng.integers(0, 1 << 63, (sets, size)).astype(np.uint64), axis=1).ravel()
+    text, sig = like.signatures(x, np.arange(0, sets * size + 1, size))
+    _, count = np.unique(sig, return_counts=True)
+    assert count.max() < 5
+    assert len(set(text)) == sets

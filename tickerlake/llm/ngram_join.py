@@ -4,7 +4,8 @@ Sets are put into bands of almost equal size, ``[l, l * den / num]``. Linked set
 differ in at most k shingles. The shingle domain is cut into more than k parts by hash, so linked sets agree on a part:
 the hash of a set's shingles in a part is a signature, and linked sets share one. (This is PartEnum with subsets of one second-level part, the
 choice with fewest signatures.) Parts empty in a set would all agree, so ``spare`` parts are added and empty
-ones are left out, except for sets with more empty parts than spare ones. Sets without enough shingles of other documents have no link and get no signatures (``shared_shingles``).
+ones are left out. Linked sets that agree on empty parts only have more of those than spare ones, both, and get signatures of another cut of the domain as well, and of the last cut (``CUTS``) the empty
+parts', too. Sets without enough shingles of other documents have no link and get no signatures (``shared_shingles``).
 
 Documents with a common signature are paired if they are few. In a larger group they meet only the smallest of them, the pivot, and the pairs are
 checked on the whole sets. A pivot's members make a family. (Pairs and members that counts of the shingles' first bytes rule out, which bound the difference from below, go before the sets are
@@ -37,8 +38,12 @@ from tickerlake.session import materialise
 
 #: Groups of this size or less are compared whole.
 DIRECT = 16
-#: Members and bytes of differences of a family that one task compares.
-FAMILY, FAMILY_BYTES = 2048, 1 << 26
+#: Members and bytes of differences of a family that one task compares, and the cells of the matrices it holds for that.
+FAMILY, FAMILY_BYTES, CELLS = 1 << 14, 1 << 26, 1 << 20
+#: Pairs of sketches that one task compares are at most the square of this.
+SKETCHED = 2048
+#: Ways to cut the shingle domain into parts, for sets with too many empty parts in the ones before.
+CUTS = 4
 #: Pairs whose differences a task holds.
 PAIRS_AT_ONCE = 256
 _KEY = "doc_id bigint, n bigint, a bigint, b bigint"
@@ -100,26 +105,30 @@ class Similarity:
             j = np.minimum(band + step, len(top) - 1)
             k = self.differ(2 * top[j])
             spare = np.where(k == 0, 0, 1 + k // 16)
-            parts = np.where(size > 0, k + 1 + spare, 0)
+            own = size > 0
             if step:  # the next band matters only to sets that can reach it
-                parts = np.where(size * self.den // self.num > top[band], parts, 0)
-            base = np.concatenate([[0], np.cumsum(parts)])
-            own = text_of if not step else text_of[parts[text_of] > 0]
-            values = x if not step else x[parts[text_of] > 0]
-            seed = mix(j.astype(np.uint64) + U64(0x51ED))
-            part = (mix(values ^ seed[own]) >> U64(11)) % parts[own].astype(np.uint64)
-            slot = base[own] + part.astype(np.int64)
-            spread = mix(values + U64(0xA5A5))
-            low = np.bincount(slot, (spread & U64(0xFFFFFFFF)).astype(np.float64), base[-1]).astype(np.uint64)
-            high = np.bincount(slot, (spread >> U64(32)).astype(np.float64), base[-1]).astype(np.uint64)
-            full = np.bincount(slot, minlength=base[-1]) > 0
-            text = np.repeat(np.arange(len(size)), parts)
-            empty = np.bincount(text[~full], minlength=len(size))
-            emit = full | (empty > spare)[text]
-            number = (np.arange(base[-1]) - base[text]).astype(np.uint64)
-            sig = mix(low + mix(high + mix(number + seed[text])))
-            texts_out.append(text[emit])
-            found.append(sig[emit])
+                own &= size * self.den // self.num > top[band]
+            for cut in range(CUTS):
+                parts = np.where(own, k + 1 + spare, 0)
+                base = np.concatenate([[0], np.cumsum(parts)])
+                values, holder = x[own[text_of]], text_of[own[text_of]]
+                seed = mix(j.astype(np.uint64) + U64(0x51ED + (cut << 40)))
+                part = (mix(values ^ seed[holder]) >> U64(11)) % parts[holder].astype(np.uint64)
+                slot = base[holder] + part.astype(np.int64)
+                spread = mix(values + U64(0xA5A5))
+                low = np.bincount(slot, (spread & U64(0xFFFFFFFF)).astype(np.float64), base[-1]).astype(np.uint64)
+                high = np.bincount(slot, (spread >> U64(32)).astype(np.float64), base[-1]).astype(np.uint64)
+                full = np.bincount(slot, minlength=base[-1]) > 0
+                text = np.repeat(np.arange(len(size)), parts)
+                bare = np.bincount(text[~full], minlength=len(size)) > spare
+                emit = full | bare[text] if cut == CUTS - 1 else full
+                number = (np.arange(base[-1]) - base[text]).astype(np.uint64)
+                sig = mix(low + mix(high + mix(number + seed[text])))
+                texts_out.append(text[emit])
+                found.append(sig[emit])
+                own = own & bare
+                if not own.any():
+                    break
         return np.concatenate(texts_out), np.concatenate(found)
 
 
@@ -235,29 +244,38 @@ def close_pairs(pairs: DataFrame, blobs: DataFrame, like: Similarity) -> DataFra
     return pairs.join(mine, "x").join(theirs, "p").mapInArrow(run, "p bigint, x bigint")
 
 
-def close_members(star: DataFrame, blobs: DataFrame, like: Similarity, met: DataFrame | None = None) -> DataFrame:
+def close_members(star: DataFrame, blobs: DataFrame, like: Similarity, met: DataFrame | None = None, places: DataFrame | None = None) -> DataFrame:
     """The pairs (p, x) of a pivot whose member may be linked with the pivot or with another member, by their sketches; all of too large a family.
 
-    All, too, of the pivots p in ``met``, which have members from earlier rounds that are not in ``star``.
+    All, too, of the pivots p in ``met``, which have members from earlier rounds that are not in ``star``. With ``places`` (x, c, root), only links between different c and root count.
     """
     if met is not None:
         known = materialise(met.select("p").distinct(), "known-pivots")
-        fresh = close_members(star.join(known, "p", "left_anti"), blobs, like)
+        fresh = close_members(star.join(known, "p", "left_anti"), blobs, like, places=places)
         return fresh.unionByName(star.join(known, "p", "left_semi").select("p", "x"))
 
     def run(rows: pa.Table) -> pa.Table:
-        sketch, n = _sketches(rows["sketch"]), rows["n"].to_numpy()
+        sketch, n, c, root = _sketches(rows["sketch"]), *(rows[name].to_numpy() for name in ("n", "c", "root"))
         keep = np.zeros(len(n), bool)
-        for low in range(0, len(n), 64):
-            apart = np.abs(sketch[low : low + 64, None, :] - sketch[None, :, :]).sum(2, dtype=np.int32)
-            close = apart <= like.differ(n[low : low + 64, None] + n[None, :])
-            keep[low : low + 64] = close.sum(1) > 1
+        # Members of the largest part with one root have links that count to the other members only, which find them.
+        _, part, size = np.unique(root, return_inverse=True, return_counts=True)
+        minor = np.flatnonzero(part != size.argmax())
+        for low in range(0, len(minor), 16):
+            own = minor[low : low + 16]
+            for start in range(0, len(n), SKETCHED):
+                some = slice(start, start + SKETCHED)
+                apart = np.abs(sketch[own, None, :] - sketch[None, some, :]).sum(2, dtype=np.int32)
+                close = (apart <= like.differ(n[own, None] + n[None, some])) & (c[own, None] != c[None, some]) & (root[own, None] != root[None, some])
+                keep[own] |= close.any(1)
+                keep[some] |= close.any(0)
         return rows.select(["p", "x"]).filter(pa.array(keep))
 
-    sizes = materialise(star.groupBy("p").agg((F.count("*") < FAMILY).alias("fits")), "family-sizes")
-    fits = star.join(sizes.where("fits"), "p").select("p", "x").unionByName(sizes.where("fits").select("p", F.col("p").alias("x")))
+    placed = star.select("p", "x").unionByName(star.select("p", F.col("p").alias("x")).distinct())
+    placed = placed.join(places, "x") if places is not None else placed.withColumns({"c": F.col("x"), "root": F.col("x")})
+    sizes = placed.groupBy("p", "root").agg(F.count("*").alias("m")).groupBy("p").agg(F.sum("m").alias("m"), F.max("m").alias("most"))
+    sizes = materialise(sizes.select("p", (F.col("m") * (F.col("m") - F.col("most")) <= min(FAMILY, SKETCHED) ** 2).alias("fits")), "family-sizes")
     mine = blobs.select(F.col("doc_id").alias("x"), "sketch", (F.length("shingles") / 8).cast("bigint").alias("n"))
-    near = fits.join(mine, "x").select("p", "x", "n", "sketch").groupBy("p").applyInArrow(run, "p bigint, x bigint").where("p <> x")
+    near = placed.join(sizes.where("fits"), "p").join(mine, "x").select("p", "x", "c", "root", "n", "sketch").groupBy("p").applyInArrow(run, "p bigint, x bigint").where("p <> x")
     return near.unionByName(star.join(sizes.where("NOT fits"), "p").select("p", "x"))
 
 
@@ -269,11 +287,17 @@ def group_members(rows: DataFrame) -> DataFrame:
 
 
 def group_pairs(members: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """Pairs (p, x) to check: those of small groups, and those of the others' pivots."""
+    """Pairs (p, x) to check: those of small groups, and those of the others' pivots. Of members with places (c, root) those pairs of small groups are left out that agree in one of them."""
     star = members.where(F.col("size") > DIRECT).where("doc_id <> p").select("p", F.col("doc_id").alias("x"))
-    whole = members.where(F.col("size") <= DIRECT).groupBy("key").agg(F.collect_set("doc_id").alias("all"))
-    whole = whole.select("all", F.explode("all").alias("x")).select("x", F.explode(F.filter("all", lambda p: p < F.col("x"))).alias("p"))
-    return whole.select("p", "x").distinct(), star.distinct()
+    own = F.struct("doc_id", *[c for c in ("c", "root") if c in members.columns])
+    whole = members.where(F.col("size") <= DIRECT).groupBy("key").agg(F.collect_set(own).alias("all"))
+
+    def meets(p):
+        pair = p["doc_id"] < F.col("x.doc_id")
+        return pair & (p["c"] != F.col("x.c")) & (p["root"] != F.col("x.root")) if "c" in members.columns else pair
+
+    pairs = whole.select("all", F.explode("all").alias("x")).select("x", F.explode(F.filter("all", meets)).alias("p"))
+    return pairs.select(F.col("p.doc_id").alias("p"), F.col("x.doc_id").alias("x")).distinct(), star.distinct()
 
 
 def comparable(pairs: DataFrame, nodes: DataFrame, like: Similarity) -> DataFrame:
@@ -323,32 +347,47 @@ def family_links(members: DataFrame, like: Similarity) -> DataFrame:
         size = np.array([len(v) for v in raw])
         shingle, column = np.unique(np.concatenate(raw), return_inverse=True)
         owner = np.repeat(np.arange(len(raw)), size)
-        shared = np.bincount(column, minlength=len(shingle)) > 1
-        place = np.cumsum(shared) - 1
-        owner, column = owner[shared[column]], place[column[shared[column]]]
+        count = np.bincount(column, minlength=len(shingle))
+        asked = np.zeros(len(shingle), bool)
+        asked[column[np.isin(owner, loose)]] = True
+        taken = ((count > 1) & asked)[column]
+        owner, column = owner[taken], column[taken]
         order = np.argsort(column, kind="stable")
         owner, column = owner[order], column[order]
-        both = np.zeros((len(loose), len(ids)), np.float32)
-        for low in range(0, int(shared.sum()), 2048):
-            a, b = np.searchsorted(column, (low, low + 2048))
-            part = np.zeros((len(ids), 2048), np.float32)
-            part[owner[a:b], column[a:b] - low] = 1
-            both += part[loose] @ part.T
-        apart = size[loose][:, None] + size[None, :] - 2 * both.astype(np.int64)
-        total = n[loose][:, None] + n[None, :]
-        common = (total - apart) // 2
-        linked = (like.den * common >= like.num * (total - common)) & (common > 0)
-        linked[np.arange(len(loose)), loose] = False
-        one, other = np.nonzero(linked)
-        one, root = loose[one], np.arange(len(ids))
-        while True:  # the first member that links reach
-            new, least = root.copy(), np.minimum(root[one], root[other])
-            np.minimum.at(new, one, least)
-            np.minimum.at(new, other, least)
-            new = new[new]
-            if (new == root).all():
-                break
-            root = new
+        # Columns of few members are counted pair by pair, the others as products of matrices.
+        often = (count.astype(np.int64) ** 2 * 64 > len(loose) * len(ids))[column]
+        places, common_column = np.unique(column[often], return_inverse=True)
+        common_owner, (owner, column) = owner[often], (owner[~often], column[~often])
+        edge = np.searchsorted(column, column, side="left"), np.searchsorted(column, column, side="right")
+        order = np.argsort(owner, kind="stable")
+        row_edge = np.searchsorted(owner[order], np.arange(len(ids) + 1))
+        root, step = np.arange(len(ids)), max(1, CELLS // len(ids))
+        for top in range(0, len(loose), step):
+            block = loose[top : top + step]
+            both = np.zeros((len(block), len(ids)), np.float32)
+            for low in range(0, len(places), step):
+                a, b = np.searchsorted(common_column, (low, low + step))
+                part = np.zeros((len(ids), min(step, len(places) - low)), np.float32)
+                part[common_owner[a:b], common_column[a:b] - low] = 1
+                both += part[block] @ part.T
+            for i, member in enumerate(block):
+                entry = order[row_edge[member] : row_edge[member + 1]]
+                if len(entry):
+                    first, more = edge[0][entry], edge[1][entry] - edge[0][entry]
+                    at = np.arange(more.sum()) + np.repeat(first - np.cumsum(more) + more, more)
+                    both[i] += np.bincount(owner[at], minlength=len(ids))
+            apart = size[block][:, None] + size[None, :] - 2 * both.astype(np.int64)
+            total = n[block][:, None] + n[None, :]
+            common = (total - apart) // 2
+            one, other = np.nonzero((like.den * common >= like.num * (total - common)) & (common > 0))
+            one, other = root[block[one]], root[other]
+            while len(one := one[(differ := one != other)]):  # each member comes to the first one that links reach
+                other = other[differ]
+                hook = np.arange(len(ids))
+                np.minimum.at(hook, np.maximum(one, other), np.minimum(one, other))
+                while (hook != (further := hook[hook])).any():
+                    hook = further
+                root, one, other = hook[root], hook[one], hook[other]
         own = root != np.arange(len(ids))
         return pa.table({"p": pa.array(ids[root[own]], pa.int64()), "x": pa.array(ids[own], pa.int64())})
 
@@ -378,23 +417,65 @@ def _split(members: DataFrame) -> tuple[DataFrame, DataFrame]:
     return own.where("fits"), own.where("NOT fits")
 
 
-def mixed_families(star: DataFrame, links: DataFrame) -> DataFrame:
-    """The pairs (p, x) of the pivots that are not in one component with all their members."""
+def centre_links(members: DataFrame, blobs: DataFrame, like: Similarity) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """Links (p, x) of the documents of one centre, the groups that are left, and the places (x, c, root) of their members.
+
+    A document's centre c is the pivot of most of its groups, so a family that meets in many groups is compared once. Groups whose documents have one centre, or are connected already, are done;
+    in the others only documents with different centres and roots are left to compare.
+    """
+    spark = members.sparkSession
+    shared = members.groupBy(F.col("doc_id").alias("x"), "p").agg(F.count("*").alias("groups"))
+    own = materialise(shared.groupBy("x").agg(F.min_by("p", F.struct(-F.col("groups"), F.col("p"))).alias("c")), "centres")
+    star = materialise(close_members(own.where("x <> c").select(F.col("c").alias("p"), "x"), blobs, like), "centre-members")
+    release_shuffles(spark)
+    found = materialise(check_pairs(star, blobs, like, True), "centre-differences")
+    release_shuffles(spark)
+    links, rows = differing_links(found.withColumn("key", F.lit(0).cast("bigint")), like)
+    links = materialise(links.unionByName(found.where("linked").select("p", "x")), "centre-links")
     roots = components(links.select(F.col("p").alias("a"), F.col("x").alias("b")))
-    of_x, of_p = (roots.select(F.col("node").alias(c), F.col("root").alias(f"root_{c}")) for c in ("x", "p"))
-    named = star.join(of_x, "x", "left").join(of_p, "p", "left").select("p", "x", F.coalesce("root_x", "x").alias("one"), F.coalesce("root_p", "p").alias("other"))
-    apart = named.groupBy("p").agg(F.min(F.least("one", "other")).alias("least"), F.max(F.greatest("one", "other")).alias("most")).where("least < most").select("p")
-    return materialise(star.join(materialise(apart, "mixed-pivots"), "p", "left_semi").select("p", "x"), "mixed-families")
+    places = own.join(roots.withColumnRenamed("node", "x"), "x", "left").select("x", "c", F.coalesce("root", "x").alias("root"))
+    groups = members.select("key", "p", "size", "doc_id")
+    if rows is not None:
+        # Of a family that is cut further all members are compared.
+        again = group_members(rows)
+        groups = groups.unionByName(again.select("key", "p", "size", "doc_id"))
+        places = places.join(again.select(F.col("doc_id").alias("x")).distinct().withColumn("cut", F.lit(True)), "x", "left").select("x", F.when(F.col("cut"), F.col("x")).otherwise(F.col("c")).alias("c"), "root")
+    places = materialise(places, "places")
+    placed = groups.join(places, F.col("doc_id") == F.col("x"))
+    mixed = placed.groupBy("key").agg(F.min("c").alias("c"), F.max("c").alias("c2"), F.min("root").alias("root"), F.max("root").alias("root2")).where("c < c2 AND root < root2").select("key")
+    left = materialise(placed.join(materialise(mixed, "mixed-groups"), "key").select("key", "p", "size", "doc_id", "c", "root"), "mixed-members")
+    release_shuffles(spark)
+    return links, left, places
+
+
+def differing_links(family: DataFrame, like: Similarity) -> tuple[DataFrame, DataFrame | None]:
+    """Links (p, x) in the families (p, key) of rows as ``check_pairs`` gives them, and the rows (key, doc_id) of groups that no task can compare, if there are any."""
+    fits, large = _split(family)
+    links = materialise(family_links(fits, like), "family-links")
+    parts = materialise(family_parts(large, like), "family-parts")
+    if not parts.limit(1).count():
+        return links, None
+    fits, large = _split(parts)
+    links = links.unionByName(materialise(family_links(fits, like), "family-links"))
+    rows = materialise(large.select("key", F.col("x").alias("doc_id")), "next-groups")
+    return links, rows if rows.limit(1).count() else None
 
 
 def group_links(members: DataFrame, nodes: DataFrame, given: DataFrame, like: Similarity, sparing: bool = False) -> DataFrame:
     """Links (p, x) that connect the documents of all groups (key, p, size, doc_id) as the similarity of their pairs does.
 
     ``p`` is the smallest document of the group; ``nodes`` has a row (n, node) for each different set, ``given`` the texts (doc_id, text).
-    ``sparing`` first checks every member against its smallest pivot alone: families that this connects need no differences, which saves most of the sets' shuffling for a few more steps.
+    ``sparing`` first compares the documents with one centre each (``centre_links``), which leaves fewer pairs of sets to shuffle for a few more steps.
     """
     spark = given.sparkSession
-    links, checked, blobs = None, None, None
+    links, checked, blobs, places = None, None, None, None
+    if sparing:
+        members = members.join(nodes.select(F.col("node").alias("doc_id")).distinct(), "doc_id", "left_semi")
+        ids = materialise(members.select("doc_id").distinct(), "pair-ids")
+        blobs = materialise(set_blobs(given.join(ids, "doc_id", "left_semi"), like), "set-blobs")
+        links, members, places = centre_links(members, blobs, like)
+        if not members.limit(1).count():
+            return links
     while True:
         small, star = group_pairs(members)
         # A pivot's pairs stay whole: a member of another size than the pivot's may be linked with other members.
@@ -405,13 +486,8 @@ def group_links(members: DataFrame, nodes: DataFrame, given: DataFrame, like: Si
             ids = materialise(small.unionByName(star).select(F.explode(F.array("p", "x")).alias("doc_id")).distinct(), "pair-ids")
             blobs = materialise(set_blobs(given.join(ids, "doc_id", "left_semi"), like), "set-blobs")
         small = materialise(close_pairs(small, blobs, like), "close-pairs")
-        if sparing and checked is None:
-            first = materialise(close_pairs(star.groupBy("x").agg(F.min("p").alias("p")), blobs, like), "first-pivots")
-            release_shuffles(spark)
-            links = materialise(check_pairs(first.unionByName(small).distinct(), blobs, like, False).where("linked").select("p", "x"), "first-links")
-            release_shuffles(spark)
-            star, small = mixed_families(star, links), small.limit(0)
-        star = materialise(close_members(star, blobs, like, checked), "close-members")
+        star = materialise(close_members(star, blobs, like, checked, places), "close-members")
+        places = None
         release_shuffles(spark)
         found = materialise(check_pairs(small, blobs, like, False).where("linked").select("p", "x"), "found")
         links = found if links is None else links.unionByName(found)
@@ -421,15 +497,9 @@ def group_links(members: DataFrame, nodes: DataFrame, given: DataFrame, like: Si
         # All members so far of the pivots that met new ones.
         checked = now if checked is None else checked.unionByName(now)
         family = checked.join(materialise(now.select("p").distinct(), "met"), "p", "left_semi").withColumn("key", F.lit(0).cast("bigint"))
-        fits, large = _split(family)
-        links = links.unionByName(materialise(family_links(fits, like), "family-links"))
-        parts = materialise(family_parts(large, like), "family-parts")
-        if not parts.limit(1).count():
-            return links
-        fits, large = _split(parts)
-        links = links.unionByName(materialise(family_links(fits, like), "family-links"))
-        rows = materialise(large.select("key", F.col("x").alias("doc_id")), "next-groups")
-        if not rows.limit(1).count():
+        more, rows = differing_links(family, like)
+        links = links.unionByName(more)
+        if rows is None:
             return links
         members = group_members(rows)
 
