@@ -5,7 +5,7 @@ import numpy as np
 
 from tickerlake.llm import minmax_hash, ngram_join
 from tickerlake.llm.minmax_hash import min_max, near_copies
-from test_ngram_join import brute, family
+from test_ngram_join import brute, counted, family
 
 
 def check(spark, rows, parts=4):
@@ -66,3 +66,11 @@ def test_ids_missing_or_repeated(frame):
     found = sorted(((r["doc_id"], r["component_id"], r["kept"]) for r in near_copies(df).collect()), key=str)
     assert [f for f in found if f[0] is not None] == [(1, 1, True), (5, 1, False), (5, 1, False), (7, 1, False), (9, 9, True)]
     assert Counter(f for f in found if f[0] is None) == {(None, None, True): 2, (None, 1, False): 1}
+
+
+def test_a_family_is_compared_around_one_centre(spark, monkeypatch):
+    monkeypatch.setattr(ngram_join, "DIRECT", 3)
+    seen = counted(monkeypatch)
+    texts = family(random.Random(29), 250, 200, 6)
+    check(spark, rows_of(texts))
+    assert sum(seen) < len(texts)

@@ -117,7 +117,7 @@ def near_copies(docs: DataFrame, shingle: int = 5, num: int = 85, den: int = 100
     ids = placed.where("node IS NOT NULL").groupBy("doc_id").agg(F.min("node").alias("p"), F.max("node").alias("x"))
     same = materialise(ids.where("p < x").select("p", "x"), "minmax-same-id")
     members = bucket_members(placed.where("size(bands) > 0").select("node", "bands").distinct())
-    links = group_links(members, nodes, given, like).unionByName(same)
+    links = group_links(members, nodes, given, like, sparing=True).unionByName(same)
     roots = components(links.select(F.col("p").alias("a"), F.col("x").alias("b")))
     own = F.coalesce("root", "node", "doc_id")
     return placed.join(roots, "node", "left").select(
